@@ -100,3 +100,223 @@ def q_feature_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H2: feature hash per station after the standard steps."""
     df = with_feature_hash(apply_steps(X.stations(spark, sf_dir).withColumn("_key_num", F.col("key")), STATION_STEPS))
     return df.select(F.col("_key_num").alias("key"), F.col("_hash").alias("feature_hash"))
+
+
+# --------------------------------------------------------------------------
+# Hash and diff operators (H*, D*)
+# --------------------------------------------------------------------------
+
+from featureflow.functions.canonical import json_text  # noqa: E402
+from featureflow.operators import digest as H  # noqa: E402
+from featureflow.operators.digest import feature_json  # noqa: E402
+from featureflow.plans.oracle import num  # noqa: E402
+
+
+def _digest_sql(hashes: str, by: str = "") -> str:
+    """SQL twin of digest.collection_digest over ``hashes(<by,> h)``."""
+    b = f"{by}, " if by else ""
+    g = f"GROUP BY {by}" if by else ""
+    return f"""
+      hc AS (SELECT {b}h, count(*) AS n FROM {hashes} GROUP BY {b}h),
+      leaf AS (SELECT {b}substr(h, 1, 6) AS b6,
+                      sha256(string_agg(h || ':' || CAST(n AS VARCHAR), ',' ORDER BY h || ':' || CAST(n AS VARCHAR))) AS d,
+                      sum(n) AS n FROM hc GROUP BY {b}substr(h, 1, 6)),
+      mid AS (SELECT {b}substr(b6, 1, 3) AS b3, sha256(string_agg(b6 || '=' || d, ',' ORDER BY b6 || '=' || d)) AS d,
+                     sum(n) AS n FROM leaf GROUP BY {b}substr(b6, 1, 3)),
+      root AS (SELECT {b}CAST(sum(n) AS BIGINT) AS feature_count,
+                      string_agg(b3 || '=' || d, ',' ORDER BY b3 || '=' || d) AS body FROM mid {g}),
+      digest AS (SELECT {b}feature_count, 'sha256-merkle-v1:' ||
+                        sha256('sha256-merkle-v1|' || CAST(feature_count AS VARCHAR) || '|' || body) AS content_hash
+                 FROM root)"""
+
+
+def _hash_sql(fixture: str) -> str:
+    return f"SELECT sha256({station_feature_json()}) AS h, key, ord FROM {fixture} WHERE {_ACTIVE}"
+
+
+@query("canonical_json", with_fixtures(
+    f"SELECT key, {station_feature_json()} AS canonical_json FROM stations WHERE {_ACTIVE}", "stations"))
+def q_canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1: canonical feature JSON text."""
+    df = apply_steps(X.stations(spark, sf_dir).withColumn("_key_num", F.col("key")), STATION_STEPS)
+    return df.select(F.col("_key_num").alias("key"), feature_json(df).alias("canonical_json"))
+
+
+@query("collection_digest", with_fixtures("SELECT feature_count, content_hash FROM digest", "stations",
+                                          extra=f"hs AS ({_hash_sql('stations')}),{_digest_sql('hs')}"))
+def q_collection_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H4: order-free digest of the refreshed stations."""
+    return H.collection_digest(refreshed_stations(spark, sf_dir))
+
+
+_DEPOT_JSON = (f"'{{\"geometry\":{{\"coordinates\":[' || {num('lon')} || ',' || {num('lat')} || "
+               f"'],\"type\":\"Point\"}},\"properties\":{{\"capacity\":' || {num('capacity')} || "
+               f"',\"country\":' || CAST(country AS VARCHAR) || ',\"depot_id\":' || to_json(depot_id) || '}}}}'")
+
+
+@query("collection_hash", with_fixtures(
+    "SELECT source, feature_count, content_hash FROM digest", "stations", "depots",
+    extra=f"hs AS (SELECT 'stations' AS source, h FROM ({_hash_sql('stations')}) "
+          f"UNION ALL SELECT 'depots', sha256({_DEPOT_JSON}) FROM depots),{_digest_sql('hs', 'source')}"))
+def q_collection_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3: content hash per source of a two-source run (stations, depots)."""
+    st = refreshed_stations(spark, sf_dir).select(F.lit("stations").alias("_source"), "_hash")
+    dp = with_feature_hash(X.depots(spark, sf_dir)).select(F.lit("depots").alias("_source"), "_hash")
+    out = H.collection_digest(st.unionByName(dp), ["_source"])
+    return out.withColumnRenamed("_source", "source")
+
+
+@query("change_flag", with_fixtures(
+    "SELECT c.feature_count, p.content_hash = c.content_hash AS same, "
+    "NOT coalesce(p.content_hash = c.content_hash, false) AS changed FROM digest c, pdigest p", "stations",
+    "stations_prev",
+    extra=f"hs AS ({_hash_sql('stations')}),{_digest_sql('hs')}, phs AS ({_hash_sql('stations_prev')}),"
+          + _digest_sql('phs').replace(" hc ", " phc ").replace("FROM hc", "FROM phc").replace(" leaf ", " pleaf ")
+          .replace("FROM leaf", "FROM pleaf").replace(" mid ", " pmid ").replace("FROM mid", "FROM pmid")
+          .replace(" root ", " proot ").replace("FROM root", "FROM proot").replace(" digest ", " pdigest ")))
+def q_change_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H5: changed unless both digests are known and equal."""
+    src = F.lit("stations").alias("_source")
+    cur = H.collection_digest(refreshed_stations(spark, sf_dir).select(src, "_hash"), ["_source"])
+    prev = H.collection_digest(refreshed_stations(spark, sf_dir, "stations_prev").select(src, "_hash"), ["_source"])
+    j = cur.join(prev.select("_source", F.col("content_hash").alias("prev_hash")), "_source", "left")
+    return j.select("feature_count", (F.col("prev_hash") == F.col("content_hash")).alias("same"),
+                    H.change_flag(F.col("content_hash"), F.col("prev_hash")).alias("changed"))
+
+
+@query("feature_key", with_fixtures(
+    "SELECT key, CAST(country AS VARCHAR) AS by_country, station_id AS by_station, "
+    "CAST(NULL AS VARCHAR) AS by_missing FROM stations", "stations"))
+def q_feature_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Diff key from a configured property (numbers stringified)."""
+    df = X.stations(spark, sf_dir)
+    return df.select("key", D.feature_key(df, "country").alias("by_country"),
+                     D.feature_key(df, "station_id").alias("by_station"),
+                     D.feature_key(df, "no_such_property").alias("by_missing"))
+
+
+def _dup_index_sql() -> str:
+    return (f"SELECT station_id AS key, arg_max(sha256({station_feature_json()}), ord) AS hash, count(*) AS n "
+            f"FROM stations_dup WHERE {_ACTIVE} GROUP BY station_id")
+
+
+@query("key_index", with_fixtures(_dup_index_sql(), "stations_dup"))
+def q_key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key -> hash with the last row winning, and rows per key."""
+    return D.key_index(refreshed_stations(spark, sf_dir, "stations_dup"))
+
+
+@query("duplicate_ids", with_fixtures(f"SELECT key, n - 1 AS extra FROM ({_dup_index_sql()}) WHERE n > 1",
+                                      "stations_dup"))
+def q_duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys present more than once in the current run."""
+    return D.duplicate_ids(refreshed_stations(spark, sf_dir, "stations_dup"))
+
+
+@query("diff_samples", _feed_query(
+    "SELECT op, rank, key FROM (SELECT op, key, row_number() OVER (PARTITION BY op ORDER BY key) AS rank "
+    "FROM feed WHERE op <> 'unchanged') WHERE rank <= 10"))
+def q_diff_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First ten sorted keys per change bucket."""
+    return D.diff_samples(station_feed(spark, sf_dir))
+
+
+@query("added_rows", _feed_query("SELECT c.key, c.hash FROM cur c WHERE NOT EXISTS (SELECT 1 FROM prev p WHERE p.key = c.key)"))
+def q_added_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Added keys as a left anti join."""
+    cur = D.key_index(refreshed_stations(spark, sf_dir))
+    prev = D.key_index(refreshed_stations(spark, sf_dir, "stations_prev"))
+    return cur.join(prev.select("key"), "key", "left_anti").select("key", "hash")
+
+
+@query("removed_rows", _feed_query("SELECT p.key FROM prev p WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE p.key = c.key)"))
+def q_removed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removed keys as a left anti join the other way."""
+    cur = D.key_index(refreshed_stations(spark, sf_dir))
+    prev = D.key_index(refreshed_stations(spark, sf_dir, "stations_prev"))
+    return prev.select("key").join(cur.select("key"), "key", "left_anti")
+
+
+@query("unchanged_rows", _feed_query(
+    "SELECT c.key FROM cur c WHERE EXISTS (SELECT 1 FROM prev p WHERE p.key = c.key AND p.hash = c.hash)"))
+def q_unchanged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unchanged keys as a left semi join on (key, hash)."""
+    cur = D.key_index(refreshed_stations(spark, sf_dir))
+    prev = D.key_index(refreshed_stations(spark, sf_dir, "stations_prev"))
+    return cur.join(prev.select("key", "hash"), ["key", "hash"], "left_semi").select("key")
+
+
+_UNKEYED_SQL = f"""
+    ch AS (SELECT h, count(*) AS n FROM ({_hash_sql('stations')}) GROUP BY h),
+    ph AS (SELECT h, count(*) AS n FROM ({_hash_sql('stations_prev')}) GROUP BY h),
+    j AS (SELECT coalesce(c.n, 0) AS nc, coalesce(p.n, 0) AS np FROM ch c FULL OUTER JOIN ph p ON c.h = p.h)"""
+
+
+@query("diff_unkeyed", with_fixtures(
+    "SELECT CAST(sum(greatest(nc - np, 0)) AS BIGINT) AS added, CAST(sum(greatest(np - nc, 0)) AS BIGINT) AS removed, "
+    "CAST(0 AS BIGINT) AS modified, CAST(sum(least(nc, np)) AS BIGINT) AS unchanged FROM j",
+    "stations", "stations_prev", extra=_UNKEYED_SQL))
+def q_diff_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiset diff of feature hashes (no key)."""
+    cur = D.hash_counts(refreshed_stations(spark, sf_dir))
+    prev = D.hash_counts(refreshed_stations(spark, sf_dir, "stations_prev"))
+    return D.unkeyed_diff(cur, prev)
+
+
+@query("added_multiset", with_fixtures(
+    f"SELECT h AS hash FROM ({_hash_sql('stations_dup')}) EXCEPT ALL SELECT h FROM ({_hash_sql('stations_prev')})",
+    "stations_dup", "stations_prev"))
+def q_added_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D7 rows: hashes of the current multiset not matched in the previous one."""
+    cur = refreshed_stations(spark, sf_dir, "stations_dup").select(F.col("_hash").alias("hash"))
+    prev = refreshed_stations(spark, sf_dir, "stations_prev").select(F.col("_hash").alias("hash"))
+    return cur.exceptAll(prev)
+
+
+@query("common_multiset", with_fixtures(
+    f"SELECT h AS hash FROM ({_hash_sql('stations_dup')}) INTERSECT ALL SELECT h FROM ({_hash_sql('stations')})",
+    "stations_dup"))
+def q_common_multiset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D7 rows: hashes common to both multisets, with multiplicity."""
+    cur = refreshed_stations(spark, sf_dir, "stations_dup").select(F.col("_hash").alias("hash"))
+    prev = refreshed_stations(spark, sf_dir).select(F.col("_hash").alias("hash"))
+    return cur.intersectAll(prev)
+
+
+@query("diff_first_run", with_fixtures(
+    f"SELECT count(*) AS added, CAST(0 AS BIGINT) AS removed, CAST(0 AS BIGINT) AS modified, "
+    f"CAST(0 AS BIGINT) AS unchanged, count(*) AS total, true AS first_run FROM stations WHERE {_ACTIVE}", "stations"))
+def q_diff_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With an empty state every feature is added."""
+    keyed = refreshed_stations(spark, sf_dir).withColumn("_source", F.lit("stations"))
+    cur = D.key_index(keyed, ["_source"])
+    empty_state = cur.where(F.lit(False))
+    counts = D.diff_counts(D.change_feed(cur, empty_state, ["_source"]), ["_source"])
+    total = keyed.groupBy("_source").agg(F.count(F.lit(1)).alias("total"))
+    return counts.join(total, "_source").select("added", "removed", "modified", "unchanged", "total",
+                                          F.lit(True).alias("first_run"))
+
+
+@query("diff_mode", with_fixtures(
+    "SELECT 'station_id' AS id_property, count(*) AS total, count(station_id) AS with_key, "
+    "count(*) > 0 AND count(station_id) = count(*) AS keyed FROM stations "
+    "UNION ALL SELECT 'segment', count(*), count(segment), count(*) > 0 AND count(segment) = count(*) FROM stations",
+    "stations"))
+def q_diff_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed iff every row has a key (segment has gaps, station_id does not)."""
+    df = X.stations(spark, sf_dir)
+    a = D.diff_mode(D.with_key(df, "station_id")).select(F.lit("station_id").alias("id_property"), "*")
+    b = D.diff_mode(D.with_key(df, "segment")).select(F.lit("segment").alias("id_property"), "*")
+    return a.unionByName(b)
+
+
+@query("diff_describe", _feed_query(
+    "SELECT '+' || CAST(count_if(op = 'added') AS VARCHAR) || ' / -' || CAST(count_if(op = 'removed') AS VARCHAR) "
+    "|| ' / ~' || CAST(count_if(op = 'modified') AS VARCHAR) || ' (of ' || "
+    "CAST(count_if(op <> 'removed') AS VARCHAR) || ')' AS description FROM feed"))
+def q_diff_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-line change description."""
+    c = D.diff_counts(station_feed(spark, sf_dir))
+    total = F.col("added") + F.col("modified") + F.col("unchanged")
+    return c.select(D.describe(F.col("added"), F.col("removed"), F.col("modified"), total,
+                               F.lit(True), F.lit(False)).alias("description"))
