@@ -23,11 +23,21 @@ COORD_DEPTH = {
 }
 GEOMETRY_TYPES = sorted([*COORD_DEPTH, "GeometryCollection"])
 # How many GeometryCollection levels are unrolled; deeper nesting is reported.
-COLLECTION_DEPTH = 3
+COLLECTION_DEPTH = 2
 
 _NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` (a lambda binding).
+
+    Expressions inside higher-order functions run interpreted, without common
+    subexpression elimination; binding shared values keeps each row's work
+    linear in the size of its geometry.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _array(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
@@ -65,54 +75,73 @@ def _first(problems: Column) -> Column:
 
 
 def _position_problem(p: Column) -> Column:
-    arr = _array(p)
-    n = F.size(arr)
-    lon = F.variant_get(arr[0], "$", "double")
-    lat = F.variant_get(arr[1], "$", "double")
-    return (
-        F.when(arr.isNull(), F.concat(F.lit("position must be an array, got "), json_type_name(p)))
-        .when((n < 2) | (n > 3), F.concat(F.lit("position must have 2 or 3 numbers, got "), n.cast("string")))
-        .when(~F.forall(arr, is_number), F.lit("position components must be numbers"))
-        .when(~lon.between(-180.0, 180.0),
-              F.concat(F.lit("longitude "), _float_text(lon), F.lit(" is outside [-180, 180]")))
-        .when(~lat.between(-90.0, 90.0),
-              F.concat(F.lit("latitude "), _float_text(lat), F.lit(" is outside [-90, 90]")))
-    )
+    def check(arr: Column) -> Column:
+        n = F.size(arr)
+        lon = F.variant_get(arr[0], "$", "double")
+        lat = F.variant_get(arr[1], "$", "double")
+        return (
+            F.when(arr.isNull(), F.concat(F.lit("position must be an array, got "), json_type_name(p)))
+            .when((n < 2) | (n > 3), F.concat(F.lit("position must have 2 or 3 numbers, got "), n.cast("string")))
+            .when(~F.forall(arr, is_number), F.lit("position components must be numbers"))
+            .when(~lon.between(-180.0, 180.0),
+                  F.concat(F.lit("longitude "), _float_text(lon), F.lit(" is outside [-180, 180]")))
+            .when(~lat.between(-90.0, 90.0),
+                  F.concat(F.lit("latitude "), _float_text(lat), F.lit(" is outside [-90, 90]")))
+        )
+
+    return let(_array(p), check)
 
 
 def _nested_problem(c: Column, depth: int) -> Column:
     if depth == 0:
         return _position_problem(c)
-    arr = _array(c)
-    return (
-        F.when(arr.isNull(), F.concat(F.lit(f"expected an array at nesting depth {depth}, got "), json_type_name(c)))
-        .when(F.size(arr) == 0, F.lit("coordinate array must not be empty"))
-        .otherwise(_first(F.transform(arr, lambda e: _nested_problem(e, depth - 1))))
-    )
+
+    def check(arr: Column) -> Column:
+        return (
+            F.when(arr.isNull(), F.concat(F.lit(f"expected an array at nesting depth {depth}, got "),
+                                          json_type_name(c)))
+            .when(F.size(arr) == 0, F.lit("coordinate array must not be empty"))
+            .otherwise(_first(F.transform(arr, lambda e: _nested_problem(e, depth - 1))))
+        )
+
+    return let(_array(c), check)
 
 
-def _ring_problem(kind: str, rings: Column) -> Column:
+def _ring_problem(kind: Column, rings: Column) -> Column:
     def one(r: Column) -> Column:
         return (
-            F.when(F.size(r) < 4, F.concat(F.lit(f"{kind}: a linear ring needs at least 4 positions, got "),
+            F.when(F.size(r) < 4, F.concat(kind, F.lit(": a linear ring needs at least 4 positions, got "),
                                            F.size(r).cast("string")))
             .when(~(F.slice(r[0], 1, 2) == F.slice(F.element_at(r, -1), 1, 2)),
-                  F.lit(f"{kind}: linear ring is not closed (first position != last)"))
+                  F.concat(kind, F.lit(": linear ring is not closed (first position != last)")))
         )
 
     return _first(F.transform(rings, one))
 
 
-def _simple_problem(kind: str, coords: Column) -> Column:
-    nested = _nested_problem(coords, COORD_DEPTH[kind])
-    result = F.when(coords.isNull(), F.lit(f"{kind} geometry has no 'coordinates'")).when(
-        nested.isNotNull(), F.concat(F.lit(f"{kind}: "), nested))
-    if kind == "Polygon":
-        result = result.otherwise(_ring_problem(kind, F.variant_get(coords, "$", "array<array<array<double>>>")))
-    elif kind == "MultiPolygon":
-        result = result.otherwise(
-            _ring_problem(kind, F.flatten(F.variant_get(coords, "$", "array<array<array<array<double>>>>"))))
-    return result
+def _depth_of(kind: Column) -> Column:
+    out = None
+    for name, depth in COORD_DEPTH.items():
+        out = F.when(kind == name, F.lit(depth)) if out is None else out.when(kind == name, F.lit(depth))
+    return out
+
+
+def _simple_problem(kind: Column, coords: Column) -> Column:
+    """Problems of a simple geometry; one nested check per depth, shared by types."""
+    def check(depth: Column) -> Column:
+        nested = None
+        for d in range(4):
+            nested = F.when(depth == d, _nested_problem(coords, d)) if nested is None else \
+                nested.when(depth == d, _nested_problem(coords, d))
+        rings = (F.when(kind == "Polygon", F.try_variant_get(coords, "$", "array<array<array<double>>>"))
+                 .when(kind == "MultiPolygon",
+                       F.flatten(F.try_variant_get(coords, "$", "array<array<array<array<double>>>>"))))
+        return let(nested, lambda problem: (
+            F.when(coords.isNull(), F.concat(kind, F.lit(" geometry has no 'coordinates'")))
+            .when(problem.isNotNull(), F.concat(kind, F.lit(": "), problem))
+            .otherwise(_ring_problem(kind, rings))))
+
+    return let(_depth_of(kind), check)
 
 
 def _kind_repr(kind_v: Column) -> Column:
@@ -131,35 +160,46 @@ def geometry_kind(v: Column) -> Column:
     return F.when(F.schema_of_variant(kind_v) == "STRING", F.variant_get(kind_v, "$", "string"))
 
 
+def _object(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>")
+
+
+def _kind_of_map(m: Column) -> Column:
+    kind_v = m["type"]
+    return F.when(F.schema_of_variant(kind_v) == "STRING", F.variant_get(kind_v, "$", "string"))
+
+
 def geometry_problem(v: Column, collection_depth: int = COLLECTION_DEPTH) -> Column:
     """G1: the first structural problem of a geometry, or null when sound."""
-    kind_v = _member(v, "type")
-    kind = geometry_kind(v)
-    coords = _member(v, "coordinates")
-    by_kind = None
-    for name in COORD_DEPTH:
-        branch = _simple_problem(name, coords)
-        by_kind = F.when(kind == name, branch) if by_kind is None else by_kind.when(kind == name, branch)
-    members = _array(_member(v, "geometries"))
-    if collection_depth > 0:
-        member_problem = _first(F.transform(members, lambda m: geometry_problem(m, collection_depth - 1)))
-        collection = (
-            F.when((members.isNull()) | (F.size(members) == 0),
-                   F.lit("GeometryCollection needs a non-empty 'geometries' array"))
-            .when(member_problem.isNotNull(), F.concat(F.lit("GeometryCollection member: "), member_problem))
+
+    def with_object(m: Column) -> Column:
+        def with_kind(kind: Column) -> Column:
+            members = _array(m["geometries"])
+            if collection_depth > 0:
+                def collection_check(ms: Column) -> Column:
+                    member_problem = _first(F.transform(ms, lambda x: geometry_problem(x, collection_depth - 1)))
+                    return let(member_problem, lambda mp: (
+                        F.when(ms.isNull() | (F.size(ms) == 0),
+                               F.lit("GeometryCollection needs a non-empty 'geometries' array"))
+                        .when(mp.isNotNull(), F.concat(F.lit("GeometryCollection member: "), mp))))
+                collection = let(members, collection_check)
+            else:
+                collection = F.lit(f"GeometryCollection nested deeper than {COLLECTION_DEPTH} levels is not supported")
+            return (
+                F.when(kind.isNull() | ~kind.isin(GEOMETRY_TYPES),
+                       F.concat(F.lit("unknown geometry type "), _kind_repr(m["type"]),
+                                F.lit("; expected one of " + ", ".join(GEOMETRY_TYPES))))
+                .when(kind == "GeometryCollection", collection)
+                .otherwise(_simple_problem(kind, m["coordinates"]))
+            )
+
+        return (
+            F.when(v.isNull() | F.is_variant_null(v), F.lit("geometry is null"))
+            .when(m.isNull(), F.concat(F.lit("geometry must be an object, got "), json_type_name(v)))
+            .otherwise(let(_kind_of_map(m), with_kind))
         )
-    else:
-        collection = F.lit(f"GeometryCollection nested deeper than {COLLECTION_DEPTH} levels is not supported")
-    return (
-        F.when(v.isNull() | F.is_variant_null(v), F.lit("geometry is null"))
-        .when(~F.schema_of_variant(v).startswith("OBJECT"),
-              F.concat(F.lit("geometry must be an object, got "), json_type_name(v)))
-        .when(kind.isNull() | ~kind.isin(GEOMETRY_TYPES),
-              F.concat(F.lit("unknown geometry type "), _kind_repr(kind_v),
-                       F.lit("; expected one of " + ", ".join(GEOMETRY_TYPES))))
-        .when(kind == "GeometryCollection", collection)
-        .otherwise(by_kind)
-    )
+
+    return let(_object(v), with_object)
 
 
 def positions(v: Column, collection_depth: int = COLLECTION_DEPTH) -> Column:
@@ -167,7 +207,10 @@ def positions(v: Column, collection_depth: int = COLLECTION_DEPTH) -> Column:
 
     Unreadable coordinates yield an empty array, never an error.
     """
-    kind = geometry_kind(v)
+    return let(geometry_kind(v), lambda kind: _positions_of(v, kind, collection_depth))
+
+
+def _positions_of(v: Column, kind: Column, collection_depth: int) -> Column:
     coords = _member(v, "coordinates")
     types = {0: "array<double>", 1: "array<array<double>>", 2: "array<array<array<double>>>",
              3: "array<array<array<array<double>>>>"}
@@ -180,9 +223,11 @@ def positions(v: Column, collection_depth: int = COLLECTION_DEPTH) -> Column:
             typed = F.flatten(typed)
         return F.transform(typed, lambda p: F.slice(p, 1, 2))
 
+    depth_col = _depth_of(kind)
     result = None
-    for name, depth in COORD_DEPTH.items():
-        result = F.when(kind == name, flat(depth)) if result is None else result.when(kind == name, flat(depth))
+    for depth in range(4):
+        result = F.when(depth_col == depth, flat(depth)) if result is None else \
+            result.when(depth_col == depth, flat(depth))
     if collection_depth > 0:
         members = _array(_member(v, "geometries"))
         result = result.when(kind == "GeometryCollection",
@@ -217,12 +262,17 @@ def round_geometry(v: Column, precision: int, collection_depth: int = COLLECTION
         return F.when(F.forall(F.flatten(_deep_flat(typed, depth)), lambda x: x.isNotNull()),
                       walk(typed, depth).cast("variant"))
 
-    kind = geometry_kind(v)
+    return let(geometry_kind(v), lambda kind: _round_of(v, kind, precision, rounded, collection_depth))
+
+
+def _round_of(v: Column, kind: Column, precision: int, rounded, collection_depth: int) -> Column:
     coords = _member(v, "coordinates")
+    depth_col = _depth_of(kind)
     new_coords = None
-    for name, depth in COORD_DEPTH.items():
+    for depth in range(4):
         branch = rounded(coords, depth)
-        new_coords = F.when(kind == name, branch) if new_coords is None else new_coords.when(kind == name, branch)
+        new_coords = F.when(depth_col == depth, branch) if new_coords is None else \
+            new_coords.when(depth_col == depth, branch)
     new_members = None
     if collection_depth > 0:
         members = _array(_member(v, "geometries"))

@@ -81,8 +81,9 @@ def with_fixtures(body: str, *names: str, extra: str = "") -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body if ctes else body
 
 
-def station_feature_json(prefix: str = "", precision: int = 3,
-                         props: tuple[str, ...] = ("country", "pm25", "segment", "station_id")) -> str:
+def station_feature_json(prefix: str = "", precision: int | None = 3,
+                         props: tuple[str, ...] = ("country", "pm25", "segment", "station_id"),
+                         rename: dict[str, str] | None = None) -> str:
     """Canonical feature JSON of a stations row after select(props) and round(precision)."""
     p = prefix
     render = {
@@ -93,8 +94,30 @@ def station_feature_json(prefix: str = "", precision: int = 3,
         "status": jstr(f"{p}status"),
         "key": f"CAST({p}key AS VARCHAR)",
     }
-    members = " || ',' || ".join(f"'\"{name}\":' || {render[name]}" for name in sorted(props))
-    lon = num(f"round({p}lon, {precision})")
-    lat = num(f"round({p}lat, {precision})")
+    rename = rename or {}
+    out = {rename.get(n, n): render[n] for n in props}
+    members = " || ',' || ".join(f"'\"{name}\":' || {out[name]}" for name in sorted(out))
+    lon = num(f"round({p}lon, {precision})" if precision is not None else f"{p}lon")
+    lat = num(f"round({p}lat, {precision})" if precision is not None else f"{p}lat")
     return (f"'{{\"geometry\":{{\"coordinates\":[' || {lon} || ',' || {lat} || '],\"type\":\"Point\"}},"
             f"\"properties\":{{' || {members} || '}}}}'")
+
+
+# The expected G1 message for each zones fault (k % 13).
+ZONE_PROBLEM_SQL = """CASE fault
+  WHEN 0 THEN NULL
+  WHEN 1 THEN 'geometry is null'
+  WHEN 2 THEN 'unknown geometry type ''Hexagon''; expected one of GeometryCollection, LineString, MultiLineString, MultiPoint, MultiPolygon, Point, Polygon'
+  WHEN 3 THEN 'Polygon geometry has no ''coordinates'''
+  WHEN 4 THEN 'Polygon: position must have 2 or 3 numbers, got 1'
+  WHEN 5 THEN 'Polygon: position components must be numbers'
+  WHEN 6 THEN 'Polygon: longitude 200.0 is outside [-180, 180]'
+  WHEN 7 THEN 'Polygon: latitude 95.0 is outside [-90, 90]'
+  WHEN 8 THEN 'Polygon: coordinate array must not be empty'
+  WHEN 9 THEN 'Polygon: a linear ring needs at least 4 positions, got 3'
+  WHEN 10 THEN 'Polygon: linear ring is not closed (first position != last)'
+  WHEN 11 THEN 'GeometryCollection needs a non-empty ''geometries'' array'
+  ELSE 'geometry must be an object, got list' END"""
+
+ZONE_TYPE_SQL = """CASE WHEN fault IN (1, 12) THEN 'null' WHEN fault = 2 THEN 'Hexagon'
+  WHEN fault = 11 THEN 'GeometryCollection' ELSE 'Polygon' END"""

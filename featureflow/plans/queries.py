@@ -320,3 +320,135 @@ def q_diff_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = F.col("added") + F.col("modified") + F.col("unchanged")
     return c.select(D.describe(F.col("added"), F.col("removed"), F.col("modified"), total,
                                F.lit(True), F.lit(False)).alias("description"))
+
+
+# --------------------------------------------------------------------------
+# Transforms (T*) and geometry (G*)
+# --------------------------------------------------------------------------
+
+from featureflow.functions import geo  # noqa: E402
+from featureflow.operators import transforms as TR  # noqa: E402
+from featureflow.plans.oracle import ZONE_PROBLEM_SQL, ZONE_TYPE_SQL  # noqa: E402
+
+
+def _json_out(df: DataFrame) -> DataFrame:
+    return df.select(F.col("_ord").alias("ord"), feature_json(df).alias("feature_json"))
+
+
+@query("t_filter", with_fixtures("SELECT key FROM stations WHERE pm25 > 1000 AND status = 'active' "
+                                 "AND segment IS DISTINCT FROM 'BUILDING'", "stations"))
+def q_t_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL-string and Column conditions, null-safe."""
+    df = TR.t_filter(X.stations(spark, sf_dir), "pm25 > 1000 AND status = 'active'")
+    return TR.t_filter(df, P.ne(F.col("segment"), "BUILDING")).select("key")
+
+
+@query("t_select", with_fixtures(
+    f"SELECT ord, {station_feature_json(precision=None, props=('segment', 'station_id'))} AS feature_json "
+    "FROM stations", "stations"))
+def q_t_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep listed properties; an absent name is skipped."""
+    return _json_out(TR.t_select(X.stations(spark, sf_dir), ["segment", "station_id", "no_such_property"]))
+
+
+@query("t_rename", with_fixtures(
+    f"SELECT ord, {station_feature_json(precision=None, props=('key', 'station_id', 'country', 'pm25', 'segment'), rename={'pm25': 'pm', 'segment': 'status'})} "
+    "AS feature_json FROM stations", "stations"))
+def q_t_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rename; on a name collision the later property wins."""
+    return _json_out(TR.t_rename(X.stations(spark, sf_dir), {"pm25": "pm", "segment": "status"}))
+
+
+_TRACK_SQL = "'T-' || CAST(user_id AS VARCHAR) || '-' || CAST(chunk AS VARCHAR)"
+
+
+@query("t_round", with_fixtures(
+    f"SELECT {_TRACK_SQL} AS track_id, '{{\"coordinates\":[' || string_agg('[' || {num('round(lon, 2)')} || ',' || "
+    f"{num('round(lat, 2)')} || ']', ',' ORDER BY event_id) || '],\"type\":\"LineString\"}}' AS geometry "
+    "FROM tracks GROUP BY user_id, chunk", "tracks"))
+def q_t_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: coordinates rounded to 2 places (tracks), canonical text."""
+    df = TR.t_round(X.tracks(spark, sf_dir), 2)
+    return df.select("track_id", F.to_json("geometry").alias("geometry"))
+
+
+@query("t_drop_invalid", with_fixtures("SELECT key FROM zones WHERE fault = 0", "zones"))
+def q_t_drop_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: only structurally sound zones survive."""
+    return TR.t_drop_invalid(X.zone_features(spark, sf_dir)).select("key")
+
+
+@query("t_drop_reasons", with_fixtures(
+    f"""SELECT count(*) AS rejected,
+          string_agg('feature ' || CAST(idx AS VARCHAR) || ': ' || problem, '; ' ORDER BY ord)
+          FILTER (WHERE rk <= 3) || CASE WHEN count(*) > 3 THEN ' (+' || CAST(count(*) - 3 AS VARCHAR) || ' more)'
+          ELSE '' END AS detail
+        FROM (SELECT ord, problem, idx, row_number() OVER (ORDER BY ord) AS rk FROM
+              (SELECT ord, {ZONE_PROBLEM_SQL} AS problem, row_number() OVER (ORDER BY ord) - 1 AS idx FROM zones)
+              WHERE problem IS NOT NULL)""", "zones"))
+def q_t_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 report: reject count and the first three reasons with their positions."""
+    return TR.drop_reasons(X.zone_features(spark, sf_dir))
+
+
+@query("t_report", with_fixtures(
+    """SELECT * FROM (
+         SELECT 1 AS step_no, 'filter' AS step, 'status != ''decommissioned''' AS detail, count(*) AS features_in,
+                count_if(status IS DISTINCT FROM 'decommissioned') AS features_out FROM stations
+         UNION ALL SELECT 2, 'select', 'station_id, country, pm25, segment',
+                count_if(status IS DISTINCT FROM 'decommissioned'), count_if(status IS DISTINCT FROM 'decommissioned')
+                FROM stations
+         UNION ALL SELECT 3, 'round', '3 decimal places', count_if(status IS DISTINCT FROM 'decommissioned'),
+                count_if(status IS DISTINCT FROM 'decommissioned') FROM stations)
+       , LATERAL (SELECT CAST(greatest(0, features_in - features_out) AS BIGINT) AS removed)""", "stations"))
+def q_t_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in/out per step from one aggregation pass."""
+    return TR.step_counts(X.stations(spark, sf_dir), STATION_STEPS)
+
+
+@query("t_chain", with_fixtures(
+    f"SELECT ord, {station_feature_json(precision=2, props=('station_id', 'pm25', 'country'), rename={'pm25': 'pm'})} "
+    "AS feature_json FROM stations WHERE pm25 > 0", "stations"))
+def q_t_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filter -> rename -> select -> round, in order."""
+    steps = [Step("filter", "pm25 > 0"), Step("rename", {"pm25": "pm"}), Step("select", ["station_id", "pm", "country"]),
+             Step("round", 2)]
+    return _json_out(apply_steps(X.stations(spark, sf_dir), steps))
+
+
+@query("geometry_problem", with_fixtures(f"SELECT key, {ZONE_PROBLEM_SQL} AS problem FROM zones", "zones"))
+def q_geometry_problem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1: first structural problem of each zone geometry."""
+    return X.zone_features(spark, sf_dir).select("key", geo.geometry_problem(F.col("geometry")).alias("problem"))
+
+
+@query("geometry_types", with_fixtures(
+    f"SELECT {ZONE_TYPE_SQL} AS geometry_type, count(*) AS n, count_if(fault = 0) AS n_valid "
+    "FROM zones GROUP BY 1", "zones"))
+def q_geometry_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geometry type histogram with the valid count."""
+    g = F.col("geometry")
+    kind = F.when(F.schema_of_variant(g).startswith("OBJECT"),
+                  F.coalesce(F.try_variant_get(g, "$.type", "string"), F.lit("null"))).otherwise(F.lit("null"))
+    df = X.zone_features(spark, sf_dir).select(kind.alias("geometry_type"),
+                                               geo.geometry_problem(g).isNull().alias("valid"))
+    return df.groupBy("geometry_type").agg(F.count(F.lit(1)).alias("n"), F.count_if("valid").alias("n_valid"))
+
+
+@query("positions", with_fixtures(f"SELECT {_TRACK_SQL} AS track_id, lon, lat FROM tracks", "tracks"))
+def q_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every position of every track."""
+    df = X.tracks(spark, sf_dir).select("track_id", F.explode(geo.positions(F.col("geometry"))).alias("p"))
+    return df.select("track_id", F.col("p")[0].alias("lon"), F.col("p")[1].alias("lat"))
+
+
+@query("bbox", with_fixtures(
+    "SELECT user_id, min(lon) AS min_lon, min(lat) AS min_lat, max(lon) AS max_lon, max(lat) AS max_lat "
+    "FROM tracks GROUP BY user_id", "tracks"))
+def q_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounding box per user over all their tracks (per-row min/max, then partial aggregation)."""
+    df = X.tracks(spark, sf_dir)
+    a, b, c, d = geo.bbox_parts(F.col("geometry"))
+    return (df.select("user_id", a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d"))
+            .groupBy("user_id").agg(F.min("a").alias("min_lon"), F.min("b").alias("min_lat"),
+                                    F.max("c").alias("max_lon"), F.max("d").alias("max_lat")))
