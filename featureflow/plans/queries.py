@@ -452,3 +452,84 @@ def q_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (df.select("user_id", a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d"))
             .groupBy("user_id").agg(F.min("a").alias("min_lon"), F.min("b").alias("min_lat"),
                                     F.max("c").alias("max_lon"), F.max("d").alias("max_lat")))
+
+
+# --------------------------------------------------------------------------
+# Filter predicates with the reference language's null rules (P*)
+# --------------------------------------------------------------------------
+
+from pyspark.sql import types as T  # noqa: E402
+
+_S, _D, _B = T.StringType(), T.DoubleType(), T.BooleanType()
+
+
+def _pred(name: str, sql_cols: str, build):
+    """Register ``SELECT key, <cols> FROM stations`` in both engines."""
+
+    @query(name, with_fixtures(f"SELECT key, {sql_cols} FROM stations", "stations"))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = X.stations(spark, sf_dir)
+        return df.select("key", *[c.alias(n) for n, c in build(df).items()])
+
+    run.__doc__ = f"{name}: predicate helper over every station."
+    return run
+
+
+_pred("p_missing_property", "false AS result, true AS result_not",
+      lambda df: {"result": P.gt(P.prop(df, "altitude"), 10), "result_not": ~P.gt(P.prop(df, "altitude"), 10)})
+_pred("p_eq", "segment IS NOT DISTINCT FROM 'BUILDING' AS result, segment IS NULL AS eq_null",
+      lambda df: {"result": P.eq(F.col("segment"), "BUILDING"), "eq_null": P.eq(F.col("segment"), None)})
+_pred("p_ne", "segment IS DISTINCT FROM 'BUILDING' AS result",
+      lambda df: {"result": P.ne(F.col("segment"), "BUILDING")})
+_pred("p_order", "coalesce(segment > 'FURNITURE', false) AS gt, NOT coalesce(segment > 'FURNITURE', false) AS not_gt, "
+      "pm25 <= 100 AS le",
+      lambda df: {"gt": P.gt(F.col("segment"), "FURNITURE"), "not_gt": ~P.gt(F.col("segment"), "FURNITURE"),
+                  "le": P.le(F.col("pm25"), 100)})
+_pred("p_chain", "1000 < pm25 AND pm25 <= 5000 AS result",
+      lambda df: {"result": P.chain(F.lit(1000), ("<", F.col("pm25")), ("<=", 5000))})
+_pred("p_in", "country IN (1, 2, 3) AS in_list, (segment IN ('BUILDING') OR segment IS NULL) AS in_with_null",
+      lambda df: {"in_list": P.is_in(F.col("country"), [1, 2, 3]),
+                  "in_with_null": P.is_in(F.col("segment"), ["BUILDING", None])})
+_pred("p_not_in", "NOT coalesce(segment IN ('BUILDING', 'MACHINERY'), false) AS result, true AS null_container",
+      lambda df: {"result": P.not_in(F.col("segment"), ["BUILDING", "MACHINERY"]),
+                  "null_container": P.not_in(F.col("segment"), None)})
+_pred("p_is", "segment IS NULL AS is_none, segment IS NOT NULL AS is_not_none",
+      lambda df: {"is_none": P.is_(F.col("segment"), None), "is_not_none": P.is_not(F.col("segment"), None)})
+_pred("p_bool", "coalesce(segment, status) AS or_value, "
+      "CASE WHEN coalesce(length(segment) > 0, false) THEN status ELSE segment END AS and_value, "
+      "NOT coalesce(length(segment) > 0, false) AS not_value, "
+      "(pm25 <> 0 AND country <> 0) AS both_truthy",
+      lambda df: {"or_value": P.py_or(F.col("segment"), _S, F.col("status")),
+                  "and_value": P.py_and(F.col("segment"), _S, F.col("status")),
+                  "not_value": P.py_not(F.col("segment"), _S),
+                  "both_truthy": P.truthy(F.col("pm25"), _D) & P.truthy(F.col("country"), T.IntegerType())})
+_pred("p_arith", "pm25 * 2 + country - 1 AS expr, -pm25 AS neg",
+      lambda df: {"expr": F.col("pm25") * 2 + F.col("country") - 1, "neg": -F.col("pm25")})
+_pred("p_div", "pm25 / (country + 1) AS result",
+      lambda df: {"result": P.div(F.col("pm25"), F.col("country") + 1)})
+_pred("p_floordiv_mod", "CAST(floor((key - 700) / 7) AS BIGINT) AS floordiv, "
+      "((key - 700) % -7 + -7) % -7 AS mod_neg, ((key - 700) % 7 + 7) % 7 AS mod_pos",
+      lambda df: {"floordiv": P.floordiv(F.col("key") - 700, 7), "mod_neg": P.mod(F.col("key") - 700, -7),
+                  "mod_pos": P.mod(F.col("key") - 700, 7)})
+_pred("p_ifexp", "CASE WHEN coalesce(length(segment) > 0, false) THEN 'A' ELSE 'B' END AS result",
+      lambda df: {"result": P.if_else(F.col("segment"), _S, "A", "B")})
+_pred("p_len", "CAST(coalesce(length(segment), 0) AS BIGINT) AS result",
+      lambda df: {"result": P.length(F.col("segment"), _S)})
+_pred("p_case", "lower(station_id) AS low, upper(lower(segment)) AS up",
+      lambda df: {"low": P.lower(F.col("station_id")), "up": P.upper(F.lower(F.col("segment")))})
+_pred("p_abs", "abs(pm25) AS result", lambda df: {"result": F.abs(F.col("pm25"))})
+_pred("p_casts", "CAST(trunc(pm25) AS BIGINT) AS as_int, CAST(country AS DOUBLE) AS as_float",
+      lambda df: {"as_int": P.to_int(F.col("pm25")), "as_float": P.to_float(F.col("country"))})
+_pred("p_str_bool", "coalesce(segment, '') AS as_str, pm25 <> 0 AS as_bool",
+      lambda df: {"as_str": P.to_str(F.col("segment")), "as_bool": P.truthy(F.col("pm25"), _D)})
+_pred("p_affix", "coalesce(starts_with(segment, 'BUILD'), false) AS starts, "
+      "coalesce(suffix(station_id, '7'), false) AS ends, false AS non_string",
+      lambda df: {"starts": P.startswith(F.col("segment"), _S, "BUILD"),
+                  "ends": P.endswith(F.col("station_id"), _S, "7"),
+                  "non_string": P.startswith(F.col("pm25"), _D, "1")})
+_pred("p_contains", "coalesce(contains(segment, 'NIT'), false) AS substring, "
+      "coalesce(list_contains([segment, status], 'active'), false) AS member",
+      lambda df: {"substring": P.contains(F.col("segment"), _S, "NIT"),
+                  "member": P.contains(F.array("segment", "status"), T.ArrayType(_S), "active")})
+_pred("p_null_fns", "segment IS NULL AS null_check, coalesce(segment, status) AS first_present",
+      lambda df: {"null_check": P.is_null(F.col("segment")), "first_present": P.coalesce(F.col("segment"), F.col("status"))})
