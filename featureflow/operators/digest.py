@@ -18,6 +18,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featureflow.functions.canonical import json_text, object_text
 from featureflow.operators import property_fields
@@ -35,7 +36,11 @@ def feature_json(df: DataFrame) -> Column:
         props = object_text({f.name: (F.col(f.name), f.dataType) for f in property_fields(df)})
     parts = [F.lit('{"geometry":'), geometry]
     if "_id" in df.columns:
-        parts += [F.lit(',"id":'), json_text(F.col("_id"), df.schema["_id"].dataType)]
+        id_type = df.schema["_id"].dataType
+        if isinstance(id_type, T.VariantType):  # parsed sources: "id" only where the item had one
+            parts += [F.when(F.col("_id").isNotNull(), F.concat(F.lit(',"id":'), F.to_json("_id"))).otherwise(F.lit(""))]
+        else:
+            parts += [F.lit(',"id":'), json_text(F.col("_id"), id_type)]
     parts += [F.lit(',"properties":'), props, F.lit("}")]
     return F.concat(*parts)
 

@@ -172,3 +172,122 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(
         F.concat_ws("-", F.lit("T"), F.col("user_id").cast("string"), F.col("chunk").cast("string")).alias("track_id"),
         "user_id", F.size("pts").alias("n_points"), line.alias("geometry"), F.col("first_event").alias("_ord"))
+
+
+def _event_cols(e: DataFrame) -> DataFrame:
+    k = F.col("event_id")
+    return e.select("event_id", "event_type", "value", "user_id", "ts",
+                    F.get_json_object("props", "$.k").cast("int").alias("k"),
+                    lon_of(k).alias("lon"), lat_of(k).alias("lat"),
+                    (k / DOC_CHUNK).cast("long").alias("chunk"))
+
+
+def _feature_struct() -> Column:
+    return F.struct(
+        F.col("event_id").alias("_sort"),
+        F.lit("Feature").alias("type"),
+        F.col("event_id").alias("id"),
+        F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates")).alias("geometry"),
+        F.struct("event_type", "k", "value").alias("properties"),
+    )
+
+
+def _drop_sort(arr: Column) -> Column:
+    return F.transform(arr, lambda s: s.dropFields("_sort"))
+
+
+def geojson_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FeatureCollection documents of 50 consecutive events each: ``(_doc, value)``."""
+    ev = _event_cols(table(spark, sf_dir, "events"))
+    grouped = ev.groupBy("chunk").agg(F.array_sort(F.collect_list(_feature_struct())).alias("fs"))
+    doc = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), _drop_sort(F.col("fs")).alias("features")))
+    return grouped.select(F.col("chunk").alias("_doc"), doc.alias("value"))
+
+
+def shape_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per event, shaped by ``event_id % 4``: collection, array, bare Feature, bare geometry."""
+    ev = _event_cols(table(spark, sf_dir, "events"))
+    feat = _feature_struct().dropFields("_sort")
+    shape = F.col("event_id") % 4
+    geom = F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates"))
+    text = (F.when(shape == 0, F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
+                                                  F.array(feat).alias("features"))))
+            .when(shape == 1, F.to_json(F.array(feat)))
+            .when(shape == 2, F.to_json(feat))
+            .otherwise(F.to_json(geom)))
+    return ev.select(F.col("event_id").alias("_doc"), text.alias("value"))
+
+
+def problem_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per event with a fault chosen by ``event_id % 10`` (0 is sound)."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    good = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.array(F.struct(
+        F.lit("Feature").alias("type"), k.alias("id"),
+        F.struct(F.lit("Point").alias("type"), F.array(lon_of(k), lat_of(k)).alias("coordinates")).alias("geometry"),
+        F.struct("event_type").alias("properties"))).alias("features")))
+    fault = k % 10
+    text = (F.when(fault == 0, good).when(fault == 1, F.lit("  "))
+            .when(fault == 2, F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.col("props")))
+            .when(fault == 3, F.lit("[1, 2]"))
+            .when(fault == 4, F.lit('{"type": "Topology"}'))
+            .when(fault == 5, F.lit('{"type": "FeatureCollection"}'))
+            .when(fault == 6, F.lit('{"type": "FeatureCollection", "features": {}}'))
+            .when(fault == 7, F.concat(F.lit('"'), F.col("event_type"), F.lit('"')))
+            .when(fault == 8, F.lit('{"type": "FeatureCollection", "features": [{"type": "Point"}]}'))
+            .otherwise(F.lit('[{"type": "Feature", "properties": [1]}]')))
+    return e.select(k.alias("_doc"), text.alias("value"))
+
+
+def json_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``{"data": {"items": [...], "byid": {...}}, "odd.key": chunk}`` per 50 events."""
+    ev = _event_cols(table(spark, sf_dir, "events"))
+    item = F.struct(F.col("event_id").alias("id"), "k", "lon", "lat", F.col("event_type").alias("type"))
+    grouped = ev.groupBy("chunk").agg(
+        F.array_sort(F.collect_list(item)).alias("items"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("event_id").cast("string"), F.col("k")))).alias("byid"))
+    doc = F.to_json(F.struct(F.struct("items", "byid").alias("data"), F.col("chunk").alias("odd.key")))
+    return grouped.select(F.col("chunk").alias("_doc"), doc.alias("value"))
+
+
+def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed responses: one per event, status by ``event_id % 10``."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    status = (F.when(k % 10 == 6, 404).when(k % 10 == 7, 429).when(k % 10 == 8, 500)
+              .when(k % 10 == 9, 503).otherwise(200))
+    url = F.when(k % 3 == 0, F.concat(F.lit("https://user:pw"), F.col("user_id").cast("string"),
+                                      F.lit("@api.example.com/"), F.col("event_type")))
+    url = url.otherwise(F.concat(F.lit("https://api.example.com/"), F.col("event_type")))
+    return e.select(F.col("event_type").alias("source"), k.alias("event_id"), url.alias("url"),
+                    status.alias("status"), F.col("ts").alias("fetched_at"),
+                    F.concat(F.lit('W/"'), k.cast("string"), F.lit('"')).alias("etag"),
+                    (F.lit(1) + k % 4).alias("attempts"), F.length("props").cast("long").alias("bytes_read"))
+
+
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV cell texts by ``o_orderkey % 12``."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    m = k % 12
+    text = (F.when(m == 0, F.lpad(k.cast("string"), 8, "0"))
+            .when(m == 1, F.format_string("%.2f", F.col("o_totalprice")))
+            .when(m == 2, F.lit(" 5 ")).when(m == 3, F.lit("true")).when(m == 4, F.lit("FALSE"))
+            .when(m == 5, F.lit("null")).when(m == 6, F.lit("")).when(m == 7, F.lit("+44"))
+            .when(m == 8, F.lit("1e5")).when(m == 9, F.lit("-0")).when(m == 10, k.cast("string"))
+            .otherwise(F.concat(F.lit(" "), F.col("o_orderpriority"))))
+    return o.select(k.alias("key"), text.alias("cell"))
+
+
+def station_csv_lines(spark: SparkSession, sf_dir: str, sep: str = ";", ragged: bool = False) -> DataFrame:
+    """``stations`` as CSV data lines ``(key, value)``; ragged rows by ``key % 7`` when asked."""
+    s = stations_raw(spark, sf_dir)
+    k = F.col("key")
+    pm = F.format_string("%.2f", F.col("pm25"))
+    base = [F.col("station_id"), F.col("country").cast("string"), F.col("lon").cast("string"),
+            F.col("lat").cast("string")]
+    line = F.concat_ws(sep, *base, pm)
+    if ragged:
+        line = (F.when(k % 7 == 0, F.concat_ws(sep, *base, pm, F.lit("extra")))
+                .when(k % 7 == 1, F.concat_ws(sep, *base)).otherwise(line))
+    return s.select("key", line.alias("value"))

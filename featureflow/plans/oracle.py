@@ -121,3 +121,32 @@ ZONE_PROBLEM_SQL = """CASE fault
 
 ZONE_TYPE_SQL = """CASE WHEN fault IN (1, 12) THEN 'null' WHEN fault = 2 THEN 'Hexagon'
   WHEN fault = 11 THEN 'GeometryCollection' ELSE 'Polygon' END"""
+
+FIXTURE_SQL["ev"] = """
+    SELECT event_id, event_type, value, user_id, ts, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+           CAST((event_id * 7919) % 359999 AS DOUBLE) / 1000 - 179.99969 AS lon,
+           CAST((event_id * 104729) % 179999 AS DOUBLE) / 1000 - 89.99969 AS lat,
+           CAST(floor(event_id / 50) AS BIGINT) AS chunk, props
+    FROM events"""
+
+FIXTURE_SQL["landing"] = """
+    SELECT event_type AS source, event_id,
+           CASE WHEN event_id % 3 = 0 THEN 'https://user:pw' || CAST(user_id AS VARCHAR) || '@api.example.com/' || event_type
+                ELSE 'https://api.example.com/' || event_type END AS url,
+           CASE event_id % 10 WHEN 6 THEN 404 WHEN 7 THEN 429 WHEN 8 THEN 500 WHEN 9 THEN 503 ELSE 200 END AS status,
+           ts AS fetched_at, 'W/"' || CAST(event_id AS VARCHAR) || '"' AS etag, 1 + event_id % 4 AS attempts,
+           CAST(length(props) AS BIGINT) AS bytes_read
+    FROM events"""
+
+# Expected problem per problem_docs fault (event_id % 10).
+DOC_PROBLEM_SQL = """CASE event_id % 10
+  WHEN 0 THEN NULL
+  WHEN 1 THEN 'payload is empty; expected a JSON document'
+  WHEN 2 THEN 'invalid JSON'
+  WHEN 3 THEN 'feature 0 is a int, expected a GeoJSON Feature object'
+  WHEN 4 THEN 'unrecognised GeoJSON: top-level ''type'' is ''Topology''. Expected ''FeatureCollection'', ''Feature'' or a geometry object.'
+  WHEN 5 THEN 'FeatureCollection has no ''features'' member'
+  WHEN 6 THEN 'FeatureCollection ''features'' must be an array, got dict'
+  WHEN 7 THEN 'expected a GeoJSON object, got str'
+  WHEN 8 THEN 'feature 0 has type ''Point'', expected ''Feature'''
+  ELSE 'feature 0: ''properties'' must be an object or null, got list' END"""

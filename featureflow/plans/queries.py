@@ -533,3 +533,261 @@ _pred("p_contains", "coalesce(contains(segment, 'NIT'), false) AS substring, "
                   "member": P.contains(F.array("segment", "status"), T.ArrayType(_S), "active")})
 _pred("p_null_fns", "segment IS NULL AS null_check, coalesce(segment, status) AS first_present",
       lambda df: {"null_check": P.is_null(F.col("segment")), "first_present": P.coalesce(F.col("segment"), F.col("status"))})
+
+
+# --------------------------------------------------------------------------
+# Sources (S*) and record mapping (B*)
+# --------------------------------------------------------------------------
+
+from featureflow.operators import features as B  # noqa: E402
+from featureflow.sources import csv as CSV  # noqa: E402
+from featureflow.sources import geojson as GJ  # noqa: E402
+from featureflow.sources import jsonrec as JR  # noqa: E402
+from featureflow.sources import landing as LD  # noqa: E402
+from featureflow.sources.files import file_freshness  # noqa: E402
+from featureflow.sources.sql import scan_sql  # noqa: E402
+from featureflow.plans.oracle import DOC_PROBLEM_SQL  # noqa: E402
+
+
+def _point_cols(df: DataFrame) -> list:
+    g = F.col("geometry")
+    return [F.variant_get(g, "$.coordinates[0]", "double").alias("lon"),
+            F.variant_get(g, "$.coordinates[1]", "double").alias("lat")]
+
+
+@query("scan_geojson", with_fixtures(
+    "SELECT chunk AS doc, CAST(row_number() OVER (PARTITION BY chunk ORDER BY event_id) - 1 AS BIGINT) AS pos, "
+    "CAST(event_id AS VARCHAR) AS id, event_type, k, lon, lat FROM ev", "ev"))
+def q_scan_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FeatureCollection documents exploded to features (position kept)."""
+    f = GJ.parse_geojson(X.geojson_docs(spark, sf_dir))
+    return f.select(F.col("_doc").alias("doc"), F.col("_ord").alias("pos"), F.to_json("_id").alias("id"),
+                    F.variant_get("_props", "$.event_type", "string").alias("event_type"),
+                    F.variant_get("_props", "$.k", "int").alias("k"), *_point_cols(f))
+
+
+@query("scan_geojson_shapes", with_fixtures(
+    "SELECT event_id AS doc, CAST(0 AS BIGINT) AS pos, CASE WHEN event_id % 4 = 3 THEN NULL "
+    "ELSE CAST(event_id AS VARCHAR) END AS id, CASE WHEN event_id % 4 = 3 THEN 0 ELSE 3 END AS n_props, lon, lat "
+    "FROM ev", "ev"))
+def q_scan_geojson_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collection / array / bare Feature / bare geometry documents, one feature each."""
+    f = GJ.parse_geojson(X.shape_docs(spark, sf_dir))
+    n_props = F.size(F.map_keys(F.variant_get("_props", "$", "map<string,variant>")))
+    return f.select(F.col("_doc").alias("doc"), F.col("_ord").alias("pos"), F.to_json("_id").alias("id"),
+                    n_props.alias("n_props"), *_point_cols(f))
+
+
+@query("payload_problems", with_fixtures(f"SELECT event_id AS doc, {DOC_PROBLEM_SQL} AS problem FROM events"))
+def q_payload_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first reason a document cannot be used, or null."""
+    docs = X.problem_docs(spark, sf_dir)
+    doc = F.try_parse_json("value")
+    items = GJ.feature_items(doc)
+    first_item = F.get(F.filter(F.transform(items, lambda x, i: GJ.item_problem(x, i)), lambda p: p.isNotNull()), 0)
+    return docs.select(F.col("_doc").alias("doc"), F.coalesce(GJ.document_problem(F.col("value")), first_item)
+                       .alias("problem"))
+
+
+@query("scan_json_records", with_fixtures(
+    "SELECT chunk AS doc, CAST(row_number() OVER (PARTITION BY chunk ORDER BY event_id) - 1 AS BIGINT) AS pos, "
+    "event_id AS id, event_type AS type, lon, lat FROM ev", "ev"))
+def q_scan_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + B1: records under ``$.data.items`` mapped to points."""
+    records, _ = JR.scan_json_records(X.json_docs(spark, sf_dir), "$.data.items")
+    r = F.col("rec")
+    recs = records.select("_doc", "_ord", F.variant_get(r, "$.id", "long").alias("id"),
+                          F.variant_get(r, "$.type", "string").alias("type"),
+                          F.variant_get(r, "$.lon", "variant").alias("lon_v"),
+                          F.variant_get(r, "$.lat", "variant").alias("lat_v"))
+    f = B.map_point(recs, "lon_v", "lat_v")
+    return f.select(F.col("_doc").alias("doc"), F.col("_ord").alias("pos"), "id", "type", *_point_cols(f))
+
+
+@query("select_path", with_fixtures(
+    "SELECT chunk AS doc, min(event_id) AS first_id, max(event_id) AS last_id, chunk AS odd, "
+    "arg_max(k, event_id) AS last_k FROM ev GROUP BY chunk", "ev"))
+def q_select_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index, negative index and quoted-member selectors."""
+    docs = X.json_docs(spark, sf_dir)
+    d = F.try_parse_json("value")
+    first, _ = JR.select_path(d, "$.data.items[0].id")
+    last, _ = JR.select_path(d, "$.data.items[-1].id")
+    odd, _ = JR.select_path(d, '$["odd.key"]')
+    last_k, _ = JR.select_path(d, "data.items[-1].k")
+    return docs.select(F.col("_doc").alias("doc"), F.variant_get(first, "$", "long").alias("first_id"),
+                       F.variant_get(last, "$", "long").alias("last_id"), F.variant_get(odd, "$", "long").alias("odd"),
+                       F.variant_get(last_k, "$", "int").alias("last_k"))
+
+
+@query("select_wildcard", with_fixtures(
+    "SELECT chunk AS doc, count(*) AS n_values, CAST(sum(k) AS BIGINT) AS total_k, count(*) AS n_items "
+    "FROM ev GROUP BY chunk", "ev"))
+def q_select_wildcard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``[*]`` over an object's values and over a list."""
+    docs = X.json_docs(spark, sf_dir)
+    d = F.try_parse_json("value")
+    vals, _ = JR.select_path(d, "$.data.byid[*]")
+    items, _ = JR.select_path(d, "$.data.items[*]")
+    arr = F.variant_get(vals, "$", "array<bigint>")
+    return docs.select(F.col("_doc").alias("doc"), F.size(arr).cast("long").alias("n_values"),
+                       F.aggregate(arr, F.lit(0).cast("long"), lambda a, x: a + x).alias("total_k"),
+                       F.size(F.variant_get(items, "$", "array<variant>")).cast("long").alias("n_items"))
+
+
+@query("scan_csv", with_fixtures(
+    "SELECT station_id, country, lon, lat, CASE WHEN right(printf('%.2f', pm25), 1) = '0' THEN 'str' ELSE 'float' END "
+    "AS pm25_kind FROM stations", "stations"))
+def q_scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6/S7: ';'-delimited lines (delimiter sniffed from the header) coerced and mapped to points."""
+    header = "station_id;country;lon;lat;pm25"
+    sep = CSV.sniff_delimiter(header)
+    rows = CSV.parse_lines(X.station_csv_lines(spark, sf_dir, sep), header.split(sep), sep)
+    f = B.map_point(rows.withColumn("_ord", F.col("key")), "lon", "lat")
+    return f.select("station_id", F.variant_get(CSV.coerce(F.col("country")), "$", "int").alias("country"),
+                    *_point_cols(f), CSV.coerce_kind(F.col("pm25")).alias("pm25_kind"))
+
+
+@query("csv_coerce", with_fixtures(
+    """SELECT o_orderkey AS key, cell, CASE o_orderkey % 12 WHEN 0 THEN CASE WHEN cell LIKE '0%' THEN 'str' ELSE 'int' END
+         WHEN 1 THEN CASE WHEN right(cell, 1) = '0' THEN 'str' ELSE 'float' END
+         WHEN 2 THEN 'int' WHEN 3 THEN 'bool' WHEN 4 THEN 'bool' WHEN 5 THEN 'null' WHEN 6 THEN 'null'
+         WHEN 7 THEN 'str' WHEN 8 THEN 'str' WHEN 9 THEN 'str' WHEN 10 THEN 'int' ELSE 'str' END AS kind
+       FROM (SELECT o_orderkey, CASE o_orderkey % 12 WHEN 0 THEN lpad(CAST(o_orderkey AS VARCHAR), 8, '0')
+         WHEN 1 THEN printf('%.2f', o_totalprice) WHEN 2 THEN ' 5 ' WHEN 3 THEN 'true' WHEN 4 THEN 'FALSE'
+         WHEN 5 THEN 'null' WHEN 6 THEN '' WHEN 7 THEN '+44' WHEN 8 THEN '1e5' WHEN 9 THEN '-0'
+         WHEN 10 THEN CAST(o_orderkey AS VARCHAR) ELSE ' ' || o_orderpriority END AS cell FROM orders)"""))
+def q_csv_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-cell type coercion with exact round-trip rules."""
+    c = X.cells(spark, sf_dir)
+    return c.select("key", "cell", CSV.coerce_kind(F.col("cell")).alias("kind"))
+
+
+@query("csv_ragged", with_fixtures(
+    "SELECT key, key % 7 = 0 AS too_many, CASE WHEN key % 7 = 1 THEN NULL ELSE printf('%.2f', pm25) END AS pm25 "
+    "FROM stations", "stations"))
+def q_csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longer rows flagged, shorter rows null-filled."""
+    header = ["station_id", "country", "lon", "lat", "pm25"]
+    rows = CSV.parse_lines(X.station_csv_lines(spark, sf_dir, ",", ragged=True), header, ",")
+    return rows.select("key", F.col("_too_many").alias("too_many"), "pm25")
+
+
+@query("scan_sql", with_fixtures(
+    "SELECT code, name, CAST((code * 7919) % 359999 AS DOUBLE) / 1000 - 179.99969 AS lon, "
+    "CAST((code * 104729) % 179999 AS DOUBLE) / 1000 - 89.99969 AS lat FROM "
+    "(SELECT c_custkey AS code, c_name AS name FROM customer WHERE c_acctbal > 0)"))
+def q_scan_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A SQL statement as a source, its rows mapped to points."""
+    X.table(spark, sf_dir, "customer").createOrReplaceTempView("ff_customer")
+    rows = scan_sql(spark, "SELECT c_custkey AS code, c_name AS name, "
+                           "CAST((c_custkey * 7919) % 359999 AS DOUBLE) / 1000 - 179.99969 AS lon, "
+                           "CAST((c_custkey * 104729) % 179999 AS DOUBLE) / 1000 - 89.99969 AS lat "
+                           "FROM ff_customer WHERE c_acctbal > 0")
+    f = B.map_point(rows.withColumn("_ord", F.col("code")), "lon", "lat")
+    return f.select("code", "name", *_point_cols(f))
+
+
+@query("file_freshness")
+def q_file_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and HTTP-date mtime of the table files, without reading their bytes."""
+    return file_freshness(spark, f"{sf_dir}/*.parquet")
+
+
+@query("landing_latest", with_fixtures(
+    "SELECT source, strftime(arg_max(fetched_at, fetched_at), '%Y-%m-%dT%H:%M:%SZ') AS fetched_at, "
+    "arg_max(etag, fetched_at) AS etag, arg_max(attempts, fetched_at) AS attempts "
+    "FROM landing WHERE status < 400 GROUP BY source", "landing"))
+def q_landing_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest successful landed response per source."""
+    latest = LD.latest_success(X.landing(spark, sf_dir))
+    from featureflow.functions.freshness import iso8601
+    return latest.select("source", iso8601(F.col("fetched_at")).alias("fetched_at"), "etag", "attempts")
+
+
+@query("landing_status_classes", with_fixtures(
+    "SELECT source, CASE WHEN status < 400 THEN 'ok' WHEN status IN (408, 425, 429, 500, 502, 503, 504, 507, 509) "
+    "THEN 'transient' ELSE 'permanent' END AS class, count(*) AS n FROM landing GROUP BY 1, 2", "landing"))
+def q_landing_status_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses per source and status class."""
+    ld = X.landing(spark, sf_dir)
+    return ld.groupBy("source", LD.status_class(F.col("status")).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("decode_payload", with_fixtures("SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS n_bytes, "
+                                       "true AS valid_utf8 FROM pages"))
+def q_decode_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload bytes and UTF-8 validity of landed pages."""
+    p = X.table(spark, sf_dir, "pages")
+    content = F.encode("html", "UTF-8")
+    return p.select("page_id", F.octet_length(content).cast("long").alias("n_bytes"),
+                    CSV.decode_check(content).alias("valid_utf8"))
+
+
+@query("fetch_stats", with_fixtures(
+    "SELECT source, count(*) AS responses, CAST(sum(bytes_read) AS BIGINT) AS bytes_read, max(attempts) AS max_attempts, "
+    "count_if(status < 400) AS ok, count_if(status IN (408, 425, 429, 500, 502, 503, 504, 507, 509)) AS transient, "
+    "count_if(status >= 400 AND status NOT IN (408, 425, 429, 500, 502, 503, 504, 507, 509)) AS permanent "
+    "FROM landing GROUP BY source", "landing"))
+def q_fetch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetch statistics per source."""
+    return LD.fetch_stats(X.landing(spark, sf_dir))
+
+
+@query("redact_origin", with_fixtures(
+    "SELECT event_id, regexp_replace(url, '^(.*?)://.*@', '\\1://***@') AS origin FROM landing", "landing"))
+def q_redact_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Origins with credentials removed."""
+    return X.landing(spark, sf_dir).select("event_id", LD.redact_origin(F.col("url")).alias("origin"))
+
+
+@query("map_point", with_fixtures(
+    """SELECT key, CASE WHEN key % 31 = 0 OR key % 37 = 0 THEN NULL ELSE lon END AS lon,
+              CASE WHEN key % 31 = 0 OR key % 37 = 0 THEN NULL ELSE lat END AS lat,
+              CASE WHEN key % 31 = 0 THEN 'record ' || CAST(key AS VARCHAR) || ': field ''lon'' is not a number (''n/a'')'
+                   WHEN key % 37 = 0 THEN 'record ' || CAST(key AS VARCHAR) || ': field ''lat'' is not a number (None)'
+              END AS problem FROM stations""", "stations"))
+def q_map_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1: Point from text fields; bad values reported with record index and field."""
+    s = X.stations_raw(spark, sf_dir)
+    k = F.col("key")
+    recs = s.select("key", F.when(k % 31 == 0, F.lit("n/a")).otherwise(F.col("lon").cast("string")).alias("lon"),
+                    F.when(k % 37 == 0, F.lit(None).cast("string")).otherwise(F.col("lat").cast("string")).alias("lat"))
+    f = B.map_point(recs, "lon", "lat", index_col="key")
+    return f.select("key", *_point_cols(f), F.col("_problem").alias("problem"))
+
+
+@query("map_geometry_field", with_fixtures(
+    f"SELECT key, CASE WHEN fault = 0 THEN NULL ELSE 'record ' || CAST(key AS VARCHAR) || "
+    f"': field ''shape'' is not a valid GeoJSON geometry (' || ({ZONE_PROBLEM_SQL}) || ')' END AS problem FROM zones",
+    "zones"))
+def q_map_geometry_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2: geometry from a JSON-text field, validated."""
+    f = B.map_geometry_field(X.zones(spark, sf_dir), "shape", index_col="key")
+    return f.select("key", F.col("_problem").alias("problem"))
+
+
+@query("map_properties_list", with_fixtures(
+    f"SELECT ord, {station_feature_json(precision=None, props=('station_id', 'pm25'))} AS feature_json FROM stations",
+    "stations"))
+def q_map_properties_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An explicit property list."""
+    return _json_out(B.map_properties(X.stations(spark, sf_dir), ["station_id", "pm25"]))
+
+
+@query("map_properties_star", with_fixtures(
+    f"SELECT ord, {station_feature_json(precision=None, props=('key', 'station_id', 'country', 'pm25', 'status', 'segment'))} "
+    "AS feature_json FROM stations", "stations"))
+def q_map_properties_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``*`` keeps every field except the geometry ones."""
+    return _json_out(B.map_properties(X.stations(spark, sf_dir), "*"))
+
+
+@query("map_id", with_fixtures(
+    "SELECT ord, replace(" + station_feature_json(precision=None, props=('station_id',)) +
+    ", '\"properties\"', '\"id\":' || to_json(station_id) || ',\"properties\"') AS feature_json FROM stations",
+    "stations"))
+def q_map_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The id field becomes the top-level feature id and stays a property."""
+    f = B.map_id(B.map_properties(X.stations(spark, sf_dir), ["station_id"]), "station_id")
+    return _json_out(f)
