@@ -291,3 +291,38 @@ def station_csv_lines(spark: SparkSession, sf_dir: str, sep: str = ";", ragged:
         line = (F.when(k % 7 == 0, F.concat_ws(sep, *base, pm, F.lit("extra")))
                 .when(k % 7 == 1, F.concat_ws(sep, *base)).otherwise(line))
     return s.select("key", line.alias("value"))
+
+
+# Fixed values of the runs fixture: the clock and the max_age per source (seconds).
+RUNS_NOW = "2024-01-31 00:00:00"
+RUNS_MAX_AGE = {"click": 86400.0, "view": 172800.0, "purchase": 21600.0, "signup": 43200.0}
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per ``(source = event_type, run_ts = day)``; days with ``day % 7 = 0`` fail."""
+    e = table(spark, sf_dir, "events")
+    day = F.date_trunc("day", F.col("ts").cast("timestamp"))
+    g = e.groupBy(F.col("event_type").alias("source"), day.alias("run_ts")).agg(
+        F.max(F.col("ts").cast("timestamp")).alias("last_ts"), F.count(F.lit(1)).alias("n"))
+    ok = F.dayofmonth("run_ts") % 7 != 0
+    max_age = F.create_map(*[x for k, v in RUNS_MAX_AGE.items() for x in (F.lit(k), F.lit(v))])[F.col("source")]
+    return g.select(
+        "source", "run_ts", ok.alias("ok"),
+        F.when(ok, F.col("last_ts")).alias("fetched_at"),
+        F.when(ok, F.sha2((F.col("n") / 10).cast("long").cast("string"), 256)).alias("content_hash"),
+        F.when(ok, F.col("n")).alias("feature_count"),
+        max_age.alias("max_age"),
+        F.lit(RUNS_NOW).cast("timestamp").alias("now"),
+    )
+
+
+def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duration texts by ``p_partkey % 7``: s, m, h, d, w, bare fraction, invalid unit."""
+    p = table(spark, sf_dir, "part")
+    m = F.col("p_partkey") % 7
+    n = F.col("p_size").cast("string")
+    text = (F.when(m == 0, F.concat(n, F.lit("s"))).when(m == 1, F.concat(F.lit(" "), n, F.lit("m ")))
+            .when(m == 2, F.concat(n, F.lit("H"))).when(m == 3, F.concat(n, F.lit("d")))
+            .when(m == 4, F.concat(n, F.lit(" w"))).when(m == 5, F.concat(n, F.lit(".5")))
+            .otherwise(F.concat(n, F.lit("x"))))
+    return p.select(F.col("p_partkey").alias("key"), text.alias("text"))

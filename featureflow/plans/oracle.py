@@ -150,3 +150,25 @@ DOC_PROBLEM_SQL = """CASE event_id % 10
   WHEN 7 THEN 'expected a GeoJSON object, got str'
   WHEN 8 THEN 'feature 0 has type ''Point'', expected ''Feature'''
   ELSE 'feature 0: ''properties'' must be an object or null, got list' END"""
+
+FIXTURE_SQL["runs"] = """
+    SELECT source, run_ts, ok, CASE WHEN ok THEN last_ts END AS fetched_at,
+           CASE WHEN ok THEN sha256(CAST(CAST(trunc(n / 10) AS BIGINT) AS VARCHAR)) END AS content_hash,
+           CASE WHEN ok THEN n END AS feature_count,
+           CASE source WHEN 'click' THEN 86400.0 WHEN 'view' THEN 172800.0 WHEN 'purchase' THEN 21600.0
+                       WHEN 'signup' THEN 43200.0 END::DOUBLE AS max_age,
+           TIMESTAMP '2024-01-31 00:00:00' AS now
+    FROM (SELECT event_type AS source, date_trunc('day', ts) AS run_ts, max(ts) AS last_ts, count(*) AS n,
+                 day(date_trunc('day', ts)) % 7 <> 0 AS ok FROM events GROUP BY 1, 2)"""
+
+
+def humanize_sql(s: str) -> str:
+    """SQL twin of freshness.humanize_age for a DOUBLE seconds expression."""
+    units = [(86400 * 365, "year"), (86400 * 30, "month"), (86400 * 7, "week"), (86400, "day"), (3600, "hour"),
+             (60, "minute")]
+    parts = [f"WHEN {s} < 0 THEN 'in the future'", f"WHEN {s} < 45 THEN 'just now'"]
+    for size, name in units:
+        n = f"CAST(floor({s} / {size}) AS BIGINT)"
+        parts.append(f"WHEN {s} >= {size} THEN CAST({n} AS VARCHAR) || ' {name}' || "
+                     f"CASE WHEN {n} <> 1 THEN 's' ELSE '' END || ' ago'")
+    return "CASE " + " ".join(parts) + f" ELSE CAST(CAST(floor({s}) AS BIGINT) AS VARCHAR) || ' seconds ago' END"

@@ -791,3 +791,155 @@ def q_map_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The id field becomes the top-level feature id and stays a property."""
     f = B.map_id(B.map_properties(X.stations(spark, sf_dir), ["station_id"]), "station_id")
     return _json_out(f)
+
+
+# --------------------------------------------------------------------------
+# Freshness, manifest and gates (F*, V*)
+# --------------------------------------------------------------------------
+
+from featureflow.functions import freshness as FR  # noqa: E402
+from featureflow.operators import manifest as M  # noqa: E402
+from featureflow.plans.oracle import humanize_sql  # noqa: E402
+
+_ISO = "'%Y-%m-%dT%H:%M:%SZ'"
+_CARRIED = """
+    carried AS (SELECT *, last_value(fetched_at IGNORE NULLS) OVER w AS last_fetched_at,
+                       last_value(content_hash IGNORE NULLS) OVER w AS last_content_hash,
+                       last_value(feature_count IGNORE NULLS) OVER w AS last_feature_count
+                FROM runs WINDOW w AS (PARTITION BY source ORDER BY run_ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    st AS (SELECT *, lag(last_content_hash) OVER (PARTITION BY source ORDER BY run_ts) AS previous_content_hash FROM carried),
+    st2 AS (SELECT *, ok AND NOT coalesce(content_hash = previous_content_hash, false) AS changed FROM st),
+    man AS (SELECT *, CASE WHEN NOT ok THEN 'failed' WHEN changed THEN 'ok' ELSE 'unchanged' END AS status,
+                   CASE WHEN last_fetched_at IS NOT NULL THEN CAST(floor(greatest(0, (epoch_us(now) - epoch_us(last_fetched_at)) / 1e6)) AS BIGINT) END AS age_seconds,
+                   CASE WHEN max_age IS NULL THEN false WHEN last_fetched_at IS NULL THEN true
+                        ELSE (epoch_us(now) - epoch_us(last_fetched_at)) / 1e6 > max_age END AS stale
+            FROM st2)"""
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.with_freshness(M.source_status(X.runs(spark, sf_dir)))
+
+
+def _iso(c: str) -> Column:
+    return FR.iso8601(F.col(c)).alias(c)
+
+
+@query("iso8601", with_fixtures(f"SELECT event_id, strftime(ts, {_ISO}) AS iso, true AS roundtrip FROM events"))
+def q_iso8601(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO-8601 UTC text and its parse back."""
+    e = X.table(spark, sf_dir, "events").select("event_id", FR.iso8601(F.col("ts")).alias("iso"))
+    return e.select("event_id", "iso", (FR.iso8601(FR.parse_iso8601(F.col("iso"))) == F.col("iso")).alias("roundtrip"))
+
+
+@query("durations", with_fixtures(
+    "SELECT p_partkey AS key, CAST(CASE p_partkey % 7 WHEN 0 THEN p_size WHEN 1 THEN p_size * 60 WHEN 2 THEN p_size * 3600 "
+    "WHEN 3 THEN p_size * 86400 WHEN 4 THEN p_size * 604800 WHEN 5 THEN p_size + 0.5 END AS DOUBLE) AS seconds FROM part"))
+def q_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """duration text to seconds; an unknown unit is null."""
+    d = X.durations(spark, sf_dir)
+    return d.select("key", FR.parse_duration(F.col("text")).alias("seconds"))
+
+
+@query("age_seconds", with_fixtures(f"SELECT source, strftime(run_ts, {_ISO}) AS run_ts, age_seconds FROM man",
+                                    "runs", extra=_CARRIED))
+def q_age_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """seconds since the last good fetch at each run."""
+    return _manifest(spark, sf_dir).select("source", _iso("run_ts"), "age_seconds")
+
+
+@query("humanize_age", with_fixtures(
+    f"SELECT event_id, {humanize_sql('s')} AS age FROM (SELECT event_id, "
+    "CAST((event_id * 7919) % 40000000 - 100 AS DOUBLE) AS s FROM events)"))
+def q_humanize_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """humanised ages from the future to years."""
+    e = X.table(spark, sf_dir, "events")
+    s = ((F.col("event_id") * 7919) % 40000000 - 100).cast("double")
+    return e.select("event_id", FR.humanize_age(s).alias("age"))
+
+
+@query("stale_flags", with_fixtures(f"SELECT source, strftime(run_ts, {_ISO}) AS run_ts, stale FROM man",
+                                    "runs", extra=_CARRIED))
+def q_stale_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """stale when older than max_age; no max_age never; never fetched always."""
+    return _manifest(spark, sf_dir).select("source", _iso("run_ts"), "stale")
+
+
+@query("carry_forward", with_fixtures(
+    f"SELECT source, strftime(run_ts, {_ISO}) AS run_ts, strftime(last_fetched_at, {_ISO}) AS last_fetched_at, "
+    "last_content_hash, last_feature_count FROM carried", "runs", extra=_CARRIED))
+def q_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """failed runs inherit the last good fetch time, hash and count."""
+    c = M.carry_forward(X.runs(spark, sf_dir))
+    return c.select("source", _iso("run_ts"), _iso("last_fetched_at"), "last_content_hash", "last_feature_count")
+
+
+@query("source_status", with_fixtures(
+    f"SELECT source, strftime(run_ts, {_ISO}) AS run_ts, status, previous_content_hash FROM man", "runs", extra=_CARRIED))
+def q_source_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ok / unchanged / failed per source and run."""
+    return _manifest(spark, sf_dir).select("source", _iso("run_ts"), "status", "previous_content_hash")
+
+
+@query("run_outcome", with_fixtures(
+    f"SELECT strftime(run_ts, {_ISO}) AS run_ts, CASE WHEN bool_or(status = 'failed') THEN 4 "
+    "WHEN bool_or(changed) THEN 0 ELSE 3 END AS exit_code FROM man GROUP BY run_ts", "runs", extra=_CARRIED))
+def q_run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: exit code per run."""
+    return M.run_outcome(_manifest(spark, sf_dir)).select(_iso("run_ts"), "exit_code")
+
+
+@query("manifest_totals", with_fixtures(
+    f"SELECT strftime(run_ts, {_ISO}) AS run_ts, count(*) AS sources, CAST(coalesce(sum(last_feature_count), 0) AS BIGINT) "
+    "AS features, count_if(changed) AS changed_sources, count_if(stale) AS stale_sources, "
+    "count_if(status = 'failed') AS failed_sources, bool_or(changed) AS changed, bool_or(stale) AS stale "
+    "FROM man GROUP BY run_ts", "runs", extra=_CARRIED))
+def q_manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """run totals and any-flags."""
+    t = M.manifest_totals(_manifest(spark, sf_dir))
+    return t.select(_iso("run_ts"), *[c for c in t.columns if c != "run_ts"])
+
+
+@query("freshness_state", with_fixtures(
+    f"""SELECT strftime(run_ts, {_ISO}) AS run_ts, state, label, title, age_seconds FROM (
+          SELECT run_ts, CASE WHEN any_failed THEN 'failed' WHEN any_stale THEN 'stale' ELSE 'fresh' END AS state,
+                 CASE WHEN any_failed THEN 'Refresh failed — showing data from ' || txt
+                      WHEN any_stale THEN 'Data may be out of date — updated ' || txt ELSE 'Updated ' || txt END AS label,
+                 CASE WHEN NOT any_failed AND NOT any_stale THEN CAST(features AS VARCHAR) || ' features across '
+                      || CAST(n AS VARCHAR) || ' source(s)' END AS title, age AS age_seconds
+          FROM (SELECT *, coalesce({humanize_sql('CAST(age AS DOUBLE)')}, 'unknown') AS txt FROM (
+                SELECT run_ts, bool_or(status = 'failed') AS any_failed, bool_or(stale) AS any_stale,
+                       CASE WHEN bool_or(age_seconds IS NULL) THEN NULL ELSE max(age_seconds) END AS age,
+                       count(*) AS n, CAST(coalesce(sum(last_feature_count), 0) AS BIGINT) AS features
+                FROM man GROUP BY run_ts)))""", "runs", extra=_CARRIED))
+def q_freshness_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """badge state, label and title per run."""
+    f = M.freshness_state(_manifest(spark, sf_dir))
+    return f.select(_iso("run_ts"), "state", "label", "title", "age_seconds")
+
+
+@query("status_report", with_fixtures(
+    f"SELECT strftime(run_ts, {_ISO}) AS run_ts, source, CASE WHEN age_seconds IS NULL THEN 'never fetched' "
+    f"ELSE {humanize_sql('CAST(age_seconds AS DOUBLE)')} END AS age, CAST(coalesce(last_feature_count, 0) AS BIGINT) "
+    "AS features, concat_ws(' ', CASE WHEN stale THEN 'STALE' END, CASE WHEN status = 'failed' THEN 'FAILED' "
+    "WHEN changed THEN 'changed' ELSE status END) AS flags FROM man", "runs", extra=_CARRIED))
+def q_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """status table rows."""
+    r = M.status_report(_manifest(spark, sf_dir))
+    return r.select(_iso("run_ts"), "source", "age", "features", "flags")
+
+
+@query("publish_gate", with_fixtures(
+    f"SELECT strftime(run_ts, {_ISO}) AS run_ts, bool_or(status = 'failed') AS blocked, "
+    "count_if(status = 'failed') AS failed_sources FROM man GROUP BY run_ts", "runs", extra=_CARRIED))
+def q_publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2: any failed source blocks publishing for the run."""
+    return M.publish_gate(_manifest(spark, sf_dir)).select(_iso("run_ts"), "blocked", "failed_sources")
+
+
+@query("nonfinite_check", with_fixtures(
+    "SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) AS \"column\", "
+    "unnest([count_if(isnan(l_quantity) OR isinf(l_quantity)), count_if(isnan(l_extendedprice) OR isinf(l_extendedprice)), "
+    "count_if(isnan(l_discount) OR isinf(l_discount)), count_if(isnan(l_tax) OR isinf(l_tax))]) AS nonfinite FROM lineitem"))
+def q_nonfinite_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3: NaN/Infinity per numeric column (one scan)."""
+    return M.nonfinite_counts(X.table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
