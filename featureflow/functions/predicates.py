@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FALSE = F.lit(False)
+
+
+def _false() -> Column:
+    return F.lit(False)
 
 
 def _c(x: Any) -> Column:
@@ -39,19 +42,19 @@ def ne(a: Any, b: Any) -> Column:
 
 def lt(a: Any, b: Any) -> Column:
     """Ordering comparisons are false when either side is null."""
-    return F.coalesce(_c(a) < _c(b), FALSE)
+    return F.coalesce(_c(a) < _c(b), _false())
 
 
 def le(a: Any, b: Any) -> Column:
-    return F.coalesce(_c(a) <= _c(b), FALSE)
+    return F.coalesce(_c(a) <= _c(b), _false())
 
 
 def gt(a: Any, b: Any) -> Column:
-    return F.coalesce(_c(a) > _c(b), FALSE)
+    return F.coalesce(_c(a) > _c(b), _false())
 
 
 def ge(a: Any, b: Any) -> Column:
-    return F.coalesce(_c(a) >= _c(b), FALSE)
+    return F.coalesce(_c(a) >= _c(b), _false())
 
 
 _OPS = {"<": lt, "<=": le, ">": gt, ">=": ge, "==": eq, "!=": ne}
@@ -69,10 +72,10 @@ def chain(first: Any, *pairs: tuple[str, Any]) -> Column:
 def is_in(a: Any, values: Iterable[Any] | None) -> Column:
     """Membership; a null container is never a match, a null member matches null."""
     if values is None:
-        return FALSE
+        return _false()
     values = list(values)
     present = [v for v in values if v is not None]
-    hit = F.coalesce(_c(a).isin(present), FALSE) if present else FALSE
+    hit = F.coalesce(_c(a).isin(present), _false()) if present else _false()
     return (hit | _c(a).isNull()) if len(present) < len(values) else hit
 
 
@@ -102,7 +105,7 @@ def truthy(c: Column, dtype: T.DataType) -> Column:
         out = F.size(c) > 0
     else:
         out = c.isNotNull()
-    return F.coalesce(out, FALSE)
+    return F.coalesce(out, _false())
 
 
 def py_and(a: Column, a_type: T.DataType, b: Column) -> Column:
@@ -172,21 +175,21 @@ def to_str(c: Column) -> Column:
 def startswith(c: Column, dtype: T.DataType, prefix: str) -> Column:
     """False for non-strings and nulls."""
     if not isinstance(dtype, T.StringType):
-        return FALSE
-    return F.coalesce(c.startswith(prefix), FALSE)
+        return _false()
+    return F.coalesce(c.startswith(prefix), _false())
 
 
 def endswith(c: Column, dtype: T.DataType, suffix: str) -> Column:
     if not isinstance(dtype, T.StringType):
-        return FALSE
-    return F.coalesce(c.endswith(suffix), FALSE)
+        return _false()
+    return F.coalesce(c.endswith(suffix), _false())
 
 
 def contains(c: Column, dtype: T.DataType, needle: Any) -> Column:
     """P20: substring or array membership; a null haystack is false."""
     if isinstance(dtype, T.ArrayType):
-        return F.coalesce(F.array_contains(c, _c(needle)), FALSE)
-    return F.coalesce(c.contains(_c(needle)), FALSE)
+        return F.coalesce(F.array_contains(c, _c(needle)), _false())
+    return F.coalesce(c.contains(_c(needle)), _false())
 
 
 def is_null(c: Column) -> Column:

@@ -19,8 +19,11 @@ from featureflow.functions import geo
 from featureflow.operators import RESERVED_PREFIX, property_fields
 
 
-def _expr(cond: Column | str) -> Column:
-    return F.expr(cond) if isinstance(cond, str) else cond
+def _expr(cond) -> Column:
+    """A condition given as SQL text, a Column, or a function returning a Column."""
+    if isinstance(cond, str):
+        return F.expr(cond)
+    return cond() if callable(cond) and not isinstance(cond, Column) else cond
 
 
 @dataclass(frozen=True)
@@ -43,7 +46,7 @@ class Step:
         return None
 
 
-def t_filter(df: DataFrame, cond: Column | str) -> DataFrame:
+def t_filter(df: DataFrame, cond) -> DataFrame:
     """Keep rows where the condition is true (null counts as false)."""
     return df.where(_expr(cond))
 

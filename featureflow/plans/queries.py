@@ -39,7 +39,7 @@ def query(name: str, oracle: str | None = None):
 
 STATION_PROPS = ["station_id", "country", "pm25", "segment"]
 STATION_STEPS = [
-    Step("filter", P.ne(F.col("status"), "decommissioned"), "status != 'decommissioned'"),
+    Step("filter", lambda: P.ne(F.col("status"), "decommissioned"), "status != 'decommissioned'"),
     Step("select", STATION_PROPS, ", ".join(STATION_PROPS)),
     Step("round", 3, "3 decimal places"),
 ]
@@ -109,13 +109,24 @@ def q_feature_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 from featureflow.functions.canonical import json_text  # noqa: E402
 from featureflow.operators import digest as H  # noqa: E402
 from featureflow.operators.digest import feature_json  # noqa: E402
+import re  # noqa: E402
+
 from featureflow.plans.oracle import num  # noqa: E402
 
 
-def _digest_sql(hashes: str, by: str = "") -> str:
-    """SQL twin of digest.collection_digest over ``hashes(<by,> h)``."""
+def _digest_sql(hashes: str, by: str = "", prefix: str = "") -> str:
+    """SQL twin of digest.collection_digest over ``hashes(<by,> h)``; CTE names get ``prefix``."""
     b = f"{by}, " if by else ""
     g = f"GROUP BY {by}" if by else ""
+    sql = _digest_body(hashes, b, g)
+    if prefix:
+        for name in ("digest", "root", "mid", "leaf", "hc"):
+            sql = re.sub(rf"(?<![A-Za-z_.]){name} AS \(", f"{prefix}{name} AS (", sql)
+            sql = re.sub(rf"FROM {name}\b", f"FROM {prefix}{name}", sql)
+    return sql
+
+
+def _digest_body(hashes: str, b: str, g: str) -> str:
     return f"""
       hc AS (SELECT {b}h, count(*) AS n FROM {hashes} GROUP BY {b}h),
       leaf AS (SELECT {b}substr(h, 1, 6) AS b6,
@@ -943,3 +954,154 @@ def q_publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_nonfinite_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V3: NaN/Infinity per numeric column (one scan)."""
     return M.nonfinite_counts(X.table(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+# --------------------------------------------------------------------------
+# Runs, sinks and state (R*, O*, V1, F9)
+# --------------------------------------------------------------------------
+
+from featureflow.operators import publish as PUB  # noqa: E402
+from featureflow.plans.refresh import SourceSpec, empty_state, refresh  # noqa: E402
+
+RUN_NOW = "2024-01-31 00:00:00"
+
+
+def _specs(sf_dir: str, prev: bool = False, depot_min: int = 1) -> list[SourceSpec]:
+    stations = X.stations_prev if prev else X.stations
+    return [SourceSpec("stations", lambda s: stations(s, sf_dir), tuple(STATION_STEPS), "station_id", 1, 86400.0),
+            SourceSpec("depots", lambda s: X.depots(s, sf_dir), (), "depot_id", depot_min, None)]
+
+
+def _two_runs(spark: SparkSession, sf_dir: str, **kw):
+    """The previous run (stations_prev, depots) from an empty state, then the current run on its state."""
+    idx, meta = empty_state(spark)
+    before = refresh(spark, _specs(sf_dir, prev=True), idx, meta, "2024-01-30 00:00:00", dry_run=True)
+    depot_min = kw.pop("depot_min", 1)
+    return refresh(spark, _specs(sf_dir, depot_min=depot_min), before.next_index, before.next_meta, RUN_NOW,
+                   dry_run=True, **kw)
+
+
+_RUN_SQL = _FEED_SQL + f""",
+    dep AS (SELECT count(*) AS n, min(lon) AS min_lon, min(lat) AS min_lat, max(lon) AS max_lon, max(lat) AS max_lat
+            FROM depots),
+    sta AS (SELECT count(*) AS n, min(round(lon, 3)) AS min_lon, min(round(lat, 3)) AS min_lat,
+                   max(round(lon, 3)) AS max_lon, max(round(lat, 3)) AS max_lat FROM stations WHERE {_ACTIVE}),
+    cnt AS (SELECT count_if(op = 'added') AS added, count_if(op = 'removed') AS removed,
+                   count_if(op = 'modified') AS modified, count_if(op = 'unchanged') AS unchanged FROM feed)"""
+
+
+@query("refresh", with_fixtures(
+    """SELECT 'stations' AS source, 'ok' AS status, sta.n AS feature_count, true AS changed, added, removed, modified,
+              unchanged, true AS keyed, false AS first_run, min_lon, min_lat, max_lon, max_lat, false AS stale
+       FROM sta, cnt
+       UNION ALL
+       SELECT 'depots', 'unchanged', n, false, 0, 0, 0, n, true, false, min_lon, min_lat, max_lon, max_lat, false
+       FROM dep""", "stations", "stations_prev", "depots", extra=_RUN_SQL))
+def q_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full refresh run over two sources against the previous run's state."""
+    m = _two_runs(spark, sf_dir).manifest
+    return m.select("source", "status", "feature_count", "changed", "added", "removed", "modified", "unchanged",
+                    "keyed", "first_run", "min_lon", "min_lat", "max_lon", "max_lat", "stale")
+
+
+@query("refresh_dry_run", with_fixtures(
+    "SELECT 'stations' AS source, 'ok' AS status, 'would write geojson features/_source=stations' AS output "
+    "UNION ALL SELECT 'depots', 'unchanged', NULL"))
+def q_refresh_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: everything computed, nothing written; the planned outputs are reported."""
+    m = _two_runs(spark, sf_dir).manifest
+    return m.select("source", "status", F.when(F.col("changed"), F.concat(
+        F.lit("would write geojson features/_source="), F.col("source"))).alias("output"))
+
+
+@query("subset_run", with_fixtures(
+    "SELECT 'stations' AS source, 'skipped' AS status, false AS changed, count(*) AS feature_count FROM stations_prev "
+    f"WHERE {_ACTIVE} UNION ALL SELECT 'depots', 'unchanged', false, count(*) FROM depots",
+    "stations", "stations_prev", "depots"))
+def q_subset_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only 'depots' runs; 'stations' is skipped and carries its previous count."""
+    m = _two_runs(spark, sf_dir, only=["depots"]).manifest
+    return m.select("source", "status", "changed", "feature_count")
+
+
+@query("next_state", with_fixtures(
+    f"SELECT 'stations' AS source, key, hash FROM ({_station_index_sql('stations')}) "
+    f"UNION ALL SELECT 'depots', depot_id, sha256({_DEPOT_JSON}) FROM depots", "stations", "depots"))
+def q_next_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A failed source (depots, min_features unmet) keeps its old state rows; stations gets its new index."""
+    r = _two_runs(spark, sf_dir, depot_min=10**9)
+    return r.next_index.select("source", "key", "hash")
+
+
+@query("publish_changed", with_fixtures(
+    f"SELECT 'stations' AS source, count(*) AS published FROM stations WHERE {_ACTIVE}", "stations"))
+def q_publish_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only changed sources' features are published (semi join on the manifest's changed flag)."""
+    r = _two_runs(spark, sf_dir)
+    changed = r.manifest.where("changed").select(F.col("source").alias("_source"))
+    return (r.features.join(changed, "_source", "left_semi").groupBy(F.col("_source").alias("source"))
+            .agg(F.count(F.lit(1)).alias("published")))
+
+
+@query("min_features_gate", with_fixtures(
+    f"SELECT 'stations' AS source, count(*) AS feature_count, CAST(1000 AS BIGINT) AS min_features, count(*) >= 1000 "
+    f"AS passed FROM stations WHERE {_ACTIVE} UNION ALL SELECT 'depots', count(*), 1000, count(*) >= 1000 FROM depots",
+    "stations", "depots"))
+def q_min_features_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1: per-source surviving count against min_features."""
+    st = refreshed_stations(spark, sf_dir).select(F.lit("stations").alias("source"))
+    dp = X.depots(spark, sf_dir).select(F.lit("depots").alias("source"))
+    counts = st.unionByName(dp).groupBy("source").agg(F.count(F.lit(1)).alias("feature_count"))
+    spec = spark.createDataFrame([("stations", 1000), ("depots", 1000)], "source STRING, min_features BIGINT")
+    return M.min_features_gate(counts, spec)
+
+
+@query("source_manifest", with_fixtures(
+    "SELECT 'stations' AS source, c.content_hash, p.content_hash AS previous_content_hash, c.feature_count "
+    "FROM digest c, pdigest p UNION ALL SELECT 'depots', d.content_hash, d.content_hash, d.feature_count FROM ddigest d",
+    "stations", "stations_prev", "depots",
+    extra=f"hs AS ({_hash_sql('stations')}),{_digest_sql('hs')}, phs AS ({_hash_sql('stations_prev')}),"
+          + _digest_sql('phs', prefix='p') + f", dhs AS (SELECT sha256({_DEPOT_JSON}) AS h FROM depots),"
+          + _digest_sql('dhs', prefix='d')))
+def q_source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """manifest rows with current and previous content hashes."""
+    m = _two_runs(spark, sf_dir).manifest
+    return m.select("source", "content_hash", "previous_content_hash", "feature_count")
+
+
+@query("feature_rows_json", with_fixtures(
+    f"SELECT key, rtrim({station_feature_json()}, '}}') || '}},\"type\":\"Feature\"}}' AS line FROM stations "
+    f"WHERE {_ACTIVE}", "stations"))
+def q_feature_rows_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: one GeoJSON Feature text per line, as written by the publisher."""
+    df = apply_steps(X.stations(spark, sf_dir).withColumn("_key_num", F.col("key")), STATION_STEPS)
+    return df.select(F.col("_key_num").alias("key"), PUB.feature_line(df).alias("line"))
+
+
+@query("summary", with_fixtures(
+    "SELECT 'stations' AS _source, feature_count, content_hash, min_lon, min_lat, max_lon, max_lat, "
+    "'Point=' || CAST(feature_count AS VARCHAR) AS geometry_types, 'country,pm25,segment,station_id' AS properties "
+    "FROM digest, sta UNION ALL SELECT 'depots', d.feature_count, d.content_hash, min_lon, min_lat, max_lon, max_lat, "
+    "'Point=' || CAST(d.feature_count AS VARCHAR), 'capacity,country,depot_id' FROM ddigest d, dep",
+    "stations", "depots",
+    extra=f"hs AS ({_hash_sql('stations')}),{_digest_sql('hs')}, dhs AS (SELECT sha256({_DEPOT_JSON}) AS h FROM depots),"
+          + _digest_sql('dhs', prefix='d') + f""",
+    dep AS (SELECT min(lon) AS min_lon, min(lat) AS min_lat, max(lon) AS max_lon, max(lat) AS max_lat FROM depots),
+    sta AS (SELECT min(round(lon, 3)) AS min_lon, min(round(lat, 3)) AS min_lat, max(round(lon, 3)) AS max_lon,
+                   max(round(lat, 3)) AS max_lat FROM stations WHERE {_ACTIVE})"""))
+def q_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: per-source summary (count, bbox, type histogram, property names, digest)."""
+    parts = []
+    for name, df in (("stations", apply_steps(X.stations(spark, sf_dir), STATION_STEPS)), ("depots", X.depots(spark, sf_dir))):
+        names = F.array(*[F.lit(f.name) for f in __import__("featureflow.operators", fromlist=["x"]).property_fields(df)])
+        parts.append(with_feature_hash(df).select(F.lit(name).alias("_source"), "geometry", "_hash", names.alias("_names")))
+    return PUB.summary(parts[0].unionByName(parts[1]))
+
+
+@query("merge_sources", with_fixtures(
+    f"SELECT 'stations' AS source, ord, {station_feature_json(precision=None, props=('key', 'station_id', 'country', 'pm25', 'status', 'segment'))} "
+    f"AS feature_json FROM stations UNION ALL SELECT 'depots', ord, {_DEPOT_JSON} FROM depots", "stations", "depots"))
+def q_merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: every source's features in one frame, duplicates kept."""
+    m = PUB.merge_sources({"stations": X.stations(spark, sf_dir), "depots": X.depots(spark, sf_dir)})
+    return m.select(F.col("_source").alias("source"), F.col("_ord").alias("ord"), F.col("_json").alias("feature_json"))
