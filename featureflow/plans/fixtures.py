@@ -34,7 +34,11 @@ def lat_of(k: Column) -> Column:
 
 def stations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``stations`` as plain records (lon/lat columns, no geometry yet)."""
-    c = table(spark, sf_dir, "customer")
+    return stations_from_customers(table(spark, sf_dir, "customer"))
+
+
+def stations_from_customers(c: DataFrame) -> DataFrame:
+    """The stations rule applied to any customer rows (a table or a stream batch)."""
     k = F.col("c_custkey")
     return c.select(
         k.alias("key"),

@@ -1105,3 +1105,19 @@ def q_merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O3: every source's features in one frame, duplicates kept."""
     m = PUB.merge_sources({"stations": X.stations(spark, sf_dir), "depots": X.depots(spark, sf_dir)})
     return m.select(F.col("_source").alias("source"), F.col("_ord").alias("ord"), F.col("_json").alias("feature_json"))
+
+
+@query("refresh_stream")
+def q_refresh_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table streamed through foreachBatch refreshes (rows-only check)."""
+    import uuid
+
+    from featureflow.session import checkpoint_dir
+    from featureflow.streaming.stream import refresh_stream
+
+    schema = X.table(spark, sf_dir, "customer").schema
+    out = f"{checkpoint_dir(spark).rstrip('/')}/featureflow-stream/{uuid.uuid4().hex}"
+    path = refresh_stream(spark, sf_dir, schema, "stations",
+                          lambda b: X.as_features(X.stations_from_customers(b)), out_dir=out,
+                          file_glob="customer.parquet")
+    return spark.read.parquet(path).select("source", "feature_count", "content_hash")
