@@ -134,9 +134,10 @@ def drop_reasons(df: DataFrame, by: Sequence[str] = (), limit: int = 3) -> DataF
     """
     from pyspark.sql import Window
 
-    keys = list(by) or ["_grp"]
-    base = df if by else df.withColumn("_grp", F.lit(0))
-    checked = base.select(*keys, "_ord", geo.geometry_problem(F.col("geometry")).alias("problem"))
+    if not by:
+        return _drop_reasons_single(df, limit)
+    keys = list(by)
+    checked = df.select(*keys, "_ord", geo.geometry_problem(F.col("geometry")).alias("problem"))
     bad = checked.where(F.col("problem").isNotNull())
     rk = F.row_number().over(Window.partitionBy(*keys).orderBy("_ord"))
     first = (bad.withColumn("rk", rk).where(F.col("rk") <= limit)
@@ -155,3 +156,23 @@ def drop_reasons(df: DataFrame, by: Sequence[str] = (), limit: int = 3) -> DataF
     detail = F.concat(F.concat_ws("; ", *parts),
                       F.when(more > 0, F.concat(F.lit(" (+"), more.cast("string"), F.lit(" more)"))).otherwise(F.lit("")))
     return out.select(*by, "rejected", detail.alias("detail"))
+
+
+def _drop_reasons_single(df: DataFrame, limit: int) -> DataFrame:
+    """``drop_reasons`` for one source: a distributed top-k, then one counting pass.
+
+    Only the first ``limit`` rejects (a proven bound) reach the driver; their
+    positions are counts over the whole frame, computed without a join.
+    """
+    checked = df.select("_ord", geo.geometry_problem(F.col("geometry")).alias("problem"))
+    first = (checked.where(F.col("problem").isNotNull()).orderBy("_ord").limit(limit)
+             .select("_ord", "problem").collect())
+    aggs = [F.count_if(F.col("problem").isNotNull()).alias("rejected")]
+    aggs += [F.count_if(F.col("_ord") < F.lit(r["_ord"])).alias(f"i{k}") for k, r in enumerate(first)]
+    counts = checked.agg(*aggs)
+    parts = [F.concat(F.lit("feature "), F.col(f"i{k}").cast("string"), F.lit(": " + r["problem"]))
+             for k, r in enumerate(first)]
+    more = F.col("rejected") - F.lit(limit)
+    detail = F.concat(F.concat_ws("; ", *parts) if parts else F.lit(""),
+                      F.when(more > 0, F.concat(F.lit(" (+"), more.cast("string"), F.lit(" more)"))).otherwise(F.lit("")))
+    return counts.select("rejected", F.when(F.col("rejected") > 0, detail).alias("detail"))
