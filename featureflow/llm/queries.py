@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import byte_bpe, mixing, quality_rules
+from featureflow.llm import byte_bpe, jaccard_join, mixing, quality_rules
 from featureflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,11 @@ FROM f LEFT JOIN v ON f.source = v.source
 @query
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), default_vocabulary(spark))
+
+
+# -- 10: n-gram Jaccard join ---------------------------------------------------
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.near_components(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
