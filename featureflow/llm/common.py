@@ -35,6 +35,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows of a table of keys and numbers that may be broadcast: some 20 MB.
+BROADCAST_ROWS = 200_000
+
+
+def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, a stored table, marked for broadcast if it has at most ``limit`` rows.
+
+    Beyond that it is joined by a shuffle, which adaptive execution splits where
+    a key is hot.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def crc_bucket(id_col: Column, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets``; a null id falls in bucket 0."""
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(buckets)), F.lit(0)).cast("int")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featureflow.llm.common import stored, words
+from featureflow.llm.common import sized, stored, words
 
 MAX_COPIES = 3
 # Ranks fall in this many coarse, then as many fine buckets.
@@ -79,7 +79,7 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     t = targets(sums, weights if weights is not None else cyclic_weights(), max_copies)
     t = t.withColumnRenamed("source", "_s").join(
         sums.select(F.col("source").alias("_s2"), "_mass"), F.col("_s").eqNullSafe(F.col("_s2"))).drop("_s2")
-    t = stored(t, "mix-targets")
+    t = sized(stored(t, "mix-targets"))
 
     d = rows.join(t, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     ideal = F.least(F.lit(float(max_copies)), F.when(F.col("_mass") > 0, F.col("target") * F.col("_imp") / F.col("_mass")).otherwise(0.0))
@@ -95,7 +95,8 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     need = d.groupBy("source").agg(F.sum(F.col("_sure") * F.col("size")).alias("_certain"),
                                    F.first("target").alias("_target"))
-    need = need.select(F.col("source").alias("_s"), (F.col("_target") - F.col("_certain")).alias("_need"))
+    need = stored(need.select(F.col("source").alias("_s"), (F.col("_target") - F.col("_certain")).alias("_need")), "mix-need")
+    need = sized(need)
 
     def cut(level: DataFrame, by: str) -> DataFrame:
         """The bucket in which the running sum of words passes the need, and the sum before it."""
@@ -105,21 +106,21 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     coarse = cut(d.where("_q is not null"), "_coarse").join(need, F.col("source").eqNullSafe(F.col("_s")))
     edge = coarse.where((F.col("_before") < F.col("_need")) & (F.col("_before") + F.col("_words") >= F.col("_need")))
-    edge = stored(edge.select("_s", "_need", F.col("_coarse").alias("_edge"), F.col("_before").alias("_b1")), "mix-cut")
+    edge = sized(stored(edge.select("_s", "_need", F.col("_coarse").alias("_edge"), F.col("_before").alias("_b1")), "mix-cut"))
     inside = d.where("_q is not null").join(edge, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_coarse") == F.col("_edge")))
     fines = cut(inside, "_fine").withColumnRenamed("_before", "_b2")
     fines = fines.join(edge, F.col("source").eqNullSafe(F.col("_s")))
     total = F.col("_b1") + F.col("_b2")
     fedge = fines.where((total < F.col("_need")) & (total + F.col("_words") >= F.col("_need")))
-    fedge = fedge.select("_s", "_need", F.col("_fine").alias("_fedge"), total.alias("_b3"))
+    fedge = sized(stored(fedge.select("_s", "_need", F.col("_fine").alias("_fedge"), total.alias("_b3")), "mix-fine"))
     last = d.where("_q is not null").join(fedge, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_fine") == F.col("_fedge")))
     by_row = Window.partitionBy("source").orderBy("_q", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     last = last.withColumn("_before", F.col("_b3") + F.coalesce(F.sum("size").over(by_row), F.lit(0)))
     # the row at the cut goes to the nearer side
     last = last.where(F.col("_before") + F.col("size") / 2 <= F.col("_need"))
     top = last.groupBy("source", "_fedge").agg(F.max(F.struct("_q", "id", "size")).alias("_last"))
-    top = stored(fedge.join(top.select(F.col("source").alias("_s2"), "_last"), F.col("_s").eqNullSafe(F.col("_s2")), "left")
-                 .select("_s", "_fedge", "_last"), "mix-edge")
+    top = sized(stored(fedge.join(top.select(F.col("source").alias("_s2"), "_last"), F.col("_s").eqNullSafe(F.col("_s2")), "left")
+                       .select("_s", "_fedge", "_last"), "mix-edge"))
     # what a source draws: ranks before the fine bucket, and in it up to the last row taken;
     # a source whose ranked words never reach its need draws all of them
     whole = need.select(F.col("_s").alias("_n"), "_need")

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.llm.common import stored, words
+from featureflow.llm.common import sized, stored, words
 
 SYMBOLS = r"[#*$%&|<>]+"
 WINDOW = 8
@@ -103,12 +103,12 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     """(id, measures, base_failed, host_rate, host_rejected, kept), one row per input row.
 
     The measures are written once to the shared folder; hosts are counted with a
-    map-side combine and joined back on the host, where adaptive execution
-    splits a host that holds many documents or broadcasts a small host table.
+    map-side combine and joined back on the host: by broadcast up to a checked
+    number of hosts, so that a hot host moves no documents, else by a shuffle.
     """
     rows = measured(docs, F.col(text_col), [F.col(id_col), F.col(host_col)])
     rows = stored(rows.withColumn("base_failed", base_failed(rules)), "rules")
-    verdicts = host_verdicts(rows, "_k1", "base_failed", rules)
+    verdicts = sized(stored(host_verdicts(rows, "_k1", "base_failed", rules), "rules-hosts"))
     out = rows.join(verdicts, F.col("_k1") == F.col("host"), "left")
     rejected = F.coalesce("host_rejected", F.lit(False))
     return out.select(F.col("_k0").alias(id_col), *MEASURES, "base_failed", "host_rate",
@@ -122,5 +122,5 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
     rows = measured(docs, F.col(text_col), [row, F.col(host_col)])
     rows = stored(rows.select("_k0", "_k1", base_failed(rules).alias("_failed")), "rules-rows")
     verdicts = host_verdicts(rows.select("_k1", "_failed"), "_k1", "_failed", rules)
-    bad = verdicts.where("host_rejected").select("host")
+    bad = sized(stored(verdicts.where("host_rejected").select("host"), "rules-hosts"))
     return rows.where("not _failed").join(bad, F.col("_k1") == F.col("host"), "left_anti").select("_k0.*")
