@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featureflow.llm.common import workers_import
+
 REMEMBERED = 400_000  # pieces
 REMEMBERED_BYTES = 64  # longer pieces are merged afresh
 NONE = 1 << 60  # no such pair
@@ -179,6 +181,7 @@ def _codec(shared) -> Codec:
 
 
 def share_vocabulary(spark: SparkSession, path: str, pattern: str):
+    workers_import(spark)
     return spark.sparkContext.broadcast((load_ranks(path), pattern))
 
 

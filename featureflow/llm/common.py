@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,20 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD_BYTES = rb"[^\x20\x09-\x0D]+"
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Where executors have it elsewhere (``--py-files``, an image), the extra path
+    does nothing.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -30,6 +44,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     so a lost executor costs a re-read and never a recomputation.
     """
     spark = df.sparkSession
+    workers_import(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import byte_bpe, jaccard_join, mixing, quality_rules
+from featureflow.llm import byte_bpe, jaccard_join, mixing, quality_rules, weak_quality
 from featureflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,15 @@ def default_vocabulary(spark: SparkSession):
     return byte_bpe.share_vocabulary(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+# -- 1: quality classifier ------------------------------------------------------
+
+@query
+def op1_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = weak_quality.score(docs, weak_quality.train(docs))
+    return out.select("doc_id", "p_weak", "quality", (F.col("quality") >= 0.5).alias("kept"))
+
+
 # -- 2: mixing sources to target weights --------------------------------------
 
 @query

@@ -40,13 +40,13 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 _POW = [_powers(_P, _CHUNK + 1), _powers(_P_INV, _CHUNK + 1)]
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and start offsets of the words of a byte array.
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, start offsets and end offsets of the words of a byte array.
 
     A word's hash is a polynomial over a random table of its bytes: prefix sums
     with growing powers, differenced at the word's ends and shifted back.
     """
-    hashes, starts, lo, n = [], [], 0, len(data)
+    hashes, starts, ends, lo, n = [], [], [], 0, len(data)
     while lo < n:
         hi = min(n, lo + _CHUNK)
         while hi < n and not _SPACE[data[hi]]:  # end the chunk between words
@@ -65,10 +65,11 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         np.cumsum(_LUT[part] * pw[:len(part)], out=sums[1:])
         hashes.append(mix((sums[b] - sums[a]) * inv[a] + (b - a).astype(np.uint64)))
         starts.append(a + lo)
+        ends.append(b + lo)
         lo = hi
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(starts)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(starts), np.concatenate(ends)
 
 
 def _sequence(w: np.ndarray, width: int) -> np.ndarray:
@@ -83,7 +84,7 @@ def _sequence(w: np.ndarray, width: int) -> np.ndarray:
 def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
     """The sorted shingle set of each text."""
     ends = np.cumsum([len(t) + 1 for t in texts])
-    w, at = word_hashes(np.frombuffer(b"\n".join(texts) + b"\n", np.uint8))
+    w, at, _ = word_hashes(np.frombuffer(b"\n".join(texts) + b"\n", np.uint8))
     cut = np.concatenate(([0], np.searchsorted(at, ends)))
     every = _sequence(w, width) if len(w) >= width else None
     out = []
