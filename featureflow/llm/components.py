@@ -35,8 +35,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Only a count and a checksum reach the driver.
     """
     now = stored(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u <> v").distinct(), "cc")
-    before = None
-    while True:
+    before = _state(now)
+    while before[0]:
         now = stored(_small_star(_large_star(now)), "cc")
         state = _state(now)
         if state == before:

@@ -7,7 +7,10 @@ elements are exchanged. What comes out of them is verified by a prefix-tree
 join: the sets that meet a probe are stored in a trie (their sorted sequences,
 visited in order, so that a shared beginning is walked once), the overlap so far
 is shared by everything below a node, and a subtree is left when the overlap
-plus the shorter of the remaining lengths cannot reach what is needed.
+plus the shorter of the remaining lengths cannot reach what is needed. Before a
+set travels, a parity sketch of a quarter byte per element tests the pair: every
+bit in which two sketches differ stands for an element that only one set has, so
+a pair that differs in too many bits cannot reach the threshold.
 
 Exact copies collapse into one class before anything is compared. A group of
 many near copies is linked to a leader first; only pairs that are not yet
@@ -30,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featureflow.llm.common import stored
+from featureflow.llm.common import sized, stored
 from featureflow.llm.components import components
 from featureflow.llm.shingles import batches_by_bytes, set_id, shingle_sets
 
@@ -64,20 +67,41 @@ def _order(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.concatenate((s[~late], s[late]))
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of the elements per cell, two to four cells an element, as packed bits."""
+    cells = 64
+    while cells < 2 * len(s):
+        cells *= 2
+    counts = np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little")
+
+
+def may_reach(a: np.ndarray, na: int, b: np.ndarray, nb: int, percent: int) -> bool:
+    """Whether two sketches allow the threshold; a longer one is folded to the shorter's cells."""
+    while len(a) > len(b):
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    differ = int(np.bitwise_count(a ^ b).sum())
+    return differ <= na + nb - 2 * _need(na, nb, percent)
+
+
 def assigned(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, n, c): set size and class id of each document."""
+    """(id, n, c, k): set size, class id and sketch of each document."""
     id_type = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary"))
 
     def run(batches):
         for b in batches:
-            n, c = [], []
+            n, c, k = [], [], []
             for _, s in _texts([b.select([1])], width):
                 n.append(len(s))
                 c.append(set_id(s) if len(s) else None)
-            yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(c, pa.int64())], names=["id", "n", "c"])
+                k.append(sketch(s).tobytes() if len(s) else None)
+            yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(k, pa.binary())],
+                                  names=["id", "n", "c", "k"])
 
-    return stored(src.mapInArrow(run, f"id {id_type}, n long, c long"), "jj-docs")
+    return stored(src.mapInArrow(run, f"id {id_type}, n long, c long, k binary"), "jj-docs")
 
 
 def frequent_codes(docs: DataFrame, text_col: str, width: int, total: int) -> np.ndarray:
@@ -158,7 +182,7 @@ def prefixes(docs: DataFrame, text_col: str, width: int, percent: int, frequent)
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, ids: DataFrame) -> DataFrame:
     """(c, n, s) of the documents named in ``ids``; s is the sorted set as bytes."""
-    need = ids.select(F.col("id").alias("_id")).distinct()
+    need = sized(stored(ids.select(F.col("id").alias("_id")).distinct(), "jj-ids"))
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     src = src.join(need, F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("text")
 
@@ -222,8 +246,32 @@ def trie_probe(probe: np.ndarray, stored_sets: list[np.ndarray], percent: int) -
     return out
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, overlap) of the candidate pairs (a, b) that reach the threshold.
+def sketched(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The candidate pairs (a, b) whose sketches allow the threshold."""
+    one = classes.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("k").alias("ka"))
+    two = classes.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("k").alias("kb"))
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "ka", "kb")
+
+    def run(batches):
+        for b in batches:
+            na, nb = b.column(2).to_pylist(), b.column(3).to_pylist()
+            bits = lambda x: np.frombuffer(x.as_buffer(), np.uint8)
+            keep = [may_reach(bits(ka), x, bits(kb), y, percent) for ka, x, kb, y in zip(b.column(4), na, b.column(5), nb)]
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int,
+             percent: int) -> DataFrame:
+    """(a, b, overlap) of the candidate pairs (a, b) that reach the threshold."""
+    pairs = stored(sketched(pairs, classes, percent), "jj-pairs")
+    ids = pairs.select("a").union(pairs.select("b")).distinct().join(classes, F.col("a") == F.col("c")).select("id")
+    return compared(pairs, stored(sets_of(docs, id_col, text_col, width, ids), "jj-sets"), percent)
+
+
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The trie join proper.
 
     A probe a meets the sets of its partners in salted blocks; a block streams
     through its task behind its probe, a few hundred sets in the trie at a time.
@@ -282,13 +330,14 @@ def links(docs: DataFrame, docs_of: DataFrame, id_col: str, text_col: str, width
     lead = lead.where("lead.c < hi").select(F.col("t").alias("lt"), F.col("lead.c").alias("lc"), F.col("lead.n").alias("ln"))
     shared = stored(rows.join(lead, F.col("t") == F.col("lt")).select("t", "c", "n", "lc", "ln"), "jj-shared")
 
-    ids = shared.select("c").distinct().join(docs_of.where("c is not null").groupBy("c").agg(F.min("id").alias("id")), "c")
-    sets = stored(sets_of(docs, id_col, text_col, width, ids), "jj-sets")
+    classes = stored(docs_of.where("c is not null").groupBy("c").agg(
+        F.min("id").alias("id"), F.max("n").alias("n"), F.first("k").alias("k")), "jj-classes")
+    check = lambda pairs: verified(pairs, docs, classes, id_col, text_col, width, percent)
 
     # every class against the leaders of its elements
     to_leader = shared.where("c <> lc").where(_near("n", "ln", percent)).select(
         F.col("lc").alias("a"), F.col("c").alias("b")).distinct()
-    first = stored(verified(to_leader, sets, percent), "jj-links")
+    first = stored(check(to_leader), "jj-links")
     roots = stored(components(first, "a", "b"), "jj-roots")
 
     # what is left: elements whose classes are in several components. A group's
@@ -308,7 +357,7 @@ def links(docs: DataFrame, docs_of: DataFrame, id_col: str, text_col: str, width
     done = first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
     tried = to_leader.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).union(done).distinct()
     cross = cross.join(tried, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
-    return stored(first.union(verified(cross, sets, percent)), "jj-all")
+    return stored(first.union(check(cross)), "jj-all")
 
 
 def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -328,8 +377,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = rooted.join(roots.select(F.col("root").alias("r")).distinct(), F.col("root") == F.col("r"), "left_semi")
     top = linked.groupBy("root").agg(F.min("least").alias("top")).withColumnRenamed("root", "r")
     classes = rooted.join(top, F.col("root") == F.col("r"), "left").select(
-        F.col("c").alias("k"), F.coalesce("top", "least").alias("component_id"))
-    out = docs_of.join(classes, F.col("c") == F.col("k"), "left")
+        F.col("c").alias("of"), F.coalesce("top", "least").alias("component_id"))
+    out = docs_of.select("id", "n", "c").join(classes, F.col("c") == F.col("of"), "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("c").alias("class_id"),
                       F.when(F.col("c").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
