@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import byte_bpe, jaccard_join, mixing, quality_rules, weak_quality
-from featureflow.llm.common import table
+from featureflow.llm import byte_bpe, jaccard_join, mixing, quality_rules, toxicity, weak_quality
+from featureflow.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -110,6 +110,17 @@ FROM f LEFT JOIN v ON f.source = v.source
 """
 
 
+# -- 5: toxicity ------------------------------------------------------------------
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_bucket(F.col("doc_id"), 3) == 1
+    model = toxicity.train(docs.where(~held_out), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 # -- 9: byte-level BPE ---------------------------------------------------------
 
 @query
