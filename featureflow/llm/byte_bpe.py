@@ -22,6 +22,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -217,22 +218,31 @@ def decode(encoded: DataFrame, vocabulary, id_col: str = "doc_id", ids_col: str
     return encoded.select(id_col, ids_col).mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256): encode, then decode the ids, in one pass."""
+def digests(docs: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256[, ids]): encode, then decode the ids, in one pass."""
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+    if with_ids:
+        schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary)
         decimal = [str(i) for i in range(len(codec.bytes_of))].__getitem__
         for b in batches:
-            n, shown, back = [], [], []
-            for t in b.column(1):
-                ids = codec.encode(t.as_py())
-                n.append(len(ids))
-                shown.append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
-                back.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-            yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(shown, pa.string()), pa.array(back, pa.string())],
-                                  names=schema.names)
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                n, shown, back, all_ids = [], [], [], []
+                for t in part.column(1):
+                    ids = codec.encode(t.as_py())
+                    n.append(len(ids))
+                    shown.append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
+                    back.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+                    if with_ids:
+                        all_ids.append(pa.array(ids, pa.int32()))
+                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(shown, pa.string()), pa.array(back, pa.string())]
+                if with_ids:
+                    ends = pa.array([0, *accumulate(n)], pa.int32())
+                    columns.append(pa.ListArray.from_arrays(ends, pa.concat_arrays(all_ids)))
+                yield pa.record_batch(columns, names=schema.names)
 
     return _rows(docs, id_col, text_col).mapInArrow(run, schema)
