@@ -57,14 +57,14 @@ def _texts(batches: Iterator[pa.RecordBatch], width: int):
                 yield row[:-1], s
 
 
-def _order(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """A set in the global order: infrequent by hash, then frequent by hash."""
+def _order(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
+    """A set in the global order, infrequent by hash, then frequent by hash; and how many are infrequent."""
     if not len(frequent):
-        return s
+        return s, len(s)
     code = (s >> np.uint64(32)).astype(np.uint32)
     at = np.minimum(np.searchsorted(frequent, code), len(frequent) - 1)
     late = frequent[at] == code
-    return np.concatenate((s[~late], s[late]))
+    return np.concatenate((s[~late], s[late])), int(len(s) - late.sum())
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -156,11 +156,11 @@ def frequent_codes(docs: DataFrame, text_col: str, width: int, total: int) -> np
 
 
 def prefixes(docs: DataFrame, text_col: str, width: int, percent: int, frequent) -> DataFrame:
-    """(t, c, n): the prefix elements of every class."""
+    """(t, c, n, own): the prefix elements of every class; own is its share of infrequent shingles, in 1/10000."""
     def run(batches):
         order, seen = frequent.value, set()
         for b in batches:
-            t, c, n = [], [], []
+            t, c, n, own = [], [], [], []
             for _, s in _texts([b], width):
                 if not len(s):
                     continue
@@ -170,14 +170,16 @@ def prefixes(docs: DataFrame, text_col: str, width: int, percent: int, frequent)
                 if len(seen) >= 200_000:
                     seen.clear()
                 seen.add(k)
-                p = _order(s, order)[:len(s) - (percent * len(s) + 99) // 100 + 1]
+                p, few = _order(s, order)
+                p = p[:len(s) - (percent * len(s) + 99) // 100 + 1]
                 t.append(p.view(np.int64))
                 c.append(np.full(len(p), k, np.int64))
                 n.append(np.full(len(p), len(s), np.int32))
+                own.append(np.full(len(p), 10_000 * few // len(s), np.int32))
             if t:
-                yield pa.record_batch([pa.array(np.concatenate(x)) for x in (t, c, n)], names=["t", "c", "n"])
+                yield pa.record_batch([pa.array(np.concatenate(x)) for x in (t, c, n, own)], names=["t", "c", "n", "own"])
 
-    return docs.select(F.col(f"`{text_col}`").cast("binary")).mapInArrow(run, "t long, c long, n int")
+    return docs.select(F.col(f"`{text_col}`").cast("binary")).mapInArrow(run, "t long, c long, n int, own int")
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str, width: int, ids: DataFrame) -> DataFrame:
@@ -326,8 +328,9 @@ def links(docs: DataFrame, docs_of: DataFrame, id_col: str, text_col: str, width
     frequent = spark.sparkContext.broadcast(frequent_codes(docs, text_col, width, total))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = prefixes(docs, text_col, width, percent, frequent).repartition(parts, "t")
-    lead = rows.groupBy("t").agg(F.min(F.struct("c", "n")).alias("lead"), F.max("c").alias("hi"))
-    lead = lead.where("lead.c < hi").select(F.col("t").alias("lt"), F.col("lead.c").alias("lc"), F.col("lead.n").alias("ln"))
+    # the leader is the class with the least of its own: the original among its altered copies
+    lead = rows.groupBy("t").agg(F.min(F.struct("own", "c", "n")).alias("lead"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    lead = lead.where("lo < hi").select(F.col("t").alias("lt"), F.col("lead.c").alias("lc"), F.col("lead.n").alias("ln"))
     shared = stored(rows.join(lead, F.col("t") == F.col("lt")).select("t", "c", "n", "lc", "ln"), "jj-shared")
 
     classes = stored(docs_of.where("c is not null").groupBy("c").agg(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import ball_tree, byte_bpe, jaccard_join, mixing, quality_rules, toxicity, weak_quality
+from featureflow.llm import ball_tree, byte_bpe, jaccard_join, mixing, ppm, quality_rules, toxicity, weak_quality
 from featureflow.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,6 +121,17 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+# -- 7: LM scoring -----------------------------------------------------------------
+
+@query
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_bucket(F.col("doc_id"), 5) == 1
+    model, words = ppm.train(docs.where(~held_out))
+    out = ppm.score(docs, model, words, extra=held_out)
+    return out.withColumnRenamed("extra", "held_out")
+
+
 # -- 8: exact top-k search ----------------------------------------------------------
 
 @query
