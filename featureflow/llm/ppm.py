@@ -4,15 +4,17 @@ The model is a trie of byte contexts up to ``ORDER`` deep, held level by level:
 the grams of a level are its contexts with one following symbol. A symbol is
 predicted in the longest context seen in training; where it was not seen there,
 the model escapes to the context without its first byte, and the symbols that
-the longer context offered are excluded there. With n the count of a symbol in
-a context, T all counts and D the different symbols, a symbol has the weight
-2n - 1 and the escape D, out of 2T. What a context offers, its suffix offers
-too, so one excluded weight per context settles every exclusion beforehand.
+the longer context offered are excluded there. Each symbol of a context gives
+``ESCAPE`` of its count to the escape. Counts of the deepest contexts are those
+of the corpus; a shallower context counts a symbol once for each longer context
+that it followed in, since only then it is asked. What a context offers, its
+suffix offers too, so one excluded weight per context settles every exclusion
+beforehand.
 Texts are lower-cased in A-Z and closed by an end symbol, of which the model
 also sees enough before the first byte to fill the context.
 
-Grams are counted over all training texts. The deepest level decides the rest:
-shallower counts are its sums. The trie goes to the tasks by broadcast, behind a
+Grams are counted over all training texts. The deepest level decides the rest.
+The trie goes to the tasks by broadcast, behind a
 check of its size: if the deepest level has more than ``MOST_GRAMS`` grams, the
 trie is one level less deep, with all counts of that level, until it fits. So
 its memory has a bound at any corpus size, and no gram of the levels used is
@@ -45,6 +47,7 @@ MOST_GRAMS = 4_000_000
 COMMON = 1 << 18
 SYMBOLS = 257
 END = 256
+ESCAPE = 0.3  # of a symbol's count
 BITS = 9  # of a symbol in a packed gram
 SLICE = 1 << 20  # positions handled at a time
 FLUSH = 400_000  # words, or grams, that a task gathers before it sends them on
@@ -156,14 +159,14 @@ class Trie:
         for depth in range(order, -1, -1):
             found.append((grams, counts))
             if depth:
-                grams, counts = _merged([(grams & np.uint64((1 << BITS * depth) - 1), counts)])
+                grams, counts = _merged([(grams & np.uint64((1 << BITS * depth) - 1), np.ones(len(grams), np.int64))])
         log = lambda x: np.log10(np.maximum(x, 1e-300))
         for depth in range(order + 1):
             grams, counts = found[order - depth]
-            weight = 2 * counts - 1
+            weight = counts - ESCAPE
             context = grams >> np.uint64(BITS)
             first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(context) else np.zeros(0, np.int64)
-            kinds = np.diff(np.append(first, len(context)))
+            kinds = ESCAPE * np.diff(np.append(first, len(context)))
             weights = np.add.reduceat(weight, first) if len(first) else weight
             if depth:
                 below, below_grams, below_weight, below_kinds, below_weights = last
@@ -171,10 +174,11 @@ class Trie:
                 at = np.searchsorted(below_grams, grams & np.uint64((1 << BITS * depth) - 1))
                 excluded = np.add.reduceat(below_weight[at], first) if len(first) else weights
                 suffix = np.searchsorted(below, context[first] & np.uint64((1 << BITS * (depth - 1)) - 1))
-                escape_after = below_kinds[suffix] - kinds
-                total_after = below_weights[suffix] - excluded + escape_after
+                escape_after = np.where(below_kinds[suffix] - kinds > ESCAPE / 2, below_kinds[suffix] - kinds, 0.0)
+                # with nothing left to offer, the escape is certain
+                total_after = np.where(escape_after > 0, below_weights[suffix] - excluded + escape_after, 0.0)
             else:
-                escape_after, total_after = SYMBOLS - kinds, SYMBOLS - kinds
+                escape_after = total_after = SYMBOLS - kinds / ESCAPE  # what no context offers, all alike
             last = (context[first], grams, weight, kinds, weights)
             self.levels.append(Level(grams, log(weight), context[first], log(weights + kinds), log(kinds),
                                      log(total_after), np.where(escape_after > 0, log(escape_after), log(total_after))))
