@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import ball_tree, byte_bpe, jaccard_join, mixing, ppm, quality_rules, toxicity, weak_quality
+from featureflow.llm import (ball_tree, byte_bpe, jaccard_join, license_scan, mixing, ppm, quality_rules, toxicity, unigram_counts,
+                             weak_quality)
 from featureflow.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +78,16 @@ FROM c
 """
 
 
+# -- 3: token counts ---------------------------------------------------------------
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = unigram_counts.share_model(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return unigram_counts.token_counts(table(spark, sf_dir, "documents"), model)
+
+
 # -- 4: host-level quality rules ----------------------------------------------
 
 @query
@@ -121,6 +132,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+# -- 6: license scans ----------------------------------------------------------------
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.notices(spark)).select("doc_id", "license", "containment")
+
+
 # -- 7: LM scoring -----------------------------------------------------------------
 
 @query
