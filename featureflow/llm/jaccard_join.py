@@ -44,6 +44,8 @@ MAX_FREQUENT = 1 << 20
 LEAST_FREQUENT = 48
 CODES_PER_BUCKET = 1 << 21
 SALTS = 64
+SMALL_GROUP = 64  # classes that share an element and meet in a join; more meet in blocks
+BLOCK = 1024
 
 
 def _texts(batches: Iterator[pa.RecordBatch], width: int):
@@ -264,10 +266,83 @@ def sketched(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+class Sketches:
+    """The sketches of a block of classes by length, each length also folded once for shorter probes."""
+
+    def __init__(self, rows: list[tuple]):
+        self.by_length: dict[int, tuple] = {}
+        groups: dict[int, list] = {}
+        for row in rows:
+            groups.setdefault(len(row[-1]), []).append(row)
+        for length, part in groups.items():
+            bits = np.stack([np.frombuffer(r[-1], np.uint8) for r in part])
+            c, n, root = (np.array([r[i] for r in part], np.int64) for i in range(3))
+            self.by_length[length] = (c, n, root, {length: bits})
+
+    def meet(self, c: int, n: int, root: int, main: int, k: bytes, percent: int) -> np.ndarray:
+        """The classes of other components that the probe may be similar to, by size and sketch."""
+        out = []
+        mine = {len(k): np.frombuffer(k, np.uint8)}
+        for length, (cs, ns, roots, bits) in self.by_length.items():
+            wanted = ((roots != root) & ((roots == main) | (cs > c))
+                      & (100 * np.minimum(ns, n) >= percent * np.maximum(ns, n)))
+            if not wanted.any():
+                continue
+            short = min(length, len(k))
+            while short not in bits:
+                least = bits[min(bits)]
+                half = least.shape[1] // 2
+                bits[half] = least[:, :half] ^ least[:, half:]
+            while short not in mine:
+                least = mine[min(mine)]
+                mine[len(least) // 2] = least[:len(least) // 2] ^ least[len(least) // 2:]
+            at = np.flatnonzero(wanted)
+            differ = np.bitwise_count(bits[short][at] ^ mine[short]).sum(1, dtype=np.int64)
+            both = ns[at] + n
+            least_overlap = -(-percent * both // (100 + percent))
+            out.append(cs[at[differ <= both - 2 * least_overlap]])
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
+
+
+def blocked(many: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of large groups that size and sketch allow, of different components.
+
+    A group's members are dealt into blocks of about ``BLOCK``. Those outside
+    the main component go to every block of their group and stream past it; the
+    pairs they make are tested in place, and only those that pass leave the task.
+    """
+    kinds = classes.select(F.col("c").alias("kc"), "k")
+    rows = many.join(kinds, F.col("c") == F.col("kc")).select("t", "c", F.col("n").cast("long").alias("n"), "root", "main", "size", "k")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    cols = ["t", "block", "kind", "c", "n", "root", "main", "k"]
+    members = rows.withColumn("block", F.pmod(F.xxhash64("c"), blocks).cast("int")).withColumn("kind", F.lit(0))
+    probes = rows.where("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("kind", F.lit(1))
+    n = int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = members.select(cols).union(probes.select(cols)).repartition(n, "t", "block").sortWithinPartitions("t", "block", "kind", "c")
+
+    def run(batches):
+        now, held, block = None, [], None
+        for b in batches:
+            one, two = [], []
+            for t, at, kind, c, size, root, main, k in zip(*(b.column(i).to_pylist() for i in range(8))):
+                if (t, at) != now:
+                    now, held, block = (t, at), [], None
+                if kind == 0:
+                    held.append((c, size, root, k))
+                    continue
+                block = block or Sketches(held)
+                found = block.meet(c, size, root, main, k, percent)
+                one.append(np.minimum(found, c))
+                two.append(np.maximum(found, c))
+            empty = [np.zeros(0, np.int64)]
+            yield pa.record_batch([pa.array(np.concatenate(one or empty)), pa.array(np.concatenate(two or empty))], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int,
              percent: int) -> DataFrame:
-    """(a, b, overlap) of the candidate pairs (a, b) that reach the threshold."""
-    pairs = stored(sketched(pairs, classes, percent), "jj-pairs")
+    """(a, b, overlap) of the candidate pairs (a, b), a stored table, that reach the threshold."""
     ids = pairs.select("a").union(pairs.select("b")).distinct().join(classes, F.col("a") == F.col("c")).select("id")
     return compared(pairs, stored(sets_of(docs, id_col, text_col, width, ids), "jj-sets"), percent)
 
@@ -335,32 +410,34 @@ def links(docs: DataFrame, docs_of: DataFrame, id_col: str, text_col: str, width
 
     classes = stored(docs_of.where("c is not null").groupBy("c").agg(
         F.min("id").alias("id"), F.max("n").alias("n"), F.first("k").alias("k")), "jj-classes")
-    check = lambda pairs: verified(pairs, docs, classes, id_col, text_col, width, percent)
+    compare = lambda pairs: verified(pairs, docs, classes, id_col, text_col, width, percent)
 
     # every class against the leaders of its elements
-    to_leader = shared.where("c <> lc").where(_near("n", "ln", percent)).select(
-        F.col("lc").alias("a"), F.col("c").alias("b")).distinct()
-    first = stored(check(to_leader), "jj-links")
+    to_leader = stored(shared.where("c <> lc").where(_near("n", "ln", percent)).select(
+        F.col("lc").alias("a"), F.col("c").alias("b")).distinct(), "jj-leaders")
+    first = stored(compare(stored(sketched(to_leader, classes, percent), "jj-pairs")), "jj-links")
     roots = stored(components(first, "a", "b"), "jj-roots")
 
-    # what is left: elements whose classes are in several components. A group's
-    # main component needs no pairs within; everyone else meets everyone.
+    # What is left: elements whose classes are in several components. A group's
+    # main component needs no pairs within; everyone else meets everyone. Small
+    # groups meet in a join, large ones in blocks that give out survivors only.
     at = shared.select("t", "c", "n").distinct().join(roots, F.col("c") == F.col("node"), "left").select(
         "t", "c", "n", F.coalesce("root", "c").alias("root"))
     at = stored(at, "jj-rooted")
     main = at.groupBy("t", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("t").agg(
-        F.max(F.struct("k", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("roots"))
-    main = main.where("roots > 1").select(F.col("t").alias("mt"), "main")
-    many = at.join(main, F.col("t") == F.col("mt"))
-    few = many.where("root <> main").select(F.col("t").alias("t2"), F.col("c").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    others = many.select("t", F.col("c").alias("b"), "n", "root", "main")
+        F.max(F.struct("k", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("roots"), F.sum("k").alias("size"))
+    main = main.where("roots > 1").select(F.col("t").alias("mt"), "main", "size")
+    many = stored(at.join(main, F.col("t") == F.col("mt")).drop("mt"), "jj-many")
+    few = many.where("root <> main").where(F.col("size") <= SMALL_GROUP).select(
+        F.col("t").alias("t2"), F.col("c").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    others = many.where(F.col("size") <= SMALL_GROUP).select("t", F.col("c").alias("b"), "n", "root", "main")
     cross = few.join(others, (F.col("t") == F.col("t2")) & (F.col("ra") != F.col("root"))
                      & ((F.col("root") == F.col("main")) | (F.col("a") < F.col("b"))) & _near("na", "n", percent))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-    tried = to_leader.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).union(done).distinct()
+    cross = sketched(cross, classes, percent).union(blocked(many.where(F.col("size") > SMALL_GROUP), classes, percent)).distinct()
+    tried = to_leader.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
     cross = cross.join(tried, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
-    return stored(first.union(check(cross)), "jj-all")
+    return stored(first.union(compare(stored(cross, "jj-cross"))), "jj-all")
 
 
 def join_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,

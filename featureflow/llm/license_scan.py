@@ -67,7 +67,8 @@ def shingle_hashes(text: Column, width: int = WIDTH) -> Column:
 
 def signature(shingles: Column, values: int) -> Column:
     """The least hash of a set of shingles under each of ``values`` hash functions."""
-    return F.array(*[F.array_min(F.transform(shingles, lambda x, p=p: F.xxhash64(x, F.lit(p)))) for p in range(values)])
+    least = lambda p: F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, F.lit(p))))
+    return F.array(*[least(p) for p in range(values)])
 
 
 def band_keys(signature_col: Column, bands: int, rows: int = ROWS) -> Column:
