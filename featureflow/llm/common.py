@@ -15,6 +15,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD_BYTES = rb"[^\x20\x09-\x0D]+"
 
 
+BATCH_ROWS = 2000
+
+
 def workers_import(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 
@@ -25,6 +28,9 @@ def workers_import(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+    # whole texts travel in the batches: fewer rows in each keep a worker's memory small
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -406,7 +406,8 @@ def links(docs: DataFrame, docs_of: DataFrame, id_col: str, text_col: str, width
     # the leader is the class with the least of its own: the original among its altered copies
     lead = rows.groupBy("t").agg(F.min(F.struct("own", "c", "n")).alias("lead"), F.min("c").alias("lo"), F.max("c").alias("hi"))
     lead = lead.where("lo < hi").select(F.col("t").alias("lt"), F.col("lead.c").alias("lc"), F.col("lead.n").alias("ln"))
-    shared = stored(rows.join(lead, F.col("t") == F.col("lt")).select("t", "c", "n", "lc", "ln"), "jj-shared")
+    # both sides read all columns of the rows, so that one exchange serves both
+    shared = stored(rows.join(lead, F.col("t") == F.col("lt")).select("t", "c", "n", "own", "lc", "ln"), "jj-shared")
 
     classes = stored(docs_of.where("c is not null").groupBy("c").agg(
         F.min("id").alias("id"), F.max("n").alias("n"), F.first("k").alias("k")), "jj-classes")
