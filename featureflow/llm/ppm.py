@@ -20,8 +20,8 @@ trie is one level less deep, with all counts of that level, until it fits. So
 its memory has a bound at any corpus size, and no gram of the levels used is
 dropped.
 
-Beside it stands the unigram word model, as a base. The commonest ``COMMON``
-words travel to the tasks; what a text holds of all other words is joined with
+Beside it stands the unigram word model, as a base. The commonest words, at
+most ``COMMON``, travel to the tasks; what a text holds of all other words is joined with
 their counts.
 
 Defined cases: null text is read as empty, which has the end token alone; a null
@@ -296,7 +296,11 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, most_gram
     whole = words.agg(F.sum("n"), F.count(F.lit(1))).first()
     texts = docs.count()
     g = grams.toArrow().sort_by("gram")
-    top = words.orderBy(F.col("n").desc(), "word").limit(common).toArrow()
+    # the commonest words: counts from the least bound that leaves at most ``common`` of them
+    bands = words.groupBy(F.floor(8 * F.log2("n")).cast("int").alias("band")).count().toPandas()
+    bands = bands.sort_values("band", ascending=False)
+    taken = bands[bands["count"].cumsum() <= common]["band"]
+    top = words.where(F.floor(8 * F.log2("n")) >= (int(taken.min()) if len(taken) else 1 << 30)).toArrow()
     return Model(g.column("gram").to_numpy().astype(np.uint64), g.column("n").to_numpy().astype(np.int64), order,
                  top.column("word").to_pylist(), top.column("n").to_numpy().astype(np.int64),
                  (whole[0] or 0) + texts, whole[1] + (texts > 0), texts), words
