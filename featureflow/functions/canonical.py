@@ -1,10 +1,12 @@
 """Canonical JSON text of typed columns (H1), built from Spark built-ins.
 
 Rules: object keys sorted at every level, compact separators, integral
-doubles below 2**53 printed as integers, ``-0.0`` printed as ``0``,
-decimals without trailing zeros, NaN/Infinity rejected. VARIANT values are
-rendered with ``to_json``, which already sorts keys and prints numbers in
-their shortest form.
+doubles below 2**53 printed as integers, ``-0.0`` printed as ``0``, decimals
+without trailing zeros. No digit is dropped: a double that 18 decimal places
+do not hold exactly is printed with its own exponent. VARIANT values are
+rendered with ``to_json``, which sorts keys, and their numbers brought to the
+same form. NaN and Infinity print as text and are reported by ``nonfinite``,
+so that they fail their source and nothing else.
 """
 
 from __future__ import annotations
@@ -24,18 +26,55 @@ def number_text(c: Column, dtype: T.DataType) -> Column:
         s = c.cast("string")
         return s if dtype.scale == 0 else _strip_zeros(s)
     d = c.cast("double")
+    plain = d.try_cast("decimal(38,18)")
     return (
         F.when(d.isNull(), F.lit(None).cast("string"))
-        .when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))),
-              F.raise_error(F.lit("cannot hash non-finite number; NaN and Infinity are not valid JSON")))
+        .when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.concat(F.lit('"'), d.cast("string"), F.lit('"')))
         .when((d == F.floor(d)) & (F.abs(d) < F.lit(TWO_POW_53)), d.cast("long").cast("string"))
-        .when((F.abs(d) >= F.lit(1e-18)) & (F.abs(d) < F.lit(1e20)), _strip_zeros(d.cast("decimal(38,18)").cast("string")))
-        .otherwise(d.cast("string"))
+        .when((F.abs(d) < F.lit(1e20)) & (plain.cast("double") == d), _strip_zeros(plain.cast("string")))
+        .otherwise(_exponent(d.cast("string")))
     )
 
 
+def _exponent(s: Column) -> Column:
+    """``1.0E-10`` as ``1e-10`` and ``1.5E20`` as ``1.5e+20``."""
+    return F.regexp_replace(F.regexp_replace(F.lower(s), r"\.0e", "e"), r"e([0-9])", "e+$1")
+
+
+# A JSON string, passed over whole, so that only numbers outside strings change.
+_STRING = r'("(?:[^"\\]|\\.)*")'
+
+
+def variant_text(v: Column) -> Column:
+    """JSON text of a VARIANT with numbers in canonical form: ``1.0`` and ``1.50`` as ``1`` and ``1.5``, ``-0`` as ``0``."""
+    s = F.to_json(v)
+    s = F.regexp_replace(s, _STRING + r"|(?<![0-9.eE+-])(-?[0-9]+)[.]0+(?![0-9eE])", "$1$2")
+    s = F.regexp_replace(s, _STRING + r"|(?<![0-9.eE+-])(-?[0-9]+[.][0-9]*[1-9])0+(?![0-9eE])", "$1$2")
+    return F.regexp_replace(s, _STRING + r"|-(?=0(?![0-9.eE]))", "$1")
+
+
+def nonfinite(c: Column, dtype: T.DataType) -> Column:
+    """Whether a value holds NaN or Infinity at any depth."""
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        out = F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
+    elif isinstance(dtype, T.ArrayType):
+        out = F.exists(c, lambda x: nonfinite(x, dtype.elementType))
+    elif isinstance(dtype, T.MapType):
+        out = F.exists(F.map_values(c), lambda x: nonfinite(x, dtype.valueType))
+    elif isinstance(dtype, T.StructType):
+        out = F.lit(False)
+        for f in dtype.fields:
+            out = out | nonfinite(c[f.name], f.dataType)
+    elif isinstance(dtype, T.VariantType):
+        # JSON text has no such numbers: they appear as these strings
+        out = F.to_json(c).rlike(r'[\[,:]"(NaN|-?Infinity)"|^"(NaN|-?Infinity)"$') & F.schema_of_variant(c).rlike("DOUBLE|FLOAT|VARIANT")
+    else:
+        return F.lit(False)
+    return F.coalesce(out, F.lit(False))
+
+
 def _strip_zeros(s: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(s, "0+$", ""), "[.]$", "")
+    return F.regexp_replace(s, "[.]?0+$", "")
 
 
 def number_variant(c: Column) -> Column:
@@ -46,15 +85,16 @@ def number_variant(c: Column) -> Column:
     """
     d = c.cast("double")
     return (
-        F.when((F.abs(d) >= F.lit(1e-18)) & (F.abs(d) < F.lit(1e20)), d.cast("decimal(38,18)").cast("variant"))
-        .when(d == F.lit(0.0), F.lit(0).cast("variant"))
+        F.when(d == F.lit(0.0), F.lit(0).cast("variant"))
+        .when((F.abs(d) < F.lit(1e20)) & (d.try_cast("decimal(38,18)").cast("double") == d), d.try_cast("decimal(38,18)").cast("variant"))
         .otherwise(d.cast("variant"))
     )
 
 
 def string_text(c: Column) -> Column:
     """JSON string literal (quoted and escaped) of a string column."""
-    return F.regexp_extract(F.to_json(F.array(c)), r"^\[(.*)\]$", 1)
+    text = F.to_json(F.array(c))  # [..]: the brackets are cut by place, whatever the string holds
+    return F.when(c.isNotNull(), F.substring(text, F.lit(2), F.length(text) - 2))
 
 
 def json_text(c: Column, dtype: T.DataType) -> Column:
@@ -70,7 +110,7 @@ def _json_text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.NumericType):
         return number_text(c, dtype)
     if isinstance(dtype, T.VariantType):
-        return F.to_json(c)
+        return variant_text(c)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return string_text(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     if isinstance(dtype, T.DateType):

@@ -1,8 +1,10 @@
 """GeoJSON geometry as a VARIANT column: validation, positions, rounding.
 
-Every function returns a Column; nothing leaves the JVM. Nesting depths are
-unrolled at plan-build time into higher-order functions over
-``array<variant>``, so a row is checked with no per-row Python.
+Every function returns a Column; nothing leaves the JVM. The coordinate
+depths of simple geometries are unrolled at plan-build time into higher-order
+functions over ``array<variant>``. Collections are opened level by level with
+an ``aggregate`` whose number of steps is the row's own nesting bound, so any
+depth gives the same answer and rows without collections take no step.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ COORD_DEPTH = {
     "MultiPolygon": 3,
 }
 GEOMETRY_TYPES = sorted([*COORD_DEPTH, "GeometryCollection"])
-# How many GeometryCollection levels are unrolled; deeper nesting is reported.
-COLLECTION_DEPTH = 2
 
 _NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
+# An array, nested or not, that holds numbers of one kind only.
+_ALL_NUMERIC = r"^(ARRAY<)+(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\([0-9]+,[0-9]+\))>+$"
+_LEAF = "struct<depth: int, g: variant>"
+_PIECE = "struct<lead: string, g: variant>"
 
 
 def let(value: Column, body) -> Column:
@@ -169,123 +173,159 @@ def _kind_of_map(m: Column) -> Column:
     return F.when(F.schema_of_variant(kind_v) == "STRING", F.variant_get(kind_v, "$", "string"))
 
 
-def geometry_problem(v: Column, collection_depth: int = COLLECTION_DEPTH) -> Column:
-    """G1: the first structural problem of a geometry, or null when sound."""
+def _members(m: Column) -> Column:
+    """The members of a collection object, or null when the object is none."""
+    return F.when(_kind_of_map(m) == "GeometryCollection", _array(m["geometries"]))
 
-    def with_object(m: Column) -> Column:
-        def with_kind(kind: Column) -> Column:
-            members = _array(m["geometries"])
-            if collection_depth > 0:
-                def collection_check(ms: Column) -> Column:
-                    member_problem = _first(F.transform(ms, lambda x: geometry_problem(x, collection_depth - 1)))
-                    return let(member_problem, lambda mp: (
-                        F.when(ms.isNull() | (F.size(ms) == 0),
-                               F.lit("GeometryCollection needs a non-empty 'geometries' array"))
-                        .when(mp.isNotNull(), F.concat(F.lit("GeometryCollection member: "), mp))))
-                collection = let(members, collection_check)
-            else:
-                collection = F.lit(f"GeometryCollection nested deeper than {COLLECTION_DEPTH} levels is not supported")
-            return (
-                F.when(kind.isNull() | ~kind.isin(GEOMETRY_TYPES),
-                       F.concat(F.lit("unknown geometry type "), _kind_repr(m["type"]),
-                                F.lit("; expected one of " + ", ".join(GEOMETRY_TYPES))))
-                .when(kind == "GeometryCollection", collection)
-                .otherwise(_simple_problem(kind, m["coordinates"]))
-            )
 
+def _levels(v: Column) -> Column:
+    """An upper bound of a geometry's collection nesting: 0 unless it is a collection."""
+    text = F.to_json(v)
+    times = F.floor((F.length(text) - F.length(F.replace(text, F.lit('"geometries"'), F.lit("")))) / F.lit(12))
+    return F.when(geometry_kind(v) == "GeometryCollection", times.cast("int")).otherwise(F.lit(0))
+
+
+def _opened(v: Column, first: Column, step) -> Column:
+    """Apply ``step`` to the list ``first`` once for each level of nesting of ``v``."""
+    return F.aggregate(F.when(_levels(v) > 0, F.sequence(F.lit(1), _levels(v))).otherwise(F.array().cast("array<int>")),
+                       first, lambda acc, _: step(acc))
+
+
+def leaves(v: Column) -> Column:
+    """``array<struct<depth, g>>``: a geometry's simple members in order, and collections without members."""
+    def step(acc: Column) -> Column:
+        def one(x: Column) -> Column:
+            ms = _members(_object(x["g"]))
+            deeper = F.transform(ms, lambda m: F.struct((x["depth"] + 1).alias("depth"), m.alias("g")).cast(_LEAF))
+            return F.when(F.size(ms) > 0, deeper).otherwise(F.array(x))
+
+        return F.flatten(F.transform(acc, one))
+
+    return _opened(v, F.array(F.struct(F.lit(0).alias("depth"), v.alias("g")).cast(_LEAF)), step)
+
+
+def _leaf_problem(v: Column) -> Column:
+    """The problem of a geometry that holds no members."""
+    def with_object(m: Column) -> Column:
         return (
             F.when(v.isNull() | F.is_variant_null(v), F.lit("geometry is null"))
             .when(m.isNull(), F.concat(F.lit("geometry must be an object, got "), json_type_name(v)))
-            .otherwise(let(_kind_of_map(m), with_kind))
+            .otherwise(let(_kind_of_map(m), lambda kind: (
+                F.when(kind.isNull() | ~kind.isin(GEOMETRY_TYPES),
+                       F.concat(F.lit("unknown geometry type "), _kind_repr(m["type"]),
+                                F.lit("; expected one of " + ", ".join(GEOMETRY_TYPES))))
+                .when(kind == "GeometryCollection", F.lit("GeometryCollection needs a non-empty 'geometries' array"))
+                .otherwise(_simple_problem(kind, m["coordinates"])))))
         )
 
     return let(_object(v), with_object)
 
 
-def positions(v: Column, collection_depth: int = COLLECTION_DEPTH) -> Column:
-    """Every ``[lon, lat]`` of a geometry as ``array<array<double>>``.
+def geometry_problem(v: Column) -> Column:
+    """G1: the first structural problem of a geometry, or null when sound; collections at any depth."""
+    def in_leaf(x: Column) -> Column:
+        return F.concat(F.repeat(F.lit("GeometryCollection member: "), x["depth"]), _leaf_problem(x["g"]))
+
+    return _first(F.transform(leaves(v), in_leaf))
+
 
-    Unreadable coordinates yield an empty array, never an error.
+def positions(v: Column) -> Column:
+    """Every ``[lon, lat]`` of a geometry as ``array<array<double>>``, collections at any depth.
+
+    Only numbers count as coordinates; unreadable ones yield no position, never
+    an error.
     """
-    return let(geometry_kind(v), lambda kind: _positions_of(v, kind, collection_depth))
+    return F.flatten(F.transform(leaves(v), lambda x: let(geometry_kind(x["g"]), lambda kind: _positions_of(x["g"], kind))))
 
 
-def _positions_of(v: Column, kind: Column, collection_depth: int) -> Column:
+def _by_depth(kind: Column, branch) -> Column:
+    out = None
+    for depth in range(4):
+        hit = _depth_of(kind) == depth
+        out = F.when(hit, branch(depth)) if out is None else out.when(hit, branch(depth))
+    return out
+
+
+def _positions_of(v: Column, kind: Column) -> Column:
     coords = _member(v, "coordinates")
-    types = {0: "array<double>", 1: "array<array<double>>", 2: "array<array<array<double>>>",
-             3: "array<array<array<array<double>>>>"}
+    numeric = F.schema_of_variant(coords).rlike(_ALL_NUMERIC)
 
     def flat(depth: int) -> Column:
-        typed = F.try_variant_get(coords, "$", types[depth])
-        if depth == 0:
-            typed = F.array(typed)
+        typed = F.try_variant_get(coords, "$", "array<" * (depth + 1) + "double" + ">" * (depth + 1))
+        return F.transform(_deep_flat(typed, depth), lambda p: F.slice(p, 1, 2))
+
+    def picked(depth: int) -> Column:
+        """Among values of several kinds, the positions whose first two members are numbers."""
+        level = F.array(_array(coords)) if depth == 0 else F.transform(_array(coords), _array)
         for _ in range(depth - 1):
-            typed = F.flatten(typed)
-        return F.transform(typed, lambda p: F.slice(p, 1, 2))
+            level = F.transform(F.flatten(F.filter(level, lambda x: x.isNotNull())), _array)
+        pairs = F.filter(level, lambda p: p.isNotNull() & (F.size(p) >= 2))
+        pairs = F.filter(pairs, lambda p: is_number(p[0]) & is_number(p[1]))
+        return F.transform(pairs, lambda p: F.transform(F.slice(p, 1, 2), lambda x: F.variant_get(x, "$", "double")))
 
-    depth_col = _depth_of(kind)
-    result = None
-    for depth in range(4):
-        result = F.when(depth_col == depth, flat(depth)) if result is None else \
-            result.when(depth_col == depth, flat(depth))
-    if collection_depth > 0:
-        members = _array(_member(v, "geometries"))
-        result = result.when(kind == "GeometryCollection",
-                             F.flatten(F.transform(members, lambda m: positions(m, collection_depth - 1))))
-    cleaned = F.filter(F.coalesce(result, F.array().cast("array<array<double>>")),
-                       lambda p: (F.size(p) == 2) & p[0].isNotNull() & p[1].isNotNull())
-    return cleaned
+    found = F.when(numeric, _by_depth(kind, flat)).otherwise(_by_depth(kind, picked))
+    return F.filter(F.coalesce(found, F.array().cast("array<array<double>>")),
+                    lambda p: (F.size(p) == 2) & p[0].isNotNull() & p[1].isNotNull())
 
 
-def round_geometry(v: Column, precision: int, collection_depth: int = COLLECTION_DEPTH) -> Column:
-    """T4: round every coordinate (altitude included) to ``precision`` places.
+def round_geometry(v: Column, precision: int) -> Column:
+    """T4: round every coordinate (altitude included) to ``precision`` places, collections at any depth.
 
     Rounded numbers are stored as decimals, so ``-0.0`` becomes ``0`` and
-    integral values print without a fraction. Members other than
-    ``coordinates``/``geometries`` are kept; unreadable coordinates are left
-    as they are.
+    integral values print without a fraction. Values that are no numbers and
+    members other than ``coordinates``/``geometries`` are kept as they are.
     """
     if not 0 <= precision <= 15:
         raise ValueError("precision must be between 0 and 15")
 
+    # A collection is written as pieces of JSON text with simple members between them.
+    def step(acc: Column) -> Column:
+        def one(x: Column) -> Column:
+            m = _object(x["g"])
+            ms = _members(m)
+            rest = F.to_json(F.to_variant_object(F.map_filter(m, lambda k, _: k != "geometries")))
+            head = F.struct(F.concat(x["lead"], F.lit('{"geometries":[')).alias("lead"), F.lit(None).cast("variant").alias("g")).cast(_PIECE)
+            body = F.transform(ms, lambda g, i: F.struct(F.when(i > 0, F.lit(",")).otherwise(F.lit("")).alias("lead"), g.alias("g")).cast(_PIECE))
+            tail = F.struct(F.concat(F.lit("],"), F.substring(rest, F.lit(2), F.length(rest))).alias("lead"),
+                            F.lit(None).cast("variant").alias("g")).cast(_PIECE)
+            return F.when(ms.isNotNull(), F.concat(F.array(head), body, F.array(tail))).otherwise(F.array(x))
+
+        return F.flatten(F.transform(acc, one))
+
+    pieces = _opened(v, F.array(F.struct(F.lit("").alias("lead"), v.alias("g")).cast(_PIECE)), step)
+    text = F.array_join(F.transform(pieces, lambda x: F.concat(
+        x["lead"], F.coalesce(F.to_json(_round_simple(x["g"], precision)), F.lit("")))), "")
+    return F.when(_levels(v) > 0, F.try_parse_json(text)).otherwise(_round_simple(v, precision))
+
+
+def _round_simple(v: Column, precision: int) -> Column:
+    coords = _member(v, "coordinates")
+    numeric = F.schema_of_variant(coords).rlike(_ALL_NUMERIC)
+
     def num(x: Column) -> Column:
         return F.bround(x, precision).cast(f"decimal(38,{precision})")
 
-    def rounded(coords: Column, depth: int) -> Column:
-        typed = F.try_variant_get(coords, "$", "array<" * (depth + 1) + "double" + ">" * (depth + 1))
-
+    def typed(depth: int) -> Column:
         def walk(c: Column, d: int) -> Column:
-            if d == 0:
-                return F.transform(c, num)
-            return F.transform(c, lambda e: walk(e, d - 1))
+            return F.transform(c, num if d == 0 else lambda e: walk(e, d - 1))
 
-        return F.when(F.forall(F.flatten(_deep_flat(typed, depth)), lambda x: x.isNotNull()),
-                      walk(typed, depth).cast("variant"))
+        return walk(F.try_variant_get(coords, "$", "array<" * (depth + 1) + "double" + ">" * (depth + 1)), depth).cast("variant")
 
-    return let(geometry_kind(v), lambda kind: _round_of(v, kind, precision, rounded, collection_depth))
+    def mixed(depth: int) -> Column:
+        def walk(c: Column, d: int) -> Column:
+            inner = (lambda x: F.when(is_number(x), num(F.variant_get(x, "$", "double")).cast("variant")).otherwise(x)) if d == 0 \
+                else lambda e: walk(e, d - 1)
+            return let(_array(c), lambda a: F.when(a.isNull(), c).otherwise(F.transform(a, inner).cast("variant")))
 
+        return walk(coords, depth)
 
-def _round_of(v: Column, kind: Column, precision: int, rounded, collection_depth: int) -> Column:
-    coords = _member(v, "coordinates")
-    depth_col = _depth_of(kind)
-    new_coords = None
-    for depth in range(4):
-        branch = rounded(coords, depth)
-        new_coords = F.when(depth_col == depth, branch) if new_coords is None else \
-            new_coords.when(depth_col == depth, branch)
-    new_members = None
-    if collection_depth > 0:
-        members = _array(_member(v, "geometries"))
-        new_members = F.transform(members, lambda m: round_geometry(m, precision, collection_depth - 1)).cast("variant")
-    as_map = F.try_variant_get(v, "$", "map<string,variant>")
-
-    def replace(k: Column, x: Column) -> Column:
-        out = F.when((k == "coordinates") & new_coords.isNotNull(), new_coords)
-        if new_members is not None:
-            out = out.when((k == "geometries") & (kind == "GeometryCollection") & members.isNotNull(), new_members)
-        return out.otherwise(x)
-
-    return F.when(as_map.isNull(), v).otherwise(F.to_variant_object(F.transform_values(as_map, replace)))
+    def with_kind(kind: Column) -> Column:
+        rounded = F.when(numeric, _by_depth(kind, typed)).otherwise(_by_depth(kind, mixed))
+        as_map = _object(v)
+        return F.when(as_map.isNull() | coords.isNull(), v).otherwise(F.to_variant_object(F.transform_values(
+            as_map, lambda k, x: F.when(k == "coordinates", F.coalesce(rounded, x)).otherwise(x))))
+
+    return let(geometry_kind(v), with_kind)
 
 
 def _deep_flat(typed: Column, depth: int) -> Column:

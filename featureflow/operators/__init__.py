@@ -1,14 +1,22 @@
 """DataFrame -> DataFrame operators over feature frames.
 
 A feature frame has a VARIANT ``geometry`` column, one column per property
-(or a VARIANT ``_props`` for schemaless sources), and reserved columns whose
-names start with ``_``: ``_id`` (top-level feature id), ``_ord`` (input
-order), ``_source`` (source name), ``_hash`` (feature hash).
+(or a VARIANT ``_props`` for schemaless sources), and the reserved columns
+below. Reserved names are whole names: a property such as ``_score`` is a
+property like any other. A source whose records use a reserved name themselves
+keeps its properties in ``_props``, where no name can collide.
 """
 
-RESERVED_PREFIX = "_"
+# _id: top-level feature id; _ord: input order; _doc: input document; _source:
+# source name; _hash: feature hash; _key: diff key; _problem: why a row is unusable.
+RESERVED = frozenset({"geometry", "_id", "_ord", "_doc", "_source", "_hash", "_key", "_problem", "_props", "_names",
+                      "_json", "_too_many"})
+
+
+def is_property(name: str) -> bool:
+    return name not in RESERVED
 
 
 def property_fields(df):
     """Property columns of a typed feature frame, in column order."""
-    return [f for f in df.schema.fields if f.name != "geometry" and not f.name.startswith(RESERVED_PREFIX)]
+    return [f for f in df.schema.fields if is_property(f.name)]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featureflow.functions.canonical import json_text, object_text
+from featureflow.functions.canonical import json_text, object_text, variant_text
 from featureflow.operators import property_fields
 
 # Fixed value: the digest algorithm identifier stored next to every digest.
@@ -29,16 +29,16 @@ DIGEST_ALGORITHM = "sha256-merkle-v1"
 
 def feature_json(df: DataFrame) -> Column:
     """H1: canonical JSON text of each feature (geometry, id if any, properties)."""
-    geometry = F.coalesce(F.to_json(F.col("geometry")), F.lit("null"))
+    geometry = F.coalesce(variant_text(F.col("geometry")), F.lit("null"))
     if "_props" in df.columns:
-        props = F.coalesce(F.to_json(F.col("_props")), F.lit("{}"))
+        props = F.coalesce(variant_text(F.col("_props")), F.lit("{}"))
     else:
         props = object_text({f.name: (F.col(f.name), f.dataType) for f in property_fields(df)})
     parts = [F.lit('{"geometry":'), geometry]
     if "_id" in df.columns:
         id_type = df.schema["_id"].dataType
         if isinstance(id_type, T.VariantType):  # parsed sources: "id" only where the item had one
-            parts += [F.when(F.col("_id").isNotNull(), F.concat(F.lit(',"id":'), F.to_json("_id"))).otherwise(F.lit(""))]
+            parts += [F.when(F.col("_id").isNotNull(), F.concat(F.lit(',"id":'), variant_text(F.col("_id")))).otherwise(F.lit(""))]
         else:
             parts += [F.lit(',"id":'), json_text(F.col("_id"), id_type)]
     parts += [F.lit(',"properties":'), props, F.lit("}")]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featureflow.functions import geo
+from featureflow.operators import is_property
 
 
 def _repr(c: Column, dtype: T.DataType) -> Column:
@@ -23,12 +24,17 @@ def as_number(c: Column, dtype: T.DataType) -> Column:
     """B1: a coordinate value as DOUBLE; numeric text accepted, bool/null/text rejected (null)."""
     if isinstance(dtype, T.NumericType):
         return c.cast("double")
+    def of_text(t: Column) -> Column:
+        s = F.regexp_replace(t, r"^\s+|\s+$", "")
+        # a cast would also take a type suffix such as 1d or 2F
+        return F.when(~s.rlike("(?i)^[^n]*[0-9.][df]$"), s.try_cast("double"))
+
     if isinstance(dtype, T.StringType):
-        return F.regexp_replace(c, r"^\s+|\s+$", "").try_cast("double")
+        return of_text(c)
     if isinstance(dtype, T.VariantType):
         s = F.schema_of_variant(c)
         return (F.when(s.rlike(r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"), F.variant_get(c, "$", "double"))
-                .when(s == "STRING", F.regexp_replace(F.variant_get(c, "$", "string"), r"^\s+|\s+$", "").try_cast("double")))
+                .when(s == "STRING", of_text(F.variant_get(c, "$", "string"))))
     return F.lit(None).cast("double")
 
 
@@ -66,14 +72,14 @@ def map_geometry_field(records: DataFrame, field: str, index_col: str = "_ord")
 
 def map_properties(features: DataFrame, names: Sequence[str] | str = "*") -> DataFrame:
     """Keep listed properties (a missing one is an error naming what exists) or ``*`` for all."""
-    props = [c for c in features.columns if c != "geometry" and not c.startswith("_")]
+    props = [c for c in features.columns if is_property(c)]
     if names == "*":
         return features
     missing = [n for n in names if n not in props]
     if missing:
         raise ValueError(f"property field {missing[0]!r} is missing; available fields: "
                          + ", ".join(sorted(props)[:10]))
-    keep = [c for c in features.columns if c == "geometry" or c.startswith("_")]
+    keep = [c for c in features.columns if not is_property(c)]
     return features.select(*keep, *names)
 
 

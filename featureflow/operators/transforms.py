@@ -10,20 +10,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
+from inspect import signature
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featureflow.functions import geo
-from featureflow.operators import RESERVED_PREFIX, property_fields
+from featureflow.operators import is_property, property_fields
 
 
-def _expr(cond) -> Column:
-    """A condition given as SQL text, a Column, or a function returning a Column."""
+def _expr(cond, df: DataFrame | None = None) -> Column:
+    """A condition given as SQL text, a Column, or a function of nothing or of the frame."""
     if isinstance(cond, str):
         return F.expr(cond)
-    return cond() if callable(cond) and not isinstance(cond, Column) else cond
+    if isinstance(cond, Column) or not callable(cond):
+        return cond
+    return cond(df) if signature(cond).parameters else cond()
 
 
 @dataclass(frozen=True)
@@ -37,10 +40,10 @@ class Step:
     def apply(self, df: DataFrame) -> DataFrame:
         return STEP_FUNCTIONS[self.op](df, self.arg)
 
-    def keeps(self) -> Column | None:
+    def keeps(self, df: DataFrame | None = None) -> Column | None:
         """Row-survival condition of this step, or None when it keeps every row."""
         if self.op == "filter":
-            return F.coalesce(_expr(self.arg), F.lit(False))
+            return F.coalesce(_expr(self.arg, df), F.lit(False))
         if self.op == "drop_invalid" and self.arg:
             return geo.geometry_problem(F.col("geometry")).isNull()
         return None
@@ -48,28 +51,47 @@ class Step:
 
 def t_filter(df: DataFrame, cond) -> DataFrame:
     """Keep rows where the condition is true (null counts as false)."""
-    return df.where(_expr(cond))
+    return df.where(_expr(cond, df))
+
+
+def _props(df: DataFrame) -> Column:
+    """The properties of a schemaless frame as a map."""
+    return F.try_variant_get(F.col("_props"), "$", "map<string,variant>")
 
 
 def t_select(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Keep only the listed properties, in list order; absent names are skipped."""
-    keep_props = [n for n in dict.fromkeys(names) if n in df.columns and not n.startswith(RESERVED_PREFIX)
-                  and n != "geometry"]
-    others = [c for c in df.columns if c == "geometry" or c.startswith(RESERVED_PREFIX)]
-    return df.select(*others, *keep_props)
+    if "_props" in df.columns:
+        kept = F.map_filter(_props(df), lambda k, _: k.isin(list(names)))
+        return df.withColumn("_props", F.when(F.col("_props").isNotNull(), F.to_variant_object(kept)))
+    keep_props = [n for n in dict.fromkeys(names) if n in df.columns and is_property(n)]
+    others = [c for c in df.columns if not is_property(c)]
+    return df.select(*others, *[F.col(f"`{c}`") for c in keep_props])
 
 
 def t_rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rename properties; when two land on one name, the later column wins."""
+    if "_props" in df.columns:
+        def renamed(m: Column) -> Column:
+            name = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair]) if mapping else None
+            entries = F.transform(F.map_entries(m), lambda e: F.struct(
+                (F.coalesce(F.try_element_at(name, e["key"]), e["key"]) if mapping else e["key"]).alias("key"), e["value"].alias("value")))
+
+            def last(es: Column) -> Column:
+                return F.filter(es, lambda e, i: ~F.exists(F.slice(es, i + 2, F.size(es)), lambda x: x["key"] == e["key"]))
+
+            return F.map_from_entries(geo.let(entries, last))
+
+        return df.withColumn("_props", F.when(F.col("_props").isNotNull(), F.to_variant_object(renamed(_props(df)))))
     target: dict[str, str] = {}
     for f in property_fields(df):
         target[mapping.get(f.name, f.name)] = f.name  # later source column overwrites
     cols = []
     for c in df.columns:
-        if c == "geometry" or c.startswith(RESERVED_PREFIX):
+        if not is_property(c):
             cols.append(F.col(c))
     for new_name, src in target.items():
-        cols.append(F.col(src).alias(new_name))
+        cols.append(F.col(f"`{src}`").alias(new_name))
     return df.select(*cols)
 
 
@@ -99,21 +121,39 @@ def apply_steps(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
     return reduce(lambda acc, step: acc.transform(step.apply), steps, df)
 
 
+# Marks travel as columns that no step touches.
+_ALIVE = "_ord::alive"
+
+
+def _around_marks(df: DataFrame, step: Step) -> DataFrame:
+    """Apply a step that keeps every row, with the marks set aside in the order column."""
+    marks = [c for c in df.columns if c.startswith(_ALIVE)]
+    had = "_ord" in df.columns
+    held = F.struct(*([F.col("_ord")] if had else []), *[F.col(f"`{m}`").alias(m) for m in marks])
+    out = step.apply(df.select(*[c for c in df.columns if c not in marks and c != "_ord"], held.alias("_ord")))
+    rest = [c for c in out.columns if c != "_ord"]
+    return out.select(*rest, *([F.col("_ord._ord").alias("_ord")] if had else []), *[F.col("_ord")[m].alias(m) for m in marks])
+
+
 def step_counts(df: DataFrame, steps: Sequence[Step], by: Sequence[str] = ()) -> DataFrame:
     """Rows in / out / removed per step in one aggregation pass.
 
     Returns ``(*by, step_no, step, detail, features_in, features_out, removed)``.
-    Survival after step k is the AND of the conditions of steps 1..k; only
-    conditions are evaluated, no intermediate frame is materialised.
+    Every row carries a mark for each step that it outlives, and the other steps
+    are applied as they come, so a condition sees the names and values that the
+    steps before it left. Nothing is materialised.
     """
-    alive: Column = F.lit(True)
-    aggs = [F.count(F.lit(1)).alias("n0")]
+    marked, alive = df.withColumn(_ALIVE + "0", F.lit(True)), _ALIVE + "0"
     for i, step in enumerate(steps, start=1):
-        cond = step.keeps()
-        if cond is not None:
-            alive = alive & cond
-        aggs.append(F.count_if(alive).alias(f"n{i}"))
-    counts = df.groupBy(*by).agg(*aggs)
+        mark, keep = f"{_ALIVE}{i}", step.keeps(marked)
+        if keep is None:
+            marked = marked.withColumn(mark, F.col(alive))
+            marked = _around_marks(marked, step)
+        else:
+            marked = marked.withColumn(mark, F.col(alive) & keep)
+        alive = mark
+    aggs = [F.count(F.lit(1)).alias("n0")] + [F.count_if(F.col(f"{_ALIVE}{i}")).alias(f"n{i}") for i in range(1, len(steps) + 1)]
+    counts = marked.groupBy(*by).agg(*aggs)
     rows = [
         F.struct(F.lit(i).alias("step_no"), F.lit(s.op).alias("step"), F.lit(s.detail).alias("detail"),
                  F.col(f"n{i - 1}").alias("features_in"), F.col(f"n{i}").alias("features_out"))
@@ -134,45 +174,26 @@ def drop_reasons(df: DataFrame, by: Sequence[str] = (), limit: int = 3) -> DataF
     """
     from pyspark.sql import Window
 
-    if not by:
-        return _drop_reasons_single(df, limit)
     keys = list(by)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     checked = df.select(*keys, "_ord", geo.geometry_problem(F.col("geometry")).alias("problem"))
-    bad = checked.where(F.col("problem").isNotNull())
-    rk = F.row_number().over(Window.partitionBy(*keys).orderBy("_ord"))
+    # one exchange of the rejects serves the count and the first few: the check runs once per row
+    bad = checked.where(F.col("problem").isNotNull()).repartition(n, "_ord")
+    rk = F.row_number().over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_ord"))
     first = (bad.withColumn("rk", rk).where(F.col("rk") <= limit)
              .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("rk", "_ord", "problem"))).alias("fs")))
-    rejected = bad.groupBy(*keys).agg(F.count(F.lit(1)).alias("rejected"))
-    idx = [F.count_if(F.col("_ord") < F.try_element_at(F.col("fs"), F.lit(k))["_ord"]).alias(f"i{k}")
-           for k in range(1, limit + 1)]
-    positions = (checked.join(F.broadcast(first), keys)
-                 .groupBy(*keys).agg(F.first("fs").alias("fs"), *idx))
-    parts = [F.when(F.try_element_at(F.col("fs"), F.lit(k)).isNotNull(),
-                    F.concat(F.lit("feature "), F.col(f"i{k}").cast("string"), F.lit(": "),
-                             F.try_element_at(F.col("fs"), F.lit(k))["problem"]))
-             for k in range(1, limit + 1)]
+    rejected = bad.groupBy(*keys).agg(F.count(F.struct("_ord", "problem")).alias("rejected"))
+    one_row = rejected.join(first, keys) if keys else rejected.join(F.broadcast(first.where(F.col("fs").isNotNull())), how="left")
+    at = [F.try_element_at(F.col("fs"), F.lit(k)) for k in range(1, limit + 1)]
+    # positions: how many rows come before; without keys the other side is one row
+    orders = df.select(*keys, "_ord")
+    joined = orders.join(one_row, keys) if keys else orders.join(F.broadcast(one_row))
+    counted = joined.groupBy(*keys).agg(
+        F.first("rejected").alias("rejected"), F.first("fs").alias("fs"),
+        *[F.count_if(F.col("_ord") < x["_ord"]).alias(f"i{k}") for k, x in enumerate(at, 1)])
+    parts = [F.when(x.isNotNull(), F.concat(F.lit("feature "), F.col(f"i{k}").cast("string"), F.lit(": "), x["problem"]))
+             for k, x in enumerate(at, 1)]
     more = F.col("rejected") - F.lit(limit)
-    out = rejected.join(positions, keys)
     detail = F.concat(F.concat_ws("; ", *parts),
                       F.when(more > 0, F.concat(F.lit(" (+"), more.cast("string"), F.lit(" more)"))).otherwise(F.lit("")))
-    return out.select(*by, "rejected", detail.alias("detail"))
-
-
-def _drop_reasons_single(df: DataFrame, limit: int) -> DataFrame:
-    """``drop_reasons`` for one source: a distributed top-k, then one counting pass.
-
-    Only the first ``limit`` rejects (a proven bound) reach the driver; their
-    positions are counts over the whole frame, computed without a join.
-    """
-    checked = df.select("_ord", geo.geometry_problem(F.col("geometry")).alias("problem"))
-    first = (checked.where(F.col("problem").isNotNull()).orderBy("_ord").limit(limit)
-             .select("_ord", "problem").collect())
-    aggs = [F.count_if(F.col("problem").isNotNull()).alias("rejected")]
-    aggs += [F.count_if(F.col("_ord") < F.lit(r["_ord"])).alias(f"i{k}") for k, r in enumerate(first)]
-    counts = checked.agg(*aggs)
-    parts = [F.concat(F.lit("feature "), F.col(f"i{k}").cast("string"), F.lit(": " + r["problem"]))
-             for k, r in enumerate(first)]
-    more = F.col("rejected") - F.lit(limit)
-    detail = F.concat(F.concat_ws("; ", *parts) if parts else F.lit(""),
-                      F.when(more > 0, F.concat(F.lit(" (+"), more.cast("string"), F.lit(" more)"))).otherwise(F.lit("")))
-    return counts.select("rejected", F.when(F.col("rejected") > 0, detail).alias("detail"))
+    return counted.select(*by, F.coalesce("rejected", F.lit(0)).alias("rejected"), F.when(F.col("rejected") > 0, detail).alias("detail"))

@@ -98,8 +98,8 @@ def q_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT key, sha256({station_feature_json()}) AS feature_hash FROM stations WHERE {_ACTIVE}", "stations"))
 def q_feature_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H2: feature hash per station after the standard steps."""
-    df = with_feature_hash(apply_steps(X.stations(spark, sf_dir).withColumn("_key_num", F.col("key")), STATION_STEPS))
-    return df.select(F.col("_key_num").alias("key"), F.col("_hash").alias("feature_hash"))
+    df = with_feature_hash(apply_steps(X.stations(spark, sf_dir).withColumn("_key", F.col("key")), STATION_STEPS))
+    return df.select(F.col("_key").alias("key"), F.col("_hash").alias("feature_hash"))
 
 
 # --------------------------------------------------------------------------
@@ -149,8 +149,8 @@ def _hash_sql(fixture: str) -> str:
     f"SELECT key, {station_feature_json()} AS canonical_json FROM stations WHERE {_ACTIVE}", "stations"))
 def q_canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1: canonical feature JSON text."""
-    df = apply_steps(X.stations(spark, sf_dir).withColumn("_key_num", F.col("key")), STATION_STEPS)
-    return df.select(F.col("_key_num").alias("key"), feature_json(df).alias("canonical_json"))
+    df = apply_steps(X.stations(spark, sf_dir).withColumn("_key", F.col("key")), STATION_STEPS)
+    return df.select(F.col("_key").alias("key"), feature_json(df).alias("canonical_json"))
 
 
 @query("collection_digest", with_fixtures("SELECT feature_count, content_hash FROM digest", "stations",
@@ -1074,8 +1074,8 @@ def q_source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WHERE {_ACTIVE}", "stations"))
 def q_feature_rows_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: one GeoJSON Feature text per line, as written by the publisher."""
-    df = apply_steps(X.stations(spark, sf_dir).withColumn("_key_num", F.col("key")), STATION_STEPS)
-    return df.select(F.col("_key_num").alias("key"), PUB.feature_line(df).alias("line"))
+    df = apply_steps(X.stations(spark, sf_dir).withColumn("_key", F.col("key")), STATION_STEPS)
+    return df.select(F.col("_key").alias("key"), PUB.feature_line(df).alias("line"))
 
 
 @query("summary", with_fixtures(
