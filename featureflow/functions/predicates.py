@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featureflow.operators import is_property
 
 
 def _false() -> Column:
@@ -25,9 +26,18 @@ def _c(x: Any) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
-def prop(df: DataFrame, name: str) -> Column:
-    """A property column, or NULL when the frame has no such property."""
-    return F.col(name) if name in df.columns else F.lit(None)
+def prop(df: DataFrame, name: str, dtype: str = "string") -> Column:
+    """A property, or NULL when the frame or the row has no such property.
+
+    In a schemaless frame the property is read as ``dtype``; a value of another
+    kind is NULL.
+    """
+    if name in df.columns and is_property(name):
+        return F.col(f"`{name}`")
+    if "_props" in df.columns:
+        path = "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+        return F.try_variant_get(F.col("_props"), path, dtype)
+    return F.lit(None)
 
 
 def eq(a: Any, b: Any) -> Column:
@@ -128,15 +138,20 @@ def div(a: Any, b: Any) -> Column:
 
 
 def floordiv(a: Any, b: Any, integral: bool = True) -> Column:
-    """``//`` rounds toward negative infinity."""
-    q = F.floor(_c(a).cast("double") / _c(b).cast("double"))
-    return q.cast("long") if integral else q.cast("double")
+    """``//`` rounds toward negative infinity; whole numbers never pass through a double."""
+    a, b = _c(a), _c(b)
+    if not integral:
+        return F.floor(a.cast("double") / b.cast("double")).cast("double")
+    a, b = a.cast("long"), b.cast("long")
+    down = (a % b != 0) & ((a < 0) != (b < 0))
+    return F.call_function("div", a, b) - F.when(down, F.lit(1)).otherwise(F.lit(0)).cast("long")
 
 
 def mod(a: Any, b: Any) -> Column:
     """``%`` takes the divisor's sign (Spark's ``%`` takes the dividend's)."""
     a, b = _c(a), _c(b)
-    return ((a % b) + b) % b
+    r = a % b
+    return F.when((r != 0) & ((r < 0) != (b < 0)), r + b).otherwise(r)
 
 
 def if_else(cond: Column, cond_type: T.DataType, a: Any, b: Any) -> Column:
@@ -150,12 +165,13 @@ def length(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(n.cast("long"), F.lit(0).cast("long"))
 
 
-def lower(c: Column) -> Column:
-    return F.lower(c)
+def lower(c: Column, dtype: T.DataType = T.StringType()) -> Column:
+    """Lower case of a string; any other value as it is."""
+    return F.lower(c) if isinstance(dtype, T.StringType) else c
 
 
-def upper(c: Column) -> Column:
-    return F.upper(c)
+def upper(c: Column, dtype: T.DataType = T.StringType()) -> Column:
+    return F.upper(c) if isinstance(dtype, T.StringType) else c
 
 
 def to_int(c: Column) -> Column:
@@ -167,9 +183,10 @@ def to_float(c: Column) -> Column:
     return c.cast("double")
 
 
-def to_str(c: Column) -> Column:
-    """``str``; null becomes the empty string."""
-    return F.coalesce(c.cast("string"), F.lit(""))
+def to_str(c: Column, dtype: T.DataType = T.StringType()) -> Column:
+    """``str``; null becomes the empty string, booleans ``True`` and ``False``."""
+    text = F.initcap(c.cast("string")) if isinstance(dtype, T.BooleanType) else c.cast("string")
+    return F.coalesce(text, F.lit(""))
 
 
 def startswith(c: Column, dtype: T.DataType, prefix: str) -> Column:

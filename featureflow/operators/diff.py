@@ -13,6 +13,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from featureflow.functions.predicates import prop
+
 # Fixed value: example ids kept per change bucket.
 SAMPLE_LIMIT = 10
 
@@ -23,9 +25,9 @@ def feature_key(df: DataFrame, id_property: str | None = None) -> Column:
     """The configured property as text (null = no key), else the top-level id."""
     if id_property is not None:
         if "_props" in df.columns:
-            return F.try_variant_get(F.col("_props"), f"$.{id_property}", "string")
+            return prop(df, id_property)
         if id_property in df.columns:
-            return F.col(id_property).cast("string")
+            return F.col(f"`{id_property}`").cast("string")
         return F.lit(None).cast("string")
     if "_id" in df.columns:
         return F.col("_id").cast("string")
@@ -37,10 +39,19 @@ def with_key(df: DataFrame, id_property: str | None = None) -> DataFrame:
 
 
 def key_index(keyed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``(*by, key, hash, n)``; the row with the largest ``_ord`` wins a key."""
+    """``(*by, key, hash, n)``; the last row of a key wins, by document, place in it, and hash.
+
+    The last of these settles equal places, so the winner never depends on the
+    order in which rows arrive.
+    """
     return (keyed.where(F.col("_key").isNotNull())
             .groupBy(*by, F.col("_key").alias("key"))
-            .agg(F.max_by("_hash", "_ord").alias("hash"), F.count(F.lit(1)).alias("n")))
+            .agg(F.max(place(keyed))["_hash"].alias("hash"), F.count(F.lit(1)).alias("n")))
+
+
+def place(df: DataFrame) -> Column:
+    """A row's place in the input, with its hash as the last resort."""
+    return F.struct(*[c for c in ("_doc",) if c in df.columns], "_ord", "_hash")
 
 
 def duplicate_ids(keyed: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.functions import predicates as P
+from featureflow.operators import property_fields
 from featureflow.operators import diff as D
 from featureflow.operators.digest import with_feature_hash
 from featureflow.operators.transforms import Step, apply_steps
@@ -896,7 +897,8 @@ def q_source_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     "WHEN bool_or(changed) THEN 0 ELSE 3 END AS exit_code FROM man GROUP BY run_ts", "runs", extra=_CARRIED))
 def q_run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: exit code per run."""
-    return M.run_outcome(_manifest(spark, sf_dir)).select(_iso("run_ts"), "exit_code")
+    fetch = F.when(F.col("status") == "failed", F.lit(M.EXIT_FETCH_FAILURE)).alias("error_code")  # the fixture's runs fail to fetch
+    return M.run_outcome(_manifest(spark, sf_dir).select("*", fetch)).select(_iso("run_ts"), "exit_code")
 
 
 @query("manifest_totals", with_fixtures(
@@ -915,12 +917,15 @@ def q_manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
           SELECT run_ts, CASE WHEN any_failed THEN 'failed' WHEN any_stale THEN 'stale' ELSE 'fresh' END AS state,
                  CASE WHEN any_failed THEN 'Refresh failed — showing data from ' || txt
                       WHEN any_stale THEN 'Data may be out of date — updated ' || txt ELSE 'Updated ' || txt END AS label,
-                 CASE WHEN NOT any_failed AND NOT any_stale THEN CAST(features AS VARCHAR) || ' features across '
+                 CASE WHEN any_failed THEN failed WHEN any_stale THEN old ELSE CAST(features AS VARCHAR) || ' features across '
                       || CAST(n AS VARCHAR) || ' source(s)' END AS title, age AS age_seconds
           FROM (SELECT *, coalesce({humanize_sql('CAST(age AS DOUBLE)')}, 'unknown') AS txt FROM (
                 SELECT run_ts, bool_or(status = 'failed') AS any_failed, bool_or(stale) AS any_stale,
                        CASE WHEN bool_or(age_seconds IS NULL) THEN NULL ELSE max(age_seconds) END AS age,
-                       count(*) AS n, CAST(coalesce(sum(last_feature_count), 0) AS BIGINT) AS features
+                       count(*) AS n, CAST(coalesce(sum(last_feature_count), 0) AS BIGINT) AS features,
+                       string_agg(source || ': failed', chr(10) ORDER BY source) FILTER (WHERE status = 'failed') AS failed,
+                       string_agg(source || ' is older than its ' || replace({humanize_sql('max_age')}, ' ago', '') || ' limit',
+                                  chr(10) ORDER BY source) FILTER (WHERE stale) AS old
                 FROM man GROUP BY run_ts)))""", "runs", extra=_CARRIED))
 def q_freshness_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """badge state, label and title per run."""
@@ -1093,7 +1098,7 @@ def q_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: per-source summary (count, bbox, type histogram, property names, digest)."""
     parts = []
     for name, df in (("stations", apply_steps(X.stations(spark, sf_dir), STATION_STEPS)), ("depots", X.depots(spark, sf_dir))):
-        names = F.array(*[F.lit(f.name) for f in __import__("featureflow.operators", fromlist=["x"]).property_fields(df)])
+        names = F.array(*[F.lit(f.name) for f in property_fields(df)])
         parts.append(with_feature_hash(df).select(F.lit(name).alias("_source"), "geometry", "_hash", names.alias("_names")))
     return PUB.summary(parts[0].unionByName(parts[1]))
 
@@ -1107,17 +1112,23 @@ def q_merge_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(F.col("_source").alias("source"), F.col("_ord").alias("ord"), F.col("_json").alias("feature_json"))
 
 
-@query("refresh_stream")
+@query("refresh_stream", with_fixtures(
+    "SELECT 'stations' AS source, 'ok' AS status, feature_count, content_hash, feature_count AS added FROM digest", "stations",
+    extra="hs AS (SELECT sha256(" + station_feature_json() + f") AS h FROM stations WHERE {_ACTIVE})," + _digest_sql("hs")))
 def q_refresh_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer table streamed through foreachBatch refreshes (rows-only check)."""
+    """The customer table streamed through refresh runs, from an empty state."""
     import uuid
 
     from featureflow.session import checkpoint_dir
     from featureflow.streaming.stream import refresh_stream
 
-    schema = X.table(spark, sf_dir, "customer").schema
+    table = X.table(spark, sf_dir, "customer")
     out = f"{checkpoint_dir(spark).rstrip('/')}/featureflow-stream/{uuid.uuid4().hex}"
-    path = refresh_stream(spark, sf_dir, schema, "stations",
-                          lambda b: X.as_features(X.stations_from_customers(b)), out_dir=out,
-                          file_glob="customer.parquet")
-    return spark.read.parquet(path).select("source", "feature_count", "content_hash")
+    # a table is a folder of part files, or one file of its folder
+    one = table.select("_metadata.file_path").first()
+    single = one is None or one[0].endswith("/customer.parquet")
+    path = refresh_stream(spark, sf_dir if single else f"{sf_dir}/customer.parquet", table.schema,
+                          SourceSpec("stations", X.stations, tuple(STATION_STEPS), "station_id", 1),
+                          lambda b: X.as_features(X.stations_from_customers(b)), out, RUN_NOW,
+                          file_glob="customer.parquet" if single else None)
+    return spark.read.parquet(path).select("source", "status", "feature_count", "content_hash", "added")

@@ -1,10 +1,16 @@
 """The refresh run (R1, R2, O4-O6): sources -> steps -> digest -> diff -> gates -> publish -> state.
 
-Every source is reduced to one hashed frame ``(_source, _key, _hash, _ord,
-geometry, _json)``; the run then needs four aggregations over it (digest,
-bbox/count, key index, hash multiset) and one full outer join per mode
-against the previous state. Only per-source rows (a handful) ever reach the
-driver, to decide what to write.
+Every source is reduced to one hashed frame ``(_source, _key, _hash, _doc,
+_ord, geometry, _json, _problem)``. Rows that cannot be used keep their problem
+and pass by the steps, so no step can hide them; they fail their source and no
+other. The run needs four aggregations over the frame (digest, bbox/count, key
+index, hash multiset) and one full outer join against the previous state, each
+source in the mode that its keys allow. Only per-source rows (a handful) reach
+the driver, to choose that mode and to decide what to write.
+
+A run writes features, then its state, then its manifest under ``run_id``. The
+manifest is the commit point: ``load_state`` reads the state of the last run
+that has one, and a replayed run overwrites its own folders.
 """
 
 from __future__ import annotations
@@ -13,18 +19,23 @@ from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.functions import geo
+from featureflow.functions.canonical import nonfinite
 from featureflow.functions.freshness import is_stale
 from featureflow.operators import diff as D
-from featureflow.operators.digest import collection_digest, feature_json, with_feature_hash
+from featureflow.operators import property_fields
+from featureflow.operators.digest import collection_digest, empty_digest_hash, feature_json, with_feature_hash
 from featureflow.operators.publish import write_features
 from featureflow.operators.transforms import Step, apply_steps
 
 STATE_INDEX_SCHEMA = "source STRING, key STRING, hash STRING, n BIGINT"
-STATE_META_SCHEMA = "source STRING, content_hash STRING, fetched_at TIMESTAMP, feature_count BIGINT"
+# published_hash: the content last written out; it lags content_hash while publishing is blocked.
+STATE_META_SCHEMA = ("source STRING, content_hash STRING, fetched_at TIMESTAMP, feature_count BIGINT, "
+                     "published_hash STRING")
 
 
 @dataclass(frozen=True)
@@ -46,25 +57,59 @@ class RunResult:
     next_meta: DataFrame
     features: DataFrame
     outputs: list[str] = field(default_factory=list)
+    exit_code: int = 0
 
 
 def empty_state(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     return spark.createDataFrame([], STATE_INDEX_SCHEMA), spark.createDataFrame([], STATE_META_SCHEMA)
 
 
+def load_state(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The state of the last committed run in ``out_dir``; an empty one when there is none or it cannot be read."""
+    try:
+        last = spark.read.parquet(f"{out_dir}/manifest").agg(F.max(F.struct("run_at", F.col("run_id").cast("string")))).first()[0]
+        if last is None:
+            return empty_state(spark)
+        base = f"{out_dir}/state/run_id={last[1]}"
+        index = spark.read.schema(STATE_INDEX_SCHEMA).parquet(f"{base}/index")
+        meta = spark.read.schema(STATE_META_SCHEMA).parquet(f"{base}/meta")
+        meta.limit(1).collect()
+        return index, meta
+    except AnalysisException:  # no folder, or no table in it: a first run
+        return empty_state(spark)
+
+
 def hashed_features(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
     """All selected sources as one frame of hashed, keyed features."""
     out = None
     for spec in specs:
-        df = apply_steps(spec.load(spark), spec.steps)
+        raw = spec.load(spark)
+        bad = None
+        if "_problem" in raw.columns:
+            bad = raw.where(F.col("_problem").isNotNull())
+            raw = raw.where(F.col("_problem").isNull()).drop("_problem")
+        df = apply_steps(raw, spec.steps)
         keyed = D.with_key(with_feature_hash(df), spec.id_property)
-        part = keyed.select(F.lit(spec.name).alias("_source"), "_key", "_hash", "_ord", "geometry",
-                            feature_json(df).alias("_json"),
-                            (F.col("_problem") if "_problem" in df.columns else F.lit(None).cast("string")).alias("_problem"))
+        part = keyed.select(
+            F.lit(spec.name).alias("_source"), "_key", "_hash",
+            (F.col("_doc").cast("string") if "_doc" in df.columns else F.lit(None).cast("string")).alias("_doc"), "_ord",
+            "geometry", feature_json(df).alias("_json"),
+            F.when(_nonfinite(df), F.lit("non-finite number: NaN and Infinity have no JSON form")).alias("_problem"))
+        if bad is not None:
+            part = part.unionByName(bad.select(F.lit(spec.name).alias("_source"), "_problem"), allowMissingColumns=True)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _nonfinite(df: DataFrame) -> Column:
+    out = nonfinite(F.col("geometry"), df.schema["geometry"].dataType)
+    if "_props" in df.columns:
+        return out | nonfinite(F.col("_props"), df.schema["_props"].dataType)
+    for f in property_fields(df):
+        out = out | nonfinite(F.col(f"`{f.name}`"), f.dataType)
+    return out
+
+
 def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataFrame, state_meta: DataFrame,
             now: str, only: Sequence[str] = (), force: bool = False, dry_run: bool = False,
             out_dir: str | None = None, run_id: str = "0") -> RunResult:
@@ -79,38 +124,49 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
                                                "min_features BIGINT, max_age DOUBLE")
     now_col = F.lit(now).cast("timestamp")
 
-    feats = hashed_features(spark, selected).persist(StorageLevel.MEMORY_AND_DISK)
+    everything = hashed_features(spark, selected).persist(StorageLevel.MEMORY_AND_DISK)
+    feats = everything.where(F.col("_problem").isNull()).drop("_problem")
     by = ["_source"]
     digest = collection_digest(feats, by)
     a, b, c, d = geo.bbox_parts(F.col("geometry"))
-    per_source = feats.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("feature_count"), F.count("_key").alias("with_key"),
-        F.count("_problem").alias("problems"), F.min(a).alias("min_lon"), F.min(b).alias("min_lat"),
-        F.max(c).alias("max_lon"), F.max(d).alias("max_lat"))
+    sound = F.col("_problem").isNull()
+    per_source = everything.groupBy(*by).agg(
+        F.count_if(sound).alias("feature_count"), F.count_if(sound & F.col("_key").isNotNull()).alias("with_key"),
+        F.count("_problem").alias("problems"), F.min("_problem").alias("problem"), F.min(a).alias("min_lon"),
+        F.min(b).alias("min_lat"), F.max(c).alias("max_lon"), F.max(d).alias("max_lat"))
+    per_source = spark.createDataFrame(per_source.collect(), per_source.schema)  # one row per source
+    modes = {r["_source"]: r["feature_count"] > 0 and r["with_key"] == r["feature_count"] for r in per_source.collect()}
+    by_key = [n for n, keyed in modes.items() if keyed]
 
     prev_meta = state_meta.select(F.col("source").alias("_source"), F.col("content_hash").alias("previous_content_hash"),
                                   F.col("fetched_at").alias("prev_fetched_at"),
-                                  F.col("feature_count").alias("prev_feature_count"))
+                                  F.col("feature_count").alias("prev_feature_count"),
+                                  F.col("published_hash").alias("prev_published_hash"))
     prev_keyed = state_index.where(F.col("key").isNotNull()).select(F.col("source").alias("_source"), "key", "hash")
     prev_hashes = state_index.where(F.col("key").isNull()).select(F.col("source").alias("_source"), "hash", "n")
     # an unkeyed previous run keeps (hash, n); a keyed one can be compared as a multiset too
     prev_multiset = prev_hashes.unionByName(
         state_index.where(F.col("key").isNotNull()).select(F.col("source").alias("_source"), "hash", "n"))
 
-    keyed_counts = D.diff_counts(D.change_feed(D.key_index(feats, by), prev_keyed, by), by)
-    unkeyed_counts = D.unkeyed_diff(D.hash_counts(feats, by), prev_multiset, by)
+    # each source takes part in the diff of its mode only
+    keyed_source = F.col("_source").isin(by_key)
+    keyed_counts = D.diff_counts(D.change_feed(D.key_index(feats.where(keyed_source), by), prev_keyed.where(keyed_source), by), by)
+    unkeyed_counts = D.unkeyed_diff(D.hash_counts(feats.where(~keyed_source), by), prev_multiset.where(~keyed_source), by)
     k = keyed_counts.select(*by, *[F.col(o).alias(f"k_{o}") for o in D.OPS])
     u = unkeyed_counts.select(*by, *[F.col(o).alias(f"u_{o}") for o in D.OPS])
 
     m = (spec_df.withColumnRenamed("source", "_source")
          .join(per_source, by, "left").join(digest.drop("feature_count"), by, "left")
          .join(prev_meta, by, "left").join(k, by, "left").join(u, by, "left"))
+    # a selected source without rows is an empty collection, with its own digest
+    m = m.withColumn("feature_count", F.when(F.col("selected"), F.coalesce("feature_count", F.lit(0))))
+    m = m.withColumn("content_hash", F.when(F.col("selected"), F.coalesce("content_hash", F.lit(empty_digest_hash()))))
     keyed = (F.col("feature_count") > 0) & (F.col("with_key") == F.col("feature_count"))
     first_run = F.col("previous_content_hash").isNull()
     min_ok = F.coalesce(F.col("feature_count"), F.lit(0)) >= F.coalesce(F.col("min_features"), F.lit(0))
     failed = F.col("selected") & ((F.coalesce(F.col("problems"), F.lit(0)) > 0) | ~min_ok)
     error = (F.when(F.coalesce(F.col("problems"), F.lit(0)) > 0,
-                    F.concat(F.col("problems").cast("string"), F.lit(" record(s) could not be read")))
+                    F.concat(F.col("problems").cast("string"), F.lit(" record(s) could not be read: "), F.col("problem")))
              .when(~min_ok, F.concat(F.lit("only "), F.coalesce(F.col("feature_count"), F.lit(0)).cast("string"),
                                      F.lit(" feature(s) survived the pipeline but min_features is "),
                                      F.col("min_features").cast("string"))))
@@ -146,11 +202,16 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
         F.when(failed, F.lit(5)).alias("error_code"),
     )
 
-    # Only one row per source comes back to the driver: the publish decision.
-    decision = manifest.select("source", "status", "changed").collect()
-    any_failed = any(r["status"] == "failed" for r in decision)
-    to_publish = [r["source"] for r in decision if r["status"] != "failed" and r["status"] != "skipped"
-                  and (r["changed"] or force)]
+    # One row per source: computed once, here, for the caller, the decision and the tables written below.
+    published_before = {r["source"]: r["published_hash"] for r in state_meta.select("source", "published_hash").collect()}
+    decision = manifest.collect()
+    manifest = spark.createDataFrame(decision, manifest.schema)
+    failures = [r for r in decision if r["status"] == "failed"]
+    any_failed = bool(failures)
+    # what is written out is compared with what was written last, so a change that was blocked is not lost
+    to_publish = [r["source"] for r in decision if r["status"] not in ("failed", "skipped")
+                  and (force or r["content_hash"] != published_before.get(r["source"]))]
+    exit_code = max([r["error_code"] or 5 for r in failures], default=0 if to_publish or force else 3)
     outputs: list[str] = []
     if not any_failed and to_publish:
         published = feats.where(F.col("_source").isin(to_publish))
@@ -165,8 +226,8 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
     # Next state: fresh sources get their new index; failed and skipped sources keep the old rows.
     fresh_names = [r["source"] for r in decision if r["status"] not in ("failed", "skipped")]
     keyed_rows = (feats.where(F.col("_source").isin(fresh_names))
-                  .groupBy("_source", "_key").agg(F.max_by("_hash", "_ord").alias("hash"), F.count(F.lit(1)).alias("n")))
-    mode = per_source.select("_source", (F.col("with_key") == F.col("feature_count")).alias("all_keyed"))
+                  .groupBy("_source", "_key").agg(F.max(D.place(feats))["_hash"].alias("hash"), F.count(F.lit(1)).alias("n")))
+    mode = per_source.select("_source", ((F.col("with_key") == F.col("feature_count")) & (F.col("feature_count") > 0)).alias("all_keyed"))
     new_keyed = (keyed_rows.join(mode, "_source").where(F.col("all_keyed") & F.col("_key").isNotNull())
                  .select(F.col("_source").alias("source"), F.col("_key").alias("key"), "hash", "n"))
     new_unkeyed = (D.hash_counts(feats.where(F.col("_source").isin(fresh_names)), by).join(mode, "_source")
@@ -174,11 +235,21 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
                    .select(F.col("_source").alias("source"), F.lit(None).cast("string").alias("key"), "hash", "n"))
     kept = state_index.where(~F.col("source").isin(fresh_names))
     next_index = new_keyed.unionByName(new_unkeyed).unionByName(kept)
-    next_meta = manifest.where(F.col("status") != "skipped").select(
-        "source", "content_hash", "fetched_at", "feature_count").unionByName(
+    wrote = set(to_publish) if not any_failed else set()
+    published_now = [(r["source"], r["content_hash"] if r["source"] in wrote else published_before.get(r["source"])) for r in decision]
+    next_meta = manifest.where(F.col("status") != "skipped").select("source", "content_hash", "fetched_at", "feature_count").join(
+        spark.createDataFrame(published_now, "source STRING, published_hash STRING"), "source").unionByName(
         state_meta.join(manifest.where(F.col("status") == "skipped").select("source"), "source", "left_semi"))
 
     if not dry_run and out_dir:
-        manifest.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(f"{out_dir}/manifest")
+        # the manifest last: what it does not name is not part of a run
         next_index.write.mode("overwrite").parquet(f"{out_dir}/state/run_id={run_id}/index")
-    return RunResult(manifest=manifest, next_index=next_index, next_meta=next_meta, features=feats, outputs=outputs)
+        next_meta.write.mode("overwrite").parquet(f"{out_dir}/state/run_id={run_id}/meta")
+        manifest.withColumn("run_at", now_col).write.mode("overwrite").parquet(f"{out_dir}/manifest/run_id={run_id}")
+        everything.unpersist()
+        features = spark.read.text(f"{out_dir}/features/run_id={run_id}") if outputs else feats
+        return RunResult(manifest=manifest, next_index=spark.read.schema(STATE_INDEX_SCHEMA).parquet(f"{out_dir}/state/run_id={run_id}/index"),
+                         next_meta=spark.read.schema(STATE_META_SCHEMA).parquet(f"{out_dir}/state/run_id={run_id}/meta"),
+                         features=features, outputs=outputs, exit_code=exit_code)
+    return RunResult(manifest=manifest, next_index=next_index, next_meta=next_meta, features=feats, outputs=outputs,
+                     exit_code=exit_code)

@@ -42,12 +42,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and run tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names. Only when it
-    is unset (local tests) do we make a scratch folder and register it.
+    is unset and the session is local (tests) do we make a scratch folder and
+    register it: on a cluster, other machines would not see it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="featureflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:

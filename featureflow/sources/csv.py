@@ -9,11 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from featureflow.functions.geo import let
 
 # Candidate delimiters, and the text forms that round-trip exactly.
 DELIMITERS = [",", ";", "\t", "|"]
-INT_PATTERN = r"^(0|-?[1-9][0-9]{0,17})$"
-FLOAT_PATTERN = r"^-?(0|[1-9][0-9]{0,14})[.]([0-9]|[0-9]{0,14}[1-9])$"
+INT_PATTERN = r"^(0|-?[1-9][0-9]*)$"
+FLOAT_PATTERN = r"^-?(0|[1-9][0-9]*)[.]([0-9]|[0-9]*[1-9])$"
+EXPONENT_PATTERN = r"^-?[1-9]([.][0-9]*[1-9])?e(-(0[5-9]|[1-9][0-9]+)|[+](1[6-9]|[2-9][0-9]|[1-9][0-9]{2,}))$"
 _WS = r"^\s+|\s+$"
 
 
@@ -28,55 +32,96 @@ def sniff_delimiter(header: str) -> str:
     return best
 
 
+def _digits_and_power(mantissa: Column, power: Column) -> Column:
+    """``digits`` times ten to a power, with no zero at either end of the digits."""
+    sign = F.when(mantissa.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    body = F.regexp_replace(mantissa, "-", "")
+    decimals = F.when(body.contains("."), F.length(F.substring_index(body, ".", -1))).otherwise(F.lit(0))
+    digits = F.regexp_replace(F.regexp_replace(body, "[.]", ""), "^0+(?=[0-9])", "")
+    bare = F.regexp_replace(digits, "(?<=[0-9])0+$", "")
+    return F.concat(sign, bare, F.lit("e"), (power - decimals + F.length(digits) - F.length(bare)).cast("string"))
+
+
+def _exponent_text_of(s: Column) -> Column:
+    """A number's text as digits and power, whichever way it was written."""
+    low = F.lower(s)
+    power = F.when(low.contains("e"), F.regexp_replace(F.substring_index(low, "e", -1), "[+]", "").try_cast("int")).otherwise(F.lit(0))
+    return _digits_and_power(F.substring_index(low, "e", 1), power)
+
+
 def coerce_kind(cell: Column) -> Column:
     """``null``/``bool``/``int``/``float``/``str`` for one CSV cell."""
-    s = F.regexp_replace(cell, _WS, "")
-    low = F.lower(s)
-    digits = F.length(F.regexp_replace(s, r"[^0-9]", ""))
-    is_float = s.rlike(FLOAT_PATTERN) & (digits <= 15) & (F.abs(s.try_cast("double")) >= F.lit(1e-4))
-    return (F.when(cell.isNull() | (s == "") | (low == "null"), F.lit("null"))
-            .when(low.isin("true", "false"), F.lit("bool"))
-            .when(s.rlike(INT_PATTERN), F.lit("int"))
-            .when(is_float | s.isin("0.0", "-0.0"), F.lit("float"))
-            .otherwise(F.lit("str")))
+    def kind(s: Column) -> Column:
+        low, d = F.lower(s), s.try_cast("double")
+        # a number only if its shortest text is the cell: 0.30000000000000004 is, 0.300000000000000041 is not
+        plain = s.rlike(FLOAT_PATTERN) & (F.abs(d) >= F.lit(1e-4)) & (F.abs(d) < F.lit(1e16))
+        is_float = (plain | s.rlike(EXPONENT_PATTERN)) & (_exponent_text_of(d.cast("string")) == _exponent_text_of(s))
+        return (F.when((s == "") | (low == "null"), F.lit("null"))
+                .when(low.isin("true", "false"), F.lit("bool"))
+                .when(s.rlike(INT_PATTERN) & (F.length(s) <= 38), F.lit("int"))
+                .when(s.isin("0.0", "-0.0"), F.lit("float"))
+                .when(is_float, F.lit("float"))
+                .otherwise(F.lit("str")))
+
+    return F.when(cell.isNull(), F.lit("null")).otherwise(let(F.regexp_replace(cell, _WS, ""), kind))
 
 
 def coerce(cell: Column) -> Column:
     """The coerced cell as VARIANT (strings keep their whitespace)."""
     s = F.regexp_replace(cell, _WS, "")
-    kind = coerce_kind(cell)
-    return (F.when(kind == "null", F.lit(None).cast("variant"))
-            .when(kind == "bool", (F.lower(s) == "true").cast("variant"))
-            .when(kind == "int", s.cast("decimal(38,0)").cast("variant"))
-            .when(kind == "float", s.cast("double").cast("variant"))
-            .otherwise(cell.cast("variant")))
+    return let(coerce_kind(cell), lambda kind: (
+        F.when(kind == "null", F.lit(None).cast("variant"))
+        .when(kind == "bool", (F.lower(s) == "true").cast("variant"))
+        .when(kind == "int", s.try_cast("decimal(38,0)").cast("variant"))
+        .when(kind == "float", s.try_cast("double").cast("variant"))
+        .otherwise(cell.cast("variant"))))
 
 
 def parse_lines(lines: DataFrame, header: list[str], sep: str, line_col: str = "value") -> DataFrame:
     """Parse CSV lines (no header row) into string columns plus ``_too_many``.
 
-    A row with more fields than the header is flagged; a shorter row keeps
-    nulls in its missing cells. Quoting is handled by ``from_csv``.
+    A row with more cells than the header is flagged, also when the further
+    cells are empty; a shorter row keeps nulls in its missing cells. Quoting is
+    handled by ``from_csv``, a quote inside quotes being doubled.
     """
-    extra = "_extra"
-    schema = ", ".join(f"`{h}` STRING" for h in [*header, extra])
-    parsed = lines.withColumn("_cells", F.from_csv(F.col(line_col), schema, {"sep": sep, "mode": "PERMISSIVE"}))
+    schema = ", ".join(f"`{h}` STRING" for h in header)
+    parsed = lines.withColumn("_cells", F.from_csv(F.col(line_col), schema, {"sep": sep, "mode": "PERMISSIVE", "escape": '"'}))
     cols = [F.col("_cells")[h].alias(h) for h in header]
     return parsed.select(*[c for c in lines.columns if c != line_col], *cols,
-                         F.col("_cells")[extra].isNotNull().alias("_too_many"))
-
-
-def read_csv(spark: SparkSession, path: str, encoding: str = "utf-8", sep: str | None = None) -> DataFrame:
-    """Header CSV with a sniffed delimiter; every column as STRING (coerce with S7)."""
-    if sep is None:
-        first = spark.read.option("encoding", encoding).text(path).limit(1).collect()
-        sep = sniff_delimiter(first[0][0]) if first else ","
-    df = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-          .option("mode", "PERMISSIVE").csv(path))
-    empty = [c for c in df.columns if c.strip() == "" or c.startswith("_c")]
-    if empty:
-        raise ValueError(f"CSV header contains an empty column name: {df.columns!r}")
-    return df
+                         (cell_count(F.col(line_col), sep) > len(header)).alias("_too_many"))
+
+
+def cell_count(line: Column, sep: str) -> Column:
+    """Cells of a CSV row: the separators outside quotes, and one."""
+    bare = F.regexp_replace(line, r'"(?:[^"]|"")*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+
+
+def read_csv(spark: SparkSession, path: str, encoding: str = "utf-8", sep: str | None = None,
+             multi_line: bool = True) -> DataFrame:
+    """Header CSV with a sniffed delimiter, as records with ``_doc``, ``_ord`` and ``_problem``.
+
+    Every cell is a STRING (coerce with S7). Quotes are doubled inside quotes.
+    With ``multi_line`` a quoted cell may hold line breaks, and a file is one
+    task; switch it off to split huge files whose cells hold none. A row with
+    more cells than the header is kept with its problem.
+    """
+    first = spark.read.option("encoding", encoding).text(path).limit(1).collect()
+    line = first[0][0].lstrip("\ufeff") if first else ""
+    sep = sep or sniff_delimiter(line)
+    options = {"sep": sep, "encoding": encoding, "escape": '"', "multiLine": multi_line, "mode": "PERMISSIVE"}
+    names = spark.read.options(**options, header=False, inferSchema=False).csv(path).limit(1).collect() if first else []
+    header = [(c or "").lstrip("\ufeff").strip() for c in names[0]] if names else []
+    if not header or "" in header:
+        raise ValueError(f"CSV header contains an empty column name: {header!r}")
+    wide = T.StructType([T.StructField(f"_cell{i}", T.StringType()) for i in range(len(header))] + [T.StructField("_raw", T.StringType())])
+    rows = (spark.read.options(**options, header=True, columnNameOfCorruptRecord="_raw", enforceSchema=True)
+            .schema(wide).csv(path))
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 33)) + F.col("_metadata.file_block_start") * F.lit(1 << 20)
+    cells = [F.col(f"_cell{i}").alias(h) for i, h in enumerate(header)]
+    too_many = cell_count(F.col("_raw"), sep) > len(header)
+    return rows.select(F.col("_metadata.file_path").alias("_doc"), place.alias("_ord"), *cells,
+                       F.when(too_many, F.concat(F.lit(f"row has more than {len(header)} cells"))).alias("_problem"))
 
 
 def decode_check(content: Column, encoding: str = "UTF-8") -> Column:

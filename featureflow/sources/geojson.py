@@ -89,18 +89,24 @@ def parse_geojson(docs: DataFrame, text_col: str = "value", doc_col: str = "_doc
     ``_ord`` is the position in the document; ``_id`` is null when the item
     has no ``id`` member; a null ``properties`` becomes ``{}``.
     """
-    parsed = docs.select(F.col(doc_col).alias("_doc"), F.try_parse_json(F.col(text_col)).alias("doc"))
-    items = parsed.select("_doc", F.posexplode(feature_items(F.col("doc"))).alias("_ord", "item"))
+    parsed = docs.select(F.col(doc_col).alias("_doc"), F.try_parse_json(F.col(text_col)).alias("doc"),
+                         document_problem(F.col(text_col)).alias("why"))
+    # an unreadable document is one row with its problem, so that it cannot vanish; an empty collection is no row
+    items = F.when(F.col("why").isNull(), feature_items(F.col("doc"))).otherwise(F.array(F.lit(None).cast("variant")))
+    rows = parsed.select("_doc", "why", F.posexplode(items).alias("_ord", "item"))
+    return _features(rows, F.col("_ord").cast("long"), F.coalesce("why", item_problem(F.col("item"), F.col("_ord"))))
+
+
+def _features(rows: DataFrame, order: Column, problem: Column) -> DataFrame:
     item = F.col("item")
     props = F.variant_get(item, "$.properties", "variant")
-    empty = F.to_variant_object(F.struct())
-    return items.select(
+    return rows.select(
         "_doc",
-        F.col("_ord").cast("long").alias("_ord"),
+        order.alias("_ord"),
         F.variant_get(item, "$.geometry", "variant").alias("geometry"),
-        F.when(props.isNull() | F.is_variant_null(props), empty).otherwise(props).alias("_props"),
+        F.when(props.isNull() | F.is_variant_null(props), F.to_variant_object(F.struct())).otherwise(props).alias("_props"),
         F.variant_get(item, "$.id", "variant").alias("_id"),
-        item_problem(item, F.col("_ord")).alias("_problem"),
+        problem.alias("_problem"),
     )
 
 
@@ -113,19 +119,14 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
 def read_geojson_seq(spark: SparkSession, path: str) -> DataFrame:
     """GeoJSON text sequences: one Feature per line, split across tasks like any text file.
 
-    ``_ord`` follows line order within each file (ids grow with the split offset).
+    The form for large feeds. ``_ord`` is the line's place: the block of its
+    file and the row in it, so it does not depend on how tasks are scheduled.
+    Blank lines are skipped; a line that is no JSON is a row with its problem.
     """
+    place = F.col("_metadata.file_block_start") * F.lit(1 << 20) + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 33))
     lines = (spark.read.text(path)
-             .select(F.col("_metadata.file_path").alias("_doc"), F.monotonically_increasing_id().alias("_ord"),
-                     F.try_parse_json("value").alias("item"))
-             .where(F.col("item").isNotNull()))
-    item = F.col("item")
-    props = F.variant_get(item, "$.properties", "variant")
-    return lines.select(
-        "_doc", "_ord",
-        F.variant_get(item, "$.geometry", "variant").alias("geometry"),
-        F.when(props.isNull() | F.is_variant_null(props), F.to_variant_object(F.struct())).otherwise(props)
-        .alias("_props"),
-        F.variant_get(item, "$.id", "variant").alias("_id"),
-        item_problem(item, F.col("_ord")).alias("_problem"),
-    )
+             .select(F.col("_metadata.file_path").alias("_doc"), place.alias("_ord"), "value",
+                     F.try_parse_json(F.regexp_replace("value", "^\u001e", "")).alias("item"))
+             .where(F.trim("value") != ""))
+    return _features(lines, F.col("_ord"), F.when(F.col("item").isNull(), F.lit("invalid JSON"))
+                     .otherwise(item_problem(F.col("item"), F.col("_ord"))))

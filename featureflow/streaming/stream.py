@@ -1,41 +1,41 @@
 """Scheduled refresh as a stream.
 
-New payload files landing in a directory are picked up by a file stream;
-every micro-batch is refreshed with ``foreachBatch`` and its manifest row is
-written under ``run_id = batch_id``. A replayed batch (after a failure)
-overwrites the same directory, so the output is idempotent, and the stream's
-checkpoint lives in the shared checkpoint folder.
+New payload files landing in a directory are picked up by a file stream; every
+micro-batch is one refresh run with ``run_id = batch_id``: steps, diff against
+the state of the run before, gates, publishing and the next state, all under
+``out_dir``. A replayed batch (after a failure) overwrites its own folders, so
+the output is the same, and the stream's checkpoint lives beside it.
 """
 
 from __future__ import annotations
 
-from typing import Callable
+from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featureflow.operators.digest import collection_digest, with_feature_hash
-from featureflow.session import checkpoint_dir
+from featureflow.plans.refresh import SourceSpec, load_state, refresh
 
 
-def refresh_stream(spark: SparkSession, source_dir: str, schema: T.StructType, name: str,
-                   to_features: Callable[[DataFrame], DataFrame], out_dir: str | None = None,
-                   file_glob: str = "*.parquet") -> str:
-    """Run the stream until the available input is consumed; return the manifest directory."""
-    base = out_dir or f"{checkpoint_dir(spark).rstrip('/')}/featureflow-stream/{name}"
+def refresh_stream(spark: SparkSession, source_dir: str, schema: T.StructType, spec: SourceSpec,
+                   to_features: Callable[[DataFrame], DataFrame], out_dir: str, now: str,
+                   file_glob: str | None = None, **options: str) -> str:
+    """Run the stream until the available input is consumed; return the manifest directory.
 
-    def refresh_batch(batch: DataFrame, batch_id: int) -> None:
-        hashed = with_feature_hash(to_features(batch)).withColumn("_source", F.lit(name))
-        row = collection_digest(hashed, ["_source"]).select(
-            F.col("_source").alias("source"), F.lit(batch_id).cast("long").alias("run_id"), "feature_count",
-            "content_hash")
-        row.write.mode("overwrite").parquet(f"{base}/manifest/run_id={batch_id}")
+    ``out_dir`` must be a folder that all executors share. How many files make
+    a batch is left to the caller's stream ``options``: none by default, so all
+    that has landed is one run.
+    """
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        index, meta = load_state(batch.sparkSession, out_dir)
+        refresh(batch.sparkSession, [replace(spec, load=lambda _: to_features(batch))], index, meta, now,
+                out_dir=out_dir, run_id=str(batch_id))
 
-    query = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-             .option("pathGlobFilter", file_glob).parquet(source_dir)
-             .writeStream.foreachBatch(refresh_batch)
-             .option("checkpointLocation", f"{base}/checkpoint")
-             .trigger(availableNow=True).start())
+    reader = spark.readStream.schema(schema).options(**options)
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    query = (reader.parquet(source_dir).writeStream.foreachBatch(run_batch)
+             .option("checkpointLocation", f"{out_dir}/checkpoint").trigger(availableNow=True).start())
     query.awaitTermination()
-    return f"{base}/manifest"
+    return f"{out_dir}/manifest"
