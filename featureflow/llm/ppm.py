@@ -55,7 +55,7 @@ FLUSH = 400_000  # words, or grams, that a task gathers before it sends them on
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def _groups(column: pa.Array, limit: int = 4 << 20):
+def _groups(column: pa.Array, limit: int = 1 << 20):
     group, size = [], 0
     for x in column:
         group.append((x.as_py() or b"").translate(_LOWER))

@@ -110,7 +110,7 @@ def set_id(s: np.ndarray) -> int:
     return int(mix(x).view(np.int64)[0])
 
 
-def batches_by_bytes(rows, limit: int = 4 << 20):
+def batches_by_bytes(rows, limit: int = 1 << 20):
     """Groups (key.., text) rows so that the texts of a group stay near ``limit`` bytes."""
     group, size = [], 0
     for r in rows:

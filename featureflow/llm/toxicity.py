@@ -103,7 +103,7 @@ def _texts(column: pa.Array) -> Iterator[list[bytes]]:
     for x in column:
         group.append(x.as_py() or b"")
         size += len(group[-1])
-        if size >= 4 << 20:
+        if size >= 1 << 20:
             yield group
             group, size = [], 0
     if group:

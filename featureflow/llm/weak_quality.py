@@ -307,7 +307,17 @@ def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
 
 def keep_good(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score at least ``least``, with exactly its columns."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    d = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
-    judged = score(d, train(docs, text_col), "row", "text")
-    return judged.where(F.col("quality") >= least).select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, text_col))
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        m = shared.value
+        for b in batches:
+            good = [np.zeros(0, bool)]
+            texts = pa.record_batch([b.column(at).cast(pa.binary())], names=["text"])
+            for rows, w in _groups(texts, 0):
+                row, col, value = shape_features(w)
+                good.append(sigmoid(np.bincount(row, value * m.weights[col], len(rows)) + m.bias) >= least)
+            yield b.filter(pa.array(np.concatenate(good)))
+
+    return docs.mapInArrow(run, docs.schema)
