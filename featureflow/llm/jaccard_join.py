@@ -44,7 +44,7 @@ MAX_FREQUENT = 1 << 20
 LEAST_FREQUENT = 48
 CODES_PER_BUCKET = 1 << 21
 SALTS = 64
-SMALL_GROUP = 64  # classes that share an element and meet in a join; more meet in blocks
+SMALL_GROUP = 8  # classes that share an element and meet in a join; more meet in blocks
 BLOCK = 1024
 
 
