@@ -35,8 +35,10 @@ def prop(df: DataFrame, name: str, dtype: str = "string") -> Column:
     if name in df.columns and is_property(name):
         return F.col(f"`{name}`")
     if "_props" in df.columns:
-        path = "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
-        return F.try_variant_get(F.col("_props"), path, dtype)
+        if "'" not in name and "\\" not in name:
+            return F.try_variant_get(F.col("_props"), f"$['{name}']", dtype)
+        members = F.try_variant_get(F.col("_props"), "$", "map<string,variant>")
+        return F.try_variant_get(F.try_element_at(members, F.lit(name)), "$", dtype)
     return F.lit(None)
 
 

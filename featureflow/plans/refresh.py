@@ -64,13 +64,20 @@ def empty_state(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     return spark.createDataFrame([], STATE_INDEX_SCHEMA), spark.createDataFrame([], STATE_META_SCHEMA)
 
 
-def load_state(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The state of the last committed run in ``out_dir``; an empty one when there is none or it cannot be read."""
+def load_state(spark: SparkSession, out_dir: str, replay_of: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The state of the last committed run in ``out_dir``; an empty one when there is none or it cannot be read.
+
+    A run that may be a replay names itself in ``replay_of``: it starts from the
+    state before its own, which it is about to overwrite.
+    """
     try:
-        last = spark.read.parquet(f"{out_dir}/manifest").agg(F.max(F.struct("run_at", F.col("run_id").cast("string")))).first()[0]
+        runs = spark.read.parquet(f"{out_dir}/manifest").withColumn("run", F.col("run_id").cast("string"))
+        if replay_of is not None:
+            runs = runs.where(F.col("run") != replay_of)
+        last = runs.agg(F.max(F.struct("run_at", F.length("run").alias("n"), "run"))).first()[0]
         if last is None:
             return empty_state(spark)
-        base = f"{out_dir}/state/run_id={last[1]}"
+        base = f"{out_dir}/state/run_id={last['run']}"
         index = spark.read.schema(STATE_INDEX_SCHEMA).parquet(f"{base}/index")
         meta = spark.read.schema(STATE_META_SCHEMA).parquet(f"{base}/meta")
         meta.limit(1).collect()

@@ -32,21 +32,27 @@ def sniff_delimiter(header: str) -> str:
     return best
 
 
-def _digits_and_power(mantissa: Column, power: Column) -> Column:
-    """``digits`` times ten to a power, with no zero at either end of the digits."""
-    sign = F.when(mantissa.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    body = F.regexp_replace(mantissa, "-", "")
-    decimals = F.when(body.contains("."), F.length(F.substring_index(body, ".", -1))).otherwise(F.lit(0))
-    digits = F.regexp_replace(F.regexp_replace(body, "[.]", ""), "^0+(?=[0-9])", "")
-    bare = F.regexp_replace(digits, "(?<=[0-9])0+$", "")
-    return F.concat(sign, bare, F.lit("e"), (power - decimals + F.length(digits) - F.length(bare)).cast("string"))
-
-
-def _exponent_text_of(s: Column) -> Column:
-    """A number's text as digits and power, whichever way it was written."""
+def _is_shortest(s: Column, d: Column) -> Column:
+    """Whether a number's text has no more digits than its double needs.
+
+    15 digits always come back; 16 or 17 are needed if neither neighbour with
+    one digit less is the same double. More are never needed.
+    """
     low = F.lower(s)
+    mantissa = F.regexp_replace(F.substring_index(low, "e", 1), "-", "")
     power = F.when(low.contains("e"), F.regexp_replace(F.substring_index(low, "e", -1), "[+]", "").try_cast("int")).otherwise(F.lit(0))
-    return _digits_and_power(F.substring_index(low, "e", 1), power)
+    decimals = F.when(mantissa.contains("."), F.length(F.substring_index(mantissa, ".", -1))).otherwise(F.lit(0))
+    digits = F.regexp_replace(F.regexp_replace(mantissa, "[.]", ""), "^0+", "")
+
+    def longer(parts: Column) -> Column:
+        """Of (digits, power of the last digit): is there a shorter text of the same double?"""
+        head = F.substring(parts["digits"], F.lit(1), F.length(parts["digits"]) - 1).try_cast("long")
+        up = F.concat(F.lit("e"), (parts["power"] + 1).cast("string"))
+        same = lambda n: F.concat(n.cast("string"), up).try_cast("double") == F.abs(d)
+        return F.coalesce(same(head) | same(head + 1), F.lit(False))
+
+    n = F.length(digits)
+    return (n <= 15) | ((n <= 17) & ~let(F.struct(digits.alias("digits"), (power - decimals).alias("power")), longer))
 
 
 def coerce_kind(cell: Column) -> Column:
@@ -55,7 +61,7 @@ def coerce_kind(cell: Column) -> Column:
         low, d = F.lower(s), s.try_cast("double")
         # a number only if its shortest text is the cell: 0.30000000000000004 is, 0.300000000000000041 is not
         plain = s.rlike(FLOAT_PATTERN) & (F.abs(d) >= F.lit(1e-4)) & (F.abs(d) < F.lit(1e16))
-        is_float = (plain | s.rlike(EXPONENT_PATTERN)) & (_exponent_text_of(d.cast("string")) == _exponent_text_of(s))
+        is_float = (plain | s.rlike(EXPONENT_PATTERN)) & _is_shortest(s, d)
         return (F.when((s == "") | (low == "null"), F.lit("null"))
                 .when(low.isin("true", "false"), F.lit("bool"))
                 .when(s.rlike(INT_PATTERN) & (F.length(s) <= 38), F.lit("int"))

@@ -62,11 +62,6 @@ def _bracketed(selector: str | None, rest: str) -> tuple[str | int | None, str]:
     return inner, tail[1:]
 
 
-def _variant_path(name: str) -> str:
-    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
-    return f"$['{quoted}']"
-
-
 def _step(value: Column, step: str | int | None, place: str) -> tuple[Column, Column]:
     """One step down from ``value``: what is there, or why nothing is."""
     members = F.try_variant_get(value, "$", "map<string,variant>")
@@ -79,7 +74,7 @@ def _step(value: Column, step: str | int | None, place: str) -> tuple[Column, Co
         item = F.try_element_at(items, F.lit(step + 1 if step >= 0 else step))
         return item, (F.when(items.isNull(), F.concat(F.lit(f"no array at {place}: "), kind))
                       .when(item.isNull(), F.concat(F.lit(f"no item {step} among "), F.size(items).cast("string"), F.lit(f" at {place}"))))
-    member = F.variant_get(value, _variant_path(step), "variant")
+    member = F.try_element_at(members, F.lit(step))
     return member, (F.when(members.isNull(), F.concat(F.lit(f"no object at {place}: "), kind))
                     .when(member.isNull(), F.lit(f"no member {step!r} at {place}")))
 

@@ -28,7 +28,7 @@ def refresh_stream(spark: SparkSession, source_dir: str, schema: T.StructType, s
     that has landed is one run.
     """
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        index, meta = load_state(batch.sparkSession, out_dir)
+        index, meta = load_state(batch.sparkSession, out_dir, replay_of=str(batch_id))
         refresh(batch.sparkSession, [replace(spec, load=lambda _: to_features(batch))], index, meta, now,
                 out_dir=out_dir, run_id=str(batch_id))
 
