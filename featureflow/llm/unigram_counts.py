@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from featureflow.llm.byte_bpe import compile_pattern, load_ranks
 from featureflow.llm.common import workers_import
 
-NODES = 300_000
+NODES = 800_000
 LONGEST = 64
 
 
@@ -48,59 +48,57 @@ class UnigramTrie:
     def __init__(self, scores: dict[bytes, float], nodes: int = NODES):
         self.scores, self.most = scores, nodes
         self.unknown = min(scores.values(), default=0.0) - 10.0
-        # an ending that ends no piece ends no longer piece either
-        self.endings = {p[i:] for p in scores for i in range(len(p))}
+        # scores of pieces; None for an ending of a piece that is none itself. What is absent ends no longer piece either.
+        self.endings: dict[bytes, float | None] = dict.fromkeys(p[i:] for p in scores for i in range(1, len(p)))
+        self.endings.update(scores)
         self._clear()
 
     def _clear(self) -> None:
         self.child: dict[int, int] = {}  # node * 256 + byte -> node
         self.best: list[tuple[float, int]] = [(0.0, 0)]  # forward score, negative tokens
-        self.ends: dict[str, int] = {}  # node at which a pre-token ends
+        self.ends: dict[str, tuple[float, int]] = {}  # what the node holds at which a pre-token ends
 
-    def _forward(self, piece: bytes, depth: int, best) -> tuple[float, int]:
-        """The best (score, -tokens) of piece[:depth]; best(d) is that of piece[:d]."""
-        top = None
+    def _forward(self, piece: bytes, depth: int, best: list[tuple[float, int]]) -> tuple[float, int]:
+        """The best (score, -tokens) of piece[:depth]; best[d] is that of piece[:d]."""
+        look, top, count = self.endings.get, -math.inf, 0
         for start in range(depth - 1, -1, -1):
-            end = piece[start:depth]
-            if end not in self.endings:
+            s = look(piece[start:depth], 1.0)
+            if s is None:
+                continue
+            if s > 0:
                 break
-            s = self.scores.get(end)
-            if s is not None:
-                before = best(start)
-                here = (before[0] + s, before[1] - 1)
-                if top is None or here > top:
-                    top = here
-        if top is None:
-            before = best(depth - 1)
-            top = (before[0] + self.unknown, before[1] - 1)
-        return top
+            before, tokens = best[start]
+            before += s
+            if before > top or (before == top and tokens - 1 > count):
+                top, count = before, tokens - 1
+        if top == -math.inf:
+            return best[depth - 1][0] + self.unknown, best[depth - 1][1] - 1
+        return top, count
 
     def add(self, pre_token: str) -> tuple[float, int]:
         """(score, -tokens) of a pre-token, inserted if it is new."""
-        node = self.ends.get(pre_token)
-        if node is not None:
-            return self.best[node]
+        known = self.ends.get(pre_token)
+        if known is not None:
+            return known
         piece = pre_token.encode("utf-8", "surrogatepass")
         if len(piece) > LONGEST:
             done = [(0.0, 0)]
             for depth in range(1, len(piece) + 1):
-                done.append(self._forward(piece, depth, done.__getitem__))
+                done.append(self._forward(piece, depth, done))
             return done[-1]
         if len(self.best) > self.most:
             self._clear()
         child, best = self.child, self.best
-        path = [0]
-        at = path.__getitem__
+        node, path = 0, [best[0]]
         for depth, byte in enumerate(piece, 1):
-            key = path[-1] * 256 + byte
+            key = node * 256 + byte
             node = child.get(key)
             if node is None:
-                top = self._forward(piece, depth, lambda d: best[at(d)])
                 node = child[key] = len(best)
-                best.append(top)
-            path.append(node)
-        self.ends[pre_token] = path[-1]
-        return best[path[-1]]
+                best.append(self._forward(piece, depth, path))
+            path.append(best[node])
+        found = self.ends[pre_token] = path[-1]
+        return found
 
 
 _TRIES: dict[int, tuple] = {}
@@ -130,10 +128,12 @@ def token_counts(docs: DataFrame, model, id_col: str = "doc_id", text_col: str =
             pre, n, logs = [], [], []
             for t in b.column(1):
                 pieces = find(t.as_py())
-                found = list(map(trie.add, pieces))
+                known, add = trie.ends.get, trie.add
+                found = [known(p) or add(p) for p in pieces]
                 pre.append(len(pieces))
-                n.append(-sum(x[1] for x in found))
-                logs.append(math.fsum(x[0] for x in found))
+                scores, tokens = zip(*found) if found else ((), ())
+                n.append(-sum(tokens))
+                logs.append(math.fsum(scores))
             yield pa.record_batch([b.column(0), pa.array(pre, pa.int64()), pa.array(n, pa.int64()), pa.array(logs, pa.float64())],
                                   names=["id", "n_pre_tokens", "n_tokens", "log_prob"])
 
