@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featureflow.llm.common import sized, stored
 from featureflow.llm.components import components
@@ -44,7 +45,7 @@ MAX_FREQUENT = 1 << 20
 LEAST_FREQUENT = 48
 CODES_PER_BUCKET = 1 << 21
 SALTS = 64
-SMALL_GROUP = 8  # classes that share an element and meet in a join; more meet in blocks
+SMALL_GROUP = 16  # classes that share an element and meet in a join; more meet in blocks
 BLOCK = 1024
 
 
@@ -464,19 +465,40 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.when(F.col("c").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _with_class(docs: DataFrame, text_col: str, width: int, name: str) -> DataFrame:
+    """``docs`` and each row's class id (null for the empty set)."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            c = [set_id(s) if len(s) else None for _, s in _texts([pa.record_batch([b.column(at).cast(pa.binary())], names=["t"])], width)]
+            yield pa.record_batch([*b.columns, pa.array(c, pa.int64())], schema=pa.schema([*b.schema, pa.field(name, pa.int64())]))
+
+    return docs.mapInArrow(run, schema)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, one of each component (the least id), with exactly its columns.
 
-    Rows are numbered in a stored copy, so that of repeated rows one stays; rows
-    with the empty set all stay.
+    Of repeated rows one stays; rows with the empty set all stay. The kept rows
+    are found by id and class, which a last pass over the texts computes again,
+    so the texts are neither copied nor, up to a checked number of kept rows,
+    shuffled.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    d = stored(docs.select(F.monotonically_increasing_id().alias("row"), row.alias("all")), "jj-rows")
-    docs_of, roots = join_classes(d.select("row", F.col("all")[text_col].alias("text")), "row", "text", width, percent)
-    ids = d.select("row", F.col("all")[id_col].alias("doc"))
-    least = docs_of.where("c is not null").join(ids, docs_of["id"] == ids["row"]).groupBy("c").agg(
-        F.min(F.struct(F.col("doc").isNull(), "doc", "row")).alias("least"))
-    rooted = least.join(roots, F.col("c") == F.col("node"), "left").select("least", F.coalesce("root", "c").alias("root"))
-    kept = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("k"))
-    kept = kept.union(docs_of.where("c is null").select("id"))
-    return d.join(kept, F.col("row") == F.col("k"), "left_semi").select("all.*")
+    docs_of, roots = join_classes(docs, id_col, text_col, width, percent)
+    rows = docs_of.where("c is not null").groupBy("c", "id").agg(F.count(F.lit(1)).alias("rows"))
+    rooted = rows.join(roots, F.col("c") == F.col("node"), "left").withColumn("root", F.coalesce("root", "c"))
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "c", "rows")).alias("x"))
+    kept = stored(first.select(F.col("x.id").alias("_kid"), F.col("x.c").alias("_kc"), F.col("x.rows").alias("_rows")), "jj-kept")
+    name = "_class"
+    while name in docs.columns:
+        name += "_"
+    held = docs.columns
+    found = _with_class(docs, text_col, width, name).select(F.struct(*[F.col(f"`{c}`") for c in held]).alias("_row"), F.col(f"`{name}`").alias("_c"))
+    found = found.join(sized(kept), (F.col("_c") == F.col("_kc")) & F.col("_row")[id_col].eqNullSafe(F.col("_kid")), "left")
+    if not kept.where("_rows > 1").limit(1).count():
+        return found.where("_c is null or _kc is not null").select("_row.*")
+    once = found.where("_c is null or _rows = 1").select("_row")
+    more = found.where("_rows > 1").dropDuplicates(["_kc"]).select("_row")
+    return once.union(more).select("_row.*")

@@ -117,10 +117,15 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 
 def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
               rules: HostRules = HostRules()) -> DataFrame:
-    """The rows of ``docs`` that pass, with exactly its columns (any names)."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = measured(docs, F.col(text_col), [row, F.col(host_col)])
-    rows = stored(rows.select("_k0", "_k1", base_failed(rules).alias("_failed")), "rules-rows")
-    verdicts = host_verdicts(rows.select("_k1", "_failed"), "_k1", "_failed", rules)
+    """The rows of ``docs`` that pass, with exactly its columns (any names).
+
+    The texts are measured twice, once for the hosts' counts and once to filter,
+    rather than written out in between.
+    """
+    text, host = F.col(f"`{text_col}`"), F.col(f"`{host_col}`")
+    counted = measured(docs, text, [host]).select("_k0", base_failed(rules).alias("_failed"))
+    verdicts = host_verdicts(stored(counted, "rules-failed"), "_k0", "_failed", rules)
     bad = sized(stored(verdicts.where("host_rejected").select("host"), "rules-hosts"))
-    return rows.where("not _failed").join(bad, F.col("_k1") == F.col("host"), "left_anti").select("_k0.*")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = measured(docs, text, [row, host]).where(~base_failed(rules))
+    return rows.join(bad, F.col("_k1") == F.col("host"), "left_anti").select("_k0.*")
