@@ -127,5 +127,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
     verdicts = host_verdicts(stored(counted, "rules-failed"), "_k0", "_failed", rules)
     bad = sized(stored(verdicts.where("host_rejected").select("host"), "rules-hosts"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = measured(docs, text, [row, host]).where(~base_failed(rules))
+    # the flag's row number keeps the filter above the measures: pushed below, it would compute them many times over
+    flag = (base_failed(rules) & (F.monotonically_increasing_id() >= 0)).alias("_failed")
+    rows = measured(docs, text, [row, host]).select("_k0", "_k1", flag).where(~F.col("_failed"))
     return rows.join(bad, F.col("_k1") == F.col("host"), "left_anti").select("_k0.*")
