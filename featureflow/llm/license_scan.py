@@ -1,7 +1,7 @@
 """License scans: MinHash bands retrieve templates, exact containment verifies them.
 
-Words are runs of letters and digits in lower case; a shingle is ``WIDTH`` of
-them. A text is cut into overlapping windows as long as a template, and a
+Words are runs of anything but ASCII blanks, control characters and
+punctuation, in lower case; a shingle is ``WIDTH`` of them. A text is cut into overlapping windows as long as a template, and a
 window's MinHash signature is banded: it retrieves the templates that share a
 band. The bands' rows are as many as still make a window of similarity
 ``SIMILAR`` collide with a chance of ``SURE`` at least. A retrieved template is
@@ -58,7 +58,7 @@ def bands_needed(similar: float = SIMILAR, rows: int = ROWS, sure: float = SURE)
 
 def shingle_hashes(text: Column, width: int = WIDTH) -> Column:
     """Hashes of the shingles of a text in order."""
-    w = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", -1), "")
+    w = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x00-/:-@\[-`{-\x7F]+", -1), "")
     at = lambda a: F.when(F.size(a) >= width, F.transform(
         F.sequence(F.lit(0), F.size(a) - width), lambda i: F.xxhash64(*[F.get(a, i + k) for k in range(width)]))
     ).otherwise(F.array().cast("array<bigint>"))
