@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from featureflow.llm.common import workers_import
 
-REMEMBERED = 250_000  # pieces
+REMEMBERED = 350_000  # pieces
 REMEMBERED_BYTES = 64  # longer pieces are merged afresh
 NONE = 1 << 60  # no such pair
 
