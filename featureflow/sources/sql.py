@@ -11,7 +11,11 @@ def scan_sql(spark: SparkSession, statement: str) -> DataFrame:
     """Run one query on registered views (or a JDBC view); decimals and times become JSON-safe."""
     if ";" in statement.strip().rstrip(";"):
         raise ValueError("a SQL source takes exactly one statement")
-    df = spark.sql(statement)
+    return json_safe(spark.sql(statement))
+
+
+def json_safe(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, dates and times as text: the kinds that JSON has."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -24,5 +28,10 @@ def scan_sql(spark: SparkSession, statement: str) -> DataFrame:
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
-    """A database query as a source, through Spark's JDBC reader."""
-    return spark.read.format("jdbc").option("url", url).option("query", query).options(**options).load()
+    """A database query as a source, through Spark's JDBC reader.
+
+    One task reads it unless ``partitionColumn``, ``lowerBound``, ``upperBound``
+    and ``numPartitions`` are given.
+    """
+    source = f"({query.strip().rstrip(';')}) AS source"
+    return json_safe(spark.read.format("jdbc").option("url", url).option("dbtable", source).options(**options).load())
