@@ -37,15 +37,17 @@ def summary(hashed: DataFrame, by: str = "_source") -> DataFrame:
     kind = F.when(F.schema_of_variant(g).startswith("OBJECT"),
                   F.coalesce(F.try_variant_get(g, "$.type", "string"), F.lit("null"))).otherwise(F.lit("null"))
     base = hashed.select(by, kind.alias("t"), a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d"), "_names")
-    boxes = base.groupBy(by).agg(F.min("a").alias("min_lon"), F.min("b").alias("min_lat"),
-                                 F.max("c").alias("max_lon"), F.max("d").alias("max_lat"))
-    types = (base.groupBy(by, "t").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy(by).agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "t", F.col("n").cast("string")))),
-                                           ",").alias("geometry_types")))
-    names = (base.select(by, F.explode("_names").alias("name")).distinct()
+    # one pass: counts and boxes per type, then per source
+    per_type = base.groupBy(by, "t").agg(F.count(F.lit(1)).alias("n"), F.min("a").alias("a"), F.min("b").alias("b"),
+                                         F.max("c").alias("c"), F.max("d").alias("d"))
+    shapes = per_type.groupBy(by).agg(
+        F.min("a").alias("min_lon"), F.min("b").alias("min_lat"), F.max("c").alias("max_lon"), F.max("d").alias("max_lat"),
+        F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "t", F.col("n").cast("string")))), ",").alias("geometry_types"))
+    # equal name lists collapse before they are taken apart
+    names = (base.groupBy(by, "_names").agg(F.count(F.lit(1)).alias("n")).select(by, F.explode("_names").alias("name")).distinct()
              .groupBy(by).agg(F.array_join(F.array_sort(F.collect_list("name")), ",").alias("properties")))
     digests = collection_digest(hashed, [by])
-    return digests.join(boxes, by).join(types, by).join(names, by, "left")
+    return digests.join(shapes, by).join(names, by, "left")
 
 
 def merge_sources(frames: dict[str, DataFrame]) -> DataFrame:

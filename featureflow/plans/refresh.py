@@ -28,7 +28,7 @@ from featureflow.functions.canonical import nonfinite
 from featureflow.functions.freshness import is_stale
 from featureflow.operators import diff as D
 from featureflow.operators import property_fields
-from featureflow.operators.digest import collection_digest, empty_digest_hash, feature_json, with_feature_hash
+from featureflow.operators.digest import collection_digest, empty_digest_hash, feature_json
 from featureflow.operators.publish import write_features
 from featureflow.operators.transforms import Step, apply_steps
 
@@ -96,12 +96,14 @@ def hashed_features(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFra
             bad = raw.where(F.col("_problem").isNotNull())
             raw = raw.where(F.col("_problem").isNull()).drop("_problem")
         df = apply_steps(raw, spec.steps)
-        keyed = D.with_key(with_feature_hash(df), spec.id_property)
+        bad_numbers = _nonfinite(df)
+        df = df.withColumn("_json", feature_json(df))  # built once: the hash is over this text
+        keyed = D.with_key(df.withColumn("_hash", F.sha2("_json", 256)), spec.id_property)
         part = keyed.select(
             F.lit(spec.name).alias("_source"), "_key", "_hash",
             (F.col("_doc").cast("string") if "_doc" in df.columns else F.lit(None).cast("string")).alias("_doc"), "_ord",
-            "geometry", feature_json(df).alias("_json"),
-            F.when(_nonfinite(df), F.lit("non-finite number: NaN and Infinity have no JSON form")).alias("_problem"))
+            "geometry", "_json",
+            F.when(bad_numbers, F.lit("non-finite number: NaN and Infinity have no JSON form")).alias("_problem"))
         if bad is not None:
             part = part.unionByName(bad.select(F.lit(spec.name).alias("_source"), "_problem"), allowMissingColumns=True)
         out = part if out is None else out.unionByName(part)
