@@ -275,6 +275,19 @@ def test_ppm_depth_follows_its_bound(spark, sf_dir):
     assert deep.order == ppm.ORDER and deep.counts.sum() == shallow.counts.sum()
 
 
+@pytest.mark.parametrize("most_grams", [20_000, 3_000])
+def test_ppm_scores_do_not_follow_the_bound(spark, sf_dir, most_grams):
+    docs = table(spark, sf_dir, "documents")
+    training = docs.where("doc_id % 3 > 0")
+    whole = {r["doc_id"]: r["score"] for r in ppm.score(docs, *ppm.train(training)).collect()}
+    model, words = ppm.train(training, most_grams=most_grams)
+    assert model.order < ppm.ORDER and len(model.common) <= most_grams < model.deep.count()
+    got = {r["doc_id"]: r["score"] for r in ppm.score(docs, model, words).collect()}
+    assert set(got) == set(whole)
+    for d, x in got.items():
+        assert x == pytest.approx(whole[d], rel=1e-5)
+
+
 # -- 3 --------------------------------------------------------------------------
 
 def test_unigram_counts(spark, sf_dir):
