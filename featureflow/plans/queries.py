@@ -1014,9 +1014,9 @@ def q_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     "UNION ALL SELECT 'depots', 'unchanged', NULL"))
 def q_refresh_dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: everything computed, nothing written; the planned outputs are reported."""
-    m = _two_runs(spark, sf_dir).manifest
-    return m.select("source", "status", F.when(F.col("changed"), F.concat(
-        F.lit("would write geojson features/_source="), F.col("source"))).alias("output"))
+    r = _two_runs(spark, sf_dir)
+    planned = spark.createDataFrame([(o.rsplit("=", 1)[-1], o) for o in r.outputs], "source STRING, output STRING")
+    return r.manifest.join(planned, "source", "left").select("source", "status", "output")
 
 
 @query("subset_run", with_fixtures(

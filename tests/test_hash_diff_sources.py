@@ -263,3 +263,15 @@ def test_records_to_run(spark, tmp_path):
     spec = SourceSpec("j", lambda s: f.where("_problem is null"), id_property="n")
     r = refresh(spark, [spec], *empty_state(spark), "2024-02-01 00:00:00", dry_run=True).manifest.first()
     assert (r["status"], r["feature_count"], r["keyed"]) == ("ok", 2, True)
+
+
+def test_dry_run_reports_the_outputs_of_the_run(spark, sf_dir, monkeypatch):
+    from dataclasses import replace
+
+    from featureflow.plans import queries as Q
+
+    run = Q.refresh
+    planned = lambda *a, **k: replace(run(*a, **k), outputs=["would write geojson features/_source=depots"])
+    monkeypatch.setattr(Q, "refresh", planned)
+    got = {r["source"]: r["output"] for r in Q.q_refresh_dry_run(spark, sf_dir).collect()}
+    assert got == {"stations": None, "depots": "would write geojson features/_source=depots"}
