@@ -73,7 +73,8 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     imp = importance if importance is not None else F.lit(1.0)
     rows = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                               F.size(words(F.col(text_col))).cast("long").alias("size"),
-                              uniform(F.col(id_col), seed).alias("_u"), imp.cast("double").alias("_imp"), *kept), "mix")
+                              uniform(F.col(id_col), seed).alias("_u"), imp.cast("double").alias("_imp"),
+                              F.monotonically_increasing_id().alias("_row"), *kept), "mix")
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"),
                                       F.sum(F.col("_imp") * F.col("size")).alias("_mass"))
     t = targets(sums, weights if weights is not None else cyclic_weights(), max_copies)
@@ -114,19 +115,36 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fedge = fines.where((total < F.col("_need")) & (total + F.col("_words") >= F.col("_need")))
     fedge = sized(stored(fedge.select("_s", "_need", F.col("_fine").alias("_fedge"), total.alias("_b3")), "mix-fine"))
     last = d.where("_q is not null").join(fedge, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_fine") == F.col("_fedge")))
-    by_row = Window.partitionBy("source").orderBy("_q", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    last = last.withColumn("_before", F.col("_b3") + F.coalesce(F.sum("size").over(by_row), F.lit(0)))
+    # repeated rows of one id tie: they are counted, and as many taken as bring the sum nearest to the need
+    ties = last.groupBy("source", "_fedge", "_need", "_b3", "_q", "id", "size").agg(F.count(F.lit(1)).alias("_n"))
+    by_tie = Window.partitionBy("source").orderBy("_q", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    ties = ties.withColumn("_before", F.col("_b3") + F.coalesce(F.sum(F.col("_n") * F.col("size")).over(by_tie), F.lit(0)))
     # the row at the cut goes to the nearer side
-    last = last.where(F.col("_before") + F.col("size") / 2 <= F.col("_need"))
-    top = last.groupBy("source", "_fedge").agg(F.max(F.struct("_q", "id", "size")).alias("_last"))
-    top = sized(stored(fedge.join(top.select(F.col("source").alias("_s2"), "_last"), F.col("_s").eqNullSafe(F.col("_s2")), "left")
+    ties = ties.where(F.col("_before") + F.col("size") / 2 <= F.col("_need"))
+    fit = F.floor((F.col("_need") - F.col("_before")) / F.col("size") + 0.5)
+    ties = ties.withColumn("_take", F.least("_n", F.greatest(F.lit(1), fit)).cast("long"))
+    top = ties.groupBy("source").agg(F.max(F.struct("_q", "id", "size", "_take")).alias("_t"))
+    top = sized(stored(top.select(F.col("source").alias("_s2"), "_t"), "mix-tie"))
+    # the last row taken of the tie at the cut, by counts per task that wrote rows, then row by row in one task's
+    tied = last.join(top, F.col("source").eqNullSafe(F.col("_s2"))
+                     & F.col("id").eqNullSafe(F.col("_t.id"))
+                     & (F.col("_q") == F.col("_t._q")) & (F.col("size") == F.col("_t.size")))
+    tied = tied.select("_s2", "_t", "_row", F.shiftright("_row", 33).alias("_part"))
+    parts = tied.groupBy("_s2", "_t", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    parts = parts.withColumn("_upto", F.sum("_n").over(Window.partitionBy("_s2").orderBy("_part")))
+    parts = parts.where((F.col("_upto") >= F.col("_t._take")) & (F.col("_upto") - F.col("_n") < F.col("_t._take")))
+    parts = parts.select(F.col("_s2").alias("_s3"), F.col("_part").alias("_p3"), (F.col("_t._take") - F.col("_upto") + F.col("_n")).alias("_nth"))
+    tied = tied.join(sized(stored(parts, "mix-part")), F.col("_s2").eqNullSafe(F.col("_s3")) & (F.col("_part") == F.col("_p3")))
+    tied = tied.withColumn("_i", F.row_number().over(Window.partitionBy("_s2").orderBy("_row"))).where("_i = _nth")
+    cut_row = tied.select("_s2", F.struct("_t._q", "_t.id", "_t.size", "_row").alias("_last"))
+    top = sized(stored(fedge.join(cut_row, F.col("_s").eqNullSafe(F.col("_s2")), "left")
                        .select("_s", "_fedge", "_last"), "mix-edge"))
     # what a source draws: ranks before the fine bucket, and in it up to the last row taken;
     # a source whose ranked words never reach its need draws all of them
     whole = need.select(F.col("_s").alias("_n"), "_need")
     d = d.join(top, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     d = d.join(whole, F.col("source").eqNullSafe(F.col("_n")), "left").drop("_n")
-    here = F.struct("_q", "id", "size")
+    here = F.struct("_q", "id", "size", "_row")
     inside_cut = (F.col("_fine") < F.col("_fedge")) | ((F.col("_fine") == F.col("_fedge")) & F.coalesce(here <= F.col("_last"), F.lit(False)))
     taken = F.col("_q").isNotNull() & (F.col("_need") > 0) & F.coalesce(inside_cut, F.lit(True))
     copies = (F.col("_sure") + taken.cast("int")).cast("int")

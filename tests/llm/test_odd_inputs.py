@@ -87,6 +87,15 @@ def test_rules_on_odd_rows(spark):
     assert got[7]["n_repeat_words"] == got[7]["n_words"] and got[7]["base_failed"]
 
 
+@pytest.mark.parametrize("doc_id", ["7L", "cast(null as long)"])
+def test_mixing_takes_repeated_rows_one_by_one(spark, doc_id):
+    tied = spark.range(0, 1000, 1, 4).selectExpr(f"{doc_id} as doc_id", "'two words' as text", "'a' as source")
+    others = spark.range(1000, 2000).selectExpr("id as doc_id", "'two words' as text", "'b' as source")
+    for r in mixing.plan_copies(tied.union(others)).groupBy("source").agg(
+            F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect():
+        assert r["n"] == 1000 and abs(r["taken"] - r["target"]) <= 1.001
+
+
 def test_near_copies_on_odd_rows(spark):
     got = {}
     for r in jaccard_join.near_components(docs_frame(spark)).collect():
