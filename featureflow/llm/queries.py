@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import (ball_tree, byte_bpe, jaccard_join, license_scan, mixing, ppm, quality_rules, toxicity, unigram_counts,
-                             weak_quality)
+from featureflow.llm import (ball_tree, byte_bpe, jaccard_join, license_scan, merkle_manifest, mixing, ppm, quality_rules, toxicity,
+                             unigram_counts, weak_quality)
 from featureflow.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,67 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_join.near_components(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_shingles", "component_id")
+
+
+# -- 13: Merkle dataset manifest -------------------------------------------------
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.verify(table(spark, sf_dir, "documents"))
+
+
+def _sql_field(c: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+
+
+# DuckDB has no crc32: the table of its 256 bytes, then one step a digit.
+_SQL_CRC_TABLE = ("list_transform(range(256), lambda b: list_reduce(range(8), "
+                  "lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b))")
+
+ORACLE["op13_merkle_manifest"] = f"""
+WITH RECURSIVE t AS (SELECT {_SQL_CRC_TABLE} AS crcs),
+d AS (
+  SELECT doc_id, lang, sha256({" || ".join(_sql_field(c) for c in merkle_manifest.FIELDS)}) AS leaf,
+         sha256({" || ".join(_sql_field("translate(text, '" + merkle_manifest.UPPER + "', '" + merkle_manifest.LOWER + "')" if c == "text" else c)
+                             for c in merkle_manifest.FIELDS)}) AS lowered,
+         xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                         lambda c, b: xor(c // 256, crcs[xor(c % 256, b) + 1]), 4294967295), 4294967295) AS crc
+  FROM documents, t),
+l AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+             row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+             CASE WHEN crc % 3 = 0 THEN lowered ELSE leaf END AS start FROM d),
+lv AS (
+  SELECT tree, 0 AS level, idx, leaf AS h FROM l
+  UNION ALL
+  SELECT tree, level + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM lv) WHERE n > 1 GROUP BY tree, level, idx // 8),
+sub AS (SELECT tree, level, h FROM (SELECT *, max(level) OVER (PARTITION BY tree) AS top FROM lv) WHERE level = top),
+tv AS (
+  SELECT 0 AS level, tree AS idx, h FROM sub
+  UNION ALL
+  SELECT level + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER () AS n FROM tv) WHERE n > 1 GROUP BY level, idx // 8),
+-- levels of a tree and of the subroots' tree in one numbering, runs by their number
+nodes AS (
+  SELECT tree, level, idx, h FROM lv
+  UNION ALL
+  SELECT s.tree, s.level + v.level, v.idx, v.h FROM sub s JOIN tv v ON v.level > 0),
+runs AS (
+  SELECT s.tree, s.level + v.level AS level, v.idx // 8 AS run, list(v.h ORDER BY v.idx) AS hs FROM sub s JOIN tv v ON true
+  GROUP BY s.tree, s.level + v.level, v.idx // 8
+  UNION ALL
+  SELECT lv.tree, lv.level, lv.idx // 8, list(lv.h ORDER BY lv.idx) FROM lv JOIN sub s ON lv.tree = s.tree AND lv.level < s.level
+  GROUP BY lv.tree, lv.level, lv.idx // 8),
+depth AS (SELECT s.tree, s.level AS sublevel, s.level + (SELECT max(level) FROM tv) AS top, s.h AS subroot FROM sub s),
+climb AS (
+  SELECT l.tree, l.idx AS leaf_idx, 0 AS level, CASE WHEN p.sublevel = 0 THEN l.tree ELSE l.idx END AS idx, start AS folded, '' AS proof, p.sublevel, p.top
+  FROM l JOIN depth p ON l.tree = p.tree
+  UNION ALL
+  SELECT c.tree, c.leaf_idx, c.level + 1, CASE WHEN c.level + 1 = c.sublevel THEN c.tree ELSE c.idx // 8 END,
+         sha256(array_to_string(list_concat(r.hs[:c.idx % 8], [c.folded], r.hs[c.idx % 8 + 2:]), '')),
+         c.proof || array_to_string(list_concat(r.hs[:c.idx % 8], r.hs[c.idx % 8 + 2:]), ''), c.sublevel, c.top
+  FROM climb c JOIN runs r ON r.tree = c.tree AND r.level = c.level AND r.run = c.idx // 8 WHERE c.level < c.top)
+SELECT l.doc_id, l.leaf, p.subroot, (SELECT h FROM tv ORDER BY level DESC LIMIT 1) AS root, sha256(c.proof) AS proof_sha256,
+       c.folded AS folded_root, c.folded = (SELECT h FROM tv ORDER BY level DESC LIMIT 1) AS verified
+FROM l JOIN climb c ON c.tree = l.tree AND c.leaf_idx = l.idx JOIN depth p ON p.tree = l.tree WHERE c.level = c.top
+"""
