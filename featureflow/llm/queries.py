@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import (ball_tree, byte_bpe, jaccard_join, license_scan, merkle_manifest, mixing, ppm, quality_rules, toxicity,
-                             unigram_counts, weak_quality)
+from featureflow.llm import (ball_tree, byte_bpe, jaccard_join, license_scan, merkle_manifest, mixing, ppm, quality_rules, sanitise,
+                             spelling_variants, toxicity, unigram_counts, weak_quality)
 from featureflow.llm.common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,6 +184,20 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+# -- 11: spelling variant grouping -----------------------------------------------
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+# -- 12: personal data -----------------------------------------------------------
+
+@query
+def op12_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.digests(table(spark, sf_dir, "documents"))
+
+
 # -- 13: Merkle dataset manifest -------------------------------------------------
 
 @query
