@@ -8,8 +8,9 @@ piece of n bytes takes n log n steps however long it is.
 
 The work is row by row in Arrow batches, without a shuffle. The vocabulary is
 read on the driver (its size is that of one rank file) and broadcast. A worker
-remembers the pieces it has merged in a dictionary of bounded size, which is
-emptied when full: that changes the time, never the result.
+remembers the pieces it has merged in two dictionaries of bounded size: when the
+newer one is full it becomes the older one, and pieces met again move back. That
+changes the time, never the result.
 
 Defined cases: null text is read as empty; empty text has no ids; an empty
 table gives an empty table; any id (null, repeated) is passed through; other
@@ -21,8 +22,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 
 from featureflow.llm.common import workers_import
 
-REMEMBERED = 350_000  # pieces
+REMEMBERED = 300_000  # pieces, in each of the two memories
 REMEMBERED_BYTES = 64  # longer pieces are merged afresh
 NONE = 1 << 60  # no such pair
 
@@ -148,42 +150,51 @@ class Codec:
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, r in ranks.items():
             self.bytes_of[r] = token
-        self.known: dict[str, tuple[int, ...]] = {}
+        # of a piece: how many ids, their decimal text, the bytes they decode to, and the ids
+        self.known: dict[str, tuple[int, str, bytes, tuple[int, ...]]] = {}
+        self.older: dict[str, tuple[int, str, bytes, tuple[int, ...]]] = {}
+
+    def _merged(self, piece: str) -> tuple[int, str, bytes, tuple[int, ...]]:
+        entry = self.older.get(piece)
+        if entry is None:
+            ids = tuple(merge_piece(piece.encode("utf-8", "surrogatepass"), self.ranks))
+            entry = (len(ids), " ".join(map(str, ids)), self.decode(ids), ids)
+        if len(piece) <= REMEMBERED_BYTES:
+            if len(self.known) >= REMEMBERED:
+                self.known, self.older = {}, self.known
+            self.known[piece] = entry
+        return entry
+
+    def pieces(self, text: str) -> list[tuple[int, str, bytes, tuple[int, ...]]]:
+        """The text's pieces, encoded."""
+        found = self.find(text)
+        out = list(map(self.known.get, found))
+        if None in out:
+            out = [entry or self._merged(piece) for entry, piece in zip(out, found)]
+        return out
 
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        add, known = ids.extend, self.known
-        for piece in self.find(text):
-            try:
-                add(known[piece])
-            except KeyError:
-                merged = merge_piece(piece.encode("utf-8", "surrogatepass"), self.ranks)
-                if len(piece) <= REMEMBERED_BYTES:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[piece] = tuple(merged)
-                add(merged)
-        return ids
+        return list(chain.from_iterable(e[3] for e in self.pieces(text)))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-_CODECS: dict[int, Codec] = {}
+_CODECS: dict[str, Codec] = {}
 
 
 def _codec(shared) -> Codec:
     """The worker's codec; kept between tasks of the same vocabulary."""
-    key = shared.id if hasattr(shared, "id") else id(shared)
+    key, ranks, pattern = shared.value
     if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[key] = Codec(*shared.value)
+        _CODECS[key] = Codec(ranks, pattern)
     return _CODECS[key]
 
 
 def share_vocabulary(spark: SparkSession, path: str, pattern: str):
     workers_import(spark)
-    return spark.sparkContext.broadcast((load_ranks(path), pattern))
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, load_ranks(path), pattern))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -227,18 +238,17 @@ def digests(docs: DataFrame, vocabulary, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary)
-        decimal = [str(i) for i in range(len(codec.bytes_of))].__getitem__
         for b in batches:
             for lo in range(0, b.num_rows, 1024):
                 part = b.slice(lo, 1024)
                 n, shown, back, all_ids = [], [], [], []
                 for t in part.column(1):
-                    ids = codec.encode(t.as_py())
-                    n.append(len(ids))
-                    shown.append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
-                    back.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+                    sizes, decimals, decoded, ids = tuple(zip(*codec.pieces(t.as_py()))) or ((),) * 4
+                    n.append(sum(sizes))
+                    shown.append(hashlib.sha256(" ".join(decimals).encode()).hexdigest())
+                    back.append(hashlib.sha256(b"".join(decoded)).hexdigest())
                     if with_ids:
-                        all_ids.append(pa.array(ids, pa.int32()))
+                        all_ids.append(pa.array(chain.from_iterable(ids), pa.int32(), size=n[-1]))
                 columns = [part.column(0), pa.array(n, pa.int64()), pa.array(shown, pa.string()), pa.array(back, pa.string())]
                 if with_ids:
                     ends = pa.array([0, *accumulate(n)], pa.int32())
