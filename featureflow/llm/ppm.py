@@ -53,9 +53,9 @@ SYMBOLS = 257
 END = 256
 ESCAPE = 0.3  # of a symbol's count
 BITS = 9  # of a symbol in a packed gram
-SLICE = 1 << 20  # positions handled at a time
+SLICE = 1 << 18  # positions handled at a time
 BUCKET_GRAMS = 500_000  # of the deepest level that meet in one bucket, about
-FLUSH = 400_000  # words, or grams, that a task gathers before it sends them on
+FLUSH = 200_000  # words, or grams, that a task gathers before it sends them on
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -283,7 +283,7 @@ class Model:
     grams: np.ndarray  # of the deepest level that travels
     counts: np.ndarray
     order: int
-    words: list[bytes]
+    words: pa.Array
     word_counts: np.ndarray
     tokens: int  # of training, ends included
     kinds: int
@@ -299,14 +299,14 @@ class Model:
 _TRIES: dict[str, tuple] = {}
 
 
-def _ready(shared) -> tuple[Trie, dict[bytes, int], Index | None]:
-    """The worker's trie, word table and common deep grams; kept between tasks of the same model."""
+def _ready(shared) -> tuple[Trie, dict[bytes, float], Index | None]:
+    """The worker's trie, logarithms of word counts and common deep grams; kept between tasks of the same model."""
     m = shared.value
     if m.id not in _TRIES:
         _TRIES.clear()
         behind = m.longer is not None
         _TRIES[m.id] = (Trie(m.grams, m.longer if behind else m.counts, m.order, grows=behind),
-                        dict(zip(m.words, m.word_counts.tolist())),
+                        dict(zip(m.words.to_pylist(), np.log10(m.word_counts + 0.5).tolist())),
                         Index(m.common, m.common_log10) if behind else None)
     return _TRIES[m.id]
 
@@ -341,7 +341,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, most_gram
                 "common": top.column("gram").to_numpy().astype(np.uint64), "common_log10": top.column("log10").to_numpy()}
     top = _commonest(words, common).toArrow()
     return Model(g.column("gram").to_numpy().astype(np.uint64), g.column("n").to_numpy().astype(np.int64), order,
-                 top.column("word").to_pylist(), top.column("n").to_numpy().astype(np.int64),
+                 top.column("word").combine_chunks(), top.column("n").to_numpy().astype(np.int64),
                  (whole[0] or 0) + texts, whole[1] + (texts > 0), texts, depth, uuid.uuid4().hex, **more), words
 
 
@@ -389,9 +389,8 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
     rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
 
     def run(batches):
-        trie, table, common = _ready(shared)
+        trie, logs, common = _ready(shared)
         end = np.log10(shared.value.texts + 0.5)
-        logs = {w: float(x) for w, x in zip(table, np.log10(np.fromiter(table.values(), float, len(table)) + 0.5))}
         for b in batches:
             at = 0
             for texts in _groups(b.column(2)):
@@ -431,6 +430,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
         held = held.join(chances, F.col("g") == F.col("gram")).groupBy(F.col("row").alias("in")).agg(
             F.sum(F.col("k") * F.col("log10")).alias("held"))
         out = out.join(held, F.col("row") == F.col("in"), "left").withColumn("score", F.col("score") + F.coalesce("held", F.lit(0.0)))
+    shared.destroy()  # the tables that it made are stored
     scale = F.lit(float(np.log10(model.tokens + 0.5 * (model.kinds + 1))))
     return out.select(F.col("id").alias(id_col), *([F.col("extra")] if extra is not None else []), "n_tokens",
                       (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
