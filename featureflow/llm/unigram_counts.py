@@ -25,6 +25,7 @@ repeated rows are counted one by one; other columns are not looked at.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -101,21 +102,20 @@ class UnigramTrie:
         return found
 
 
-_TRIES: dict[int, tuple] = {}
+_TRIES: dict[str, tuple] = {}
 
 
 def _ready(shared):
-    key = shared.id if hasattr(shared, "id") else id(shared)
+    key, scores, pattern = shared.value
     if key not in _TRIES:
         _TRIES.clear()
-        scores, pattern = shared.value
         _TRIES[key] = (UnigramTrie(scores), compile_pattern(pattern).findall)
     return _TRIES[key]
 
 
 def share_model(spark: SparkSession, path: str, pattern: str):
     workers_import(spark)
-    return spark.sparkContext.broadcast((zipf_scores(load_ranks(path)), pattern))
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, zipf_scores(load_ranks(path)), pattern))
 
 
 def token_counts(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
