@@ -36,7 +36,6 @@ SAMPLE = 8000  # labelled texts of each label
 ORDERS = (3, 4, 5, 6)
 BITS = 22
 WIDTH = 1 << BITS
-KEPT = 1 << 14  # slots of the largest ratios that the regression sees
 LEAST_DOCS = 6
 LEAST_RATIO = 1.0
 SMOOTH = 10.0  # pseudo-documents, shared by the labels in proportion
@@ -159,7 +158,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     s0, s1 = SMOOTH * n0 / (n0 + n1), SMOOTH * n1 / (n0 + n1)
     ratio = F.log((F.col("c1") + s1) / (n1 + s1)) - F.log((F.col("c0") + s0) / (n0 + s0))
     best = counts.where(F.col("c0") + F.col("c1") >= LEAST_DOCS).select("slot", ratio.alias("ratio"))
-    best = best.where(F.abs("ratio") >= LEAST_RATIO).orderBy(F.abs("ratio").desc(), "slot").limit(KEPT).toPandas().sort_values("slot")
+    best = best.where(F.abs("ratio") >= LEAST_RATIO).toPandas().sort_values("slot")  # at most WIDTH slots
     slots, ratios = best["slot"].to_numpy(np.int64), best["ratio"].to_numpy(float)
     shared = rows.sparkSession.sparkContext.broadcast(slots)
 
