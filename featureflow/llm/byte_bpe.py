@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from featureflow.llm.common import workers_import
 
-REMEMBERED = 300_000  # pieces, in each of the two memories
+REMEMBERED = 400_000  # pieces, in each of the two memories
 REMEMBERED_BYTES = 64  # longer pieces are merged afresh
 NONE = 1 << 60  # no such pair
 
@@ -59,39 +59,39 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         size *= 2
     end = list(range(1, n + 1))  # of the part that begins at a position
     before = list(range(-1, n - 1))  # start of the part to the left
+    look = ranks.get
     tree = [NONE] * (2 * size)
-
-    def key(i: int) -> int:
-        j = end[i]
-        r = ranks.get(piece[i:end[j]]) if j < n else None
-        return NONE if r is None else r * n + i
-
-    def put(i: int, k: int) -> None:
-        i += size
-        tree[i] = k
-        while i > 1:
-            i >>= 1
-            a, b = tree[2 * i], tree[2 * i + 1]
-            k = a if a < b else b
-            if tree[i] == k:
-                break
-            tree[i] = k
-
     for i in range(n - 1):
-        tree[size + i] = key(i)
+        r = look(piece[i:i + 2])
+        if r is not None:
+            tree[size + i] = r * n + i
     for i in range(size - 1, 0, -1):
         a, b = tree[2 * i], tree[2 * i + 1]
         tree[i] = a if a < b else b
     while tree[1] != NONE:
         i = tree[1] % n
         j = end[i]
-        end[i] = end[j]
-        if end[i] < n:
-            before[end[i]] = i
-        put(j, NONE)
-        put(i, key(i))
-        if before[i] >= 0:
-            put(before[i], key(before[i]))
+        last = end[i] = end[j]
+        if last < n:
+            before[last] = i
+        # the merged pair's leaf, the one to its right, which is no start any more, and the one to its left
+        left = before[i]
+        for at in (j, i, left) if left >= 0 else (j, i):
+            stop = end[at]
+            r = look(piece[at:end[stop]]) if at != j and stop < n else None
+            k = NONE if r is None else r * n + at
+            at += size
+            if tree[at] == k:
+                continue
+            tree[at] = k
+            while at > 1:
+                a = tree[at ^ 1]
+                at >>= 1
+                if a < k:
+                    k = a
+                if tree[at] == k:
+                    break
+                tree[at] = k
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i:end[i]]])
@@ -99,11 +99,14 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _char_class(pattern: str) -> str:
-    """The characters of a class of the ``regex`` module as plain ranges for ``re``."""
+PLANE = 0x10000  # of the code points that ``re`` holds in one table
+
+
+def _char_class(pattern: str, end: int) -> str:
+    """The characters below ``end`` of a class of the ``regex`` module as plain ranges for ``re``."""
     import regex
 
-    every = "".join(map(chr, (c for c in range(0x110000) if not 0xD800 <= c < 0xE000)))
+    every = "".join(map(chr, (c for c in range(end) if not 0xD800 <= c < 0xE000)))
     runs = []
     for m in regex.finditer(f"{pattern}+", every):
         lo, hi = m.group()[0], m.group()[-1]
@@ -112,13 +115,15 @@ def _char_class(pattern: str) -> str:
     return "".join(runs)
 
 
-def compile_pattern(pattern: str) -> re.Pattern:
+def compile_pattern(pattern: str, end: int = 0x110000) -> re.Pattern:
     r"""The tokenizer's pattern for ``re``, several times faster than ``regex``.
 
     Only \s, \S, \p{L} and \p{N} have another meaning there; they are written
     out as the ranges that ``regex`` gives them, so both cut every text alike.
+    With ``end``, classes hold the code points below it only: for texts that
+    hold no others.
     """
-    classes = {name: _char_class(name) for name in (r"\s", r"\p{L}", r"\p{N}")}
+    classes = {name: _char_class(name, end) for name in (r"\s", r"\p{L}", r"\p{N}")}
     out, inside, i = [], False, 0
     while i < len(pattern):
         token = next((t for t in (r"\p{L}", r"\p{N}", r"\s", r"\S") if pattern.startswith(t, i)), None)
@@ -146,7 +151,8 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.find = compile_pattern(pattern).findall
+        self.find_any, self.find_plain = compile_pattern(pattern).findall, compile_pattern(pattern, PLANE).findall
+        self.beyond = re.compile(f"[{chr(PLANE)}-{chr(0x10FFFF)}]").search
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, r in ranks.items():
             self.bytes_of[r] = token
@@ -154,6 +160,10 @@ class Codec:
         self.known: dict[str, tuple[int, str, bytes, tuple[int, ...]]] = {}
         self.older: dict[str, tuple[int, str, bytes, tuple[int, ...]]] = {}
 
+    def find(self, text: str) -> list[str]:
+        # beyond the first plane ``re`` walks a list of ranges for every character that is in none
+        return self.find_any(text) if self.beyond(text) else self.find_plain(text)
+
     def _merged(self, piece: str) -> tuple[int, str, bytes, tuple[int, ...]]:
         entry = self.older.get(piece)
         if entry is None:
