@@ -66,13 +66,30 @@ def nonfinite(c: Column, dtype: T.DataType) -> Column:
         for f in dtype.fields:
             out = out | nonfinite(c[f.name], f.dataType)
     elif isinstance(dtype, T.VariantType):
-        # JSON text has no such numbers: they appear as these strings
-        out = F.to_json(c).rlike(r'[\[,:]"(NaN|-?Infinity)"|^"(NaN|-?Infinity)"$') & F.schema_of_variant(c).rlike("DOUBLE|FLOAT|VARIANT")
+        # JSON text has no such numbers: they appear as these strings, which a text may be as well
+        suspect = F.to_json(c).rlike(r'[\[,:]"(NaN|-?Infinity)"|^"(NaN|-?Infinity)"$') & F.schema_of_variant(c).rlike("DOUBLE|FLOAT|VARIANT")
+        out = F.when(suspect, _holds_nonfinite(c)).otherwise(F.lit(False))
     else:
         return F.lit(False)
     return F.coalesce(out, F.lit(False))
 
 
+def _holds_nonfinite(v: Column) -> Column:
+    """Whether a VARIANT holds a non-finite double: its values are opened level by level, as many as its text has brackets."""
+    def doubles(xs: Column) -> Column:
+        return F.exists(xs, lambda x: F.when(F.schema_of_variant(x).isin("DOUBLE", "FLOAT"), F.isnan(F.variant_get(x, "$", "double")) | (
+            F.abs(F.variant_get(x, "$", "double")) == F.lit(float("inf")))).otherwise(F.lit(False)))
+
+    def inner(x: Column) -> Column:
+        return F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.map_values(F.try_variant_get(x, "$", "map<string,variant>")),
+                          F.array().cast("array<variant>"))
+
+    depth = F.length(F.regexp_replace(F.to_json(v), r"[^\[{]", ""))
+    start = F.struct(F.lit(False).alias("found"), F.array(v).alias("xs"))
+    return F.aggregate(F.sequence(F.lit(0), depth), start, lambda a, _: F.struct(
+        (a["found"] | F.coalesce(doubles(a["xs"]), F.lit(False))).alias("found"), F.flatten(F.transform(a["xs"], inner)).alias("xs")), lambda a: a["found"])
+
+
 def _strip_zeros(s: Column) -> Column:
     return F.regexp_replace(s, "[.]?0+$", "")
 

@@ -9,6 +9,7 @@ depth gives the same answer and rows without collections take no step.
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,6 +43,21 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+_BUILT: dict[tuple, object] = {}
+
+
+def built(build, *args):
+    """``build(F.col("geometry"), *args)``, made once per Spark application.
+
+    The expressions here have thousands of nodes, and each is a call from
+    Python to the JVM: seconds, when built anew for every frame.
+    """
+    key = (SparkContext.getOrCreate().applicationId, build.__name__, args)
+    if key not in _BUILT:
+        _BUILT[key] = build(F.col("geometry"), *args)
+    return _BUILT[key]
+
+
 def _array(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 

@@ -13,6 +13,13 @@ RESERVED = frozenset({"geometry", "_id", "_ord", "_doc", "_source", "_hash", "_k
                       "_json", "_too_many"})
 
 
+def named(name: str):
+    """The column of exactly this name, dots and backticks included."""
+    from pyspark.sql import functions as F
+
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def is_property(name: str) -> bool:
     return name not in RESERVED
 

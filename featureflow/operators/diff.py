@@ -100,7 +100,7 @@ def diff_samples(feed: DataFrame, by: Sequence[str] = (), limit: int = SAMPLE_LI
 
 def first_run_samples(keyed: DataFrame, by: Sequence[str] = (), limit: int = SAMPLE_LIMIT) -> DataFrame:
     """On a first run the sample is the first keys in input order."""
-    w = Window.partitionBy(*by).orderBy("_ord")
+    w = Window.partitionBy(*by).orderBy(*[c for c in ("_doc", "_ord", "_hash", "_key") if c in keyed.columns])
     return (keyed.where(F.col("_key").isNotNull()).withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= limit).select(*by, F.lit("added").alias("op"), "rank", F.col("_key").alias("key")))
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featureflow.functions.canonical import json_text, object_text, variant_text
-from featureflow.operators import property_fields
+from featureflow.operators import named, property_fields
 
 # Fixed value: the digest algorithm identifier stored next to every digest.
 DIGEST_ALGORITHM = "sha256-merkle-v1"
@@ -33,7 +33,7 @@ def feature_json(df: DataFrame) -> Column:
     if "_props" in df.columns:
         props = F.coalesce(variant_text(F.col("_props")), F.lit("{}"))
     else:
-        props = object_text({f.name: (F.col(f.name), f.dataType) for f in property_fields(df)})
+        props = object_text({f.name: (named(f.name), f.dataType) for f in property_fields(df)})
     parts = [F.lit('{"geometry":'), geometry]
     if "_id" in df.columns:
         id_type = df.schema["_id"].dataType

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featureflow.functions import geo
-from featureflow.operators import is_property
+from featureflow.operators import is_property, named
 
 
 def _repr(c: Column, dtype: T.DataType) -> Column:
@@ -45,13 +45,13 @@ def map_point(records: DataFrame, lon: str, lat: str, index_col: str = "_ord") -
         if name not in fields:
             raise ValueError(f"{role} field {name!r} is missing; available fields: "
                              + (", ".join(sorted(fields)[:10]) or "<no fields>"))
-    x, y = as_number(F.col(lon), fields[lon]), as_number(F.col(lat), fields[lat])
+    x, y = as_number(named(lon), fields[lon]), as_number(named(lat), fields[lat])
 
     def bad(name: str) -> Column:
         return F.concat(F.lit("record "), F.col(index_col).cast("string"), F.lit(f": field {name!r} is not a number ("),
-                        _repr(F.col(name), fields[name]), F.lit(")"))
+                        _repr(named(name), fields[name]), F.lit(")"))
 
-    problem = F.when(x.isNull(), bad(lon)).when(y.isNull(), bad(lat))
+    problem = _with_earlier(records, F.when(x.isNull(), bad(lon)).when(y.isNull(), bad(lat)))
     return (records.withColumn("geometry", F.when(problem.isNull(), geo.point(x, y)))
             .withColumn("_problem", problem).drop(lon, lat))
 
@@ -59,15 +59,20 @@ def map_point(records: DataFrame, lon: str, lat: str, index_col: str = "_ord") -
 def map_geometry_field(records: DataFrame, field: str, index_col: str = "_ord") -> DataFrame:
     """B2: ``geometry`` from a field holding GeoJSON (object or JSON text), validated by G1."""
     dtype = records.schema[field].dataType
-    raw = F.try_parse_json(F.col(field)) if isinstance(dtype, T.StringType) else F.col(field)
+    raw = F.try_parse_json(named(field)) if isinstance(dtype, T.StringType) else named(field)
     if isinstance(dtype, T.VariantType):
         raw = F.when(F.schema_of_variant(raw) == "STRING", F.try_parse_json(F.variant_get(raw, "$", "string"))) \
             .otherwise(raw)
     staged = records.withColumn("geometry", raw)
     problem = geo.geometry_problem(F.col("geometry"))
-    return staged.withColumn("_problem", F.when(problem.isNotNull(), F.concat(
+    return staged.withColumn("_problem", _with_earlier(records, F.when(problem.isNotNull(), F.concat(
         F.lit("record "), F.col(index_col).cast("string"),
-        F.lit(f": field {field!r} is not a valid GeoJSON geometry ("), problem, F.lit(")")))).drop(field)
+        F.lit(f": field {field!r} is not a valid GeoJSON geometry ("), problem, F.lit(")"))))).drop(field)
+
+
+def _with_earlier(records: DataFrame, problem: Column) -> Column:
+    """What the reader found wrong with a record stands before what the mapping finds."""
+    return F.coalesce(F.col("_problem"), problem) if "_problem" in records.columns else problem
 
 
 def map_properties(features: DataFrame, names: Sequence[str] | str = "*") -> DataFrame:
@@ -80,11 +85,11 @@ def map_properties(features: DataFrame, names: Sequence[str] | str = "*") -> Dat
         raise ValueError(f"property field {missing[0]!r} is missing; available fields: "
                          + ", ".join(sorted(props)[:10]))
     keep = [c for c in features.columns if not is_property(c)]
-    return features.select(*keep, *names)
+    return features.select(*map(named, keep), *map(named, names))
 
 
 def map_id(features: DataFrame, field: str) -> DataFrame:
     """Copy a field to the top-level feature id (it stays a property too)."""
     if field not in features.columns:
         raise ValueError(f"id field {field!r} is missing")
-    return features.withColumn("_id", F.col(field))
+    return features.withColumn("_id", named(field))

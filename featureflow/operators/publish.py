@@ -33,7 +33,7 @@ def summary(hashed: DataFrame, by: str = "_source") -> DataFrame:
     names of each row, an ``array<string>``).
     """
     g = F.col("geometry")
-    a, b, c, d = geo.bbox_parts(g)
+    a, b, c, d = geo.built(geo.bbox_parts)
     kind = F.when(F.schema_of_variant(g).startswith("OBJECT"),
                   F.coalesce(F.try_variant_get(g, "$.type", "string"), F.lit("null"))).otherwise(F.lit("null"))
     base = hashed.select(by, kind.alias("t"), a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d"), "_names")

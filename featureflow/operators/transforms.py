@@ -45,7 +45,7 @@ class Step:
         if self.op == "filter":
             return F.coalesce(_expr(self.arg, df), F.lit(False))
         if self.op == "drop_invalid" and self.arg:
-            return geo.geometry_problem(F.col("geometry")).isNull()
+            return geo.built(geo.geometry_problem).isNull()
         return None
 
 
@@ -97,14 +97,14 @@ def t_rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 def t_round(df: DataFrame, precision: int) -> DataFrame:
     """T4: round every coordinate to ``precision`` decimal places."""
-    return df.withColumn("geometry", geo.round_geometry(F.col("geometry"), int(precision)))
+    return df.withColumn("geometry", geo.built(geo.round_geometry, int(precision)))
 
 
 def t_drop_invalid(df: DataFrame, enabled: bool = True) -> DataFrame:
     """T5: drop rows whose geometry has a structural problem."""
     if not enabled:
         return df
-    return df.where(geo.geometry_problem(F.col("geometry")).isNull())
+    return df.where(geo.built(geo.geometry_problem).isNull())
 
 
 STEP_FUNCTIONS: dict[str, Callable[[DataFrame, object], DataFrame]] = {
@@ -176,7 +176,7 @@ def drop_reasons(df: DataFrame, by: Sequence[str] = (), limit: int = 3) -> DataF
 
     keys = list(by)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    checked = df.select(*keys, "_ord", geo.geometry_problem(F.col("geometry")).alias("problem"))
+    checked = df.select(*keys, "_ord", geo.built(geo.geometry_problem).alias("problem"))
     # one exchange of the rejects serves the count and the first few: the check runs once per row
     bad = checked.where(F.col("problem").isNotNull()).repartition(n, "_ord")
     rk = F.row_number().over(Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_ord"))

@@ -157,7 +157,7 @@ def q_refresh_deep_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.repeat(F.lit('{"type":"GeometryCollection","geometries":['), levels), inner, F.repeat(F.lit("]}"), levels))
     f = s.select("key", levels.cast("long").alias("levels"), F.parse_json(text).alias("geometry"))
     f = Step("drop_invalid", True).apply(Step("round", 3).apply(f))
-    a, _, _, d = geo.bbox_parts(F.col("geometry"))
+    a, _, _, d = geo.built(geo.bbox_parts)
     return f.groupBy("levels").agg(F.count(F.lit(1)).alias("n"), F.min(a).alias("west"), F.max(d).alias("north"))
 
 

@@ -431,7 +431,7 @@ def q_t_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("geometry_problem", with_fixtures(f"SELECT key, {ZONE_PROBLEM_SQL} AS problem FROM zones", "zones"))
 def q_geometry_problem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1: first structural problem of each zone geometry."""
-    return X.zone_features(spark, sf_dir).select("key", geo.geometry_problem(F.col("geometry")).alias("problem"))
+    return X.zone_features(spark, sf_dir).select("key", geo.built(geo.geometry_problem).alias("problem"))
 
 
 @query("geometry_types", with_fixtures(
@@ -460,7 +460,7 @@ def q_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounding box per user over all their tracks (per-row min/max, then partial aggregation)."""
     df = X.tracks(spark, sf_dir)
-    a, b, c, d = geo.bbox_parts(F.col("geometry"))
+    a, b, c, d = geo.built(geo.bbox_parts)
     return (df.select("user_id", a.alias("a"), b.alias("b"), c.alias("c"), d.alias("d"))
             .groupBy("user_id").agg(F.min("a").alias("min_lon"), F.min("b").alias("min_lat"),
                                     F.max("c").alias("max_lon"), F.max("d").alias("max_lat")))

@@ -1,7 +1,7 @@
 """The refresh run (R1, R2, O4-O6): sources -> steps -> digest -> diff -> gates -> publish -> state.
 
-Every source is reduced to one hashed frame ``(_source, _key, _hash, _doc,
-_ord, geometry, _json, _problem)``. Rows that cannot be used keep their problem
+Every source is reduced to one hashed table ``(_source, _key, _hash, _doc,
+_ord, _json, box, _problem)``, written once. Rows that cannot be used keep their problem
 and pass by the steps, so no step can hide them; they fail their source and no
 other. The run needs four aggregations over the frame (digest, bbox/count, key
 index, hash multiset) and one full outer join against the previous state, each
@@ -11,14 +11,18 @@ the driver, to choose that mode and to decide what to write.
 A run writes features, then its state, then its manifest under ``run_id``. The
 manifest is the commit point: ``load_state`` reads the state of the last run
 that has one, and a replayed run overwrites its own folders.
+
+``run_committed`` is the form for large state: it reads and writes the state of
+``plans.state`` (a bucketed base, deltas, Merkle digests, a commit log), so a
+run costs what changed, and runs on one folder do not overwrite each other.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +31,12 @@ from featureflow.functions import geo
 from featureflow.functions.canonical import nonfinite
 from featureflow.functions.freshness import is_stale
 from featureflow.operators import diff as D
-from featureflow.operators import property_fields
+from featureflow.operators import named, property_fields
 from featureflow.operators.digest import collection_digest, empty_digest_hash, feature_json
 from featureflow.operators.publish import write_features
 from featureflow.operators.transforms import Step, apply_steps
+from featureflow.plans import state as S
+from featureflow.session import checkpoint_dir
 
 STATE_INDEX_SCHEMA = "source STRING, key STRING, hash STRING, n BIGINT"
 # published_hash: the content last written out; it lags content_hash while publishing is blocked.
@@ -58,6 +64,7 @@ class RunResult:
     features: DataFrame
     outputs: list[str] = field(default_factory=list)
     exit_code: int = 0
+    committed: S.State | None = None  # of a run on a committed state
 
 
 def empty_state(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
@@ -80,10 +87,16 @@ def load_state(spark: SparkSession, out_dir: str, replay_of: str | None = None)
         base = f"{out_dir}/state/run_id={last['run']}"
         index = spark.read.schema(STATE_INDEX_SCHEMA).parquet(f"{base}/index")
         meta = spark.read.schema(STATE_META_SCHEMA).parquet(f"{base}/meta")
-        meta.limit(1).collect()
+        meta.collect()
+        index.limit(1).collect()
+        index.count()  # reads every footer
         return index, meta
     except AnalysisException:  # no folder, or no table in it: a first run
         return empty_state(spark)
+    except Exception as e:  # noqa: BLE001  damaged files have no exception of their own
+        if not S.damaged(e):
+            raise
+        return empty_state(spark)
 
 
 def hashed_features(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
@@ -110,19 +123,39 @@ def hashed_features(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFra
     return out
 
 
+def staged(hashed: DataFrame) -> DataFrame:
+    """The run's features, written once to the shared folder: text, hash, key, place and box of each.
+
+    All that follows reads narrow columns of this table. It outlives a lost
+    executor, nothing is computed twice, and the plans behind it stay small.
+    """
+    spark = hashed.sparkSession
+    box = dict(zip(("_west", "_south", "_east", "_north"), geo.built(geo.bbox_parts)))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/featureflow-run/{uuid.uuid4().hex}"
+    narrow = hashed.withColumns(box).drop("geometry")
+    narrow.write.parquet(path)
+    return spark.read.schema(narrow.schema).parquet(path)
+
+
 def _nonfinite(df: DataFrame) -> Column:
     out = nonfinite(F.col("geometry"), df.schema["geometry"].dataType)
     if "_props" in df.columns:
         return out | nonfinite(F.col("_props"), df.schema["_props"].dataType)
     for f in property_fields(df):
-        out = out | nonfinite(F.col(f"`{f.name}`"), f.dataType)
+        out = out | nonfinite(named(f.name), f.dataType)
     return out
 
 
 def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataFrame, state_meta: DataFrame,
             now: str, only: Sequence[str] = (), force: bool = False, dry_run: bool = False,
-            out_dir: str | None = None, run_id: str = "0") -> RunResult:
-    """One refresh run. Writes only when something changed (or ``force``) and nothing failed."""
+            out_dir: str | None = None, run_id: str = "0", state: S.State | None = None) -> RunResult:
+    """One refresh run. Writes only when something changed (or ``force``) and nothing failed.
+
+    With a committed ``state`` the frames of the old one are not looked at, and
+    the run's changes are committed after it.
+    """
+    if state is not None:
+        state_index, state_meta = None, state.meta()
     known = [s.name for s in specs]
     unknown = [n for n in only if n not in known]
     if unknown:
@@ -133,40 +166,35 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
                                                "min_features BIGINT, max_age DOUBLE")
     now_col = F.lit(now).cast("timestamp")
 
-    everything = hashed_features(spark, selected).persist(StorageLevel.MEMORY_AND_DISK)
+    everything = staged(hashed_features(spark, selected))
     feats = everything.where(F.col("_problem").isNull()).drop("_problem")
     by = ["_source"]
     digest = collection_digest(feats, by)
-    a, b, c, d = geo.bbox_parts(F.col("geometry"))
     sound = F.col("_problem").isNull()
     per_source = everything.groupBy(*by).agg(
         F.count_if(sound).alias("feature_count"), F.count_if(sound & F.col("_key").isNotNull()).alias("with_key"),
-        F.count("_problem").alias("problems"), F.min("_problem").alias("problem"), F.min(a).alias("min_lon"),
-        F.min(b).alias("min_lat"), F.max(c).alias("max_lon"), F.max(d).alias("max_lat"))
-    per_source = spark.createDataFrame(per_source.collect(), per_source.schema)  # one row per source
-    modes = {r["_source"]: r["feature_count"] > 0 and r["with_key"] == r["feature_count"] for r in per_source.collect()}
+        F.count("_problem").alias("problems"), F.min("_problem").alias("problem"), F.min("_west").alias("min_lon"),
+        F.min("_south").alias("min_lat"), F.max("_east").alias("max_lon"), F.max("_north").alias("max_lat"))
+    of_sources = per_source.collect()  # one row per source
+    per_source = spark.createDataFrame(of_sources, per_source.schema)
+    modes = {r["_source"]: r["feature_count"] > 0 and r["with_key"] == r["feature_count"] for r in of_sources}
     by_key = [n for n, keyed in modes.items() if keyed]
 
     prev_meta = state_meta.select(F.col("source").alias("_source"), F.col("content_hash").alias("previous_content_hash"),
                                   F.col("fetched_at").alias("prev_fetched_at"),
                                   F.col("feature_count").alias("prev_feature_count"),
                                   F.col("published_hash").alias("prev_published_hash"))
-    prev_keyed = state_index.where(F.col("key").isNotNull()).select(F.col("source").alias("_source"), "key", "hash")
-    prev_hashes = state_index.where(F.col("key").isNull()).select(F.col("source").alias("_source"), "hash", "n")
-    # an unkeyed previous run keeps (hash, n); a keyed one can be compared as a multiset too
-    prev_multiset = prev_hashes.unionByName(
-        state_index.where(F.col("key").isNotNull()).select(F.col("source").alias("_source"), "hash", "n"))
-
-    # each source takes part in the diff of its mode only
-    keyed_source = F.col("_source").isin(by_key)
-    keyed_counts = D.diff_counts(D.change_feed(D.key_index(feats.where(keyed_source), by), prev_keyed.where(keyed_source), by), by)
-    unkeyed_counts = D.unkeyed_diff(D.hash_counts(feats.where(~keyed_source), by), prev_multiset.where(~keyed_source), by)
-    k = keyed_counts.select(*by, *[F.col(o).alias(f"k_{o}") for o in D.OPS])
-    u = unkeyed_counts.select(*by, *[F.col(o).alias(f"u_{o}") for o in D.OPS])
+    change = None
+    if state is not None:
+        # a source that lost all its rows keeps its mode
+        change = S.compare(state, feats, {x.name: modes.get(x.name, state.entry["keyed"].get(x.name, False)) for x in selected})
+        counts = change.counts
+    else:
+        counts = _counts(feats, state_index, by_key)
 
     m = (spec_df.withColumnRenamed("source", "_source")
          .join(per_source, by, "left").join(digest.drop("feature_count"), by, "left")
-         .join(prev_meta, by, "left").join(k, by, "left").join(u, by, "left"))
+         .join(prev_meta, by, "left").join(counts, by, "left"))
     # a selected source without rows is an empty collection, with its own digest
     m = m.withColumn("feature_count", F.when(F.col("selected"), F.coalesce("feature_count", F.lit(0))))
     m = m.withColumn("content_hash", F.when(F.col("selected"), F.coalesce("content_hash", F.lit(empty_digest_hash()))))
@@ -192,8 +220,7 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
         else:
             first = F.lit(0).cast("long")
         return (F.when(~fresh, F.lit(None).cast("long")).when(first_run, first)
-                .when(keyed, F.coalesce(F.col(f"k_{o}"), F.lit(0)).cast("long"))
-                .otherwise(F.coalesce(F.col(f"u_{o}"), F.lit(0)).cast("long")))
+                .otherwise(F.coalesce(F.col(o), F.lit(0)).cast("long")))
 
     fetched_at = F.when(fresh, now_col).otherwise(F.col("prev_fetched_at"))
     manifest = m.select(
@@ -234,31 +261,78 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
 
     # Next state: fresh sources get their new index; failed and skipped sources keep the old rows.
     fresh_names = [r["source"] for r in decision if r["status"] not in ("failed", "skipped")]
-    keyed_rows = (feats.where(F.col("_source").isin(fresh_names))
-                  .groupBy("_source", "_key").agg(F.max(D.place(feats))["_hash"].alias("hash"), F.count(F.lit(1)).alias("n")))
-    mode = per_source.select("_source", ((F.col("with_key") == F.col("feature_count")) & (F.col("feature_count") > 0)).alias("all_keyed"))
-    new_keyed = (keyed_rows.join(mode, "_source").where(F.col("all_keyed") & F.col("_key").isNotNull())
-                 .select(F.col("_source").alias("source"), F.col("_key").alias("key"), "hash", "n"))
-    new_unkeyed = (D.hash_counts(feats.where(F.col("_source").isin(fresh_names)), by).join(mode, "_source")
-                   .where(~F.col("all_keyed"))
-                   .select(F.col("_source").alias("source"), F.lit(None).cast("string").alias("key"), "hash", "n"))
-    kept = state_index.where(~F.col("source").isin(fresh_names))
-    next_index = new_keyed.unionByName(new_unkeyed).unionByName(kept)
     wrote = set(to_publish) if not any_failed else set()
     published_now = [(r["source"], r["content_hash"] if r["source"] in wrote else published_before.get(r["source"])) for r in decision]
     next_meta = manifest.where(F.col("status") != "skipped").select("source", "content_hash", "fetched_at", "feature_count").join(
         spark.createDataFrame(published_now, "source STRING, published_hash STRING"), "source").unionByName(
         state_meta.join(manifest.where(F.col("status") == "skipped").select("source"), "source", "left_semi"))
 
+    if state is not None:
+        committed = state
+        try:
+            if not dry_run:
+                entry = S.write_state(change, fresh_names, next_meta) | {"run_id": run_id, "run_at": now}
+                if outputs:
+                    entry["features"] = state.entry["features"] | {n: f"{out_dir}/features/run_id={run_id}/_source={n}" for n in wrote}
+                manifest.withColumn("run_at", now_col).write.mode("overwrite").parquet(f"{out_dir}/manifest/run_id={run_id}")
+                committed = S.commit(state, entry)
+        finally:
+            change.release()
+        return RunResult(manifest=manifest, next_index=committed.index(), next_meta=committed.meta(), features=_written(spark, outputs, dry_run, out_dir, run_id, feats),
+                         outputs=outputs, exit_code=exit_code, committed=committed)
+    next_index = _next_index(feats, state_index, fresh_names, per_source)
     if not dry_run and out_dir:
         # the manifest last: what it does not name is not part of a run
         next_index.write.mode("overwrite").parquet(f"{out_dir}/state/run_id={run_id}/index")
         next_meta.write.mode("overwrite").parquet(f"{out_dir}/state/run_id={run_id}/meta")
         manifest.withColumn("run_at", now_col).write.mode("overwrite").parquet(f"{out_dir}/manifest/run_id={run_id}")
-        everything.unpersist()
-        features = spark.read.text(f"{out_dir}/features/run_id={run_id}") if outputs else feats
         return RunResult(manifest=manifest, next_index=spark.read.schema(STATE_INDEX_SCHEMA).parquet(f"{out_dir}/state/run_id={run_id}/index"),
                          next_meta=spark.read.schema(STATE_META_SCHEMA).parquet(f"{out_dir}/state/run_id={run_id}/meta"),
-                         features=features, outputs=outputs, exit_code=exit_code)
+                         features=_written(spark, outputs, dry_run, out_dir, run_id, feats), outputs=outputs, exit_code=exit_code)
     return RunResult(manifest=manifest, next_index=next_index, next_meta=next_meta, features=feats, outputs=outputs,
                      exit_code=exit_code)
+
+
+def _written(spark: SparkSession, outputs: list[str], dry_run: bool, out_dir: str | None, run_id: str, feats: DataFrame) -> DataFrame:
+    return spark.read.text(f"{out_dir}/features/run_id={run_id}") if outputs and not dry_run else feats
+
+
+def _counts(feats: DataFrame, state_index: DataFrame, by_key: Sequence[str]) -> DataFrame:
+    """(_source, added, removed, modified, unchanged), each source in the diff of its mode only."""
+    by = ["_source"]
+    prev = state_index.withColumnRenamed("source", "_source")
+    keyed_source = F.col("_source").isin(list(by_key))
+    keyed = D.diff_counts(D.change_feed(D.key_index(feats.where(keyed_source), by),
+                                        prev.where(keyed_source & F.col("key").isNotNull()).select("_source", "key", "hash"), by), by)
+    # an unkeyed previous run keeps (hash, n); a keyed one can be compared as a multiset too
+    unkeyed = D.unkeyed_diff(D.hash_counts(feats.where(~keyed_source), by), prev.where(~keyed_source).select("_source", "hash", "n"), by)
+    return keyed.unionByName(unkeyed)
+
+
+def _next_index(feats: DataFrame, state_index: DataFrame, fresh: Sequence[str], per_source: DataFrame) -> DataFrame:
+    of_fresh = feats.where(F.col("_source").isin(list(fresh)))
+    keyed_rows = of_fresh.groupBy("_source", "_key").agg(F.max(D.place(feats))["_hash"].alias("hash"), F.count(F.lit(1)).alias("n"))
+    mode = per_source.select("_source", ((F.col("with_key") == F.col("feature_count")) & (F.col("feature_count") > 0)).alias("all_keyed"))
+    new_keyed = (keyed_rows.join(mode, "_source").where(F.col("all_keyed") & F.col("_key").isNotNull())
+                 .select(F.col("_source").alias("source"), F.col("_key").alias("key"), "hash", "n"))
+    new_unkeyed = (D.hash_counts(of_fresh, ["_source"]).join(mode, "_source").where(~F.col("all_keyed"))
+                   .select(F.col("_source").alias("source"), F.lit(None).cast("string").alias("key"), "hash", "n"))
+    return new_keyed.unionByName(new_unkeyed).unionByName(state_index.where(~F.col("source").isin(list(fresh))))
+
+
+def run_committed(spark: SparkSession, specs: Sequence[SourceSpec], out_dir: str, now: str, run_id: str, attempts: int = 3,
+                  **options) -> RunResult:
+    """R1 on the committed state of ``out_dir``: read the last commit, run, commit; run again if another run came first."""
+    for left in range(attempts - 1, -1, -1):
+        state = S.open_state(spark, out_dir)
+        try:
+            return refresh(spark, specs, None, None, now, out_dir=out_dir, run_id=run_id, state=state, **options)
+        except S.RunConflict:
+            if not left:
+                raise
+    raise ValueError("attempts must be at least 1")
+
+
+def published(spark: SparkSession, out_dir: str, version: int | None = None) -> dict[str, str]:
+    """The folder of each source's features as a commit left them: a reader's snapshot."""
+    return dict(S.open_state(spark, out_dir, version).entry["features"])

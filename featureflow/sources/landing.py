@@ -25,7 +25,9 @@ def latest_success(landing: DataFrame, by: str = "source") -> DataFrame:
     """Newest successful response per source (an aggregate, so no per-source sort)."""
     ok = landing.where(F.col("status") < 400)
     cols = [c for c in landing.columns if c != by]
-    latest = F.max_by(F.struct(*cols), F.col("fetched_at"))
+    # responses of one time are told apart by their other columns, not by arrival
+    plain = [f.name for f in landing.schema if f.name in cols and f.dataType.typeName() not in ("map", "variant") and f.name != "fetched_at"]
+    latest = F.max_by(F.struct(*cols), F.struct("fetched_at", *plain))
     return ok.groupBy(by).agg(latest.alias("r")).select(by, "r.*")
 
 
