@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featureflow.operators.features import map_point
 from featureflow.plans import fixtures as X
 from featureflow.plans import state as S
 from featureflow.plans.oracle import with_fixtures
-from featureflow.plans.queries import _ACTIVE, _DEPOT_JSON, _FEED_SQL, _feed_query, _specs, _station_index_sql, query, refreshed_stations
+from featureflow.plans.queries import _DEPOT_JSON, _FEED_SQL, ORACLE, _feed_query, _point_cols, _specs, _station_index_sql, query, refreshed_stations
 from featureflow.plans.refresh import SourceSpec, empty_state, refresh, run_committed
 from featureflow.session import checkpoint_dir
 from featureflow.sources import csv as CSV
+from featureflow.sources.geojson_split import read_geojson_split
 
 NOW = "2024-01-31 00:00:00"
 
@@ -97,6 +98,35 @@ def _staged_csv(spark: SparkSession, sf_dir: str, wide: bool) -> str:
     return f"{path}/p=*"
 
 
+def _staged_geojson(spark: SparkSession, sf_dir: str, files: int = 3) -> str:
+    """All documents of ``geojson_docs`` as a few large ones: their features follow each other in a file a line each."""
+    docs = X.geojson_docs(spark, sf_dir)
+    items = docs.select(F.col("_doc").alias("c"), F.posexplode(F.try_variant_get(F.parse_json("value"), "$.features", "array<variant>")).alias("i", "item"))
+    items = items.select((F.col("c") % files).alias("p"), F.col("c"), F.col("i"), F.to_json("item").alias("value"))
+    # every feature but the first of its file has a comma before it
+    first = items.groupBy("p").agg(F.min(F.struct("c", "i")).alias("first"))
+    items = items.join(first, "p").select("p", "c", "i", F.when(F.struct("c", "i") == F.col("first"), F.col("value"))
+                                          .otherwise(F.concat(F.lit(","), F.col("value"))).alias("value"))
+    ends = first.select("p", F.explode(F.array(F.struct(F.lit(-1).alias("c"), F.lit('{"type":"FeatureCollection","features":[').alias("value")),
+                                               F.struct(F.lit(1 << 40).alias("c"), F.lit("]}").alias("value")))).alias("e"))
+    rows = items.unionByName(ends.select("p", F.col("e.c").alias("c"), F.lit(0).alias("i"), "e.value"))
+    path = _folder(spark, "geojson")
+    rows.repartition("p").sortWithinPartitions("p", "c", "i").select("p", "value").write.partitionBy("p").text(path, compression="none")
+    return f"{path}/p=*"
+
+
+@query("scan_geojson_split", ORACLE["scan_geojson"])
+def q_scan_geojson_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few large documents read by byte ranges, features that cross them joined."""
+    f = read_geojson_split(spark, _staged_geojson(spark, sf_dir))
+    prop = lambda name, kind: F.variant_get("_props", f"$.{name}", kind)
+    event = F.to_json("_id")
+    f = f.select(F.floor(event.cast("long") / X.DOC_CHUNK).alias("doc"), "_ord", event.alias("id"), prop("event_type", "string").alias("event_type"),
+                 prop("k", "int").alias("k"), *_point_cols(f))
+    place = F.row_number().over(Window.partitionBy("doc").orderBy("_ord")) - 1
+    return f.withColumn("pos", place.cast("long")).drop("_ord")
+
+
 def _csv_source(path: str):
     return lambda s: map_point(CSV.coerced(CSV.read_csv(s, path)), "lon", "lat")
 

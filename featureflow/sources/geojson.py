@@ -8,15 +8,18 @@ VARIANT once; all shape checks are expressions on that value.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.functions.geo import GEOMETRY_TYPES, json_type_name, let
+from featureflow.sources.files import without_text
 
 _GEOMETRY_KINDS = [t for t in GEOMETRY_TYPES]
 
 
-def _kind(v: Column) -> Column:
+def kind_of(v: Column) -> Column:
     k = F.variant_get(v, "$.type", "variant")
     return F.when(F.schema_of_variant(k) == "STRING", F.variant_get(k, "$", "string"))
 
@@ -34,7 +37,7 @@ def document_problem(text: Column) -> Column:
 
     def check(d: Column) -> Column:
         obj = F.try_variant_get(d, "$", "map<string,variant>")
-        kind = _kind(d)
+        kind = kind_of(d)
         feats = F.variant_get(d, "$.features", "variant")
         return (
             F.when(text.isNull() | (F.trim(text) == ""), F.lit("payload is empty; expected a JSON document"))
@@ -55,7 +58,7 @@ def document_problem(text: Column) -> Column:
 
 def feature_items(doc: Column) -> Column:
     """The document's feature items as ``array<variant>`` (null if unreadable)."""
-    kind = _kind(doc)
+    kind = kind_of(doc)
     bare_geometry = F.to_variant_object(F.struct(
         doc.alias("geometry"), F.to_variant_object(F.struct()).alias("properties"), F.lit("Feature").alias("type")))
     return (F.when(F.try_variant_get(doc, "$", "array<variant>").isNotNull(),
@@ -74,7 +77,7 @@ def item_problem(item: Column, index: Column) -> Column:
     return (
         F.when(obj.isNull(), F.concat(F.lit("feature "), idx, F.lit(" is a "), json_type_name(item),
                                       F.lit(", expected a GeoJSON Feature object")))
-        .when(~F.coalesce(_kind(item) == "Feature", F.lit(False)),
+        .when(~F.coalesce(kind_of(item) == "Feature", F.lit(False)),
               F.concat(F.lit("feature "), idx, F.lit(" has type "), _repr(kind_v), F.lit(", expected 'Feature'")))
         .when(props.isNotNull() & ~F.is_variant_null(props)
               & F.try_variant_get(props, "$", "map<string,variant>").isNull(),
@@ -83,21 +86,25 @@ def item_problem(item: Column, index: Column) -> Column:
     )
 
 
-def parse_geojson(docs: DataFrame, text_col: str = "value", doc_col: str = "_doc") -> DataFrame:
+def parse_geojson(docs: DataFrame, text_col: str = "value", doc_col: str = "_doc",
+                  problem: Callable[[Column], Column] | None = None) -> DataFrame:
     """One row per feature: ``_doc, _ord, geometry, _props, _id, _problem``.
 
     ``_ord`` is the position in the document; ``_id`` is null when the item
-    has no ``id`` member; a null ``properties`` becomes ``{}``.
+    has no ``id`` member; a null ``properties`` becomes ``{}``. ``problem``
+    names further reasons against a document that can be read.
     """
     parsed = docs.select(F.col(doc_col).alias("_doc"), F.try_parse_json(F.col(text_col)).alias("doc"),
                          document_problem(F.col(text_col)).alias("why"))
+    if problem:
+        parsed = parsed.withColumn("why", F.coalesce("why", problem(F.col("doc"))))
     # an unreadable document is one row with its problem, so that it cannot vanish; an empty collection is no row
     items = F.when(F.col("why").isNull(), feature_items(F.col("doc"))).otherwise(F.array(F.lit(None).cast("variant")))
     rows = parsed.select("_doc", "why", F.posexplode(items).alias("_ord", "item"))
-    return _features(rows, F.col("_ord").cast("long"), F.coalesce("why", item_problem(F.col("item"), F.col("_ord"))))
+    return features(rows, F.col("_ord").cast("long"), F.coalesce("why", item_problem(F.col("item"), F.col("_ord"))))
 
 
-def _features(rows: DataFrame, order: Column, problem: Column) -> DataFrame:
+def features(rows: DataFrame, order: Column, problem: Column) -> DataFrame:
     item = F.col("item")
     props = F.variant_get(item, "$.properties", "variant")
     return rows.select(
@@ -112,8 +119,9 @@ def _features(rows: DataFrame, order: Column, problem: Column) -> DataFrame:
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
     """Whole GeoJSON documents (FeatureCollection, Feature, geometry or array), one per file."""
-    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_doc"), "value")
-    return parse_geojson(docs)
+    docs = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_doc"),
+                                                        F.regexp_replace("value", "^\ufeff", "").alias("value"))
+    return parse_geojson(docs.unionByName(without_text(spark, path, docs)))
 
 
 def read_geojson_seq(spark: SparkSession, path: str) -> DataFrame:
@@ -128,5 +136,5 @@ def read_geojson_seq(spark: SparkSession, path: str) -> DataFrame:
              .select(F.col("_metadata.file_path").alias("_doc"), place.alias("_ord"), "value",
                      F.try_parse_json(F.regexp_replace("value", "^\u001e", "")).alias("item"))
              .where(F.trim("value") != ""))
-    return _features(lines, F.col("_ord"), F.when(F.col("item").isNull(), F.lit("invalid JSON"))
+    return features(lines, F.col("_ord"), F.when(F.col("item").isNull(), F.lit("invalid JSON"))
                      .otherwise(item_problem(F.col("item"), F.col("_ord"))))
