@@ -15,6 +15,7 @@ from featureflow.plans.queries import _DEPOT_JSON, _FEED_SQL, ORACLE, _feed_quer
 from featureflow.plans.refresh import SourceSpec, empty_state, refresh, run_committed
 from featureflow.session import checkpoint_dir
 from featureflow.sources import csv as CSV
+from featureflow.sources.csv_split import read_csv_split
 from featureflow.sources.geojson_split import read_geojson_split
 
 NOW = "2024-01-31 00:00:00"
@@ -152,6 +153,22 @@ def q_csv_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.variant_get("note", "$", "string").alias("note"))
 
 
+@query("csv_split", with_fixtures(
+    "SELECT key, lon, 'first \"' || CAST(key AS VARCHAR) || '\",' || chr(10) || 'second' || chr(10) AS note, "
+    "CASE WHEN key % 11 = 0 THEN 'row has more than 3 cells' END AS problem FROM stations", "stations"))
+def q_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose quoted cells hold line breaks, quotes and separators, read by byte ranges."""
+    s, k = X.stations_raw(spark, sf_dir), F.col("key")
+    note = F.concat(F.lit('"first ""'), k.cast("string"), F.lit('"",\nsecond\n"'))
+    more = F.when(k % 11 == 0, F.lit(",more")).otherwise(F.lit(""))
+    rows = s.select((k % 2).alias("p"), k.alias("o"), F.concat(k.cast("string"), F.lit(","), F.col("lon").cast("string"), F.lit(","), note, more).alias("value"))
+    heads = rows.select("p").distinct().select("p", F.lit(-1).alias("o"), F.lit("key,lon,note").alias("value"))
+    path = _folder(spark, "csv")
+    rows.unionByName(heads).repartition("p").sortWithinPartitions("p", "o").select("p", "value").write.partitionBy("p").text(path, compression="none")
+    r = read_csv_split(spark, f"{path}/p=*")
+    return r.select(F.col("key").cast("long").alias("key"), F.col("lon").cast("double").alias("lon"), "note", F.col("_problem").alias("problem"))
+
+
 @query("nan_text_run", with_fixtures(
     "SELECT 'texts' AS source, 'ok' AS status, count(*) AS feature_count FROM stations "
     "UNION ALL SELECT 'numbers', 'failed', 0 FROM stations WHERE key % 5 = 0 GROUP BY 1, 2 HAVING count(*) > 0", "stations"))

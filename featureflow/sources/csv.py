@@ -105,6 +105,23 @@ def cell_count(line: Column, sep: str) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
 
 
+def _options(encoding: str, sep: str, multi_line: bool) -> dict:
+    return {"sep": sep, "encoding": encoding, "escape": '"', "multiLine": multi_line, "mode": "PERMISSIVE"}
+
+
+def read_header(spark: SparkSession, path: str, encoding: str, sep: str | None, multi_line: bool) -> tuple[str, list[str]]:
+    """The separator, sniffed if not given, and the names of the header."""
+    first = spark.read.option("encoding", encoding).text(path).limit(1).collect()
+    line = first[0][0].lstrip("\ufeff") if first else ""
+    sep = sep or sniff_delimiter(line)
+    options = _options(encoding, sep, multi_line)
+    names = spark.read.options(**options, header=False, inferSchema=False).csv(path).limit(1).collect() if first else []
+    header = [(c or "").lstrip("\ufeff").strip() for c in names[0]] if names else []
+    if not header or "" in header:
+        raise ValueError(f"CSV header contains an empty column name: {header!r}")
+    return sep, header
+
+
 def read_csv(spark: SparkSession, path: str, encoding: str = "utf-8", sep: str | None = None,
              multi_line: bool = True) -> DataFrame:
     """Header CSV with a sniffed delimiter, as records with ``_doc``, ``_ord`` and ``_problem``.
@@ -114,14 +131,8 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "utf-8", sep: str |
     task; switch it off to split huge files whose cells hold none. A row with
     more cells than the header is kept with its problem.
     """
-    first = spark.read.option("encoding", encoding).text(path).limit(1).collect()
-    line = first[0][0].lstrip("\ufeff") if first else ""
-    sep = sep or sniff_delimiter(line)
-    options = {"sep": sep, "encoding": encoding, "escape": '"', "multiLine": multi_line, "mode": "PERMISSIVE"}
-    names = spark.read.options(**options, header=False, inferSchema=False).csv(path).limit(1).collect() if first else []
-    header = [(c or "").lstrip("\ufeff").strip() for c in names[0]] if names else []
-    if not header or "" in header:
-        raise ValueError(f"CSV header contains an empty column name: {header!r}")
+    sep, header = read_header(spark, path, encoding, sep, multi_line)
+    options = _options(encoding, sep, multi_line)
     wide = T.StructType([T.StructField(f"_cell{i}", T.StringType()) for i in range(len(header))] + [T.StructField("_raw", T.StringType())])
     rows = (spark.read.options(**options, header=True, columnNameOfCorruptRecord="_raw", enforceSchema=True)
             .schema(wide).csv(path))

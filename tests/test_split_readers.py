@@ -7,6 +7,8 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from featureflow.sources import csv as CSV
+from featureflow.sources import csv_split as CS
 from featureflow.sources import geojson as GJ
 from featureflow.sources import geojson_split as GS
 
@@ -119,3 +121,68 @@ def test_geojson_split_never_hides_what_is_unreadable(spark, tmp_path):
 def test_compressed_files_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="compressed"):
         GS.read_geojson_split(spark, staged(tmp_path, {"x.json.gz": b""}))
+
+
+def csv_rows(frame):
+    out = {}
+    for x in sorted(frame.withColumn("_doc", F.regexp_extract("_doc", "[^/]*$", 0)).collect(), key=lambda x: (x["_doc"], x["_ord"])):
+        out.setdefault(x["_doc"], []).append(tuple(v for k, v in x.asDict().items() if k not in ("_doc", "_ord")))
+    return out
+
+
+def csv_files(rng):
+    cells = ["", "plain", 'say "hi"', "a,b", "two\nlines", '"', '","', '\n"\n', "\n\n", "é漢", "x" * 90, '""', "end\n"]
+
+    def cell(c):
+        return '"' + c.replace('"', '""') + '"' if any(x in c for x in ',"\n') or rng.random() < 0.2 else c
+
+    out = {}
+    for i in range(3):
+        lines = ["k,a,b"]
+        for n in range(30):
+            some = [str(n), *(cell(rng.choice(cells)) for _ in range(rng.choice([2, 2, 2, 1, 3])))]
+            lines.append(",".join(some))
+        out[f"f{i}.csv"] = "\n".join(lines) + rng.choice(["", "\n"])
+    out["loose.csv"] = 'k,a,b\n1,in "the" middle,it"s\n2,"a\nb",c"\n\n3,x,"y"\n'
+    out["head.csv"] = 'k,a,b\n'
+    out["mark.csv"] = b"\xef\xbb\xbf" + 'k,a,b\n1,"x\n,""y",z'.encode()
+    return out
+
+
+def test_csv_split_reads_what_whole_files_hold(spark, tmp_path, ranges):
+    for seed in (1, 2):
+        texts = csv_files(random.Random(seed))
+        path = staged(tmp_path, texts)
+        got, want = csv_rows(CS.read_csv_split(spark, path)), csv_rows(CSV.read_csv(spark, path))
+        for name in texts:
+            assert got.get(name) == want.get(name), name
+
+
+def test_csv_split_flags_a_quote_that_is_never_closed(spark, tmp_path, ranges):
+    got = csv_rows(CS.read_csv_split(spark, staged(tmp_path, {"x.csv": 'k,a\n1,x\n2,"y\n' + "3,z\n" * 200})))["x.csv"]
+    assert got[0] == ("1", "x", None) and len(got) == 2 and got[1][2] == "quoted cell is not closed"
+
+
+def test_line_end_against_a_plain_walk():
+    def walk(line, inside):
+        i = 0
+        state = "cell" if inside else "start"
+        while i < len(line):
+            c = line[i]
+            if state == "start":
+                state = "cell" if c == '"' else "start" if c == "," else "bare"
+            elif state == "bare":
+                state = "start" if c == "," else "bare"
+            elif c == '"':
+                if line[i + 1:i + 2] == '"':
+                    i += 1
+                else:
+                    state = "bare"
+            i += 1
+        return state == "cell"
+
+    rng, end = random.Random(3), CS.line_end(",")
+    for _ in range(20000):
+        line = "".join(rng.choice('"",a') for _ in range(rng.randrange(12)))
+        for inside in (False, True):
+            assert end(line.encode(), inside) == walk(line, inside), (line, inside)
