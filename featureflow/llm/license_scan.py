@@ -3,9 +3,11 @@
 Words are runs of anything but ASCII blanks, control characters and
 punctuation, in lower case; a shingle is ``WIDTH`` of them. A text is cut into overlapping windows as long as a template, and a
 window's MinHash signature is banded: it retrieves the templates that share a
-band. The bands' rows are as many as still make a window of similarity
-``SIMILAR`` collide with a chance of ``SURE`` at least. A retrieved template is
-reported if the window, with a margin, holds enough of its shingles.
+band. A retrieved template is reported if the window, with a margin, holds
+enough of its shingles. Part of these may stand in the margin alone, so the
+window itself can be far less similar; the bands of a template's length are as
+many as make the least similar such window (``least_similar``) collide with a
+chance of ``SURE`` at least.
 
 A window can share a band only if it holds the shingle that gave the template's
 value, so windows are cut only around such shingles; no collision is lost by
@@ -29,8 +31,7 @@ from pyspark.sql import functions as F
 from featureflow.llm.common import sized, stored
 
 WIDTH = 2
-ROWS = 2
-SIMILAR = 0.8
+ROWS = 1
 SURE = 0.999
 CONTAINED = 0.85
 
@@ -51,9 +52,20 @@ NOTICES = {
 }
 
 
-def bands_needed(similar: float = SIMILAR, rows: int = ROWS, sure: float = SURE) -> int:
+def grid(n: int) -> int:
+    """Shingles between the starts of windows of ``n``; also the margin on either side."""
+    return max(1, n // 8)
+
+
+def least_similar(n: int, contained: float = CONTAINED) -> float:
+    """The least Jaccard similarity to a template of ``n`` shingles of a window that holds ``contained`` of it with its margins."""
+    inside = max(1, math.ceil(contained * n) - 2 * grid(n))
+    return inside / (2 * n - inside)
+
+
+def bands_needed(similar: float, rows: int = ROWS, sure: float = SURE) -> int:
     """Bands of ``rows`` values for which a pair of this similarity collides with chance ``sure``."""
-    return math.ceil(math.log(1 - sure) / math.log(1 - similar ** rows))
+    return math.ceil(math.log(1 - sure) / math.log(1 - similar ** rows)) if similar < 1 else 1
 
 
 def shingle_hashes(text: Column, width: int = WIDTH) -> Column:
@@ -89,14 +101,17 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
     ``templates`` has the columns license and text. It is a list of wordings:
     the values of their signatures stand in the plan as literals.
     """
-    bands = bands_needed()
-    values = bands * ROWS
     t = templates.select("license", shingle_hashes(F.col("text")).alias("h")).withColumn("n", F.size("h"))
-    t = stored(t.withColumn("sig", signature(F.col("h"), values)), "license-templates")
+    t = stored(t, "license-words")
     if t.where("n = 0").limit(1).count():
         raise ValueError(f"a template has fewer than {WIDTH} words")
-    lengths = sorted(r["n"] for r in t.select("n").distinct().collect())
-    least = t.select("h", F.posexplode("sig").alias("p", "v"))
+    bands = {r["n"]: bands_needed(least_similar(r["n"], contained)) for r in t.select("n").distinct().collect()}
+    lengths, most = sorted(bands), max(bands.values(), default=1)
+    t = stored(t.withColumn("sig", signature(F.col("h"), most * ROWS)), "license-templates")
+    used = F.lit(0)
+    for n, b in bands.items():
+        used = F.when(F.col("n") == n, F.lit(b * ROWS)).otherwise(used)
+    least = t.select("h", F.posexplode(F.slice("sig", F.lit(1), used)).alias("p", "v"))
     least = least.select(F.explode(F.filter("h", lambda x: F.xxhash64(x, F.col("p")) == F.col("v"))).alias("x"))
     marks = sorted(r["x"] for r in least.distinct().collect())
 
@@ -106,7 +121,7 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
 
     def windows(n: int) -> Column:
         """The windows of n shingles that hold a spot: start, slice with margin, band keys."""
-        step = max(1, n // 8)
+        step = grid(n)
         first = lambda i: F.greatest(F.lit(0), F.ceil((i - (n - 1)) / F.lit(step)).cast("int") * step)
         last = lambda i: F.floor(i / F.lit(step)).cast("int") * step
         starts = F.array_distinct(F.flatten(F.transform("spots", lambda i: F.sequence(
@@ -114,12 +129,12 @@ def scan(docs: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col
         return F.transform(starts, lambda s: F.struct(
             F.lit(n).alias("n"), s.alias("start"),
             F.slice("h", F.greatest(F.lit(1), s + 1 - step), F.lit(n + 2 * step)).alias("near"),
-            band_keys(signature(F.slice("h", s + 1, F.lit(n)), values), bands).alias("keys")))
+            band_keys(signature(F.slice("h", s + 1, F.lit(n)), bands[n] * ROWS), bands[n]).alias("keys")))
 
     w = d.select("id", F.explode(F.concat(*[windows(n) for n in lengths])).alias("w")) if lengths else \
         d.select("id", F.lit(None).cast("struct<n:int,start:int,near:array<bigint>,keys:array<bigint>>").alias("w"))
     w = w.select("id", "w.n", "w.start", "w.near", F.posexplode("w.keys").alias("band", "key"))
-    b = t.select("license", "h", F.col("n").alias("tn"), F.posexplode(band_keys(F.col("sig"), bands)).alias("tband", "tkey"))
+    b = t.select("license", "h", F.col("n").alias("tn"), F.posexplode(band_keys(F.col("sig"), most)).alias("tband", "tkey"))
     hits = w.join(sized(b), (F.col("n") == F.col("tn")) & (F.col("band") == F.col("tband")) & (F.col("key") == F.col("tkey")))
     distinct = F.array_distinct("h")
     hits = hits.withColumn("containment", F.size(F.array_intersect(distinct, F.col("near"))) / F.size(distinct))

@@ -332,6 +332,38 @@ def test_license_scan_finds_every_notice(spark, sf_dir):
     assert want == got and want
 
 
+def test_license_scan_finds_notices_with_inserted_words(spark):
+    """Whatever holds enough of a template by the exact rule is found, however little the window itself resembles it."""
+    import random
+    import re
+
+    def shingles(text):
+        w = [x for x in re.split(r"[\x00-/:-@\[-`{-\x7F]+", text.lower()) if x]
+        return list(zip(w, w[1:]))
+
+    rng, rows, due = random.Random(5), [], set()
+    for name, notice in license_scan.NOTICES.items():
+        t = set(shingles(notice))
+        n = len(shingles(notice))
+        step = license_scan.grid(n)
+        for extra in (1, 2, 3):
+            for _ in range(25):
+                w = notice.split()
+                for _ in range(extra):
+                    w.insert(rng.randrange(1, len(w)), f"new{rng.randrange(1000)}")
+                before = [f"some{rng.randrange(100)}" for _ in range(rng.randrange(20))]
+                text = " ".join([*before, *w, "and so on and on"])
+                h = shingles(text)
+                near = [h[max(0, s - step):max(0, s - step) + n + 2 * step] for s in range(0, len(h), step)]
+                if max(len(t & set(x)) / len(t) for x in near) >= license_scan.CONTAINED:
+                    due.add((len(rows), name))
+                rows.append((len(rows), text))
+    got = {(r["doc_id"], r["license"]) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), license_scan.notices(spark)).collect()}
+    by = {name: (len({x for x in due & got if x[1] == name}), len({x for x in due if x[1] == name})) for name in license_scan.NOTICES}
+    print(by)
+    assert len(due) > 100 and all(found >= 0.99 * n for found, n in by.values()), by
+
+
 def test_license_scan_finds_altered_notices(spark):
     rng = random.Random(3)
     notice = license_scan.NOTICES["mit-permission"].split()
