@@ -1,15 +1,19 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-A document's ideal number of copies is (target of its source) / (size of its
-source), times its importance over the source's mean. The whole part is
-allocated for certain. For the rest, documents are ranked by random odds over
-inclusion odds, u/(1-u) * (1-p)/p, and the lowest ranks are taken up to a fixed
-size: the source's remaining words. DataFrame functions only.
+A document's ideal number of copies is its importance times a level of its
+source, at most ``max_copies``; the level is set so that the ideal copies of a
+source hold its target. The whole part is allocated for certain. For the rest,
+documents are ranked by random odds over inclusion odds, u/(1-u) * (1-p)/p, and
+the lowest ranks are taken up to a fixed size: the source's remaining words.
+DataFrame functions only.
 
 Defined cases: null text has size 0; null source is a source of its own, last
 in order; documents of size 0 are never drawn; a null id takes part with a fixed
 random number; an empty table gives an empty table; repeated rows take part one
-by one; columns beside id, text, source and importance are not looked at.
+by one; columns beside id, text, source and importance are not looked at. An
+importance that is null, NaN, infinite or not above 0 is never drawn; others are cut to
+five significant bits (whole numbers to 31 stay), so a source has a bounded
+number of them, however many documents it has.
 Random numbers come from a digest of the id, so reruns agree.
 """
 
@@ -53,6 +57,36 @@ def cyclic_weights(n: int = 3) -> Column:
     return F.pmod(F.col("_i") - 1, F.lit(n)) + 1
 
 
+def by_length(text: Column) -> Column:
+    """An importance that grows with the length: the binary digits of the number of words."""
+    return F.length(F.bin(F.size(words(text)).cast("long")))
+
+
+def graded(importance: Column) -> Column:
+    """``importance`` cut to five significant bits; 0 where it is no positive number."""
+    x = importance.cast("double")
+    octave = F.pow(F.lit(2.0), F.floor(F.log2(x)))
+    cut = F.floor(x / octave * 16) / 16 * octave
+    return F.when((x > 0) & (x < float("inf")) & ~F.isnan(x), cut).otherwise(0.0)
+
+
+def levels(rows: DataFrame, t: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
+    """(source, level): copies per unit of importance, null where every document gets ``max_copies``.
+
+    From the largest importance down, one is capped when the level that the rest
+    of the target gives it and the smaller ones reaches ``max_copies``. One row per source and
+    importance (``graded``: bounded) enters the windows, after a map-side sum.
+    """
+    g = rows.where("_imp > 0").groupBy("source", "_imp").agg(F.sum("size").cast("double").alias("_words"))
+    g = g.join(t.select(F.col("source").alias("_s"), "target"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    down = Window.partitionBy("source").orderBy(F.col("_imp").desc())
+    before = F.coalesce(F.sum("_words").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    rest = F.sum(F.col("_imp") * F.col("_words")).over(down.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    g = g.withColumn("_level", F.when(rest > 0, (F.col("target") - F.lit(max_copies) * before) / rest))
+    free = F.col("_level") * F.col("_imp") < max_copies
+    return g.groupBy("source").agg(F.max(F.when(free, F.struct("_imp", "_level")))["_level"].alias("level"))
+
+
 def uniform(id_col: Column, seed: str) -> Column:
     """A number strictly between 0 and 1 from the id: 52 bits of a digest."""
     digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), F.lit("null"))).cast("binary"))
@@ -73,18 +107,17 @@ def plan_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     imp = importance if importance is not None else F.lit(1.0)
     rows = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                               F.size(words(F.col(text_col))).cast("long").alias("size"),
-                              uniform(F.col(id_col), seed).alias("_u"), imp.cast("double").alias("_imp"),
+                              uniform(F.col(id_col), seed).alias("_u"), graded(imp).alias("_imp"),
                               F.monotonically_increasing_id().alias("_row"), *kept), "mix")
-    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"),
-                                      F.sum(F.col("_imp") * F.col("size")).alias("_mass"))
-    t = targets(sums, weights if weights is not None else cyclic_weights(), max_copies)
-    t = t.withColumnRenamed("source", "_s").join(
-        sums.select(F.col("source").alias("_s2"), "_mass"), F.col("_s").eqNullSafe(F.col("_s2"))).drop("_s2")
-    t = sized(stored(t, "mix-targets"))
+    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    t = stored(targets(sums, weights if weights is not None else cyclic_weights(), max_copies), "mix-targets")
+    level = levels(rows, sized(t), max_copies)
+    t = t.withColumnRenamed("source", "_s").join(level.withColumnRenamed("source", "_s2"), F.col("_s").eqNullSafe(F.col("_s2")), "left").drop("_s2")
+    t = sized(stored(t, "mix-levels"))
 
     d = rows.join(t, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    ideal = F.least(F.lit(float(max_copies)), F.when(F.col("_mass") > 0, F.col("target") * F.col("_imp") / F.col("_mass")).otherwise(0.0))
-    d = d.withColumn("_ideal", ideal).withColumn("_sure", F.floor("_ideal"))
+    ideal = F.least(F.lit(float(max_copies)), F.col("level") * F.col("_imp"))  # the least of what is not null
+    d = d.withColumn("_ideal", F.when(F.col("_imp") > 0, ideal).otherwise(0.0)).withColumn("_sure", F.floor("_ideal"))
     p = F.col("_ideal") - F.col("_sure")
     rank = (F.col("_u") / (1 - F.col("_u"))) * ((1 - p) / p)
     drawn = (p > 0) & (F.col("size") > 0)

@@ -1,11 +1,18 @@
 """Host-level quality rules.
 
 Each document is measured against cheap text rules. The failures of a host's
-documents are counted, the host's failure rate is shrunk towards the corpus by
-an empirical beta prior, and the host's verdict is joined back to its
-documents. DataFrame functions only.
+documents are counted rule by rule, each rate is shrunk towards the corpus by
+an empirical beta prior of its rule, and the host's verdict is joined back to its
+documents: a host goes when it is all but certain that most of its documents
+break one rule. DataFrame functions only.
+
+The rules: ``base`` (too few words, or too many repeated ones), which rejects the
+document itself too; ``symbols`` (markup characters to words), ``lines`` (share of
+lines that are copies) and ``letters`` (words of too few code points on average),
+which a clean document may break now and then, so they judge hosts only.
 
 Defined cases: null text has no words; a text below the minimum length fails;
+a text without words breaks the base rule and no other;
 a document without a host (null) gets no host verdict, so its own rules decide;
 an empty table gives an empty table; repeated rows are measured one by one;
 columns beside id, text and host are not looked at.
@@ -28,14 +35,19 @@ WINDOW = 8
 class HostRules:
     min_words: int = 20
     max_repeat_pct: int = 30
-    # A host goes when its shrunk failure rate is above this.
-    max_host_rate: float = 0.8
+    # Of 100 words, symbols; of 100 lines, copies; of 100 words, the least code points.
+    max_symbol_pct: int = 10
+    max_dup_line_pct: int = 30
+    min_word_chars_pct: int = 300
+    # A host goes when the posterior mean of a rule's failure rate, less this many deviations, is above the rate.
+    max_host_rate: float = 0.5
+    deviations: float = 2.0
     # Bounds of the prior's strength, in documents.
     min_strength: float = 2.0
     max_strength: float = 1e6
 
 
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 
 
 def measured(docs: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
@@ -54,9 +66,10 @@ def measured(docs: DataFrame, text: Column, keep: list[Column]) -> DataFrame:
     d = d.select(*names, F.size("_w").cast("long").alias("n_words"),
                  F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
                  (F.length("_t") - F.length(F.regexp_replace("_t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+                 F.size("_l").cast("long").alias("n_lines"),
                  (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
                  F.transform("_w", lambda x: F.xxhash64(x)).alias("_h"))
-    done = [*names, "n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    done = [*names, "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines"]
     d = d.select(*done, F.when(
         F.size("_h") >= WINDOW,
         F.transform(F.sequence(F.lit(0), F.size("_h") - WINDOW),
@@ -77,42 +90,73 @@ def base_failed(rules: HostRules) -> Column:
             | (F.lit(100) * F.col("n_repeat_words") > F.lit(rules.max_repeat_pct) * F.col("n_words")))
 
 
-def host_verdicts(rows: DataFrame, host: str, failed: str, rules: HostRules) -> DataFrame:
-    """One row per host: documents, failures, shrunk rate, rejected.
+def broken(rules: HostRules) -> dict[str, Column]:
+    """The rules that hosts are judged by, each as a condition over the measures."""
+    hundred = F.lit(100)
+    return {
+        "base": base_failed(rules),
+        "symbols": (F.col("n_words") > 0) & (hundred * F.col("n_symbols") > F.lit(rules.max_symbol_pct) * F.col("n_words")),
+        "lines": hundred * F.col("n_dup_lines") > F.lit(rules.max_dup_line_pct) * F.col("n_lines"),
+        "letters": hundred * F.col("word_chars") < F.lit(rules.min_word_chars_pct) * F.col("n_words"),
+    }
+
+
+def flags(rules: HostRules) -> list[Column]:
+    return [c.alias(f"_bad_{r}") for r, c in broken(rules).items()]
+
+
+def host_verdicts(rows: DataFrame, host: str, rules: HostRules) -> DataFrame:
+    """(host, n, host_rate, host_rejected, host_rule) from rows with a host and the ``flags``.
 
-    The prior's mean and second moment are averaged over hosts with at least two
+    A rule's prior: mean and second moment are averaged over hosts with at least two
     documents (m/n and m(m-1)/(n(n-1)) are unbiased for p and p^2), which gives
-    the beta strength s = (mean - second) / (second - mean^2). Only these two
-    averages reach the driver.
+    the beta strength s = (mean - second) / (second - mean^2). Only these averages,
+    two a rule, reach the driver. ``host_rate`` is the posterior mean of the rule
+    whose lower bound is highest, ``host_rule`` its name.
     """
+    names = list(broken(rules))
     hosts = rows.where(F.col(host).isNotNull()).groupBy(host).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(failed).cast("long")).alias("m"))
-    n, m = F.col("n").cast("double"), F.col("m").cast("double")
-    two = hosts.where("n >= 2").agg(F.avg(m / n).alias("mean"), F.avg(m * (m - 1) / (n * (n - 1))).alias("second")).first()
-    mean = two["mean"] if two["mean"] is not None else 0.0
-    spread = (two["second"] or 0.0) - mean * mean
-    strength = rules.max_strength if spread <= 0 else (mean - (two["second"] or 0.0)) / spread
-    strength = min(max(strength, rules.min_strength), rules.max_strength)
-    rate = (m + F.lit(strength * mean)) / (n + F.lit(strength))
-    return hosts.select(F.col(host).alias("host"), "n", "m", rate.alias("host_rate"),
-                        (rate > F.lit(rules.max_host_rate)).alias("host_rejected"))
+        F.count(F.lit(1)).alias("n"), *[F.sum(F.col(f"_bad_{r}").cast("long")).alias(f"m_{r}") for r in names])
+    hosts = stored(hosts, "rules-counts")
+    n = F.col("n").cast("double")
+
+    def m(r: str) -> Column:
+        return F.col(f"m_{r}").cast("double")
+
+    two = hosts.where("n >= 2").agg(*[F.avg(m(r) / n).alias(f"mean_{r}") for r in names],
+                                    *[F.avg(m(r) * (m(r) - 1) / (n * (n - 1))).alias(f"second_{r}") for r in names]).first()
+    bounds = []
+    for i, r in enumerate(names):
+        mean, second = two[f"mean_{r}"] or 0.0, two[f"second_{r}"] or 0.0
+        spread = second - mean * mean
+        strength = rules.max_strength if spread <= 0 else (mean - second) / spread
+        strength = min(max(strength, rules.min_strength), rules.max_strength)
+        size = n + F.lit(strength)
+        rate = (m(r) + F.lit(strength * mean)) / size
+        deviation = F.sqrt(F.greatest(rate * (1 - rate), F.lit(0.0)) / (size + 1))
+        bounds.append(F.struct((rate - F.lit(rules.deviations) * deviation).alias("low"), F.lit(-i).alias("i"),
+                               rate.alias("rate"), F.lit(r).alias("rule")))
+    worst = hosts.select(F.col(host).alias("host"), "n", F.greatest(*bounds).alias("_w"))
+    bad = F.col("_w.low") > F.lit(rules.max_host_rate)
+    return worst.select("host", "n", F.col("_w.rate").alias("host_rate"), bad.alias("host_rejected"),
+                        F.when(bad, F.col("_w.rule")).alias("host_rule"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
           rules: HostRules = HostRules()) -> DataFrame:
-    """(id, measures, base_failed, host_rate, host_rejected, kept), one row per input row.
+    """(id, measures, base_failed, host_rate, host_rejected, host_rule, kept), one row per input row.
 
     The measures are written once to the shared folder; hosts are counted with a
     map-side combine and joined back on the host: by broadcast up to a checked
     number of hosts, so that a hot host moves no documents, else by a shuffle.
     """
     rows = measured(docs, F.col(text_col), [F.col(id_col), F.col(host_col)])
-    rows = stored(rows.withColumn("base_failed", base_failed(rules)), "rules")
-    verdicts = sized(stored(host_verdicts(rows, "_k1", "base_failed", rules), "rules-hosts"))
+    rows = stored(rows, "rules").withColumn("base_failed", base_failed(rules))
+    verdicts = sized(stored(host_verdicts(rows.select("_k1", *flags(rules)), "_k1", rules), "rules-hosts"))
     out = rows.join(verdicts, F.col("_k1") == F.col("host"), "left")
     rejected = F.coalesce("host_rejected", F.lit(False))
     return out.select(F.col("_k0").alias(id_col), *MEASURES, "base_failed", "host_rate",
-                      rejected.alias("host_rejected"), (~F.col("base_failed") & ~rejected).alias("kept"))
+                      rejected.alias("host_rejected"), "host_rule", (~F.col("base_failed") & ~rejected).alias("kept"))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
@@ -123,8 +167,8 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
     rather than written out in between.
     """
     text, host = F.col(f"`{text_col}`"), F.col(f"`{host_col}`")
-    counted = measured(docs, text, [host]).select("_k0", base_failed(rules).alias("_failed"))
-    verdicts = host_verdicts(stored(counted, "rules-failed"), "_k0", "_failed", rules)
+    counted = measured(docs, text, [host]).select("_k0", *flags(rules))
+    verdicts = host_verdicts(counted, "_k0", rules)
     bad = sized(stored(verdicts.where("host_rejected").select("host"), "rules-hosts"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     # the flag's row number keeps the filter above the measures: pushed below, it would compute them many times over

@@ -43,13 +43,13 @@ def op1_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.plan_copies(table(spark, sf_dir, "documents"))
+    plan = mixing.plan_copies(table(spark, sf_dir, "documents"), importance=mixing.by_length(F.col("text")))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 ORACLE["op2_mix_sources"] = rf"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len({SQL_WORDS}) AS BIGINT) AS size,
+  SELECT row_number() OVER () AS rid, doc_id, source, CAST(len({SQL_WORDS}) AS BIGINT) AS size,
          (CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5::DOUBLE)
            / 4503599627370496.0::DOUBLE AS u
   FROM documents),
@@ -63,13 +63,20 @@ s3 AS (SELECT *, cap <= level * w AS capped FROM s2),
 s AS (SELECT source, source_size,
              CASE WHEN capped THEN cap ELSE
                (SELECT level FROM s3 x WHERE NOT capped ORDER BY cap / w, i LIMIT 1) * w END AS target FROM s3),
-e AS (SELECT d.*, source_size, target,
-             least(3.0::DOUBLE, CASE WHEN source_size > 0 THEN target * 1.0::DOUBLE / source_size ELSE 0 END) AS ideal
-      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+i AS (SELECT source, CAST(length(bin(size)) AS DOUBLE) AS imp, CAST(sum(size) AS DOUBLE) AS words FROM d GROUP BY ALL),
+j AS (SELECT i.source, imp, CASE WHEN sum(imp * words) OVER rest > 0 THEN
+               (target - 3 * coalesce(sum(words) OVER before, 0)) / sum(imp * words) OVER rest END AS level
+      FROM i JOIN s ON i.source IS NOT DISTINCT FROM s.source
+      WINDOW before AS (PARTITION BY i.source ORDER BY imp DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+             rest AS (PARTITION BY i.source ORDER BY imp DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+v AS (SELECT source, arg_max(level, imp) FILTER (WHERE level * imp < 3) AS level FROM j GROUP BY source),
+e AS (SELECT d.*, source_size, target, least(3.0::DOUBLE, level * CAST(length(bin(size)) AS DOUBLE)) AS ideal
+      FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source LEFT JOIN v ON d.source IS NOT DISTINCT FROM v.source),
 q AS (SELECT *, floor(ideal) AS sure, ideal - floor(ideal) AS p FROM e),
 r AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN (u / (1 - u)) * ((1 - p) / p) END AS k FROM q),
 c AS (SELECT *, target - sum(sure * size) OVER (PARTITION BY source) AS need,
-             sum(CASE WHEN k IS NULL THEN 0 ELSE size END) OVER (PARTITION BY source ORDER BY k NULLS LAST, doc_id, size)
+             sum(CASE WHEN k IS NULL THEN 0 ELSE size END) OVER (PARTITION BY source ORDER BY k NULLS LAST, doc_id NULLS FIRST, size, rid
+                                                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
                - CASE WHEN k IS NULL THEN 0 ELSE size END AS before FROM r)
 SELECT doc_id, size, source_size, target,
        CAST(sure + CASE WHEN k IS NOT NULL AND need > 0 AND before + size / 2 <= need THEN 1 ELSE 0 END AS INTEGER) AS copies,
@@ -105,18 +112,25 @@ c AS (SELECT rid, sum(least(8, coalesce(nxt - i, 8))) AS n
       FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM m) GROUP BY rid),
 b AS (SELECT d.rid, doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
              CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+             CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
              CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
       FROM d JOIN l USING (rid) LEFT JOIN c USING (rid)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b),
-h AS (SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE base_failed) AS DOUBLE) AS m
-      FROM f WHERE source IS NOT NULL GROUP BY source),
-p AS (SELECT coalesce(avg(m / n), 0) AS mean, coalesce(avg(m * (m - 1) / (n * (n - 1))), 0) AS second FROM h WHERE n >= 2),
-k AS (SELECT mean, CASE WHEN second - mean * mean <= 0 THEN 1e6
-                   ELSE least(greatest((mean - second) / (second - mean * mean), 2.0), 1e6) END AS strength FROM p),
-v AS (SELECT source, (m + strength * mean) / (n + strength) AS host_rate FROM h, k)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rate,
-       coalesce(host_rate > 0.8, false) AS host_rejected, NOT base_failed AND NOT coalesce(host_rate > 0.8, false) AS kept
+x AS (SELECT source, unnest(['base', 'symbols', 'lines', 'letters']) AS rule, unnest([0, -1, -2, -3]) AS i,
+             unnest([base_failed, n_words > 0 AND 100 * n_symbols > 10 * n_words, 100 * n_dup_lines > 30 * n_lines,
+                     100 * word_chars < 300 * n_words]) AS bad FROM f WHERE source IS NOT NULL),
+h AS (SELECT source, rule, i, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE bad) AS DOUBLE) AS m
+      FROM x GROUP BY source, rule, i),
+p AS (SELECT rule, coalesce(avg(m / n) FILTER (WHERE n >= 2), 0) AS mean,
+             coalesce(avg(m * (m - 1) / (n * (n - 1))) FILTER (WHERE n >= 2), 0) AS second FROM h GROUP BY rule),
+k AS (SELECT rule, mean, CASE WHEN second - mean * mean <= 0 THEN 1e6
+                         ELSE least(greatest((mean - second) / (second - mean * mean), 2.0), 1e6) END AS strength FROM p),
+r AS (SELECT source, rule, i, n + strength AS size, (m + strength * mean) / (n + strength) AS rate FROM h JOIN k USING (rule)),
+o AS (SELECT *, rate - 2.0 * sqrt(greatest(rate * (1 - rate), 0) / (size + 1)) AS low FROM r),
+v AS (SELECT source, rate AS host_rate, low > 0.5 AS host_rejected, CASE WHEN low > 0.5 THEN rule END AS host_rule
+      FROM o QUALIFY row_number() OVER (PARTITION BY source ORDER BY low DESC, i DESC) = 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed, host_rate,
+       coalesce(host_rejected, false) AS host_rejected, host_rule, NOT base_failed AND NOT coalesce(host_rejected, false) AS kept
 FROM f LEFT JOIN v ON f.source = v.source
 """
 

@@ -14,7 +14,7 @@ import corpus_pipeline
 from featureflow.llm import (ball_tree, byte_bpe, components, jaccard_join, license_scan, linear, mixing, ppm, quality_rules,
                              shingles, toxicity, unigram_counts, weak_quality)
 from featureflow.llm.common import table
-from featureflow.llm.queries import QUERIES, default_vocabulary
+from featureflow.llm.queries import ORACLE, QUERIES, default_vocabulary
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -489,6 +489,75 @@ def test_importance_gives_unequal_chances(spark):
     assert sum(r["taken"] for r in plan) == pytest.approx(plan[0]["target"], abs=10)
 
 
+def twin(name, docs):
+    """The rows of a query's SQL twin over ``docs``, by doc_id."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    rel = con.sql(ORACLE[name])
+    return collections.Counter(tuple(sorted((c, round(v, 6) if isinstance(v, float) else v) for c, v in zip(rel.columns, r)))
+                               for r in rel.fetchall())
+
+
+def counted(df):
+    return collections.Counter(tuple(sorted((c, round(v, 6) if isinstance(v, float) else v) for c, v in r.asDict().items()))
+                               for r in df.collect())
+
+
+def test_mixing_by_length_against_its_twin(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, " ".join("w" * rng.randint(1, 5) for _ in range(int(2 ** rng.uniform(0, 9)))), rng.choice("aaabbc")) for i in range(1500)]
+    rows += [(7000, "a few words more " * 9, "a")] * 40 + [(8000, "", "b"), (8001, None, "c"), (8002, "of none", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    plan = QUERIES["op2_mix_sources"](spark, str(tmp_path))
+    assert counted(plan) == twin("op2_mix_sources", docs)
+    per = plan.join(docs.dropDuplicates(["doc_id"]), "doc_id").groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max("size").alias("most"), F.max("copies").alias("copies")).collect()
+    assert all(abs(r["taken"] - r["target"]) <= r["most"] and r["copies"] <= 3 for r in per)
+    # the chance follows the importance: long documents of a source are taken oftener
+    mean = {r["long"]: r["c"] for r in plan.where("size > 0 and source_size > 3 * target / 2").groupBy((F.col("size") >= 64).alias("long"))
+            .agg(F.avg("copies").alias("c")).collect()}
+    assert not mean or mean[True] > 1.3 * mean[False]
+
+
+def test_importance_of_odd_values(spark):
+    odd = [None, float("nan"), float("inf"), -1.0, 0.0, 0.3, 1.0, 31.0, 1e9]
+    rows = [(i, "two words", "s", odd[i % len(odd)]) for i in range(900)] + [(1000 + i, "two words", "t", 1.0) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, w double")
+    plan = mixing.plan_copies(df, importance=F.col("w")).collect()
+    got = collections.Counter()
+    for r in plan:
+        got[r["source"] if r["doc_id"] >= 1000 else odd[r["doc_id"] % len(odd)]] += r["copies"]
+    assert got[0.0] == got[-1.0] == got[None] == 0 and got[1e9] == 300
+    one = next(r for r in plan if r["doc_id"] < 1000)
+    assert sum(r["taken"] for r in plan if r["doc_id"] < 1000) == pytest.approx(min(one["target"], 3 * 2 * 400), abs=2)
+
+
+def test_host_rules_against_their_twin(spark, tmp_path):
+    """A host whose documents break a rule that no document is rejected for by itself goes; its twin agrees."""
+    good = "every one of these words is quite different from the others around it so nothing here repeats itself at all today {}"
+    symbols, letters = good + " ## $$ %%", "a b c d e f g h i j k l m n o p q r s t u v w x y z {}"
+    lines = "one line\none line\none line\n" + good
+    rows = [(i, good.format(i), f"host{i % 20}") for i in range(1000)]
+    for k, (name, text) in enumerate([("markup", symbols), ("copied", lines), ("spaced", letters)], start=1):
+        rows += [(k * 10000 + i, text.format(i), name) for i in range(100)] + [(k * 10000 + 500, good.format(k), name)]
+        rows += [(k * 10000 + 600 + i, text.format(i), f"host{i}") for i in range(5)]  # now and then elsewhere
+    rows += [(50000, symbols.format(0), "single"), (50001, symbols.format(1), None), (50002, None, None), (50003, "", "single")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op4_host_rules"](spark, str(tmp_path))
+    assert counted(out) == twin("op4_host_rules", docs)
+    got = {r["doc_id"]: r for r in out.collect()}
+    for k, rule in enumerate(["symbols", "lines", "letters"], start=1):
+        assert got[k * 10000 + 500]["host_rule"] == rule and not got[k * 10000 + 500]["base_failed"] and not got[k * 10000 + 500]["kept"]
+        assert got[k * 10000 + 600]["kept"]
+    assert got[0]["kept"] and got[50000]["kept"] and got[50001]["kept"]
+    kept = {r["doc_id"] for r in quality_rules.keep_good(docs).collect()}
+    assert kept == {d for d, r in got.items() if r["kept"]}
+
+
 def test_hosts_are_judged_by_their_documents(spark):
     good = "every one of these words is quite different from the others around it so nothing here repeats itself at all today {}"
     rows = [(i, good.format(i), "fine") for i in range(300)] + [(1000 + i, "bad", "foul") for i in range(300)]
