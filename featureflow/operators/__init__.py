@@ -8,9 +8,10 @@ keeps its properties in ``_props``, where no name can collide.
 """
 
 # _id: top-level feature id; _ord: input order; _doc: input document; _source:
-# source name; _hash: feature hash; _key: diff key; _problem: why a row is unusable.
+# source name; _hash: feature hash; _key: diff key; _problem: why a row is unusable;
+# _dropped: the step of a run that removed a row.
 RESERVED = frozenset({"geometry", "_id", "_ord", "_doc", "_source", "_hash", "_key", "_problem", "_props", "_names",
-                      "_json", "_too_many"})
+                      "_json", "_too_many", "_dropped"})
 
 
 def named(name: str):

@@ -121,6 +121,32 @@ def apply_steps(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
     return reduce(lambda acc, step: acc.transform(step.apply), steps, df)
 
 
+def mark_steps(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
+    """T6/T7 in the run's own pass: the steps in order, but a removed row stays, with its step's number in ``_dropped``.
+
+    A removed row loses its geometry, and later conditions are not evaluated on
+    it, so what an earlier step removed cannot make a later one raise.
+    """
+    gone, out = F.col("_dropped"), df.withColumn("_dropped", F.lit(None).cast("int"))
+    for i, step in enumerate(steps, start=1):
+        keep = step.keeps(out)
+        if keep is None:
+            out = step.apply(out)
+            continue
+        out = out.withColumn("_dropped", F.when(gone.isNotNull(), gone).when(~keep, F.lit(i)))
+        out = out.withColumn("geometry", F.when(gone.isNull(), F.col("geometry")))
+    return out
+
+
+def step_report(steps: Sequence[Step], features_out: int, dropped: Sequence[int]) -> list[tuple]:
+    """(step_no, step, detail, features_in, features_out, removed) per step, from the rows left and those each step removed."""
+    left, rows = features_out + sum(dropped[:len(steps)]), []
+    for i, (step, removed) in enumerate(zip(steps, dropped), start=1):
+        rows.append((i, step.op, step.detail, left, left - removed, removed))
+        left -= removed
+    return rows
+
+
 # Marks travel as columns that no step touches.
 _ALIVE = "_ord::alive"
 

@@ -1,9 +1,11 @@
 """The refresh run (R1, R2, O4-O6): sources -> steps -> digest -> diff -> gates -> publish -> state.
 
 Every source is reduced to one hashed table ``(_source, _key, _hash, _doc,
-_ord, _json, box, _problem)``, written once. Rows that cannot be used keep their problem
+_ord, _json, box, _problem, _dropped)``, written once. Rows that cannot be used keep their problem
 and pass by the steps, so no step can hide them; they fail their source and no
-other. The run needs four aggregations over the frame (digest, bbox/count, key
+other. Rows that a step removes are written as the step's number and nothing else that
+is large, so the step report is counted with the features, without a job of its
+own, and no retried task counts twice. The run needs four aggregations over the frame (digest, bbox/count, key
 index, hash multiset) and one full outer join against the previous state, each
 source in the mode that its keys allow. Only per-source rows (a handful) reach
 the driver, to choose that mode and to decide what to write.
@@ -34,7 +36,7 @@ from featureflow.operators import diff as D
 from featureflow.operators import named, property_fields
 from featureflow.operators.digest import collection_digest, empty_digest_hash, feature_json
 from featureflow.operators.publish import write_features
-from featureflow.operators.transforms import Step, apply_steps
+from featureflow.operators.transforms import Step, mark_steps, step_report
 from featureflow.plans import state as S
 from featureflow.session import checkpoint_dir
 
@@ -44,6 +46,10 @@ STATE_META_SCHEMA = ("source STRING, content_hash STRING, fetched_at TIMESTAMP,
                      "published_hash STRING")
 
 
+STEPS_SCHEMA = ("ARRAY<STRUCT<step_no: INT, step: STRING, detail: STRING, features_in: BIGINT, features_out: BIGINT, "
+                "removed: BIGINT>>")
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     """One configured source: how to load it as features, and what to do with it."""
@@ -66,6 +72,10 @@ class RunResult:
     exit_code: int = 0
     committed: S.State | None = None  # of a run on a committed state
 
+    def step_report(self) -> DataFrame:
+        """(source, step_no, step, detail, features_in, features_out, removed) of every source that ran."""
+        return self.manifest.select("source", F.inline("steps"))
+
 
 def empty_state(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     return spark.createDataFrame([], STATE_INDEX_SCHEMA), spark.createDataFrame([], STATE_META_SCHEMA)
@@ -108,15 +118,17 @@ def hashed_features(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFra
         if "_problem" in raw.columns:
             bad = raw.where(F.col("_problem").isNotNull())
             raw = raw.where(F.col("_problem").isNull()).drop("_problem")
-        df = apply_steps(raw, spec.steps)
-        bad_numbers = _nonfinite(df)
-        df = df.withColumn("_json", feature_json(df))  # built once: the hash is over this text
+        df = mark_steps(raw, spec.steps)
+        kept = F.col("_dropped").isNull()
+        bad_numbers = kept & _nonfinite(df)
+        df = df.withColumn("_json", F.when(kept, feature_json(df)))  # built once: the hash is over this text
         keyed = D.with_key(df.withColumn("_hash", F.sha2("_json", 256)), spec.id_property)
         part = keyed.select(
-            F.lit(spec.name).alias("_source"), "_key", "_hash",
+            F.lit(spec.name).alias("_source"), F.when(kept, F.col("_key")).alias("_key"), "_hash",
             (F.col("_doc").cast("string") if "_doc" in df.columns else F.lit(None).cast("string")).alias("_doc"), "_ord",
             "geometry", "_json",
-            F.when(bad_numbers, F.lit("non-finite number: NaN and Infinity have no JSON form")).alias("_problem"))
+            F.when(bad_numbers, F.lit("non-finite number: NaN and Infinity have no JSON form")).alias("_problem"),
+            "_dropped")
         if bad is not None:
             part = part.unionByName(bad.select(F.lit(spec.name).alias("_source"), "_problem"), allowMissingColumns=True)
         out = part if out is None else out.unionByName(part)
@@ -167,17 +179,24 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
     now_col = F.lit(now).cast("timestamp")
 
     everything = staged(hashed_features(spark, selected))
-    feats = everything.where(F.col("_problem").isNull()).drop("_problem")
+    sound = F.col("_problem").isNull() & F.col("_dropped").isNull()
+    feats = everything.where(sound).drop("_problem", "_dropped")
     by = ["_source"]
     digest = collection_digest(feats, by)
-    sound = F.col("_problem").isNull()
+    numbers = range(1, max((len(x.steps) for x in selected), default=0) + 1)
     per_source = everything.groupBy(*by).agg(
         F.count_if(sound).alias("feature_count"), F.count_if(sound & F.col("_key").isNotNull()).alias("with_key"),
         F.count("_problem").alias("problems"), F.min("_problem").alias("problem"), F.min("_west").alias("min_lon"),
-        F.min("_south").alias("min_lat"), F.max("_east").alias("max_lon"), F.max("_north").alias("max_lat"))
+        F.min("_south").alias("min_lat"), F.max("_east").alias("max_lon"), F.max("_north").alias("max_lat"),
+        *[F.count_if(F.col("_dropped") == i).alias(f"dropped_{i}") for i in numbers])
     of_sources = per_source.collect()  # one row per source
     per_source = spark.createDataFrame(of_sources, per_source.schema)
-    modes = {r["_source"]: r["feature_count"] > 0 and r["with_key"] == r["feature_count"] for r in of_sources}
+    modes = {r["_source"]: r["with_key"] == r["feature_count"] for r in of_sources if r["feature_count"] > 0}
+    counted = {r["_source"]: r for r in of_sources}
+    reports = spark.createDataFrame([
+        (x.name, step_report(x.steps, counted[x.name]["feature_count"] if x.name in counted else 0,
+                             [counted[x.name][f"dropped_{i}"] if x.name in counted else 0 for i in numbers]))
+        for x in selected], f"_source STRING, steps {STEPS_SCHEMA}")
     by_key = [n for n, keyed in modes.items() if keyed]
 
     prev_meta = state_meta.select(F.col("source").alias("_source"), F.col("content_hash").alias("previous_content_hash"),
@@ -194,7 +213,7 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
 
     m = (spec_df.withColumnRenamed("source", "_source")
          .join(per_source, by, "left").join(digest.drop("feature_count"), by, "left")
-         .join(prev_meta, by, "left").join(counts, by, "left"))
+         .join(prev_meta, by, "left").join(counts, by, "left").join(reports, by, "left"))
     # a selected source without rows is an empty collection, with its own digest
     m = m.withColumn("feature_count", F.when(F.col("selected"), F.coalesce("feature_count", F.lit(0))))
     m = m.withColumn("content_hash", F.when(F.col("selected"), F.coalesce("content_hash", F.lit(empty_digest_hash()))))
@@ -235,7 +254,7 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
         F.when(fresh, F.col("max_lon")).alias("max_lon"), F.when(fresh, F.col("max_lat")).alias("max_lat"),
         fetched_at.alias("fetched_at"), F.col("max_age").alias("max_age_seconds"),
         is_stale(fetched_at, F.col("max_age"), now_col).alias("stale"), error.alias("error"),
-        F.when(failed, F.lit(5)).alias("error_code"),
+        F.when(failed, F.lit(5)).alias("error_code"), "steps",
     )
 
     # One row per source: computed once, here, for the caller, the decision and the tables written below.

@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from featureflow.functions import predicates as P
 from featureflow.operators.features import map_point
+from featureflow.operators.transforms import Step
 from featureflow.plans import fixtures as X
 from featureflow.plans import state as S
 from featureflow.plans.oracle import with_fixtures
@@ -185,3 +187,26 @@ def q_nan_text_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     r = refresh(spark, [SourceSpec("texts", lambda _: source(F.lit(2.5))), SourceSpec("numbers", lambda _: source(number))], *empty_state(spark), NOW, dry_run=True)
     return r.manifest.select("source", "status", "feature_count")
+
+
+# -- the step report of a run ---------------------------------------------------------------------
+
+@query("refresh_step_report", with_fixtures(
+    """SELECT source, step_no, step, detail, CAST(features_in AS BIGINT) AS features_in, CAST(features_out AS BIGINT) AS features_out,
+              CAST(features_in - features_out AS BIGINT) AS removed
+       FROM (SELECT count(*) AS a, count_if(status IS DISTINCT FROM 'decommissioned') AS b,
+                    count_if(status IS DISTINCT FROM 'decommissioned' AND pm25 > 10) AS c FROM stations) n,
+            (SELECT count(*) AS z, count_if(fault = 0) AS sound FROM zones) y,
+            LATERAL (VALUES ('stations', 1, 'filter', 'in use', a, b), ('stations', 2, 'rename', 'fine', b, b), ('stations', 3, 'filter', 'fine > 10', b, c),
+                            ('stations', 4, 'select', '', c, c), ('stations', 5, 'round', '', c, c), ('stations', 6, 'filter', 'none', c, 0),
+                            ('zones', 1, 'drop_invalid', '', z, sound), ('zones', 2, 'round', '', sound, sound))
+              AS t(source, step_no, step, detail, features_in, features_out)""", "stations", "zones"))
+def q_refresh_step_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in and out of every step, counted by the run itself and kept in its manifest."""
+    steps = (Step("filter", lambda: P.ne(F.col("status"), "decommissioned"), "in use"), Step("rename", {"pm25": "fine"}, "fine"),
+             Step("filter", "fine > 10", "fine > 10"), Step("select", ["station_id", "fine"]), Step("round", 3), Step("filter", "false", "none"))
+    specs = [SourceSpec("stations", lambda s: X.stations(s, sf_dir), steps, "station_id"),
+             SourceSpec("zones", lambda s: X.zone_features(s, sf_dir), (Step("drop_invalid", True), Step("round", 2)))]
+    out = _folder(spark, "steps")
+    refresh(spark, specs, *empty_state(spark), NOW, out_dir=out, run_id="1")
+    return spark.read.parquet(f"{out}/manifest").select("source", F.inline("steps"))

@@ -11,7 +11,8 @@ from featureflow.operators import diff as D
 from featureflow.operators.digest import with_feature_hash
 from featureflow.operators.features import map_point
 from featureflow.plans import state as S
-from featureflow.plans.refresh import SourceSpec, load_state, published, run_committed
+from featureflow.operators.transforms import Step, apply_steps
+from featureflow.plans.refresh import SourceSpec, empty_state, load_state, published, refresh, run_committed
 from featureflow.sources import csv as CSV
 from featureflow.sources import geojson as GJ
 from featureflow.sources import landing
@@ -182,3 +183,33 @@ def test_dotted_names_in_geojson_sources(spark):
     text = json.dumps({"type": "Feature", "geometry": None, "properties": {"pm2.5": 1}})
     f = GJ.parse_geojson(spark.createDataFrame([("d", text)], "_doc STRING, value STRING"))
     assert '"pm2.5":1' in with_feature_hash(f).select(F.to_json("_props")).first()[0]
+
+
+def test_steps_of_a_run_are_counted_without_hiding_or_raising(spark, tmp_path):
+    """What a step removed is not seen by later steps, keeps no content, and the run's result is that of the plain steps."""
+    rows = [(i, None if i % 7 == 0 else str(i) if i % 3 else "x", float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "_ord long, n string, v double").withColumn(
+        "geometry", F.parse_json(F.when(F.col("_ord") % 4 == 0, F.lit('{"type":"Point","coordinates":[500]}'))
+                                 .otherwise(F.lit('{"type":"Point","coordinates":[1.26,2.5]}'))))
+    steps = (Step("filter", "n <> 'x'", "numbers"), Step("rename", {"n": "m"}), Step("filter", "cast(m as int) > 10", "large"),
+             Step("drop_invalid", True), Step("round", 1))
+    spec = SourceSpec("s", lambda _: df, steps, "m")
+    plain = apply_steps(df, steps)
+    first = refresh(spark, [spec], *empty_state(spark), "2024-01-01 00:00:00", out_dir=str(tmp_path), run_id="1")
+    a = [r for r in rows if r[1] not in (None, "x")]
+    b = [r for r in a if int(r[1]) > 10]
+    c = [r for r in b if r[0] % 4]
+    got = [(r["step_no"], r["features_in"], r["features_out"], r["removed"]) for r in first.step_report().orderBy("step_no").collect()]
+    assert got == [(1, 60, len(a), 60 - len(a)), (2, len(a), len(a), 0), (3, len(a), len(b), len(a) - len(b)),
+                   (4, len(b), len(c), len(b) - len(c)), (5, len(c), len(c), 0)]
+    assert first.manifest.first()["feature_count"] == plain.count() == len(c)
+    assert {r["hash"] for r in first.next_index.collect()} == {r["_hash"] for r in with_feature_hash(plain).collect()}
+    assert spark.read.text(f"{tmp_path}/features/run_id=1").count() == len(c)
+
+
+def test_step_report_of_empty_and_skipped_sources(spark):
+    none = spark.createDataFrame([], "_ord long, v double").withColumn("geometry", F.parse_json(F.lit("{}")))
+    specs = [SourceSpec("empty", lambda _: none, (Step("filter", "v > 0"),)), SourceSpec("other", lambda _: none), SourceSpec("skipped", lambda _: none)]
+    r = refresh(spark, specs, *empty_state(spark), "2024-01-01 00:00:00", only=["empty", "other"], dry_run=True)
+    assert [tuple(x) for x in r.step_report().collect()] == [("empty", 1, "filter", "", 0, 0, 0)]
+    assert {x["source"]: x["steps"] for x in r.manifest.collect()} == {"empty": [(1, "filter", "", 0, 0, 0)], "other": [], "skipped": None}
