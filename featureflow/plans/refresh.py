@@ -28,6 +28,7 @@ from typing import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featureflow.functions import geo
 from featureflow.functions.canonical import nonfinite
@@ -249,6 +250,10 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
         F.when(fresh, F.col("content_hash")).otherwise(F.col("previous_content_hash")).alias("content_hash"),
         "previous_content_hash", changed.alias("changed"),
         *[pick(o).alias(o) for o in D.OPS],
+        sum((pick(o) for o in ("removed", "modified")), pick("added")).alias("diff_total"),
+        # keyed counts are over different keys: what is left are further copies
+        F.when(fresh & keyed, F.col("feature_count") - sum((F.coalesce(F.col(o), F.lit(0)) for o in ("modified", "unchanged")), F.coalesce(F.col("added"), F.lit(0))))
+        .cast("long").alias("duplicates"),
         F.when(fresh, keyed).alias("keyed"), F.when(fresh, first_run).alias("first_run"),
         F.when(fresh, F.col("min_lon")).alias("min_lon"), F.when(fresh, F.col("min_lat")).alias("min_lat"),
         F.when(fresh, F.col("max_lon")).alias("max_lon"), F.when(fresh, F.col("max_lat")).alias("max_lat"),
@@ -278,6 +283,9 @@ def refresh(spark: SparkSession, specs: Sequence[SourceSpec], state_index: DataF
                 F.substring("_json", F.lit(1), F.length("_json") - 1), F.lit(',"type":"Feature"}')).alias("value"))
             write_features(lines, f"{out_dir}/features/run_id={run_id}")
 
+    written = {name: [o for o in outputs if o.endswith(f"/_source={name}")] for name in known}
+    manifest = spark.createDataFrame([(*r, written[r["source"]]) for r in decision], T.StructType(manifest.schema.fields).add("outputs", T.ArrayType(T.StringType())))
+
     # Next state: fresh sources get their new index; failed and skipped sources keep the old rows.
     fresh_names = [r["source"] for r in decision if r["status"] not in ("failed", "skipped")]
     wrote = set(to_publish) if not any_failed else set()

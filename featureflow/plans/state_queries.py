@@ -13,7 +13,7 @@ from featureflow.operators.transforms import Step
 from featureflow.plans import fixtures as X
 from featureflow.plans import state as S
 from featureflow.plans.oracle import with_fixtures
-from featureflow.plans.queries import _DEPOT_JSON, _FEED_SQL, ORACLE, _feed_query, _point_cols, _specs, _station_index_sql, query, refreshed_stations
+from featureflow.plans.queries import STATION_STEPS, _DEPOT_JSON, _FEED_SQL, ORACLE, _feed_query, _point_cols, _specs, _station_index_sql, query, refreshed_stations
 from featureflow.plans.refresh import SourceSpec, empty_state, refresh, run_committed
 from featureflow.session import checkpoint_dir
 from featureflow.sources import csv as CSV
@@ -210,3 +210,16 @@ def q_refresh_step_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _folder(spark, "steps")
     refresh(spark, specs, *empty_state(spark), NOW, out_dir=out, run_id="1")
     return spark.read.parquet(f"{out}/manifest").select("source", F.inline("steps"))
+
+
+@query("refresh_manifest_fields", with_fixtures(
+    """SELECT 'stations' AS source, count(*) AS feature_count, count(*) AS diff_total, count(*) - count(DISTINCT station_id) AS duplicates, 1 AS n_outputs, 3 AS n_steps
+       FROM stations_dup WHERE status IS DISTINCT FROM 'decommissioned'
+       UNION ALL SELECT 'depots', count(*), count(*), 0, 1, 0 FROM depots""", "stations_dup", "depots"))
+def q_refresh_manifest_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """further copies of keys, size of the change and written paths in the manifest of a first run."""
+    _, depots = _specs(sf_dir)
+    stations = SourceSpec("stations", lambda s: X.stations_dup(s, sf_dir), tuple(STATION_STEPS), "station_id")
+    out = _folder(spark, "fields")
+    refresh(spark, [stations, depots], *empty_state(spark), NOW, out_dir=out, run_id="1")
+    return spark.read.parquet(f"{out}/manifest").select("source", "feature_count", "diff_total", "duplicates", F.size("outputs").alias("n_outputs"), F.size("steps").alias("n_steps"))
