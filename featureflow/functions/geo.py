@@ -29,6 +29,9 @@ GEOMETRY_TYPES = sorted([*COORD_DEPTH, "GeometryCollection"])
 _NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
 # An array, nested or not, that holds numbers of one kind only.
 _ALL_NUMERIC = r"^(ARRAY<)+(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\([0-9]+,[0-9]+\))>+$"
+# By depth of ``coordinates``: an object of a type and numbers nested just so, and of nothing else.
+_PLAIN = [rf"^OBJECT<coordinates: (ARRAY<){{{d}}}(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\([0-9]+,[0-9]+\))>{{{d}}}, type: STRING>$"
+          for d in range(1, 5)]
 _LEAF = "struct<depth: int, g: variant>"
 _PIECE = "struct<lead: string, g: variant>"
 
@@ -38,7 +41,9 @@ def let(value: Column, body) -> Column:
 
     Expressions inside higher-order functions run interpreted, without common
     subexpression elimination; binding shared values keeps each row's work
-    linear in the size of its geometry.
+    linear in the size of its geometry. The functions of a geometry below bind
+    it first: a filter on one is pushed below the projection that made the
+    geometry, and what made it then takes its place once, not at every mention.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
 
@@ -189,21 +194,27 @@ def _kind_of_map(m: Column) -> Column:
     return F.when(F.schema_of_variant(kind_v) == "STRING", F.variant_get(kind_v, "$", "string"))
 
 
-def _members(m: Column) -> Column:
-    """The members of a collection object, or null when the object is none."""
-    return F.when(_kind_of_map(m) == "GeometryCollection", _array(m["geometries"]))
+def _is_collection(v: Column) -> Column:
+    # no other value than this text reads as it
+    return F.coalesce(F.try_variant_get(v, "$.type", "string") == "GeometryCollection", F.lit(False))
+
+
+def _members(v: Column) -> Column:
+    """The members of a collection, or null when the value is none."""
+    return F.when(_is_collection(v), F.try_variant_get(v, "$.geometries", "array<variant>"))
 
 
 def _levels(v: Column) -> Column:
     """An upper bound of a geometry's collection nesting: 0 unless it is a collection."""
-    text = F.to_json(v)
-    times = F.floor((F.length(text) - F.length(F.replace(text, F.lit('"geometries"'), F.lit("")))) / F.lit(12))
-    return F.when(geometry_kind(v) == "GeometryCollection", times.cast("int")).otherwise(F.lit(0))
+    def times(text: Column) -> Column:
+        return F.floor((F.length(text) - F.length(F.replace(text, F.lit('"geometries"'), F.lit("")))) / F.lit(12)).cast("int")
+
+    return F.when(_is_collection(v), let(F.to_json(v), times)).otherwise(F.lit(0))
 
 
 def _opened(v: Column, first: Column, step) -> Column:
     """Apply ``step`` to the list ``first`` once for each level of nesting of ``v``."""
-    return F.aggregate(F.when(_levels(v) > 0, F.sequence(F.lit(1), _levels(v))).otherwise(F.array().cast("array<int>")),
+    return F.aggregate(let(_levels(v), lambda n: F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))),
                        first, lambda acc, _: step(acc))
 
 
@@ -211,15 +222,49 @@ def leaves(v: Column) -> Column:
     """``array<struct<depth, g>>``: a geometry's simple members in order, and collections without members."""
     def step(acc: Column) -> Column:
         def one(x: Column) -> Column:
-            ms = _members(_object(x["g"]))
-            deeper = F.transform(ms, lambda m: F.struct((x["depth"] + 1).alias("depth"), m.alias("g")).cast(_LEAF))
-            return F.when(F.size(ms) > 0, deeper).otherwise(F.array(x))
+            return let(_members(x["g"]), lambda ms: F.when(F.size(ms) > 0, F.transform(
+                ms, lambda m: F.struct((x["depth"] + 1).alias("depth"), m.alias("g")).cast(_LEAF))).otherwise(F.array(x)))
 
         return F.flatten(F.transform(acc, one))
 
     return _opened(v, F.array(F.struct(F.lit(0).alias("depth"), v.alias("g")).cast(_LEAF)), step)
 
 
+def _sound(v: Column) -> Column:
+    """Whether a geometry is plain and without a problem: then no part of it needs to be taken out and named."""
+    kind = F.try_variant_get(v, "$.type", "string")
+
+    def position(p: Column) -> Column:
+        return (F.size(p).between(2, 3) & F.get(p, 0).between(-180.0, 180.0) & F.get(p, 1).between(-90.0, 90.0)
+                & ((F.size(p) == 2) | F.get(p, 2).isNotNull()))
+
+    def line(r: Column) -> Column:
+        return (F.size(r) > 0) & F.forall(r, position)
+
+    def ring(r: Column) -> Column:
+        return line(r) & (F.size(r) >= 4) & (F.slice(F.get(r, 0), 1, 2) == F.slice(F.element_at(r, -1), 1, 2))
+
+    def polygon(rings: Column) -> Column:
+        return (F.size(rings) > 0) & F.forall(rings, ring)
+
+    def at(depth: int) -> Column:
+        return let(_typed(v, "$.coordinates", depth), (
+            position, line,
+            lambda c: F.when(kind == "Polygon", polygon(c)).otherwise((F.size(c) > 0) & F.forall(c, line)),
+            lambda c: (F.size(c) > 0) & F.forall(c, polygon))[depth])
+
+    return F.coalesce(_plain_by_depth(v, kind, at), F.lit(False))
+
+
+def _typed(v: Column, path: str, depth: int) -> Column:
+    return F.try_variant_get(v, path, "array<" * (depth + 1) + "double" + ">" * (depth + 1))
+
+
+def _plain_by_depth(v: Column, kind: Column, branch) -> Column:
+    """``branch(depth)`` for a plain geometry whose numbers are nested as its type says; null for all others."""
+    return let(F.schema_of_variant(v), lambda schema: _by_depth(kind, lambda d: F.when(schema.rlike(_PLAIN[d]), branch(d))))
+
+
 def _leaf_problem(v: Column) -> Column:
     """The problem of a geometry that holds no members."""
     def with_object(m: Column) -> Column:
@@ -234,7 +279,7 @@ def _leaf_problem(v: Column) -> Column:
                 .otherwise(_simple_problem(kind, m["coordinates"])))))
         )
 
-    return let(_object(v), with_object)
+    return F.when(~_sound(v), let(_object(v), with_object))
 
 
 def geometry_problem(v: Column) -> Column:
@@ -242,7 +287,7 @@ def geometry_problem(v: Column) -> Column:
     def in_leaf(x: Column) -> Column:
         return F.concat(F.repeat(F.lit("GeometryCollection member: "), x["depth"]), _leaf_problem(x["g"]))
 
-    return _first(F.transform(leaves(v), in_leaf))
+    return let(v, lambda g: _first(F.transform(leaves(g), in_leaf)))
 
 
 def positions(v: Column) -> Column:
@@ -251,7 +296,7 @@ def positions(v: Column) -> Column:
     Only numbers count as coordinates; unreadable ones yield no position, never
     an error.
     """
-    return F.flatten(F.transform(leaves(v), lambda x: let(geometry_kind(x["g"]), lambda kind: _positions_of(x["g"], kind))))
+    return let(v, lambda g: F.flatten(F.transform(leaves(g), lambda x: let(geometry_kind(x["g"]), lambda kind: _positions_of(x["g"], kind)))))
 
 
 def _by_depth(kind: Column, branch) -> Column:
@@ -267,8 +312,7 @@ def _positions_of(v: Column, kind: Column) -> Column:
     numeric = F.schema_of_variant(coords).rlike(_ALL_NUMERIC)
 
     def flat(depth: int) -> Column:
-        typed = F.try_variant_get(coords, "$", "array<" * (depth + 1) + "double" + ">" * (depth + 1))
-        return F.transform(_deep_flat(typed, depth), lambda p: F.slice(p, 1, 2))
+        return F.transform(_deep_flat(_typed(coords, "$", depth), depth), lambda p: F.slice(p, 1, 2))
 
     def picked(depth: int) -> Column:
         """Among values of several kinds, the positions whose first two members are numbers."""
@@ -297,21 +341,24 @@ def round_geometry(v: Column, precision: int) -> Column:
     # A collection is written as pieces of JSON text with simple members between them.
     def step(acc: Column) -> Column:
         def one(x: Column) -> Column:
-            m = _object(x["g"])
-            ms = _members(m)
-            rest = F.to_json(F.to_variant_object(F.map_filter(m, lambda k, _: k != "geometries")))
+            rest = F.to_json(F.to_variant_object(F.map_filter(_object(x["g"]), lambda k, _: k != "geometries")))
             head = F.struct(F.concat(x["lead"], F.lit('{"geometries":[')).alias("lead"), F.lit(None).cast("variant").alias("g")).cast(_PIECE)
-            body = F.transform(ms, lambda g, i: F.struct(F.when(i > 0, F.lit(",")).otherwise(F.lit("")).alias("lead"), g.alias("g")).cast(_PIECE))
-            tail = F.struct(F.concat(F.lit("],"), F.substring(rest, F.lit(2), F.length(rest))).alias("lead"),
-                            F.lit(None).cast("variant").alias("g")).cast(_PIECE)
-            return F.when(ms.isNotNull(), F.concat(F.array(head), body, F.array(tail))).otherwise(F.array(x))
+            tail = F.struct(F.concat(F.lit("],"), F.substr(rest, F.lit(2))).alias("lead"), F.lit(None).cast("variant").alias("g")).cast(_PIECE)
+
+            def body(ms: Column) -> Column:
+                return F.transform(ms, lambda g, i: F.struct(F.when(i > 0, F.lit(",")).otherwise(F.lit("")).alias("lead"), g.alias("g")).cast(_PIECE))
+
+            return let(_members(x["g"]), lambda ms: F.when(ms.isNotNull(), F.concat(F.array(head), body(ms), F.array(tail))).otherwise(F.array(x)))
 
         return F.flatten(F.transform(acc, one))
 
-    pieces = _opened(v, F.array(F.struct(F.lit("").alias("lead"), v.alias("g")).cast(_PIECE)), step)
-    text = F.array_join(F.transform(pieces, lambda x: F.concat(
-        x["lead"], F.coalesce(F.to_json(_round_simple(x["g"], precision)), F.lit("")))), "")
-    return F.when(_levels(v) > 0, F.try_parse_json(text)).otherwise(_round_simple(v, precision))
+    def whole(v: Column) -> Column:
+        pieces = _opened(v, F.array(F.struct(F.lit("").alias("lead"), v.alias("g")).cast(_PIECE)), step)
+        text = F.array_join(F.transform(pieces, lambda x: F.concat(
+            x["lead"], F.coalesce(F.to_json(_round_simple(x["g"], precision)), F.lit("")))), "")
+        return F.when(_levels(v) > 0, F.try_parse_json(text)).otherwise(_round_simple(v, precision))
+
+    return let(v, whole)
 
 
 def _round_simple(v: Column, precision: int) -> Column:
@@ -325,7 +372,7 @@ def _round_simple(v: Column, precision: int) -> Column:
         def walk(c: Column, d: int) -> Column:
             return F.transform(c, num if d == 0 else lambda e: walk(e, d - 1))
 
-        return walk(F.try_variant_get(coords, "$", "array<" * (depth + 1) + "double" + ">" * (depth + 1)), depth).cast("variant")
+        return walk(_typed(coords, "$", depth), depth)
 
     def mixed(depth: int) -> Column:
         def walk(c: Column, d: int) -> Column:
@@ -336,12 +383,15 @@ def _round_simple(v: Column, precision: int) -> Column:
         return walk(coords, depth)
 
     def with_kind(kind: Column) -> Column:
-        rounded = F.when(numeric, _by_depth(kind, typed)).otherwise(_by_depth(kind, mixed))
+        rounded = F.when(numeric, _by_depth(kind, lambda d: typed(d).cast("variant"))).otherwise(_by_depth(kind, mixed))
         as_map = _object(v)
         return F.when(as_map.isNull() | coords.isNull(), v).otherwise(F.to_variant_object(F.transform_values(
             as_map, lambda k, x: F.when(k == "coordinates", F.coalesce(rounded, x)).otherwise(x))))
 
-    return let(geometry_kind(v), with_kind)
+    def plain(kind: Column) -> Column:
+        return _plain_by_depth(v, kind, lambda d: F.to_variant_object(F.struct(typed(d).alias("coordinates"), kind.alias("type"))))
+
+    return let(geometry_kind(v), lambda kind: F.coalesce(plain(kind), with_kind(kind)))
 
 
 def _deep_flat(typed: Column, depth: int) -> Column:
@@ -364,7 +414,10 @@ def point(lon: Column, lat: Column) -> Column:
 
 def bbox_parts(v: Column) -> tuple[Column, Column, Column, Column]:
     """Per-row min lon, min lat, max lon, max lat (null when no positions)."""
-    pos = positions(v)
-    lons = F.transform(pos, lambda p: p[0])
-    lats = F.transform(pos, lambda p: p[1])
-    return F.array_min(lons), F.array_min(lats), F.array_max(lons), F.array_max(lats)
+    def ends(pos: Column) -> Column:
+        lons, lats = F.transform(pos, lambda p: p[0]), F.transform(pos, lambda p: p[1])
+        return F.struct(F.array_min(lons).alias("west"), F.array_min(lats).alias("south"),
+                        F.array_max(lons).alias("east"), F.array_max(lats).alias("north"))
+
+    box = let(positions(v), ends)  # one value, so that the four share it
+    return box["west"], box["south"], box["east"], box["north"]

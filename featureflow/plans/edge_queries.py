@@ -12,6 +12,7 @@ from featureflow.plans import fixtures as X
 from featureflow.plans.oracle import with_fixtures
 from featureflow.plans.queries import _specs, query
 from featureflow.plans.refresh import SourceSpec, empty_state, refresh
+from featureflow.session import spread, written
 from featureflow.sources import csv as CSV
 from featureflow.sources import geojson as GJ
 
@@ -151,12 +152,12 @@ def q_refresh_bad_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     "stations"))
 def q_refresh_deep_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points in collections 0 to 6 levels deep are kept, rounded and measured alike."""
-    s = X.stations_raw(spark, sf_dir)
+    s = spread(X.stations_raw(spark, sf_dir))
     levels = (F.col("key") % 7).cast("int")
     inner = F.to_json(geo.point(F.col("lon"), F.col("lat")))
     text = F.concat(F.repeat(F.lit('{"type":"GeometryCollection","geometries":['), levels), inner, F.repeat(F.lit("]}"), levels))
     f = s.select("key", levels.cast("long").alias("levels"), F.parse_json(text).alias("geometry"))
-    f = Step("drop_invalid", True).apply(Step("round", 3).apply(f))
+    f = Step("drop_invalid", True).apply(written(Step("round", 3).apply(f), "rounded"))
     a, _, _, d = geo.built(geo.bbox_parts)
     return f.groupBy("levels").agg(F.count(F.lit(1)).alias("n"), F.min(a).alias("west"), F.max(d).alias("north"))
 

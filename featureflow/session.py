@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every featureflow job relies on: ANSI errors instead of silent
 # nulls, UTC wall clock, and adaptive execution for skew and small shuffles.
@@ -58,6 +59,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows dealt out evenly, at least two tasks a core: a small file is one task, however long its rows take."""
+    spark = df.sparkSession
+    return df.repartition(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once to the shared folder and read back: no filter above is evaluated below, on rows not yet spread."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/featureflow-{name}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def workers_import(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 
