@@ -125,9 +125,13 @@ def mark_steps(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
     """T6/T7 in the run's own pass: the steps in order, but a removed row stays, with its step's number in ``_dropped``.
 
     A removed row loses its geometry, and later conditions are not evaluated on
-    it, so what an earlier step removed cannot make a later one raise.
+    it, so what an earlier step removed cannot make a later one raise. A row that
+    its reader could not use is passed by in the same way, under the number 0.
     """
     gone, out = F.col("_dropped"), df.withColumn("_dropped", F.lit(None).cast("int"))
+    if "_problem" in df.columns:
+        out = df.withColumn("_dropped", F.when(F.col("_problem").isNotNull(), F.lit(0)))
+        out = out.withColumn("geometry", F.when(gone.isNull(), F.col("geometry")))
     for i, step in enumerate(steps, start=1):
         keep = step.keeps(out)
         if keep is None:

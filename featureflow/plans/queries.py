@@ -18,6 +18,7 @@ from featureflow.operators.digest import with_feature_hash
 from featureflow.operators.transforms import Step, apply_steps
 from featureflow.plans import fixtures as X
 from featureflow.plans.oracle import station_feature_json, with_fixtures
+from featureflow.session import spread
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -49,7 +50,7 @@ STATION_STEPS = [
 def refreshed_stations(spark: SparkSession, sf_dir: str, which: str = "stations") -> DataFrame:
     """A stations fixture after the standard steps, hashed and keyed by station_id."""
     source = {"stations": X.stations, "stations_prev": X.stations_prev, "stations_dup": X.stations_dup}[which]
-    return D.with_key(with_feature_hash(apply_steps(source(spark, sf_dir), STATION_STEPS)), "station_id")
+    return D.with_key(with_feature_hash(apply_steps(spread(source(spark, sf_dir)), STATION_STEPS)), "station_id")
 
 
 def station_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,6 @@ run costs what changed, and runs on one folder do not overwrite each other.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
@@ -39,7 +38,7 @@ from featureflow.operators.digest import collection_digest, empty_digest_hash, f
 from featureflow.operators.publish import write_features
 from featureflow.operators.transforms import Step, mark_steps, step_report
 from featureflow.plans import state as S
-from featureflow.session import checkpoint_dir
+from featureflow.session import spread, written
 
 STATE_INDEX_SCHEMA = "source STRING, key STRING, hash STRING, n BIGINT"
 # published_hash: the content last written out; it lags content_hash while publishing is blocked.
@@ -111,27 +110,27 @@ def load_state(spark: SparkSession, out_dir: str, replay_of: str | None = None)
 
 
 def hashed_features(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
-    """All selected sources as one frame of hashed, keyed features."""
+    """All selected sources as one frame of hashed, keyed features.
+
+    Each source is read once and dealt out before the work on it, which per byte
+    of a source is far more than the read.
+    """
     out = None
     for spec in specs:
-        raw = spec.load(spark)
-        bad = None
-        if "_problem" in raw.columns:
-            bad = raw.where(F.col("_problem").isNotNull())
-            raw = raw.where(F.col("_problem").isNull()).drop("_problem")
+        raw = spread(spec.load(spark))
+        problem = F.col("_problem") if "_problem" in raw.columns else F.lit(None).cast("string")
+        read = problem.isNull()
         df = mark_steps(raw, spec.steps)
         kept = F.col("_dropped").isNull()
         bad_numbers = kept & _nonfinite(df)
         df = df.withColumn("_json", F.when(kept, feature_json(df)))  # built once: the hash is over this text
         keyed = D.with_key(df.withColumn("_hash", F.sha2("_json", 256)), spec.id_property)
+        doc = F.col("_doc").cast("string") if "_doc" in df.columns else F.lit(None).cast("string")
         part = keyed.select(
             F.lit(spec.name).alias("_source"), F.when(kept, F.col("_key")).alias("_key"), "_hash",
-            (F.col("_doc").cast("string") if "_doc" in df.columns else F.lit(None).cast("string")).alias("_doc"), "_ord",
-            "geometry", "_json",
-            F.when(bad_numbers, F.lit("non-finite number: NaN and Infinity have no JSON form")).alias("_problem"),
-            "_dropped")
-        if bad is not None:
-            part = part.unionByName(bad.select(F.lit(spec.name).alias("_source"), "_problem"), allowMissingColumns=True)
+            F.when(read, doc).alias("_doc"), F.when(read, F.col("_ord")).alias("_ord"), "geometry", "_json",
+            F.coalesce(problem, F.when(bad_numbers, F.lit("non-finite number: NaN and Infinity have no JSON form"))).alias("_problem"),
+            F.when(read, F.col("_dropped")).alias("_dropped"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -142,12 +141,8 @@ def staged(hashed: DataFrame) -> DataFrame:
     All that follows reads narrow columns of this table. It outlives a lost
     executor, nothing is computed twice, and the plans behind it stay small.
     """
-    spark = hashed.sparkSession
     box = dict(zip(("_west", "_south", "_east", "_north"), geo.built(geo.bbox_parts)))
-    path = f"{checkpoint_dir(spark).rstrip('/')}/featureflow-run/{uuid.uuid4().hex}"
-    narrow = hashed.withColumns(box).drop("geometry")
-    narrow.write.parquet(path)
-    return spark.read.schema(narrow.schema).parquet(path)
+    return written(hashed.withColumns(box).drop("geometry"), "run")
 
 
 def _nonfinite(df: DataFrame) -> Column:
