@@ -302,7 +302,7 @@ def positions(v: Column) -> Column:
 def _by_depth(kind: Column, branch) -> Column:
     out = None
     for depth in range(4):
-        hit = _depth_of(kind) == depth
+        hit = kind.isin([name for name, d in COORD_DEPTH.items() if d == depth])
         out = F.when(hit, branch(depth)) if out is None else out.when(hit, branch(depth))
     return out
 
@@ -328,6 +328,11 @@ def _positions_of(v: Column, kind: Column) -> Column:
                     lambda p: (F.size(p) == 2) & p[0].isNotNull() & p[1].isNotNull())
 
 
+def _plain_point(v: Column) -> Column:
+    """Whether a geometry is a point of a type and numbers of one kind, and of nothing else."""
+    return F.schema_of_variant(v).rlike(_PLAIN[0]) & (F.try_variant_get(v, "$.type", "string") == "Point")
+
+
 def round_geometry(v: Column, precision: int) -> Column:
     """T4: round every coordinate (altitude included) to ``precision`` places, collections at any depth.
 
@@ -352,13 +357,22 @@ def round_geometry(v: Column, precision: int) -> Column:
 
         return F.flatten(F.transform(acc, one))
 
+    def joined(rounded: Column) -> Column:
+        text = F.array_join(F.transform(rounded, lambda x: F.concat(x["lead"], F.coalesce(F.to_json(x["g"]), F.lit("")))), "")
+        # without a collection there is one piece: the geometry itself
+        return F.when(_levels(v) > 0, F.try_parse_json(text)).otherwise(F.get(rounded, 0)["g"])
+
     def whole(v: Column) -> Column:
         pieces = _opened(v, F.array(F.struct(F.lit("").alias("lead"), v.alias("g")).cast(_PIECE)), step)
-        text = F.array_join(F.transform(pieces, lambda x: F.concat(
-            x["lead"], F.coalesce(F.to_json(_round_simple(x["g"], precision)), F.lit("")))), "")
-        return F.when(_levels(v) > 0, F.try_parse_json(text)).otherwise(_round_simple(v, precision))
+        return let(F.transform(pieces, lambda x: F.struct(x["lead"].alias("lead"), _round_simple(x["g"], precision).alias("g"))), joined)
 
-    return let(v, whole)
+    numbers = F.transform(_typed(v, "$.coordinates", 0), lambda x: _rounded(x, precision))
+    point = F.to_variant_object(F.struct(numbers.alias("coordinates"), F.lit("Point").alias("type")))
+    return F.when(_plain_point(v), point).otherwise(let(v, whole))
+
+
+def _rounded(x: Column, precision: int) -> Column:
+    return F.bround(x, precision).cast(f"decimal(38,{precision})")
 
 
 def _round_simple(v: Column, precision: int) -> Column:
@@ -366,7 +380,7 @@ def _round_simple(v: Column, precision: int) -> Column:
     numeric = F.schema_of_variant(coords).rlike(_ALL_NUMERIC)
 
     def num(x: Column) -> Column:
-        return F.bround(x, precision).cast(f"decimal(38,{precision})")
+        return _rounded(x, precision)
 
     def typed(depth: int) -> Column:
         def walk(c: Column, d: int) -> Column:
@@ -412,12 +426,23 @@ def point(lon: Column, lat: Column) -> Column:
     ))
 
 
-def bbox_parts(v: Column) -> tuple[Column, Column, Column, Column]:
-    """Per-row min lon, min lat, max lon, max lat (null when no positions)."""
+def bbox(v: Column) -> Column:
+    """``struct<west, south, east, north>`` of a geometry, its members null when it has no positions."""
     def ends(pos: Column) -> Column:
         lons, lats = F.transform(pos, lambda p: p[0]), F.transform(pos, lambda p: p[1])
         return F.struct(F.array_min(lons).alias("west"), F.array_min(lats).alias("south"),
                         F.array_max(lons).alias("east"), F.array_max(lats).alias("north"))
 
-    box = let(positions(v), ends)  # one value, so that the four share it
+    def of_point(p: Column) -> Column:
+        lon, lat = F.get(p, 0), F.get(p, 1)
+        both = lon.isNotNull() & lat.isNotNull()
+        lon, lat = F.when(both, lon), F.when(both, lat)
+        return F.struct(lon.alias("west"), lat.alias("south"), lon.alias("east"), lat.alias("north"))
+
+    return F.when(_plain_point(v), let(_typed(v, "$.coordinates", 0), of_point)).otherwise(let(positions(v), ends))
+
+
+def bbox_parts(v: Column) -> tuple[Column, Column, Column, Column]:
+    """Per-row min lon, min lat, max lon, max lat (null when no positions)."""
+    box = bbox(v)  # one value, so that the four share it
     return box["west"], box["south"], box["east"], box["north"]

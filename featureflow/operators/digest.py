@@ -58,10 +58,12 @@ def collection_digest(hashed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """H3/H4: ``(*by, feature_count, content_hash)`` from a frame with ``_hash``."""
     by = list(by)
     counted = hashed.groupBy(*by, "_hash").agg(F.count(F.lit(1)).alias("n"))
-    leaf = (counted.groupBy(*by, F.substring("_hash", 1, 6).alias("b6"))
+    # dealt by the middle's prefix, so that leaves, nearly as many as hashes, are not exchanged once more
+    dealt = counted.withColumn("b3", F.substring("_hash", 1, 3)).repartition(*by, "b3")
+    leaf = (dealt.groupBy(*by, "b3", F.substring("_hash", 1, 6).alias("b6"))
             .agg(F.sha2(_sorted_join(F.concat_ws(":", "_hash", F.col("n").cast("string"))), 256).alias("d"),
                  F.sum("n").alias("n")))
-    middle = (leaf.groupBy(*by, F.substring("b6", 1, 3).alias("b3"))
+    middle = (leaf.groupBy(*by, "b3")
               .agg(F.sha2(_sorted_join(F.concat_ws("=", "b6", "d")), 256).alias("d"), F.sum("n").alias("n")))
     root = middle.groupBy(*by).agg(F.sum("n").alias("feature_count"),
                                    _sorted_join(F.concat_ws("=", "b3", "d")).alias("body"))

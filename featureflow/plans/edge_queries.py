@@ -124,12 +124,12 @@ def q_csv_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cut_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = X.geojson_docs(spark, sf_dir)
-    return GJ.parse_geojson(docs.withColumn("value", F.when(
-        F.col("_doc") % 10 == 3, F.substring("value", F.lit(1), F.length("value") - 9)).otherwise(F.col("value"))))
+    return docs.withColumn("value", F.when(
+        F.col("_doc") % 10 == 3, F.substring("value", F.lit(1), F.length("value") - 9)).otherwise(F.col("value")))
 
 
 def _with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.stations(spark, sf_dir).withColumn("pm25", F.when(F.col("key") % 17 == 0, F.lit(float("nan"))).otherwise(F.col("pm25")))
+    return X.stations_raw(spark, sf_dir).withColumn("pm25", F.when(F.col("key") % 17 == 0, F.lit(float("nan"))).otherwise(F.col("pm25")))
 
 
 @query("refresh_bad_payload", with_fixtures(
@@ -139,8 +139,9 @@ def _with_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
     "UNION ALL SELECT 'good', 'ok', NULL, NULL, false", "ev", "stations"))
 def q_refresh_bad_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Truncated documents and NaN fail their own sources; a later step hides nothing; nothing is published."""
-    specs = [SourceSpec("cut", lambda s: _cut_documents(s, sf_dir), (Step("drop_invalid", True),)),
-             SourceSpec("nan", lambda s: _with_nan(s, sf_dir)), SourceSpec("good", lambda s: X.depots(s, sf_dir))]
+    specs = [SourceSpec("cut", lambda s: _cut_documents(s, sf_dir), (Step("drop_invalid", True),), features=GJ.parse_geojson),
+             SourceSpec("nan", lambda s: _with_nan(s, sf_dir), features=X.as_features),
+             SourceSpec("good", lambda s: X.depots_raw(s, sf_dir), features=X.as_features)]
     r = refresh(spark, specs, *empty_state(spark), NOW, dry_run=True)
     planned = [o.rsplit("=", 1)[-1] for o in r.outputs]
     return r.manifest.select("source", "status", "error_code", F.split("error", " ")[0].alias("bad_rows"),
@@ -167,7 +168,8 @@ def q_refresh_deep_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     "AS content_hash UNION ALL SELECT 'all', 'unchanged', count(*), NULL FROM stations", "stations"))
 def q_refresh_empty_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source without rows has a count, a digest and a status of its own, also on its second run."""
-    specs = [SourceSpec("none", lambda s: X.stations(s, sf_dir).where("key < 0")), SourceSpec("all", lambda s: X.stations(s, sf_dir))]
+    specs = [SourceSpec("none", lambda s: X.stations_raw(s, sf_dir).where("key < 0"), features=X.as_features),
+             SourceSpec("all", lambda s: X.stations_raw(s, sf_dir), features=X.as_features)]
     first = refresh(spark, specs, *empty_state(spark), "2024-01-30 00:00:00", dry_run=True)
     m = refresh(spark, specs, first.next_index, first.next_meta, NOW, dry_run=True).manifest
     return m.select("source", "status", "feature_count", F.when(F.col("source") == "none", F.col("content_hash")).alias("content_hash"))

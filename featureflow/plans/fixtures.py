@@ -79,26 +79,34 @@ def stations_prev(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_features(stations_prev_raw(spark, sf_dir))
 
 
-def stations_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``stations`` plus a later copy (pm25+5) of every key%29=0 row."""
+def stations_dup_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stations_raw`` plus a later copy (pm25+5) of every key%29=0 row."""
     s = stations_raw(spark, sf_dir)
     k = F.col("key")
     dup = (s.where(k % 29 == 0).withColumn("pm25", F.col("pm25") + 5)
            .withColumn("_ord", F.col("_ord") + 1))
-    return as_features(s.unionByName(dup))
+    return s.unionByName(dup)
 
 
-def depots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second source with another schema: suppliers as depots."""
+def stations_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_features(stations_dup_raw(spark, sf_dir))
+
+
+def depots_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second source with another schema: suppliers as depots, as plain records."""
     s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
-    return as_features(s.select(
+    return s.select(
         F.concat(F.lit("DP-"), k.cast("string")).alias("depot_id"),
         lon_of(k).alias("lon"), lat_of(k).alias("lat"),
         F.col("s_nationkey").alias("country"),
         F.col("s_acctbal").alias("capacity"),
         (k * 2).alias("_ord"),
-    ))
+    )
+
+
+def depots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_features(depots_raw(spark, sf_dir))
 
 
 def zone_text(k: Column) -> Column:

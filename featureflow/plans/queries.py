@@ -49,8 +49,8 @@ STATION_STEPS = [
 
 def refreshed_stations(spark: SparkSession, sf_dir: str, which: str = "stations") -> DataFrame:
     """A stations fixture after the standard steps, hashed and keyed by station_id."""
-    source = {"stations": X.stations, "stations_prev": X.stations_prev, "stations_dup": X.stations_dup}[which]
-    return D.with_key(with_feature_hash(apply_steps(spread(source(spark, sf_dir)), STATION_STEPS)), "station_id")
+    source = {"stations": X.stations_raw, "stations_prev": X.stations_prev_raw, "stations_dup": X.stations_dup_raw}[which]
+    return D.with_key(with_feature_hash(apply_steps(X.as_features(spread(source(spark, sf_dir))), STATION_STEPS)), "station_id")
 
 
 def station_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -973,9 +973,9 @@ RUN_NOW = "2024-01-31 00:00:00"
 
 
 def _specs(sf_dir: str, prev: bool = False, depot_min: int = 1) -> list[SourceSpec]:
-    stations = X.stations_prev if prev else X.stations
-    return [SourceSpec("stations", lambda s: stations(s, sf_dir), tuple(STATION_STEPS), "station_id", 1, 86400.0),
-            SourceSpec("depots", lambda s: X.depots(s, sf_dir), (), "depot_id", depot_min, None)]
+    stations = X.stations_prev_raw if prev else X.stations_raw
+    return [SourceSpec("stations", lambda s: stations(s, sf_dir), tuple(STATION_STEPS), "station_id", 1, 86400.0, X.as_features),
+            SourceSpec("depots", lambda s: X.depots_raw(s, sf_dir), (), "depot_id", depot_min, None, X.as_features)]
 
 
 def _two_runs(spark: SparkSession, sf_dir: str, **kw):

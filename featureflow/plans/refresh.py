@@ -52,7 +52,11 @@ STEPS_SCHEMA = ("ARRAY<STRUCT<step_no: INT, step: STRING, detail: STRING, featur
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """One configured source: how to load it as features, and what to do with it."""
+    """One configured source: how to load it as features, and what to do with it.
+
+    ``features``, if given, makes the features from the rows that ``load`` reads:
+    it is applied to rows dealt out over the cores, ``load`` only to the splits of the files.
+    """
 
     name: str
     load: Callable[[SparkSession], DataFrame]
@@ -60,6 +64,7 @@ class SourceSpec:
     id_property: str | None = None
     min_features: int | None = None
     max_age: float | None = None
+    features: Callable[[DataFrame], DataFrame] = lambda rows: rows
 
 
 @dataclass
@@ -117,7 +122,7 @@ def hashed_features(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFra
     """
     out = None
     for spec in specs:
-        raw = spread(spec.load(spark))
+        raw = spec.features(spread(spec.load(spark)))
         problem = F.col("_problem") if "_problem" in raw.columns else F.lit(None).cast("string")
         read = problem.isNull()
         df = mark_steps(raw, spec.steps)
@@ -141,8 +146,8 @@ def staged(hashed: DataFrame) -> DataFrame:
     All that follows reads narrow columns of this table. It outlives a lost
     executor, nothing is computed twice, and the plans behind it stay small.
     """
-    box = dict(zip(("_west", "_south", "_east", "_north"), geo.built(geo.bbox_parts)))
-    return written(hashed.withColumns(box).drop("geometry"), "run")
+    out = written(hashed.withColumn("_box", geo.built(geo.bbox)).drop("geometry"), "run")
+    return out.withColumns({f"_{side}": F.col("_box")[side] for side in ("west", "south", "east", "north")}).drop("_box")
 
 
 def _nonfinite(df: DataFrame) -> Column:
