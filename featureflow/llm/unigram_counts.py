@@ -25,6 +25,7 @@ repeated rows are counted one by one; other columns are not looked at.
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm.byte_bpe import compile_pattern, load_ranks
+from featureflow.llm.byte_bpe import PLANE, compile_pattern, load_ranks
 from featureflow.llm.common import workers_import
 
 NODES = 800_000
@@ -102,6 +103,13 @@ class UnigramTrie:
         return found
 
 
+def pre_tokens(pattern: str):
+    """``findall`` of the pattern; texts without code points beyond the first plane take classes without them, as in ``byte_bpe``."""
+    anywhere, plain = compile_pattern(pattern).findall, compile_pattern(pattern, PLANE).findall
+    beyond = re.compile(f"[{chr(PLANE)}-{chr(0x10FFFF)}]").search
+    return lambda text: anywhere(text) if beyond(text) else plain(text)
+
+
 _TRIES: dict[str, tuple] = {}
 
 
@@ -109,7 +117,7 @@ def _ready(shared):
     key, scores, pattern = shared.value
     if key not in _TRIES:
         _TRIES.clear()
-        _TRIES[key] = (UnigramTrie(scores), compile_pattern(pattern).findall)
+        _TRIES[key] = (UnigramTrie(scores), pre_tokens(pattern))
     return _TRIES[key]
 
 
