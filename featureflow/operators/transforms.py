@@ -45,7 +45,7 @@ class Step:
         if self.op == "filter":
             return F.coalesce(_expr(self.arg, df), F.lit(False))
         if self.op == "drop_invalid" and self.arg:
-            return geo.built(geo.geometry_problem).isNull()
+            return geo.built(geo.no_problem)
         return None
 
 

@@ -31,9 +31,9 @@ def _repr(v: Column) -> Column:
             .otherwise(F.to_json(v)))
 
 
-def document_problem(text: Column) -> Column:
-    """Why a GeoJSON document cannot be read, or null."""
-    doc = F.try_parse_json(text)
+def document_problem(text: Column, doc: Column | None = None) -> Column:
+    """Why a GeoJSON document cannot be read, or null; ``doc`` is the text parsed, where the caller has it."""
+    doc = F.try_parse_json(text) if doc is None else doc
 
     def check(d: Column) -> Column:
         obj = F.try_variant_get(d, "$", "map<string,variant>")
@@ -42,6 +42,8 @@ def document_problem(text: Column) -> Column:
         return (
             F.when(text.isNull() | (F.trim(text) == ""), F.lit("payload is empty; expected a JSON document"))
             .when(d.isNull(), F.lit("invalid JSON"))
+            # only an array has a first member: told without opening all of it
+            .when((kind == "FeatureCollection") & F.variant_get(d, "$.features[0]", "variant").isNotNull(), F.lit(None))
             .when(F.try_variant_get(d, "$", "array<variant>").isNotNull(), F.lit(None))
             .when(obj.isNull(), F.concat(F.lit("expected a GeoJSON object, got "), json_type_name(d)))
             .when(kind == "FeatureCollection",
@@ -74,7 +76,11 @@ def item_problem(item: Column, index: Column) -> Column:
     props = obj["properties"]
     kind_v = obj["type"]
     idx = index.cast("string")
-    return (
+    given = F.variant_get(item, "$.properties", "variant")
+    # members are looked up by name in a usable item, and only others are opened as a whole
+    usable = (F.try_variant_get(item, "$.type", "string") == "Feature") & (
+        given.isNull() | F.is_variant_null(given) | F.schema_of_variant(given).startswith("OBJECT"))
+    return F.when(~F.coalesce(usable, F.lit(False)), (
         F.when(obj.isNull(), F.concat(F.lit("feature "), idx, F.lit(" is a "), json_type_name(item),
                                       F.lit(", expected a GeoJSON Feature object")))
         .when(~F.coalesce(kind_of(item) == "Feature", F.lit(False)),
@@ -83,7 +89,7 @@ def item_problem(item: Column, index: Column) -> Column:
               & F.try_variant_get(props, "$", "map<string,variant>").isNull(),
               F.concat(F.lit("feature "), idx, F.lit(": 'properties' must be an object or null, got "),
                        json_type_name(props)))
-    )
+    ))
 
 
 def parse_geojson(docs: DataFrame, text_col: str = "value", doc_col: str = "_doc",
@@ -94,8 +100,9 @@ def parse_geojson(docs: DataFrame, text_col: str = "value", doc_col: str = "_doc
     has no ``id`` member; a null ``properties`` becomes ``{}``. ``problem``
     names further reasons against a document that can be read.
     """
-    parsed = docs.select(F.col(doc_col).alias("_doc"), F.try_parse_json(F.col(text_col)).alias("doc"),
-                         document_problem(F.col(text_col)).alias("why"))
+    # parsed once: what is wrong with a document is told from the parsed value
+    parsed = docs.select(F.col(doc_col).alias("_doc"), F.col(text_col).alias("text"), F.try_parse_json(F.col(text_col)).alias("doc"))
+    parsed = parsed.select("_doc", "doc", document_problem(F.col("text"), F.col("doc")).alias("why"))
     if problem:
         parsed = parsed.withColumn("why", F.coalesce("why", problem(F.col("doc"))))
     # an unreadable document is one row with its problem, so that it cannot vanish; an empty collection is no row
