@@ -127,7 +127,9 @@ def hashed_features(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFra
         read = problem.isNull()
         df = mark_steps(raw, spec.steps)
         kept = F.col("_dropped").isNull()
-        bad_numbers = kept & _nonfinite(df)
+        # a non-finite number stands in the text as one of these; a text that holds neither needs no look at its values
+        suspect = F.col("_json").contains('NaN"') | F.col("_json").contains('Infinity"')
+        bad_numbers = kept & suspect & _nonfinite(df)
         df = df.withColumn("_json", F.when(kept, feature_json(df)))  # built once: the hash is over this text
         keyed = D.with_key(df.withColumn("_hash", F.sha2("_json", 256)), spec.id_property)
         doc = F.col("_doc").cast("string") if "_doc" in df.columns else F.lit(None).cast("string")
@@ -146,7 +148,7 @@ def staged(hashed: DataFrame) -> DataFrame:
     All that follows reads narrow columns of this table. It outlives a lost
     executor, nothing is computed twice, and the plans behind it stay small.
     """
-    out = written(hashed.withColumn("_box", geo.built(geo.bbox)).drop("geometry"), "run")
+    out = written(hashed.withColumn("_box", geo.bbox(F.col("geometry"), F.col("_json"))).drop("geometry"), "run")
     return out.withColumns({f"_{side}": F.col("_box")[side] for side in ("west", "south", "east", "north")}).drop("_box")
 
 
