@@ -154,7 +154,7 @@ def test_documents_are_parsed_once(spark, capsys):
     docs = spark.createDataFrame([(1, '{"type":"FeatureCollection","features":[{"type":"Feature","properties":[1]}]}'), (2, "{"), (3, " "),
                                   (4, '{"type":"FeatureCollection","features":[]}'), (5, '{"type":"FeatureCollection","features":[3]}')], "_doc INT, value STRING")
     f = parse_geojson(docs)
-    assert _plan(f, capsys).count("parse_json") == 1
+    assert _plan(f, capsys).count("parseJson(") == 1
     got = {r["_doc"]: r["_problem"] for r in f.collect()}
     assert got == {1: "feature 0: 'properties' must be an object or null, got list", 2: "invalid JSON",
                    3: "payload is empty; expected a JSON document", 5: "feature 0 is a int, expected a GeoJSON Feature object"}
